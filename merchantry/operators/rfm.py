@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchantry.functions import columns as C
+from merchantry.operators.ordered import quantiles
 
 
 def reference_date(clean: DataFrame) -> Column:
@@ -84,9 +85,9 @@ def tenure_features(clean: DataFrame) -> DataFrame:
     )
 
 
-def customer_features(clean: DataFrame) -> DataFrame:
+def customer_features(clean: DataFrame, round_to: int | None = 2) -> DataFrame:
     """One row per customer: features, tenure, favourite product and country."""
-    base = rfm_table(clean, rule="recency90").drop("JoinDate")
+    base = rfm_table(clean, rule="recency90", round_to=round_to).drop("JoinDate")
     tenure = tenure_features(clean).select(
         "CustomerID", "TotalItems", "UniqueProducts", "DaysSinceFirstPurchase", "CustomerLifespan"
     )
@@ -114,8 +115,6 @@ def dim_customer(rfm: DataFrame, country: DataFrame) -> DataFrame:
 
 def rfm_by_churn(rfm: DataFrame, digits: int = 6) -> DataFrame:
     """Mean, minimum, median and maximum of each feature per churn class."""
-    from merchantry.operators.ordered import quantiles
-
     names = ["Recency", "Frequency", "Monetary"]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in names])
     stats = (
@@ -129,5 +128,5 @@ def rfm_by_churn(rfm: DataFrame, digits: int = 6) -> DataFrame:
     )
     medians = quantiles(rfm, names, [0.5], by=["ChurnLabel"]).withColumnRenamed("q0", "Median")
     return stats.join(medians, ["ChurnLabel", "column"]).select(
-        "ChurnLabel", F.col("column").alias("Feature"), "Mean", "Min", "Median", "Max"
+        "ChurnLabel", F.col("column").alias("Feature"), "Mean", "Min", C.rounded("Median", digits).alias("Median"), "Max"
     )

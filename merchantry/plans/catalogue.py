@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchantry.operators import clean, facts, quality, rfm, stats
+from merchantry import constants as K
+from merchantry.functions import columns as C
+from merchantry.operators import basket, clean, facts, quality, recommend, rfm, sentiment, stats
 from merchantry.plans import reports
 from merchantry.plans.warehouse import Settings, Warehouse
-from merchantry.sources import tables
+from merchantry.sources import files, tables
 from merchantry.sources.store import TableStore
 
 # Parameters for the given tables: their prices, product names and texts differ from a real shop's.
@@ -19,9 +21,21 @@ SETTINGS = Settings(
     category_rules=(("Hardware", "BOLT|ROD|GEAR"), ("Metalwork", "PLATE|ANVIL"), ("Jewellery", "RING")),
     price_edges=(48000.0, 53000.0, 58000.0),
     money="decimal(12,2)",
-    round_to=6,
+    round_to=None,
 )
 
+BASKET_TOP, MIN_SUPPORT, MIN_CONFIDENCE = 40, 0.004, 0.05
+
+# (word, valence, polarity, subjectivity): the texts are invented, so their frequent words stand in for a lexicon.
+LEXICON = [
+    ("the", 0.4, 0.1, 0.2), ("of", -0.6, -0.2, 0.3), ("de", 1.1, 0.3, 0.5), ("and", 0.2, 0.05, 0.1),
+    ("to", -0.3, -0.1, 0.2), ("in", 0.7, 0.25, 0.4), ("la", -1.3, -0.4, 0.6), ("der", 0.9, 0.3, 0.5),
+    ("is", 1.5, 0.5, 0.7), ("that", -0.8, -0.3, 0.4), ("en", -0.5, -0.15, 0.3), ("for", 0.6, 0.2, 0.3),
+    ("it", -1.1, -0.35, 0.5), ("on", 0.3, 0.1, 0.2), ("was", -1.7, -0.6, 0.8), ("die", -0.9, -0.3, 0.5),
+    ("with", 1.2, 0.4, 0.6), ("que", 0.8, 0.3, 0.4), ("le", 0.5, 0.15, 0.3), ("be", 1.0, 0.35, 0.5),
+]
+NEGATORS = ("a", "un", "not", "no")
+
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -29,7 +43,7 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse of a folder; its layers are written once per application."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _warehouses:
-        _warehouses[key] = Warehouse(
+        w = Warehouse(
             spark,
             tables.staging_retail(spark, folder),
             tables.staging_reviews(spark, folder),
@@ -37,9 +51,39 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
             SETTINGS,
             TableStore(spark, folder),
         )
+        _add_mining_layers(w)
+        _warehouses[key] = w
     return _warehouses[key]
 
 
+def _add_mining_layers(w: Warehouse) -> None:
+    w.register(
+        "basket_items", lambda: basket.transactions(w["fact_orders"], w["dim_product"], top=BASKET_TOP)
+    )
+    w.register("frequent_itemsets", lambda: basket.frequent_itemsets(w["basket_items"], MIN_SUPPORT))
+    w.register("association_rules", lambda: basket.association_rules(w["frequent_itemsets"], MIN_CONFIDENCE))
+    w.register("lexicon", lambda: w.spark.createDataFrame(LEXICON, "Word string, Valence double, Polarity double, Subjectivity double"))
+    w.register(
+        "sentiment_scores",
+        lambda: sentiment.ensemble(
+            sentiment.score_texts(w["fact_reviews"], w["lexicon"], negators=NEGATORS)
+        ),
+    )
+    w.register(
+        "scored_reviews",
+        lambda: files.write_back(
+            w["fact_reviews"],
+            w["sentiment_scores"].select("ReviewID", F.col("Ensemble_Score").alias("SentimentScore")),
+            "ReviewID",
+            "SentimentScore",
+        ),
+    )
+    w.register("purchases", lambda: recommend.interactions(w["fact_orders"], w["dim_product"]))
+    w.register("top_items", lambda: recommend.top_items(w["purchases"]))
+    w.register("purchase_weights", lambda: recommend.weights(w["purchases"], w["top_items"]))
+    w.register("neighbours", lambda: recommend.neighbours(w["purchase_weights"]))
+
+
 def present(df: DataFrame) -> DataFrame:
     """Plain result types: exact decimals as doubles, dates as text, whole numbers as 64 bit."""
 
@@ -137,11 +181,11 @@ def _customers() -> dict:
         "modal_country": _w(lambda w: rfm.modal_country(w["clean_retail"])),
         "favorite_product": _w(lambda w: rfm.favourite_product(w["clean_retail"])),
         "tenure_features": _w(lambda w: rfm.tenure_features(w["clean_retail"])),
-        "customer_features": _w(lambda w: rfm.customer_features(w["clean_retail"])),
+        "customer_features": _w(lambda w: rfm.customer_features(w["clean_retail"], None)),
         "dim_customer": _layer("dim_customer"),
         "final_customer_dataset": _layer("final_customer_dataset"),
         "customer_orders_line_variant": _w(
-            lambda w: facts.customer_orders(w["fact_orders"], w["dim_time"], "line", 6)
+            lambda w: facts.customer_orders(w["fact_orders"], w["dim_time"], "line", None)
         ),
         "behavior_features": _w(behaviour),
         "rfm_by_churn": _w(lambda w: rfm.rfm_by_churn(w["rfm_table"])),
@@ -179,5 +223,117 @@ def _reports() -> dict:
     }
 
 
+def _baskets() -> dict:
+    def rules(w: Warehouse) -> DataFrame:
+        return basket.export_rules(w["association_rules"])
+
+    def rounded(w: Warehouse) -> DataFrame:
+        return rules(w).withColumns({c: F.round(c, 6) for c in ("Support", "Confidence", "Lift")})
+
+    def pairs(w: Warehouse) -> DataFrame:
+        return basket.top_pairs(w["clean_retail"].withColumnRenamed("Invoice", "InvoiceNo"), "Description")
+
+    return {
+        "frequent_itemsets": _w(
+            lambda w: w["frequent_itemsets"].select(
+                F.array_join("items", ", ").alias("Items"), "freq", F.round("Support", 6).alias("Support"), "Length"
+            )
+        ),
+        "association_rules": _w(rounded),
+        "strong_rules": _w(
+            lambda w: basket.strong_rules(rules(w), 0.09, 1.5).select(
+                "Antecedent", "Consequent", F.round("Lift", 6).alias("Lift")
+            )
+        ),
+        "itemset_summary": _w(
+            lambda w: basket.itemset_summary(w["frequent_itemsets"]).withColumns(
+                {c: F.round(c, 6) for c in ("MinSupport", "MaxSupport", "MedianSupport")}
+            )
+        ),
+        "rule_summary": _w(lambda w: basket.rule_summary(rules(w), 0.08, 1.2)),
+        "pair_cooccurrence": _w(pairs),
+        "product_pairs": _w(lambda w: basket.product_pairs(w["fact_orders"], w["dim_product"], min_count=0)),
+    }
+
+
+def _sentiments() -> dict:
+    def scores(w: Warehouse) -> DataFrame:
+        names = ("VADER_Score", "TextBlob_Score", "TextBlob_Subjectivity", "Ensemble_Score")
+        return w["sentiment_scores"].withColumns({c: F.round(c, 6) for c in names})
+
+    def results(w: Warehouse) -> DataFrame:
+        return sentiment.sentiment_results(w["fact_reviews"], w["sentiment_scores"])
+
+    return {
+        "clean_text": lambda spark, folder: tables.table(spark, folder, "pages").select(
+            "page_id", F.md5(C.clean_text("html")).alias("CleanDigest")
+        ),
+        "review_word_counts": _w(
+            lambda w: w["clean_reviews"].select(
+                "ReviewID",
+                C.word_count("ReviewText").alias("Spaces"),
+                C.word_count("ReviewText", "tokens").alias("Tokens"),
+            )
+        ),
+        "lexicon_sentiment": _w(lambda w: scores(w).select("ReviewID", "VADER_Score", "VADER_Label", "TextBlob_Score", "TextBlob_Subjectivity", "TextBlob_Label")),
+        "sentiment_ensemble": _w(lambda w: scores(w).select("ReviewID", "Ensemble_Score", "Final_Sentiment")),
+        "sentiment_by_class": _w(lambda w: sentiment.sentiment_by_class(results(w))),
+        "sentiment_label_shares": _w(lambda w: sentiment.label_shares(w["sentiment_scores"])),
+        "sentiment_summary": _w(lambda w: sentiment.sentiment_summary(results(w))),
+        "sentiment_by_category": _w(lambda w: reports.sentiment_by_category(w["scored_reviews"])),
+        "sentiment_by_department": _w(lambda w: reports.sentiment_by_department(w["scored_reviews"])),
+        "sentiment_by_rating": _w(lambda w: reports.sentiment_by_rating(w["scored_reviews"])),
+        "sentiment_write_back": _w(
+            lambda w: w["scored_reviews"].select("ReviewID", "Rating", F.round("SentimentScore", 6).alias("SentimentScore"))
+        ),
+    }
+
+
+def _recommendations() -> dict:
+    def requests(w: Warehouse) -> DataFrame:
+        """One request per customer; the class is spread over the customers by their number."""
+        classes = F.array(*[F.lit(c) for c in sorted([*K.IMAGE_CLASSES, K.DEFAULT_IMAGE_CLASS])])
+        place = (F.col("CustomerID") % F.size(classes) + 1).cast("int")
+        return w["dim_customer"].select("CustomerID", F.element_at(classes, place).alias("CNN_Matched_Class"))
+
+    def rounded(df: DataFrame, *names: str) -> DataFrame:
+        return df.withColumns({c: F.round(c, 6) for c in names})
+
+    return {
+        "user_item_weights": _w(
+            lambda w: rounded(w["purchase_weights"].select("CustomerID", "StockCode", "TotalQty", "Weight"), "Weight")
+        ),
+        "user_item_summary": _w(lambda w: recommend.matrix_summary(w["purchase_weights"])),
+        "similarity_summary": _w(lambda w: recommend.similarity_summary(w["purchase_weights"])),
+        "user_similarity_topk": _w(lambda w: rounded(w["neighbours"], "Similarity")),
+        "collab_recs": _w(
+            lambda w: rounded(
+                recommend.collaborative(w["purchase_weights"], w["top_items"], w["neighbours"]), "Collaborative_Score"
+            )
+        ),
+        "category_content_profile": _w(
+            lambda w: rounded(
+                recommend.category_profile(w["scored_reviews"]),
+                "Avg_Sentiment", "Avg_Rating", "Recommend_Rate", "Avg_Feedback", "Content_Score",
+                "Content_Score_Normalized",
+            )
+        ),
+        "content_recs": _w(
+            lambda w: rounded(recommend.content_items(w["scored_reviews"]), "Avg_Rating", "Item_Score")
+        ),
+        "imputed_sentiment": _w(
+            lambda w: recommend.impute_sentiment(w["fact_reviews"]).select("ReviewID", "Rating", "SentimentScore")
+        ),
+        "hybrid_recs": _w(
+            lambda w: rounded(
+                recommend.hybrid(
+                    requests(w), w["purchase_weights"], w["top_items"], w["neighbours"], w["scored_reviews"]
+                ),
+                "Collaborative", "Content", "Hybrid_Score",
+            )
+        ),
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**_cleaning(), **_customers(), **_reports()}
+    return {**_cleaning(), **_customers(), **_reports(), **_baskets(), **_sentiments(), **_recommendations()}

@@ -196,7 +196,7 @@ def _by_product_column(w: Warehouse, column: str) -> DataFrame:
     return (
         sums.join(w["dim_product"].select("ProductID", column), "ProductID")
         .groupBy(column)
-        .agg(_revenue(), F.sum("Quantity").alias("Quantity"), F.sum("Lines").alias("Lines"))
+        .agg(F.sum("Revenue").alias("Revenue"), F.sum("Quantity").alias("Quantity"), F.sum("Lines").alias("Lines"))
     )
 
 

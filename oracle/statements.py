@@ -163,7 +163,7 @@ FROM clean_retail GROUP BY CustomerID
 
 SQL["customer_features"] = """
 SELECT CAST(b.CustomerID AS BIGINT) AS CustomerID, CAST(Recency AS BIGINT) AS Recency, Frequency,
-       CAST(Monetary AS DOUBLE) AS Monetary, round(CAST(Monetary AS DOUBLE) / Frequency, 2) AS AvgOrderValue,
+       CAST(Monetary AS DOUBLE) AS Monetary, CAST(Monetary AS DOUBLE) / Frequency AS AvgOrderValue,
        CAST(CASE WHEN Recency > 90 THEN 1 ELSE 0 END AS BIGINT) AS ChurnLabel, t.TotalItems, t.UniqueProducts,
        CAST(datediff('day', t.f, (SELECT max(InvoiceDay) + 1 FROM clean_retail)) AS BIGINT) AS DaysSinceFirstPurchase,
        CAST(datediff('day', t.f, t.l) AS BIGINT) AS CustomerLifespan, FavoriteProduct, Country
@@ -193,8 +193,8 @@ SQL["customer_orders_line_variant"] = """
 SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CAST(sum(Quantity) AS BIGINT) AS TotalItems,
        count(DISTINCT ProductID) AS UniqueProducts, count(DISTINCT InvoiceNo) AS TotalOrders,
        CAST(min(FullDate) AS VARCHAR) AS FirstOrderDate, CAST(max(FullDate) AS VARCHAR) AS LastOrderDate,
-       round(CAST(sum(Quantity) AS DOUBLE) / count(*), 6) AS AvgQuantityPerOrder,
-       round(CAST(sum(UnitPrice) AS DOUBLE) / count(*), 6) AS AvgPricePerItem
+       CAST(sum(Quantity) AS DOUBLE) / count(*) AS AvgQuantityPerOrder,
+       CAST(sum(UnitPrice) AS DOUBLE) / count(*) AS AvgPricePerItem
 FROM star GROUP BY CustomerID
 """
 
@@ -357,6 +357,193 @@ FROM dim_customer ORDER BY md5(concat_ws('|', '42', CAST(dim_customer.CustomerID
 LIMIT 2000
 """
 
+# --- baskets -----------------------------------------------------------------------------------------------
+
+SQL["frequent_itemsets"] = """
+SELECT Items, freq, round(Support, 6) AS Support, CAST(Length AS BIGINT) AS Length FROM itemsets
+"""
+
+SQL["association_rules"] = """
+SELECT Antecedent, Consequent, round(Support, 6) AS Support, round(Confidence, 6) AS Confidence, round(Lift, 6) AS Lift
+FROM basket_rules
+"""
+
+SQL["strong_rules"] = """
+SELECT Antecedent, Consequent, round(Lift, 6) AS Lift FROM basket_rules WHERE Confidence >= 0.09 AND basket_rules.Lift >= 1.5
+"""
+
+SQL["itemset_summary"] = """
+SELECT count(*) AS Itemsets, CAST(sum((Length = 1)::INT) AS BIGINT) AS Singles, CAST(sum((Length = 2)::INT) AS BIGINT) AS Pairs,
+       CAST(sum((Length >= 3)::INT) AS BIGINT) AS TriplesOrMore, round(min(Support), 6) AS MinSupport,
+       round(max(Support), 6) AS MaxSupport, round(median(Support), 6) AS MedianSupport
+FROM itemsets
+"""
+
+SQL["rule_summary"] = """
+SELECT count(*) AS Rules, CAST(sum((Confidence >= 0.08)::INT) AS BIGINT) AS HighConfidence,
+       CAST(sum((Lift >= 1.2)::INT) AS BIGINT) AS StrongLift, round(avg(Confidence), 6) AS AvgConfidence,
+       round(max(Lift), 6) AS MaxLift,
+       (SELECT concat(Antecedent, ' -> ', Consequent) FROM basket_rules
+        ORDER BY Lift DESC, Confidence DESC, Antecedent DESC, Consequent DESC LIMIT 1) AS StrongestRule
+FROM basket_rules
+"""
+
+SQL["pair_cooccurrence"] = """
+SELECT a.Description AS ItemA, b.Description AS ItemB, count(*) AS CoOccurrence
+FROM clean_retail a JOIN clean_retail b ON a.Invoice = b.Invoice AND a.Description < b.Description
+GROUP BY 1, 2 HAVING count(*) > 5 ORDER BY CoOccurrence DESC, ItemA, ItemB LIMIT 20
+"""
+
+SQL["product_pairs"] = """
+SELECT CAST(a.ProductID AS BIGINT) AS Product_A, a.ProductName AS ProductName_A, CAST(b.ProductID AS BIGINT) AS Product_B,
+       b.ProductName AS ProductName_B, count(*) AS CoOccurrence
+FROM star a JOIN star b ON a.InvoiceNo = b.InvoiceNo AND a.ProductID < b.ProductID
+GROUP BY 1, 2, 3, 4 ORDER BY CoOccurrence DESC, Product_A, Product_B LIMIT 20
+"""
+
+# --- sentiment ---------------------------------------------------------------------------------------------
+
+SQL["clean_text"] = """
+SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'),
+         'http\S+|www\S+', '', 'g'), '[^\p{L}\p{N}_\s.,!?''-]', '', 'g'), '\s+', ' ', 'g'))) AS CleanDigest
+FROM pages
+"""
+
+SQL["review_word_counts"] = """
+SELECT ReviewID, CAST(length(ReviewText) - length(replace(ReviewText, ' ', '')) + 1 AS BIGINT) AS Spaces,
+       CAST(len(list_filter(regexp_split_to_array(ReviewText, '\s+'), lambda t: t <> '')) AS BIGINT) AS Tokens
+FROM clean_reviews
+"""
+
+SQL["lexicon_sentiment"] = """
+SELECT ReviewID, round(VADER_Score, 6) AS VADER_Score, VADER_Label, round(TextBlob_Score, 6) AS TextBlob_Score,
+       round(TextBlob_Subjectivity, 6) AS TextBlob_Subjectivity, TextBlob_Label
+FROM scored_reviews
+"""
+
+SQL["sentiment_ensemble"] = """
+SELECT ReviewID, round(Ensemble_Score, 6) AS Ensemble_Score, Final_Sentiment FROM scored_reviews
+"""
+
+SQL["sentiment_by_class"] = """
+SELECT CNN_Matched_Class, round(avg(Ensemble_Score), 6) AS Avg_Sentiment, round(avg(Rating), 6) AS Avg_Rating,
+       count(*) AS Total_Reviews,
+       round(avg(CASE WHEN Final_Sentiment = 'Positive' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 6) AS Positive_Pct
+FROM scored_reviews GROUP BY CNN_Matched_Class
+"""
+
+SQL["sentiment_label_shares"] = """
+SELECT Scorer, Label, count(*) AS Reviews,
+       round(count(*)::DOUBLE * 100 / (SELECT count(*) FROM scored_reviews), 6) AS Percent
+FROM (SELECT 'VADER_Label' AS Scorer, VADER_Label AS Label FROM scored_reviews
+      UNION ALL SELECT 'TextBlob_Label', TextBlob_Label FROM scored_reviews
+      UNION ALL SELECT 'Final_Sentiment', Final_Sentiment FROM scored_reviews) GROUP BY 1, 2
+"""
+
+SQL["sentiment_summary"] = """
+SELECT count(*) AS Reviews, round(avg(VADER_Score), 6) AS AvgVader, round(avg(TextBlob_Score), 6) AS AvgTextBlob,
+       round(avg(Ensemble_Score), 6) AS AvgEnsemble, round(corr(VADER_Score, TextBlob_Score), 6) AS CorrScorers,
+       round(corr(Ensemble_Score, Rating), 6) AS CorrRating
+FROM scored_reviews
+"""
+
+SQL["sentiment_by_category"] = """
+SELECT CNN_Matched_Class AS Category, round(avg(Ensemble_Score), 6) AS AvgSentiment, round(avg(Rating), 6) AS AvgRating,
+       count(*) AS ReviewCount, CAST(sum(Recommended) AS BIGINT) AS RecommendedCount,
+       round(CAST(sum(Recommended) AS DOUBLE) * 100 / count(*), 6) AS RecommendRatePercent,
+       round(avg(CASE WHEN Ensemble_Score > 0.05 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 6) AS PositivePercent
+FROM scored_reviews GROUP BY CNN_Matched_Class
+"""
+
+SQL["sentiment_by_department"] = """
+SELECT DepartmentName, round(avg(Ensemble_Score), 6) AS AvgSentiment FROM scored_reviews GROUP BY DepartmentName
+"""
+
+SQL["sentiment_by_rating"] = """
+SELECT CAST(Rating AS BIGINT) AS Rating, round(avg(Ensemble_Score), 6) AS Mean, round(stddev_samp(Ensemble_Score), 6) AS Std
+FROM scored_reviews GROUP BY 1
+"""
+
+SQL["sentiment_write_back"] = """
+SELECT ReviewID, CAST(Rating AS BIGINT) AS Rating, round(Ensemble_Score, 6) AS SentimentScore FROM scored_reviews
+"""
+
+# --- recommendations ---------------------------------------------------------------------------------------
+
+SQL["user_item_weights"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, StockCode, CAST(TotalQty AS BIGINT) AS TotalQty, round(Weight, 6) AS Weight
+FROM triples
+"""
+
+SQL["user_item_summary"] = """
+SELECT u AS Users, i AS Items, n AS NonZero, round(100.0::DOUBLE - n::DOUBLE * 100 / (u * i), 6) AS SparsityPercent
+FROM (SELECT count(DISTINCT CustomerID) AS u, count(DISTINCT StockCode) AS i, count(*) AS n FROM triples)
+"""
+
+SQL["similarity_summary"] = """
+SELECT n AS Users, round((SELECT sum(d / (a.n * b.n))
+    FROM (SELECT x.CustomerID AS u, y.CustomerID AS v, sum(x.Weight * y.Weight) AS d
+          FROM triples x JOIN triples y ON x.StockCode = y.StockCode AND x.CustomerID < y.CustomerID GROUP BY 1, 2)
+         JOIN norms a ON u = a.CustomerID JOIN norms b ON v = b.CustomerID) / (n * (n - 1) / 2), 6) AS MeanSimilarity
+FROM (SELECT count(*) AS n FROM norms)
+"""
+
+SQL["user_similarity_topk"] = """
+SELECT CAST(u AS BIGINT) AS CustomerID, CAST(v AS BIGINT) AS NeighbourID, round(sim, 6) AS Similarity,
+       CAST(rn AS BIGINT) AS Rank
+FROM nearest
+"""
+
+SQL["collab_recs"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, o.StockCode, ProductName, round(score, 6) AS Collaborative_Score,
+       CAST(rn AS BIGINT) AS Rank
+FROM offers o JOIN best_items USING (StockCode) WHERE rn <= 5
+"""
+
+SQL["category_content_profile"] = """
+WITH p AS (SELECT CNN_Matched_Class, avg(Ensemble_Score) AS s, avg(Rating) AS r, avg(Recommended) AS c,
+                  avg(PositiveFeedback) AS f, count(*) AS n FROM scored_reviews GROUP BY 1),
+     q AS (SELECT *, coalesce(s, 0) * 0.3 + r / 5.0 * 0.3 + coalesce(c, 0) * 0.2 + f / max(f) OVER () * 0.2 AS score FROM p)
+SELECT CNN_Matched_Class, round(s, 6) AS Avg_Sentiment, round(r, 6) AS Avg_Rating, round(c, 6) AS Recommend_Rate,
+       round(f, 6) AS Avg_Feedback, n AS Total_Reviews, round(score, 6) AS Content_Score,
+       round((score - min(score) OVER ()) / (max(score) OVER () - min(score) OVER ()), 6) AS Content_Score_Normalized
+FROM q
+"""
+
+SQL["content_recs"] = """
+SELECT CNN_Matched_Class, ClassName, round(Avg_Rating, 6) AS Avg_Rating, Review_Count, round(Item_Score, 6) AS Item_Score,
+       CAST(rn AS BIGINT) AS Rank
+FROM class_items WHERE rn <= 5
+"""
+
+SQL["imputed_sentiment"] = """
+SELECT ReviewID, CAST(Rating AS BIGINT) AS Rating, greatest(-1.0::DOUBLE, least(1.0::DOUBLE, (Rating - 3)::DOUBLE / 2)) AS SentimentScore
+FROM clean_reviews
+"""
+
+SQL["hybrid_recs"] = """
+WITH mass AS (SELECT u, sum(sim) AS m FROM nearest GROUP BY u),
+     named AS (SELECT CustomerID, ProductName, arg_max(score, rn) AS score FROM offers JOIN best_items USING (StockCode)
+               WHERE rn <= 10 GROUP BY 1, 2),
+     top3 AS (SELECT *, max(Item_Score) OVER (PARTITION BY CNN_Matched_Class) AS hi,
+                     min(Item_Score) OVER (PARTITION BY CNN_Matched_Class) AS lo FROM class_items WHERE rn <= 3),
+     pool AS (
+       SELECT r.CustomerID, r.CNN_Matched_Class, ProductName AS Product,
+              greatest(0.0::DOUBLE, least(1.0::DOUBLE, coalesce(score / m, 0))) * 0.6 AS Collaborative,
+              0.0::DOUBLE AS Content, 'Collaborative' AS Source
+       FROM requests r JOIN named USING (CustomerID) LEFT JOIN mass ON u = r.CustomerID
+       UNION ALL
+       SELECT r.CustomerID, r.CNN_Matched_Class, concat(ClassName, ' (', r.CNN_Matched_Class, ')'), 0.0::DOUBLE,
+              CASE WHEN hi = lo THEN 0.0::DOUBLE ELSE (Item_Score - lo) / (hi - lo) END * 0.4, 'Content-Based (CNN)'
+       FROM requests r JOIN top3 USING (CNN_Matched_Class)),
+     ranked AS (SELECT *, round(Collaborative + Content, 9) AS h,
+                       row_number() OVER (PARTITION BY CustomerID, CNN_Matched_Class
+                                          ORDER BY round(Collaborative + Content, 9) DESC, Product) AS rn FROM pool)
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CNN_Matched_Class, Product, round(Collaborative, 6) AS Collaborative,
+       round(Content, 6) AS Content, Source, round(h, 6) AS Hybrid_Score, CAST(rn AS BIGINT) AS Rank
+FROM ranked WHERE rn <= 5
+"""
+
 
 def statements() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in SQL.items()}

@@ -56,7 +56,7 @@ FROM (SELECT DISTINCT Country FROM clean_retail) c
 
 VIEWS["dim_product"] = """
 SELECT row_number() OVER (ORDER BY substr(md5(StockCode), 1, 3), StockCode) AS ProductID, StockCode, ProductName,
-       Category, 'N/A' AS SubCategory, round(avg_price, 6) AS AvgPrice, 0.0::DOUBLE AS AvgRating,
+       Category, 'N/A' AS SubCategory, avg_price AS AvgPrice, 0.0::DOUBLE AS AvgRating,
        CAST(NULL AS VARCHAR) AS ImageCategory,
        CASE WHEN avg_price <= 48000 THEN 'Low' WHEN avg_price <= 53000 THEN 'Medium'
             WHEN avg_price <= 58000 THEN 'High' ELSE 'Premium' END AS PriceRange
@@ -74,7 +74,7 @@ FROM clean_retail GROUP BY CustomerID
 
 VIEWS["rfm_table"] = """
 SELECT CustomerID, Recency, Frequency, Monetary, JoinDate,
-       round(CAST(Monetary AS DOUBLE) / Frequency, 6) AS AvgOrderValue,
+       CAST(Monetary AS DOUBLE) / Frequency AS AvgOrderValue,
        CASE WHEN Recency > 180 THEN 1 WHEN Recency > 90 AND Frequency <= 2 THEN 1
             WHEN Recency > 60 AND Frequency = 1 AND Monetary < 100 THEN 1 ELSE 0 END AS ChurnLabel
 FROM rfm_base
@@ -125,8 +125,8 @@ SELECT c.CustomerID, c.Country, c.JoinDate, c.Recency, c.Frequency, c.Monetary,
 FROM dim_customer c LEFT JOIN (
   SELECT CustomerID, sum(Quantity) AS TotalItems, count(DISTINCT ProductID) AS UniqueProducts,
          count(DISTINCT InvoiceNo) AS TotalOrders, min(FullDate) AS FirstOrderDate, max(FullDate) AS LastOrderDate,
-         round(CAST(sum(Quantity) AS DOUBLE) / count(DISTINCT InvoiceNo), 6) AS AvgQuantityPerOrder,
-         round(CAST(sum(Quantity * UnitPrice) AS DOUBLE) / CAST(sum(Quantity) AS DOUBLE), 6) AS AvgPricePerItem
+         CAST(sum(Quantity) AS DOUBLE) / count(DISTINCT InvoiceNo) AS AvgQuantityPerOrder,
+         CAST(sum(Quantity * UnitPrice) AS DOUBLE) / CAST(sum(Quantity) AS DOUBLE) AS AvgPricePerItem
   FROM star GROUP BY CustomerID) o ON c.CustomerID = o.CustomerID
   LEFT JOIN dim_location l ON c.Country = l.Country
 """
@@ -168,6 +168,142 @@ SELECT ReviewID, ClothingID, Age, CASE WHEN Title IS NULL OR trim(Title) = '' TH
 FROM staging_reviews WHERE ReviewText IS NOT NULL AND trim(ReviewText) <> ''
 """
 
+VIEWS["basket_items"] = """
+SELECT DISTINCT InvoiceNo, ProductName AS Item
+FROM (SELECT InvoiceNo, ProductName, Quantity FROM star
+      WHERE InvoiceNo IN (SELECT InvoiceNo FROM fact_orders GROUP BY InvoiceNo HAVING count(DISTINCT ProductID) >= 2)
+        AND Quantity > 0)
+WHERE ProductName IN (
+  SELECT ProductName FROM star
+  WHERE InvoiceNo IN (SELECT InvoiceNo FROM fact_orders GROUP BY InvoiceNo HAVING count(DISTINCT ProductID) >= 2)
+  GROUP BY ProductName ORDER BY count(*) DESC, ProductName LIMIT 40)
+"""
+
+VIEWS["itemsets"] = """
+SELECT Item AS Items, freq, freq::DOUBLE / n AS Support, 1 AS Length, Item AS a, NULL AS b
+FROM (SELECT Item, count(*) AS freq FROM basket_items GROUP BY Item),
+     (SELECT count(DISTINCT InvoiceNo) AS n FROM basket_items) WHERE freq::DOUBLE / n >= 0.004
+UNION ALL
+SELECT concat(a, ', ', b), freq, freq::DOUBLE / n, 2, a, b
+FROM (SELECT x.Item AS a, y.Item AS b, count(*) AS freq
+      FROM basket_items x JOIN basket_items y ON x.InvoiceNo = y.InvoiceNo AND x.Item < y.Item GROUP BY 1, 2),
+     (SELECT count(DISTINCT InvoiceNo) AS n FROM basket_items) WHERE freq::DOUBLE / n >= 0.004
+UNION ALL
+SELECT concat(a, ', ', b, ', ', c), freq, freq::DOUBLE / n, 3, NULL, NULL
+FROM (SELECT x.Item AS a, y.Item AS b, z.Item AS c, count(*) AS freq
+      FROM basket_items x JOIN basket_items y ON x.InvoiceNo = y.InvoiceNo AND x.Item < y.Item
+           JOIN basket_items z ON x.InvoiceNo = z.InvoiceNo AND y.Item < z.Item GROUP BY 1, 2, 3),
+     (SELECT count(DISTINCT InvoiceNo) AS n FROM basket_items) WHERE freq::DOUBLE / n >= 0.004
+"""
+
+VIEWS["basket_rules"] = """
+SELECT x AS Antecedent, y AS Consequent, p.Support, p.freq::DOUBLE / sx.freq AS Confidence,
+       (p.freq::DOUBLE / sx.freq) / (sy.freq::DOUBLE / n) AS Lift
+FROM (SELECT a AS x, b AS y, Support, freq FROM itemsets WHERE Length = 2
+      UNION ALL SELECT b, a, Support, freq FROM itemsets WHERE Length = 2) p
+     JOIN itemsets sx ON sx.Items = p.x AND sx.Length = 1 JOIN itemsets sy ON sy.Items = p.y AND sy.Length = 1,
+     (SELECT count(DISTINCT InvoiceNo) AS n FROM basket_items)
+WHERE p.freq::DOUBLE / sx.freq >= 0.05
+"""
+
+VIEWS["lexicon"] = """
+SELECT * FROM (VALUES ('the', 0.4, 0.1, 0.2), ('of', -0.6, -0.2, 0.3), ('de', 1.1, 0.3, 0.5), ('and', 0.2, 0.05, 0.1),
+  ('to', -0.3, -0.1, 0.2), ('in', 0.7, 0.25, 0.4), ('la', -1.3, -0.4, 0.6), ('der', 0.9, 0.3, 0.5),
+  ('is', 1.5, 0.5, 0.7), ('that', -0.8, -0.3, 0.4), ('en', -0.5, -0.15, 0.3), ('for', 0.6, 0.2, 0.3),
+  ('it', -1.1, -0.35, 0.5), ('on', 0.3, 0.1, 0.2), ('was', -1.7, -0.6, 0.8), ('die', -0.9, -0.3, 0.5),
+  ('with', 1.2, 0.4, 0.6), ('que', 0.8, 0.3, 0.4), ('le', 0.5, 0.15, 0.3), ('be', 1.0, 0.35, 0.5))
+  AS t(Word, Valence, Polarity, Subjectivity)
+"""
+
+VIEWS["review_tokens"] = """
+SELECT ReviewID, w AS Word, lag(w) OVER (PARTITION BY ReviewID ORDER BY pos) AS prev
+FROM (SELECT ReviewID, unnest(words) AS w, unnest(generate_series(1, len(words))) AS pos
+      FROM (SELECT ReviewID, list_filter(list_transform(
+              string_split(lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                ReviewText, '<[^>]+>', '', 'g'), 'http\\S+|www\\S+', '', 'g'), '[^\\p{L}\\p{N}_\\s.,!?''-]', '', 'g'),
+                '\\s+', ' ', 'g'))), ' '),
+              lambda t: trim(t, '.,!?''-')), lambda t: t <> '') AS words
+            FROM clean_reviews))
+"""
+
+VIEWS["lexicon_scores"] = """
+SELECT r.ReviewID, coalesce(v, 0) / sqrt(coalesce(v, 0) * coalesce(v, 0) + 15) AS VADER_Score,
+       coalesce(p, 0) AS TextBlob_Score, coalesce(s, 0) AS TextBlob_Subjectivity
+FROM clean_reviews r LEFT JOIN (
+  SELECT ReviewID, sum(CAST(Valence AS DOUBLE) * sgn) AS v, avg(CAST(Polarity AS DOUBLE) * sgn) AS p,
+         avg(CAST(Subjectivity AS DOUBLE)) AS s
+  FROM (SELECT t.ReviewID, l.*, CASE WHEN prev IN ('a', 'un', 'not', 'no') THEN -0.74::DOUBLE ELSE 1.0::DOUBLE END AS sgn
+        FROM review_tokens t JOIN lexicon l ON t.Word = l.Word) GROUP BY ReviewID) h ON r.ReviewID = h.ReviewID
+"""
+
+VIEWS["ensemble_scores"] = """
+SELECT s.*, tanh(((VADER_Score - vm) / vs + (TextBlob_Score - tm) / ts) / 2) AS Ensemble_Score,
+       CASE WHEN VADER_Score >= 0.05 THEN 'Positive' WHEN VADER_Score <= -0.05 THEN 'Negative' ELSE 'Neutral' END
+         AS VADER_Label,
+       CASE WHEN TextBlob_Score >= 0.05 THEN 'Positive' WHEN TextBlob_Score <= -0.05 THEN 'Negative' ELSE 'Neutral' END
+         AS TextBlob_Label
+FROM lexicon_scores s, (SELECT avg(VADER_Score) AS vm, stddev_samp(VADER_Score) AS vs, avg(TextBlob_Score) AS tm,
+                               stddev_samp(TextBlob_Score) AS ts FROM lexicon_scores)
+"""
+
+VIEWS["scored_reviews"] = """
+SELECT c.*, e.VADER_Score, e.TextBlob_Score, e.TextBlob_Subjectivity, e.Ensemble_Score, e.VADER_Label, e.TextBlob_Label,
+       CASE WHEN Ensemble_Score > 0.05 THEN 'Positive' WHEN Ensemble_Score < -0.05 THEN 'Negative' ELSE 'Neutral' END
+         AS Final_Sentiment
+FROM clean_reviews c JOIN ensemble_scores e ON c.ReviewID = e.ReviewID
+"""
+
+VIEWS["purchases"] = """
+SELECT CustomerID, StockCode, ProductName, sum(Quantity) AS TotalQty FROM star WHERE Quantity > 0 GROUP BY 1, 2, 3
+"""
+
+VIEWS["best_items"] = """
+SELECT StockCode, max(ProductName) AS ProductName FROM purchases GROUP BY StockCode
+ORDER BY sum(TotalQty) DESC, StockCode LIMIT 200
+"""
+
+VIEWS["triples"] = """
+SELECT CustomerID, StockCode, TotalQty, ln(1 + TotalQty::DOUBLE) AS Weight
+FROM purchases WHERE StockCode IN (SELECT StockCode FROM best_items)
+"""
+
+VIEWS["norms"] = "SELECT CustomerID, sqrt(sum(Weight * Weight)) AS n FROM triples GROUP BY CustomerID"
+
+VIEWS["similarities"] = """
+SELECT u, v, round(d / (a.n * b.n), 9) AS sim
+FROM (SELECT x.CustomerID AS u, y.CustomerID AS v, sum(x.Weight * y.Weight) AS d
+      FROM triples x JOIN triples y ON x.StockCode = y.StockCode AND x.CustomerID <> y.CustomerID GROUP BY 1, 2)
+     JOIN norms a ON u = a.CustomerID JOIN norms b ON v = b.CustomerID
+"""
+
+VIEWS["nearest"] = """
+SELECT * FROM (SELECT u, v, sim, row_number() OVER (PARTITION BY u ORDER BY sim DESC, v) AS rn FROM similarities)
+WHERE rn <= 10
+"""
+
+VIEWS["offers"] = """
+SELECT *, row_number() OVER (PARTITION BY CustomerID ORDER BY score DESC, StockCode) AS rn
+FROM (SELECT k.u AS CustomerID, t.StockCode, round(sum(k.sim * t.Weight), 9) AS score
+      FROM nearest k JOIN triples t ON k.v = t.CustomerID
+      WHERE NOT EXISTS (SELECT 1 FROM triples o WHERE o.CustomerID = k.u AND o.StockCode = t.StockCode)
+      GROUP BY 1, 2)
+WHERE score > 0
+"""
+
+VIEWS["class_items"] = """
+SELECT *, row_number() OVER (PARTITION BY CNN_Matched_Class ORDER BY Item_Score DESC, ClassName) AS rn
+FROM (SELECT CNN_Matched_Class, ClassName, avg(Rating) AS Avg_Rating, count(*) AS Review_Count,
+             round(coalesce(avg(Ensemble_Score), 0) * 0.4 + avg(Rating) / 5.0 * 0.3
+                   + coalesce(avg(Recommended), 0) * 0.3, 9) AS Item_Score
+      FROM scored_reviews GROUP BY 1, 2)
+"""
+
+VIEWS["requests"] = """
+SELECT CustomerID, (['Celana_Panjang', 'Celana_Pendek', 'Gaun', 'Jaket', 'Jeans', 'Kaos', 'Kemeja', 'Lainnya', 'Mantel',
+                     'Rok', 'Sweter'])[CAST(CustomerID % 11 AS INTEGER) + 1] AS CNN_Matched_Class
+FROM dim_customer
+"""
+
 
 def with_views(sql: str) -> str:
     """Prefix a statement with the expressions it uses, dependencies first."""
