@@ -10,7 +10,20 @@ from pyspark.sql import types as T
 
 from merchantry import constants as K
 from merchantry.functions import columns as C
-from merchantry.operators import basket, clean, facts, quality, recommend, rfm, sentiment, stats
+from merchantry.operators import (
+    basket,
+    churn,
+    clean,
+    evaluate,
+    facts,
+    models,
+    quality,
+    recommend,
+    rfm,
+    segment,
+    sentiment,
+    stats,
+)
 from merchantry.plans import reports
 from merchantry.plans.warehouse import Settings, Warehouse
 from merchantry.sources import files, tables
@@ -36,6 +49,20 @@ LEXICON = [
 ]
 NEGATORS = ("a", "un", "not", "no")
 
+# Centres in standardised (recency, frequency, monetary) for the labelled segments.
+CENTRES = [(-0.5, 1.4, 1.5), (-0.45, 0.4, 0.3), (-0.4, -0.7, -0.7), (2.6, -1.2, -1.1), (0.6, -0.3, -0.2)]
+
+# Small models: the queries show the whole flow, the library defaults hold the full sizes.
+SIZES = models.Sizes(
+    forest_trees=20, forest_depth=6, boost_trees=10, boost_depth=4, gradient_trees=10, gradient_rate=0.1,
+    hidden=(16, 8), network_iter=40, linear_iter=50, fourier=50, search_draws=3, search_folds=3,
+    forest_grid={"numTrees": [10, 20], "maxDepth": [4, 6], "minInstancesPerNode": [1, 3]},
+    boost_grid={"maxIter": [5, 10], "maxDepth": [3, 4], "stepSize": [0.05, 0.1]},
+)
+
+# Scores of three stand-in models, as logistic curves of order count: (name, intercept, slope, weight).
+CURVES = [("Gradient Boosting", 1.5, -0.25, 2.0), ("Random Forest", 0.8, -0.1, 1.0), ("SVM", 2.2, -0.4, 1.5)]
+
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -82,6 +109,36 @@ def _add_mining_layers(w: Warehouse) -> None:
     w.register("top_items", lambda: recommend.top_items(w["purchases"]))
     w.register("purchase_weights", lambda: recommend.weights(w["purchases"], w["top_items"]))
     w.register("neighbours", lambda: recommend.neighbours(w["purchase_weights"]))
+    w.register("segmented_customers", lambda: _segmented(w))
+    w.register("churn_features", lambda: churn.churn_features(w["final_customer_dataset"], w["behaviour_features"]))
+    w.register("curve_scores", lambda: _curve_scores(w))
+
+
+def _assigned(w: Warehouse) -> DataFrame:
+    """Customers with the nearest of the given centres."""
+    scaled = segment.standardise(w["rfm_table"].select("CustomerID", *segment.FEATURES))
+    return segment.assign_to_centres(scaled, CENTRES)
+
+
+def _segmented(w: Warehouse) -> DataFrame:
+    clusters = _assigned(w).select("CustomerID", "Cluster")
+    return segment.label_customers(w["dim_customer"].join(clusters, "CustomerID"))
+
+
+def _curve_scores(w: Warehouse) -> DataFrame:
+    """Scored customers (CustomerID, label, split, Model, score) with many equal scores."""
+    curves = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("Model"),
+                F.round(1 / (1 + F.exp(-(F.lit(a) + F.col("Frequency") * b))), 3).alias("score"),
+            )
+            for name, a, b, _ in CURVES
+        ]
+    )
+    return churn.with_split(w["rfm_table"]).select(
+        "CustomerID", F.col("ChurnLabel").alias("label"), "split", F.inline(curves)
+    )
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -241,7 +298,7 @@ def _baskets() -> dict:
         ),
         "association_rules": _w(rounded),
         "strong_rules": _w(
-            lambda w: basket.strong_rules(rules(w), 0.09, 1.5).select(
+            lambda w: basket.strong_rules(rules(w), 0.08, 1.2).select(
                 "Antecedent", "Consequent", F.round("Lift", 6).alias("Lift")
             )
         ),
@@ -335,5 +392,178 @@ def _recommendations() -> dict:
     }
 
 
+def _profiling() -> dict:
+    numbers = ["Recency", "Frequency", "Monetary", "AvgOrderValue", "ChurnLabel"]
+
+    def events(spark: SparkSession, folder: str) -> DataFrame:
+        return tables.table(spark, folder, "events")
+
+    def calendar(spark: SparkSession, folder: str) -> DataFrame:
+        hours = clean.add_calendar(events(spark, folder).select("ts", "value"), "ts")
+        return present(
+            hours.groupBy("Year", "Month", "DayOfWeek", "Hour", "IsWeekend", "Quarter").agg(F.count("*").alias("Events"))
+        )
+
+    def iqr(w: Warehouse) -> DataFrame:
+        lines = w["clean_retail"].select("Invoice", "StockCode", "CustomerID", "Quantity", "Price")
+        return clean.iqr_filter(clean.iqr_filter(lines, "Quantity"), "Price")
+
+    def summary(w: Warehouse) -> DataFrame:
+        return quality.dataset_summary(
+            {
+                "reviews": w["staging_reviews"].select("Age", "Title", "ReviewText", "Rating", "DepartmentName"),
+                "retail": w["staging_retail"].select("Invoice", "StockCode", "Description", "Quantity", "Country"),
+            }
+        )
+
+    return {
+        "missing_table": _w(lambda w: quality.missing_table(w["staging_reviews"])),
+        "describe_numeric": _w(lambda w: stats.describe(w["rfm_table"], ["Recency", "Frequency", "Monetary"])),
+        "describe_lines": _w(lambda w: stats.describe(w["clean_retail"], ["Quantity", "Price"])),
+        "distinct_counts": _w(
+            lambda w: stats.ranges(w["clean_retail"], ["CustomerID", "StockCode", "Country", "Invoice"])
+        ),
+        "iqr_filtered": _w(iqr),
+        "winsorized_bounds": _w(
+            lambda w: clean.winsorised_counts(w["final_customer_dataset"], churn.WINSORISED).select(
+                F.col("column").alias("Column"), F.round("Lower", 6).alias("Lower"), F.round("Upper", 6).alias("Upper"), "Outside"
+            )
+        ),
+        "winsorized": _w(
+            lambda w: clean.winsorise(
+                w["final_customer_dataset"].select("CustomerID", *churn.WINSORISED), churn.WINSORISED
+            ).select("CustomerID", *[F.round(c, 4).alias(c) for c in churn.WINSORISED])
+        ),
+        "median_filled": _w(
+            lambda w: clean.fill_with_median(
+                w["staging_reviews"].select("ReviewID", F.expr("nullif(PositiveFeedback, 0)").alias("Feedback")),
+                ["Feedback"],
+            )
+        ),
+        "correlation_matrix": _w(lambda w: stats.correlations(w["dim_customer"], numbers)),
+        "histogram_recency": _w(lambda w: stats.histogram(w["rfm_table"], "Recency", 50)),
+        "histogram_review_length": _w(lambda w: stats.histogram(w["clean_reviews"], "ReviewLength", 30)),
+        "value_counts_region": _w(lambda w: stats.value_counts(w["final_customer_dataset"], "Region")),
+        "word_frequency": _w(
+            lambda w: stats.word_frequencies(w["clean_reviews"], "ReviewText", w["lexicon"].select("Word"))
+        ),
+        "vector_class_mean": lambda spark, folder: present(
+            stats.vector_class_mean(tables.labelled_vectors(spark, folder))
+        ),
+        "dataset_summary": _w(summary),
+        "event_calendar": calendar,
+        "display_customers": _w(reports.display_customers),
+        "customer_ltv": _w(lambda w: reports.customer_ltv(w, w["segmented_customers"])),
+    }
+
+
+def _segments() -> dict:
+    def kmeans(w: Warehouse) -> DataFrame:
+        rows = segment.as_vectors(segment.standardise(w["rfm_table"].select("CustomerID", *segment.FEATURES)), segment.FEATURES)
+        rows = rows.repartition("CustomerID").sortWithinPartitions("CustomerID")
+        model = segment.best_kmeans(rows, 5, seeds=(42, 43))
+        assigned = segment.assign(w["rfm_table"], model)
+        return segment.label_customers(assigned).select("CustomerID", "Cluster", "RFM_Segment")
+
+    def centres(w: Warehouse) -> DataFrame:
+        raw = w["rfm_table"].select("CustomerID", *segment.FEATURES)
+        assigned = raw.join(_assigned(w).select("CustomerID", "Cluster"), "CustomerID")
+        labels = segment.segment_labels(segment.centres_of(assigned))
+        return labels.select("Cluster", "RFM_Segment", *[F.round(c, 4).alias(c) for c in segment.FEATURES])
+
+    return {
+        "rfm_scaled": _w(
+            lambda w: segment.standardise(w["rfm_table"].select("CustomerID", *segment.FEATURES)).select(
+                "CustomerID", *[F.round(c, 6).alias(c) for c in segment.FEATURES]
+            )
+        ),
+        "segment_labels": _w(centres),
+        "davies_bouldin": _w(lambda w: segment.davies_bouldin(_assigned(w), digits=6)),
+        "churn_by_segment": _w(lambda w: reports.churn_by_segment(w["segmented_customers"])),
+        "segment_profile": _w(lambda w: reports.segment_profile(w["segmented_customers"])),
+        "segment_shares": _w(lambda w: segment.segment_shares(w["segmented_customers"])),
+        "kmeans_sweep": _w(lambda w: segment.k_sweep(w["rfm_table"], range(2, 6), seeds=(42,))),
+        "rfm_segments": _w(kmeans),
+    }
+
+
+def _models() -> dict:
+    weights = {name: weight for name, _, _, weight in CURVES}
+
+    def features(w: Warehouse) -> DataFrame:
+        df = churn.encode_labels(w["churn_features"], "Region")
+        return df.select("CustomerID", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in churn.feature_columns(df)])
+
+    def tuned(w: Warehouse) -> DataFrame:
+        best = evaluate.tune_threshold(w["curve_scores"].filter("split = 'validation'"), by=("Model",))
+        return best.withColumn("Accuracy", F.round("Accuracy", 6))
+
+    def table(w: Warehouse) -> DataFrame:
+        t = evaluate.threshold_table(w["curve_scores"], by=("Model",))
+        return t.select("Model", F.round("Threshold", 3).alias("Threshold"), "TP", "Predicted", "Positives", "Rows")
+
+    def matrix(w: Warehouse) -> DataFrame:
+        return evaluate.confusion_matrix(evaluate.soft_vote(w["curve_scores"], weights))
+
+    def report(w: Warehouse) -> DataFrame:
+        return evaluate.class_report(evaluate.soft_vote(w["curve_scores"], weights))
+
+    def roc(w: Warehouse) -> DataFrame:
+        r = evaluate.roc_curve(w["curve_scores"], by=("Model",))
+        return r.select("Model", *[F.round(c, 6).alias(c) for c in ("Threshold", "FPR", "TPR")])
+
+    def comparison(w: Warehouse) -> DataFrame:
+        c = models.compare(w["curve_scores"]).drop("Training_Time_Seconds")
+        return c.select("Model", *[F.round(x, 6).alias(x) for x in c.columns if x != "Model"])
+
+    def trained(w: Warehouse):
+        key = "_trained"
+        if not hasattr(w, key):
+            data, names = churn.model_table(w["churn_features"])
+            setattr(w, key, (models.churn_comparison(data, names, SIZES), names))
+        return getattr(w, key)
+
+    def searched(w: Warehouse) -> DataFrame:
+        data, names = churn.model_table(w["churn_features"])
+        rows = models.prepare(data, names, SIZES).filter("split = 'train'").persist()
+        estimator = models.estimators(len(names), SIZES)["Random Forest"]
+        _, accuracy = models.random_search(rows, estimator, SIZES.forest_grid, SIZES.search_draws, SIZES.search_folds)
+        rows.unpersist()
+        return w.spark.createDataFrame([("Random Forest", accuracy)], "Model string, CvAccuracy double")
+
+    def importance(w: Warehouse) -> DataFrame:
+        (_, _, fitted), names = trained(w)
+        return models.feature_importance(fitted["Random Forest"][0].model, names, w.spark)
+
+    def vector_report(spark: SparkSession, folder: str) -> DataFrame:
+        data = tables.labelled_vectors(spark, folder)
+        return present(evaluate.class_report(models.vector_classifier(data, 64, 10, (32,), 60)))
+
+    return {
+        "churn_features": _w(features),
+        "churn_split": _w(lambda w: churn.split_summary(churn.with_split(w["rfm_table"].select("CustomerID", F.col("ChurnLabel").alias("label"))))),
+        "class_weights": _w(
+            lambda w: churn.class_weights(w["rfm_table"].select("CustomerID", "ChurnLabel"), "ChurnLabel").select(
+                "CustomerID", "ChurnLabel", F.round("weight", 6).alias("weight")
+            )
+        ),
+        "soft_vote": _w(
+            lambda w: evaluate.soft_vote(w["curve_scores"], weights).withColumn("score", F.round("score", 6))
+        ),
+        "threshold_table": _w(table),
+        "threshold_tuning": _w(tuned),
+        "auc": _w(lambda w: evaluate.auc(w["curve_scores"], by=("Model",)).withColumn("AUC", F.round("AUC", 6))),
+        "confusion_matrix": _w(matrix),
+        "class_report": _w(report),
+        "roc_curve": _w(roc),
+        "model_metrics": _w(comparison),
+        "best_model": _w(lambda w: evaluate.best_model(comparison(w)).select("Model", "F1_Score")),
+        "random_search": _w(searched),
+        "model_comparison": _w(lambda w: trained(w)[0][0]),
+        "feature_importance": _w(importance),
+        "vector_classifier_report": vector_report,
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**_cleaning(), **_customers(), **_reports(), **_baskets(), **_sentiments(), **_recommendations()}
+    return {**_cleaning(), **_customers(), **_reports(), **_baskets(), **_sentiments(), **_recommendations(), **_profiling(), **_segments(), **_models()}

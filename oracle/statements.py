@@ -369,7 +369,7 @@ FROM basket_rules
 """
 
 SQL["strong_rules"] = """
-SELECT Antecedent, Consequent, round(Lift, 6) AS Lift FROM basket_rules WHERE Confidence >= 0.09 AND basket_rules.Lift >= 1.5
+SELECT Antecedent, Consequent, round(Lift, 6) AS Lift FROM basket_rules WHERE Confidence >= 0.08 AND basket_rules.Lift >= 1.2
 """
 
 SQL["itemset_summary"] = """
@@ -544,6 +544,281 @@ SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CNN_Matched_Class, Product, rou
 FROM ranked WHERE rn <= 5
 """
 
+# --- profiling ---------------------------------------------------------------------------------------------
+
+SQL["missing_table"] = """
+SELECT c AS "Column", m AS Missing, round(m::DOUBLE * 100 / n, 6) AS Percent
+FROM (SELECT unnest(['Title', 'ReviewText', 'DepartmentName']) AS c,
+             unnest([count(*) - count(Title), count(*) - count(ReviewText), count(*) - count(DepartmentName)]) AS m,
+             count(*) AS n FROM staging_reviews) WHERE m > 0
+"""
+
+SQL["describe_numeric"] = """
+WITH long AS (SELECT 'Recency' AS c, CAST(Recency AS DOUBLE) AS v FROM rfm_table
+              UNION ALL SELECT 'Frequency', CAST(Frequency AS DOUBLE) FROM rfm_table
+              UNION ALL SELECT 'Monetary', CAST(Monetary AS DOUBLE) FROM rfm_table)
+SELECT c AS "Column", count(v) AS Count, round(avg(v), 6) AS Mean, round(stddev_samp(v), 6) AS Std, min(v) AS Min,
+       round(quantile_cont(v, 0.25), 6) AS P25, round(quantile_cont(v, 0.5), 6) AS P50,
+       round(quantile_cont(v, 0.75), 6) AS P75, max(v) AS Max
+FROM long GROUP BY c
+"""
+
+SQL["describe_lines"] = """
+WITH long AS (SELECT 'Quantity' AS c, CAST(Quantity AS DOUBLE) AS v FROM clean_retail
+              UNION ALL SELECT 'Price', CAST(Price AS DOUBLE) FROM clean_retail)
+SELECT c AS "Column", count(v) AS Count, round(avg(v), 6) AS Mean, round(stddev_samp(v), 6) AS Std, min(v) AS Min,
+       round(quantile_cont(v, 0.25), 6) AS P25, round(quantile_cont(v, 0.5), 6) AS P50,
+       round(quantile_cont(v, 0.75), 6) AS P75, max(v) AS Max
+FROM long GROUP BY c
+"""
+
+SQL["distinct_counts"] = """
+SELECT 'CustomerID' AS "Column", count(DISTINCT CustomerID) AS DistinctValues FROM clean_retail
+UNION ALL SELECT 'StockCode', count(DISTINCT StockCode) FROM clean_retail
+UNION ALL SELECT 'Country', count(DISTINCT Country) FROM clean_retail
+UNION ALL SELECT 'Invoice', count(DISTINCT Invoice) FROM clean_retail
+"""
+
+SQL["iqr_filtered"] = """
+WITH a AS (SELECT quantile_cont(Quantity::DOUBLE, 0.25) AS q1, quantile_cont(Quantity::DOUBLE, 0.75) AS q3 FROM clean_retail),
+     b AS (SELECT c.* FROM clean_retail c, a
+           WHERE Quantity BETWEEN q1 - (q3 - q1) * 1.5::DOUBLE AND q3 + (q3 - q1) * 1.5::DOUBLE),
+     p AS (SELECT quantile_cont(Price::DOUBLE, 0.25) AS q1, quantile_cont(Price::DOUBLE, 0.75) AS q3 FROM b)
+SELECT Invoice, StockCode, CAST(CustomerID AS BIGINT) AS CustomerID, CAST(Quantity AS BIGINT) AS Quantity,
+       CAST(Price AS DOUBLE) AS Price
+FROM b, p WHERE Price::DOUBLE BETWEEN q1 - (q3 - q1) * 1.5::DOUBLE AND q3 + (q3 - q1) * 1.5::DOUBLE
+"""
+
+SQL["winsorized_bounds"] = """
+WITH long AS (SELECT 'Monetary' AS c, CAST(Monetary AS DOUBLE) AS v FROM final_customer_dataset
+              UNION ALL SELECT 'Frequency', CAST(Frequency AS DOUBLE) FROM final_customer_dataset
+              UNION ALL SELECT 'UniqueProducts', CAST(UniqueProducts AS DOUBLE) FROM final_customer_dataset
+              UNION ALL SELECT 'AvgPricePerItem', AvgPricePerItem FROM final_customer_dataset),
+     q AS (SELECT c, quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM long GROUP BY c)
+SELECT c AS "Column", round(lo, 6) AS Lower, round(hi, 6) AS Upper,
+       CAST(sum((v < lo OR v > hi)::INT) AS BIGINT) AS Outside
+FROM long JOIN q USING (c) GROUP BY c, lo, hi
+"""
+
+SQL["winsorized"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(m1, least(m99, mo)), 4) AS Monetary,
+       round(greatest(f1, least(f99, fr)), 4) AS Frequency, round(greatest(u1, least(u99, un)), 4) AS UniqueProducts,
+       round(greatest(p1, least(p99, AvgPricePerItem)), 4) AS AvgPricePerItem
+FROM churn_wide, churn_limits
+"""
+
+SQL["median_filled"] = """
+SELECT ReviewID, coalesce(CAST(nullif(PositiveFeedback, 0) AS DOUBLE),
+         (SELECT median(CAST(nullif(PositiveFeedback, 0) AS DOUBLE)) FROM staging_reviews)) AS Feedback
+FROM staging_reviews
+"""
+
+SQL["correlation_matrix"] = """
+WITH d AS (SELECT Recency::DOUBLE AS Recency, Frequency::DOUBLE AS Frequency, Monetary::DOUBLE AS Monetary,
+                  AvgOrderValue::DOUBLE AS AvgOrderValue, ChurnLabel::DOUBLE AS ChurnLabel FROM dim_customer)
+SELECT 'Frequency' AS ColumnA, 'Recency' AS ColumnB, round(corr(Recency, Frequency), 6) AS R FROM d
+UNION ALL SELECT 'Monetary', 'Recency', round(corr(Recency, Monetary), 6) FROM d
+UNION ALL SELECT 'AvgOrderValue', 'Recency', round(corr(Recency, AvgOrderValue), 6) FROM d
+UNION ALL SELECT 'ChurnLabel', 'Recency', round(corr(Recency, ChurnLabel), 6) FROM d
+UNION ALL SELECT 'Monetary', 'Frequency', round(corr(Frequency, Monetary), 6) FROM d
+UNION ALL SELECT 'AvgOrderValue', 'Frequency', round(corr(Frequency, AvgOrderValue), 6) FROM d
+UNION ALL SELECT 'ChurnLabel', 'Frequency', round(corr(Frequency, ChurnLabel), 6) FROM d
+UNION ALL SELECT 'AvgOrderValue', 'Monetary', round(corr(Monetary, AvgOrderValue), 6) FROM d
+UNION ALL SELECT 'ChurnLabel', 'Monetary', round(corr(Monetary, ChurnLabel), 6) FROM d
+UNION ALL SELECT 'ChurnLabel', 'AvgOrderValue', round(corr(AvgOrderValue, ChurnLabel), 6) FROM d
+"""
+
+SQL["histogram_recency"] = """
+WITH e AS (SELECT min(Recency)::DOUBLE AS lo, (max(Recency)::DOUBLE - min(Recency)::DOUBLE) / 50 AS w FROM rfm_table)
+SELECT CAST(b AS BIGINT) AS Bin, count(Recency) AS Count
+FROM range(50) t(b) LEFT JOIN (SELECT Recency, least(floor((Recency::DOUBLE - lo) / w), 49) AS s FROM rfm_table, e) ON s = b
+GROUP BY b
+"""
+
+SQL["histogram_review_length"] = """
+WITH e AS (SELECT min(ReviewLength)::DOUBLE AS lo, (max(ReviewLength)::DOUBLE - min(ReviewLength)::DOUBLE) / 30 AS w
+           FROM clean_reviews)
+SELECT CAST(b AS BIGINT) AS Bin, count(ReviewLength) AS Count
+FROM range(30) t(b) LEFT JOIN (SELECT ReviewLength, least(floor((ReviewLength::DOUBLE - lo) / w), 29) AS s
+                               FROM clean_reviews, e) ON s = b
+GROUP BY b
+"""
+
+SQL["value_counts_region"] = """
+SELECT Region, count(*) AS Count, round(count(*)::DOUBLE * 100 / (SELECT count(*) FROM final_customer_dataset), 6) AS Percent
+FROM final_customer_dataset GROUP BY Region
+"""
+
+SQL["word_frequency"] = """
+SELECT Word, count(*) AS Count
+FROM (SELECT unnest(regexp_split_to_array(lower(ReviewText), '[^\\p{L}\\p{N}_'']+')) AS Word FROM clean_reviews)
+WHERE Word <> '' AND Word NOT IN (SELECT Word FROM lexicon)
+GROUP BY Word ORDER BY count(*) DESC, Word LIMIT 150
+"""
+
+SQL["vector_class_mean"] = """
+SELECT CAST(label AS BIGINT) AS label, count(DISTINCT vec_id) AS Vectors, round(avg(CAST(v AS DOUBLE)), 6) AS MeanValue
+FROM (SELECT vec_id, label, unnest(embedding) AS v FROM embeddings) GROUP BY label
+"""
+
+SQL["dataset_summary"] = """
+SELECT 'reviews' AS Dataset, count(*) AS Rows, CAST(5 AS BIGINT) AS Columns,
+       round((5 * count(*) - count(Age) - count(Title) - count(ReviewText) - count(Rating) - count(DepartmentName))::DOUBLE
+             * 100 / (count(*) * 5), 6) AS MissingPercent,
+       CAST(sum(length(CAST(Age AS VARCHAR)) + coalesce(length(Title), 0) + coalesce(length(ReviewText), 0)
+                + length(CAST(Rating AS VARCHAR)) + coalesce(length(DepartmentName), 0)) AS BIGINT) AS TextChars
+FROM staging_reviews
+UNION ALL
+SELECT 'retail', count(*), 5, 0.0::DOUBLE,
+       CAST(sum(length(Invoice) + length(StockCode) + length(Description) + length(CAST(Quantity AS VARCHAR))
+                + length(Country)) AS BIGINT)
+FROM staging_retail
+"""
+
+SQL["event_calendar"] = """
+SELECT CAST(year(ts) AS BIGINT) AS Year, CAST(month(ts) AS BIGINT) AS Month, dayname(ts) AS DayOfWeek,
+       CAST(hour(ts) AS BIGINT) AS Hour, CAST(CASE WHEN dayofweek(ts) IN (0, 6) THEN 1 ELSE 0 END AS BIGINT) AS IsWeekend,
+       CAST(quarter(ts) AS BIGINT) AS Quarter, count(*) AS Events
+FROM events GROUP BY 1, 2, 3, 4, 5, 6
+"""
+
+SQL["customer_ltv"] = """
+SELECT CAST(s.CustomerID AS BIGINT) AS CustomerID, RFM_Segment, Country, CAST(ltv AS DOUBLE) AS LifetimeValue, TotalOrders,
+       round(CAST(ltv AS DOUBLE) / lines, 6) AS AvgOrderValue, CAST(Recency AS BIGINT) AS Recency, Frequency,
+       CAST(Monetary AS DOUBLE) AS Monetary
+FROM (SELECT CustomerID, sum(TotalPrice) AS ltv, count(DISTINCT InvoiceNo) AS TotalOrders, count(*) AS lines
+      FROM fact_orders GROUP BY CustomerID) f JOIN segmented s ON f.CustomerID = s.CustomerID
+ORDER BY ltv DESC, s.CustomerID LIMIT 20
+"""
+
+# --- segments ----------------------------------------------------------------------------------------------
+
+SQL["rfm_scaled"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(r, 6) AS Recency, round(f, 6) AS Frequency, round(m, 6) AS Monetary
+FROM rfm_z
+"""
+
+SQL["segment_labels"] = """
+SELECT CAST(Cluster AS BIGINT) AS Cluster, RFM_Segment, round(Recency, 4) AS Recency, round(Frequency, 4) AS Frequency,
+       round(Monetary, 4) AS Monetary
+FROM segment_names
+"""
+
+SQL["davies_bouldin"] = """
+WITH c AS (SELECT Cluster, avg(r) AS r, avg(f) AS f, avg(m) AS m FROM assigned GROUP BY Cluster),
+     s AS (SELECT a.Cluster, c.r, c.f, c.m, avg(sqrt((a.r - c.r) ** 2 + (a.f - c.f) ** 2 + (a.m - c.m) ** 2)) AS s
+           FROM assigned a JOIN c ON a.Cluster = c.Cluster GROUP BY 1, 2, 3, 4)
+SELECT round(avg(w), 6) AS DaviesBouldin
+FROM (SELECT x.Cluster, max((x.s + y.s) / sqrt((x.r - y.r) ** 2 + (x.f - y.f) ** 2 + (x.m - y.m) ** 2)) AS w
+      FROM s x JOIN s y ON x.Cluster <> y.Cluster GROUP BY x.Cluster)
+"""
+
+SQL["churn_by_segment"] = """
+SELECT RFM_Segment, count(*) AS TotalCustomers, CAST(sum(ChurnLabel) AS BIGINT) AS ChurnedCustomers,
+       round(CAST(sum(ChurnLabel) AS DOUBLE) * 100 / count(*), 6) AS ChurnRatePercent
+FROM segmented GROUP BY RFM_Segment
+"""
+
+SQL["segment_profile"] = """
+SELECT RFM_Segment, count(*) AS CustomerCount, round(avg(Recency), 6) AS AvgRecency, round(avg(Frequency), 6) AS AvgFrequency,
+       round(CAST(sum(Monetary) AS DOUBLE) / count(*), 6) AS AvgMonetary, CAST(min(Monetary) AS DOUBLE) AS MinMonetary,
+       CAST(max(Monetary) AS DOUBLE) AS MaxMonetary
+FROM segmented GROUP BY RFM_Segment
+"""
+
+SQL["segment_shares"] = """
+SELECT RFM_Segment, count(*) AS Customers, round(avg(Recency), 6) AS AvgRecency, round(avg(Frequency), 6) AS AvgFrequency,
+       round(avg(CAST(Monetary AS DOUBLE)), 6) AS AvgMonetary,
+       round(count(*)::DOUBLE * 100 / (SELECT count(*) FROM segmented), 6) AS Percent
+FROM segmented GROUP BY RFM_Segment
+"""
+
+# --- churn models ------------------------------------------------------------------------------------------
+
+SQL["churn_features"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(f1, least(f99, fr)), 4) AS Frequency,
+       round(greatest(m1, least(m99, mo)), 4) AS Monetary, round(greatest(u1, least(u99, un)), 4) AS UniqueProducts,
+       round(li, 4) AS CustomerLifespanDays, (dense_rank() OVER (ORDER BY coalesce(Region, 'Unknown')) - 1)::DOUBLE AS Region,
+       round(greatest(p1, least(p99, AvgPricePerItem)), 4) AS AvgPricePerItem,
+       round(CategoryDiversity::DOUBLE, 4) AS CategoryDiversity, round(WeekendRatio, 4) AS WeekendRatio,
+       round(PremiumRatio, 4) AS PremiumRatio, round(LastPurchaseMonth::DOUBLE, 4) AS LastPurchaseMonth,
+       round(SpendingStdDev, 4) AS SpendingStdDev, round(mo / (un + 1), 4) AS MonetaryPerProduct,
+       (mo > m50)::INT::DOUBLE AS HighValue, (fr = 1)::INT::DOUBLE AS IsOneTimeBuyer, (mo < m25)::INT::DOUBLE AS LowSpender,
+       round(fr / (li + 1), 4) AS OrdersPerLifespan, round((li + 1) / (fr + 1), 4) AS AvgDaysBetweenOrders,
+       round(mo / (li + 1), 4) AS MonetaryPerLifespan, round(ln(1 + li), 4) AS LogLifespan, round(ln(1 + mo), 4) AS LogMonetary,
+       round(ln(1 + fr), 4) AS LogFrequency, round(mo / (fr + 1), 4) AS MonetaryFrequencyRatio,
+       round(fr / (un + 1), 4) AS FrequencyPerProduct, round(fr * fr, 4) AS FrequencySquared,
+       (fr > f50 AND mo > m50)::INT::DOUBLE AS HighFrequencyHighValue,
+       round(SpendingStdDev / (mo / (fr + 1) + 1), 4) AS SpendingConsistency
+FROM churn_wide, churn_limits
+"""
+
+SQL["churn_split"] = """
+SELECT split, CAST(ChurnLabel AS BIGINT) AS label, count(*) AS Rows FROM splits GROUP BY 1, 2
+"""
+
+SQL["class_weights"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CAST(r.ChurnLabel AS BIGINT) AS ChurnLabel,
+       round((SELECT count(*)::DOUBLE / count(DISTINCT ChurnLabel) FROM rfm_table) / n, 6) AS weight
+FROM rfm_table r JOIN (SELECT ChurnLabel, count(*) AS n FROM rfm_table GROUP BY 1) s ON r.ChurnLabel = s.ChurnLabel
+"""
+
+SQL["soft_vote"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CAST(label AS BIGINT) AS label, round(score, 6) AS score,
+       (vote.score >= 0.5)::BIGINT AS prediction
+FROM vote
+"""
+
+SQL["threshold_table"] = """
+SELECT Model, round(Threshold, 3) AS Threshold, CAST(sum((score >= Threshold)::INT * label) AS BIGINT) AS TP,
+       CAST(sum((score >= Threshold)::INT) AS BIGINT) AS Predicted, CAST(sum(label) AS BIGINT) AS Positives, count(*) AS Rows
+FROM curve_scores, thresholds GROUP BY Model, thresholds.Threshold
+"""
+
+SQL["threshold_tuning"] = "SELECT Model, Threshold, round(Accuracy, 6) AS Accuracy FROM tuned"
+
+SQL["auc"] = """
+SELECT Model, round((sum(CASE WHEN label = 1 THEN r END) - p * (p + 1) / 2) / (p * (n - p)), 6) AS AUC
+FROM (SELECT Model, label, rank() OVER (PARTITION BY Model ORDER BY score)
+             + (count(*) OVER (PARTITION BY Model, score) - 1) / 2.0::DOUBLE AS r,
+             sum(label) OVER (PARTITION BY Model) AS p, count(*) OVER (PARTITION BY Model) AS n
+      FROM curve_scores) GROUP BY Model, p, n
+"""
+
+SQL["confusion_matrix"] = """
+SELECT CAST(label AS BIGINT) AS Actual, (score >= 0.5)::BIGINT AS Predicted, count(*) AS Rows FROM vote GROUP BY 1, 2
+"""
+
+SQL["class_report"] = """
+WITH v AS (SELECT label, (score >= 0.5)::INT AS guess FROM vote),
+     k AS (SELECT unnest([0, 1]) AS c),
+     t AS (SELECT c, sum((label = c AND guess = c)::INT) AS t, sum((guess = c)::INT) AS p, sum((label = c)::INT) AS s
+           FROM v, k GROUP BY c)
+SELECT CAST(c AS BIGINT) AS Class, round(coalesce(t::DOUBLE / nullif(p, 0), 0), 6) AS Precision,
+       round(coalesce(t::DOUBLE / nullif(s, 0), 0), 6) AS Recall,
+       round(coalesce(t::DOUBLE * 2 / nullif(p + s, 0), 0), 6) AS F1, CAST(s AS BIGINT) AS Support
+FROM t WHERE p + s > 0
+"""
+
+SQL["roc_curve"] = """
+SELECT Model, round(b / 1000.0::DOUBLE, 6) AS Threshold,
+       round(CAST(sum(n - p) OVER w AS DOUBLE) / CAST(sum(n - p) OVER (PARTITION BY Model) AS DOUBLE), 6) AS FPR,
+       round(CAST(sum(p) OVER w AS DOUBLE) / CAST(sum(p) OVER (PARTITION BY Model) AS DOUBLE), 6) AS TPR
+FROM (SELECT Model, least(floor(score * 1000), 999) AS b, sum(label) AS p, count(*) AS n FROM curve_scores GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY Model ORDER BY b DESC ROWS UNBOUNDED PRECEDING)
+"""
+
+SQL["model_metrics"] = """
+SELECT Model, round(Threshold, 6) AS Threshold, round((n - pos - pred + 2 * tp)::DOUBLE / n, 6) AS Accuracy,
+       round(tp::DOUBLE / nullif(pred, 0), 6) AS Precision, round(tp::DOUBLE / nullif(pos, 0), 6) AS Recall,
+       round(2 * tp::DOUBLE / (pred + pos), 6) AS F1_Score, round(auc, 6) AS AUC
+FROM test_metrics
+"""
+
+SQL["best_model"] = """
+SELECT Model, round(2 * tp::DOUBLE / (pred + pos), 6) AS F1_Score FROM test_metrics ORDER BY F1_Score DESC, Model LIMIT 1
+"""
+
 
 def statements() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in SQL.items()}

@@ -304,6 +304,94 @@ SELECT CustomerID, (['Celana_Panjang', 'Celana_Pendek', 'Gaun', 'Jaket', 'Jeans'
 FROM dim_customer
 """
 
+VIEWS["rfm_z"] = """
+SELECT CustomerID, (Recency - rm) / rs AS r, (Frequency - fm) / fs AS f, (CAST(Monetary AS DOUBLE) - mm) / ms AS m,
+       Recency, Frequency, Monetary
+FROM rfm_table, (SELECT avg(Recency) AS rm, stddev_pop(Recency) AS rs, avg(Frequency) AS fm, stddev_pop(Frequency) AS fs,
+                        avg(CAST(Monetary AS DOUBLE)) AS mm, stddev_pop(CAST(Monetary AS DOUBLE)) AS ms FROM rfm_table)
+"""
+
+VIEWS["assigned"] = """
+SELECT CustomerID, arg_min(i, (d, i)) AS Cluster, any_value(r) AS r, any_value(f) AS f, any_value(m) AS m,
+       any_value(Recency) AS Recency, any_value(Frequency) AS Frequency, any_value(CAST(Monetary AS DOUBLE)) AS Monetary
+FROM (SELECT z.*, i, round((r - cr) * (r - cr) + (f - cf) * (f - cf) + (m - cm) * (m - cm), 9) AS d
+      FROM rfm_z z, (VALUES (0, -0.5::DOUBLE, 1.4::DOUBLE, 1.5::DOUBLE), (1, -0.45, 0.4, 0.3), (2, -0.4, -0.7, -0.7),
+                            (3, 2.6, -1.2, -1.1), (4, 0.6, -0.3, -0.2)) AS c(i, cr, cf, cm))
+GROUP BY CustomerID
+"""
+
+VIEWS["segment_centres"] = """
+SELECT Cluster, avg(Recency) AS Recency, avg(Frequency) AS Frequency, avg(Monetary) AS Monetary
+FROM assigned GROUP BY Cluster
+"""
+
+VIEWS["segment_names"] = """
+SELECT Cluster, Recency, Frequency, Monetary,
+       concat(label, CASE WHEN n = 1 THEN '' ELSE concat(' ', CAST(n AS VARCHAR)) END) AS RFM_Segment
+FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY Cluster) AS n
+      FROM (SELECT c.*, CASE WHEN Recency < r AND Frequency > f AND Monetary > m THEN 'Champions'
+                             WHEN Recency < r AND Frequency > f THEN 'Loyal' WHEN Recency < r THEN 'New Customers'
+                             WHEN Recency > r75 THEN 'Lost' ELSE 'At Risk' END AS label
+            FROM segment_centres c, (SELECT median(Recency) AS r, median(Frequency) AS f, median(Monetary) AS m,
+                                            quantile_cont(Recency, 0.75) AS r75 FROM segment_centres)))
+"""
+
+VIEWS["segmented"] = """
+SELECT d.* EXCLUDE (RFM_Segment), n.RFM_Segment FROM dim_customer d JOIN assigned a ON d.CustomerID = a.CustomerID
+       JOIN segment_names n ON a.Cluster = n.Cluster
+"""
+
+VIEWS["churn_wide"] = """
+SELECT c.*, b.* EXCLUDE (CustomerID), CAST(c.Monetary AS DOUBLE) AS mo, c.Frequency::DOUBLE AS fr,
+       c.UniqueProducts::DOUBLE AS un, c.CustomerLifespanDays::DOUBLE AS li
+FROM final_customer_dataset c JOIN behaviour_features b ON c.CustomerID = b.CustomerID
+"""
+
+VIEWS["churn_limits"] = """
+SELECT median(mo) AS m50, quantile_cont(mo, 0.25) AS m25, median(fr) AS f50, quantile_cont(mo, 0.01) AS m1,
+       quantile_cont(mo, 0.99) AS m99, quantile_cont(fr, 0.01) AS f1, quantile_cont(fr, 0.99) AS f99,
+       quantile_cont(un, 0.01) AS u1, quantile_cont(un, 0.99) AS u99, quantile_cont(AvgPricePerItem, 0.01) AS p1,
+       quantile_cont(AvgPricePerItem, 0.99) AS p99 FROM churn_wide
+"""
+
+VIEWS["splits"] = """
+SELECT CustomerID, ChurnLabel, Frequency, CASE WHEN x < 0.68::DOUBLE THEN 'train' WHEN x < 0.68::DOUBLE + 0.12::DOUBLE THEN 'validation'
+       ELSE 'test' END AS split
+FROM (SELECT *, CAST(concat('0x', substr(md5(concat_ws('|', '42', CAST(CustomerID AS VARCHAR))), 1, 8)) AS BIGINT)
+                / 4294967296.0::DOUBLE AS x FROM rfm_table)
+"""
+
+VIEWS["curve_scores"] = """
+SELECT CustomerID, ChurnLabel AS label, split, Model, weight, round(1 / (1 + exp(-(a + Frequency * b))), 3) AS score
+FROM splits, (VALUES ('Gradient Boosting', 1.5::DOUBLE, -0.25::DOUBLE, 2.0::DOUBLE), ('Random Forest', 0.8, -0.1, 1.0),
+                     ('SVM', 2.2, -0.4, 1.5)) AS c(Model, a, b, weight)
+"""
+
+VIEWS["thresholds"] = "SELECT i / 200.0::DOUBLE AS Threshold FROM range(60, 140) t(i)"
+
+VIEWS["vote"] = """
+SELECT CustomerID, label, sum(score * weight) / sum(weight) AS score FROM curve_scores GROUP BY 1, 2
+"""
+
+VIEWS["tuned"] = """
+SELECT Model, Threshold, Accuracy FROM (
+  SELECT *, row_number() OVER (PARTITION BY Model ORDER BY Accuracy DESC, Threshold) AS rn
+  FROM (SELECT Model, Threshold, sum(((score >= Threshold)::INT = label)::INT)::DOUBLE / count(*) AS Accuracy
+        FROM curve_scores, thresholds WHERE split = 'validation' GROUP BY 1, 2)) WHERE rn = 1
+"""
+
+VIEWS["test_metrics"] = """
+SELECT Model, Threshold, tp, pred, pos, n, auc FROM (
+  SELECT s.Model, t.Threshold, sum((score >= t.Threshold)::INT * label) AS tp, sum((score >= t.Threshold)::INT) AS pred,
+         sum(label) AS pos, count(*) AS n
+  FROM curve_scores s JOIN tuned t ON s.Model = t.Model WHERE split = 'test' GROUP BY 1, 2) JOIN (
+  SELECT Model, (sum(CASE WHEN label = 1 THEN r END) - p * (p + 1) / 2) / (p * (n - p)) AS auc
+  FROM (SELECT Model, label, rank() OVER (PARTITION BY Model ORDER BY score)
+               + (count(*) OVER (PARTITION BY Model, score) - 1) / 2.0::DOUBLE AS r,
+               sum(label) OVER (PARTITION BY Model) AS p, count(*) OVER (PARTITION BY Model) AS n
+        FROM curve_scores WHERE split = 'test') GROUP BY Model, p, n) USING (Model)
+"""
+
 
 def with_views(sql: str) -> str:
     """Prefix a statement with the expressions it uses, dependencies first."""
