@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from merchantry import constants as K
 from merchantry.functions import columns as C
 from merchantry.operators.clean import winsorise
-from merchantry.operators.ordered import quantile_row
+from merchantry.operators.ordered import exact_quantiles
 from merchantry.operators.segment import standardise
 
 WINSORISED = ("Monetary", "Frequency", "UniqueProducts", "AvgPricePerItem")
@@ -25,10 +25,9 @@ def enrich(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
 
 def derive(df: DataFrame) -> DataFrame:
     """Fifteen derived columns. The limits are quantiles of the values before any clipping."""
-    row = quantile_row(
+    limit = exact_quantiles(
         df, {"m50": ("Monetary", 0.5), "m25": ("Monetary", 0.25), "f50": ("Frequency", 0.5)}
     )
-    limit = row.select(F.struct(*row.columns).alias("l")).scalar()
     m, f = F.col("Monetary").cast("double"), F.col("Frequency").cast("double")
     u, days = F.col("UniqueProducts").cast("double"), F.col("CustomerLifespanDays").cast("double")
     flag = lambda c: c.cast("int")
@@ -61,10 +60,10 @@ def churn_features(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
 def encode_labels(df: DataFrame, column: str) -> DataFrame:
     """Number the values of a text column in alphabetical order, null as 'Unknown'.
 
-    The distinct values are few by nature (regions); the sorted list is one array per job, not a join."""
+    The distinct values are few by nature (regions); the sorted list becomes a literal."""
     value = F.coalesce(column, F.lit("Unknown"))
-    names = df.select(value.alias("v")).distinct().agg(F.sort_array(F.collect_list("v")).alias("a")).scalar()
-    return df.withColumn(column, (F.array_position(names, value) - 1).cast("int"))
+    names = sorted(r["v"] for r in df.select(value.alias("v")).distinct().collect())
+    return df.withColumn(column, (C.rank_in(value, names) - 1).cast("int"))
 
 
 def feature_columns(df: DataFrame) -> list[str]:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from merchantry import constants as K
 from merchantry.functions import columns as C
-from merchantry.operators.ordered import quantile_row, quantiles
+from merchantry.operators.ordered import exact_quantiles, quantiles
 
 BUSINESS_KEY = ("Invoice", "StockCode", "CustomerID", "Quantity", "Price")
 
@@ -97,17 +97,18 @@ def cancellation_report(staging: DataFrame) -> DataFrame:
 
 def iqr_filter(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     """Keep rows within ``factor`` inter-quartile ranges of the quartiles, bounds included."""
-    q = quantile_row(df, {"q1": (column, 0.25), "q3": (column, 0.75)})
-    spread = (F.col("q3") - F.col("q1")) * factor
-    bounds = q.select(F.struct((F.col("q1") - spread).alias("lo"), (F.col("q3") + spread).alias("hi")).alias("b"))
-    bound = bounds.scalar()
-    return df.filter(F.col(column).cast("double").between(bound["lo"], bound["hi"]))
+    q = exact_quantiles(df, {"q1": (column, 0.25), "q3": (column, 0.75)})
+    if q["q1"] is None:
+        return df
+    spread = (q["q3"] - q["q1"]) * factor
+    return df.filter(F.col(column).cast("double").between(q["q1"] - spread, q["q3"] + spread))
 
 
 def winsorise(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Clip each column to its own quantiles."""
-    row = _bounds(df, columns, low, high).scalar()
-    return df.withColumns({c: C.clip(F.col(c).cast("double"), row[f"{c}_lo"], row[f"{c}_hi"]) for c in columns})
+    wanted = {f"{c}_lo": (c, low) for c in columns} | {f"{c}_hi": (c, high) for c in columns}
+    q = exact_quantiles(df, wanted)
+    return df.withColumns({c: C.clip(F.col(c).cast("double"), q[f"{c}_lo"], q[f"{c}_hi"]) for c in columns})
 
 
 def winsorised_counts(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
@@ -125,16 +126,9 @@ def winsorised_counts(df: DataFrame, columns: Sequence[str], low: float = 0.01,
     )
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], low: float, high: float) -> DataFrame:
-    wanted = {f"{c}_lo": (c, low) for c in columns} | {f"{c}_hi": (c, high) for c in columns}
-    row = quantile_row(df, wanted)
-    return row.select(F.struct(*row.columns).alias("b"))
-
-
 def fill_with_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    row = quantile_row(df, {c: (c, 0.5) for c in columns})
-    medians = row.select(F.struct(*row.columns).alias("m")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), medians[c]) for c in columns})
+    q = exact_quantiles(df, {c: (c, 0.5) for c in columns})
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(q[c])) for c in columns})
 
 
 def normalise_names(df: DataFrame) -> DataFrame:

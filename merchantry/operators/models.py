@@ -47,6 +47,7 @@ class Sizes:
     fourier: int = 200
     search_draws: int = 30
     search_folds: int = 5
+    stack_folds: int = 5
     forest_grid: dict = field(
         default_factory=lambda: {
             "numTrees": [100, 200, 300, 500],
@@ -123,7 +124,13 @@ def random_draws(estimator: Estimator, grid: dict[str, list], draws: int, seed:
 
 
 def random_search(
-    train: DataFrame, estimator: Estimator, grid: dict[str, list], draws: int = 30, folds: int = 5, parallelism: int = 4, seed: int = 42
+    train: DataFrame,
+    estimator: Estimator,
+    grid: dict[str, list],
+    draws: int = 30,
+    folds: int = 5,
+    parallelism: int = 4,
+    seed: int = 42,
 ) -> tuple[Model, float]:
     """Best of ``draws`` parameter maps by cross-validated accuracy; folds are fixed by key hash."""
     maps = random_draws(estimator, grid, draws, seed) or ParamGridBuilder().build()
@@ -238,18 +245,19 @@ def compare(scores: DataFrame, times: dict[str, float] | None = None) -> DataFra
     return table.withColumn("Training_Time_Seconds", seconds)
 
 
-def churn_comparison(table: DataFrame, names: Sequence[str], sizes: Sizes, seed: int = 42, search: bool = False, stacking: bool = True) -> tuple[DataFrame, DataFrame, dict]:
+def churn_comparison(
+    data: DataFrame, width: int, sizes: Sizes, seed: int = 42, search: bool = False, stacking: bool = True
+) -> tuple[DataFrame, DataFrame, dict]:
     """(comparison, scores, fitted) of the base models and both ensembles.
 
-    The prepared rows are persisted while the models iterate over them."""
-    data = prepare(table, names, sizes, seed).persist()
-    scores, fitted = base_scores(data, len(names), sizes, seed, search)
+    ``data`` is the output of ``prepare``. Every model passes over it many times, so store it as a table first."""
+    scores, fitted = base_scores(data, width, sizes, seed, search)
     vote = evaluate.soft_vote(scores, K.VOTING_WEIGHTS, ("CustomerID", "split")).select(
         "CustomerID", "label", "split", F.lit("Voting Ensemble").alias("Model"), "score"
     )
     parts = [scores, vote]
     if stacking:
-        parts.append(stack(data, fitted))
+        parts.append(stack(data, fitted, sizes.stack_folds))
     every = reduce(DataFrame.unionByName, parts)
     return compare(every, {n: f[1] for n, f in fitted.items()}), every, fitted
 

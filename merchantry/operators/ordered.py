@@ -13,55 +13,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 256
+# A range should hold about this many values; there are never more than MAX_RANGES of them.
+RANGE_ROWS = 50_000
+MAX_RANGES = 1024
 
 
-def _with_range(df: DataFrame, value: str, by: Sequence[str], ranges: int) -> DataFrame:
-    """Add ``_range``. The cut points are collected once (``ranges`` numbers per key) and become literals,
-    so a recomputed task sees the very same ranges."""
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = F.percentile_approx(F.col(value).cast("double"), probs, ranges * 8).alias("_cuts")
-    found = df.groupBy(*by).agg(cuts).collect()
-    x = F.col(value).cast("double")
-    if not by:
-        edges = sorted(set(found[0]["_cuts"] or [])) if found else []
-        array = F.array(*[F.lit(float(e)) for e in edges]) if edges else F.array().cast("array<double>")
-        return df.withColumn("_range", F.size(F.filter(array, lambda e: e < x)))
-    rows = [tuple(r[b] for b in by) + (sorted(set(r["_cuts"] or [])),) for r in found]
-    fields = ", ".join(f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by)
-    edges = df.sparkSession.createDataFrame(rows, f"{fields}, _cuts array<double>")
+def _survey(df: DataFrame, value: str, totals: Sequence[str], by: Sequence[str]) -> list:
+    """Per key: number of rows, totals and approximate cut points. A few rows of numbers reach the driver, and
+    because they become literals a recomputed task sees the very same ranges."""
+    probs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
     return (
-        df.join(F.broadcast(edges), list(by))
-        .withColumn("_range", F.size(F.filter("_cuts", lambda e: e < x)))
-        .drop("_cuts")
+        df.groupBy(*by)
+        .agg(
+            F.count("*").alias("_rows"),
+            *[F.sum(t).alias(f"_sum_{t}") for t in totals],
+            F.percentile_approx(F.col(value).cast("double"), probs, MAX_RANGES * 4).alias("_cuts"),
+        )
+        .collect()
     )
 
 
+def _literal_rows(df: DataFrame, by: Sequence[str], rows: list, name: str, kind: str) -> DataFrame:
+    fields = "".join(f"`{b}` {df.schema[b].dataType.simpleString()}, " for b in by)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, f"{fields}`{name}` {kind}"))
+
+
+def _with_range(df: DataFrame, value: str, by: Sequence[str], survey: list, range_rows: int) -> DataFrame:
+    """Add ``_range``; each key gets as many ranges as its number of values calls for."""
+    rows = []
+    for r in survey:
+        wanted = min(MAX_RANGES, -(-r["_rows"] // range_rows))
+        cuts = [r["_cuts"][i * MAX_RANGES // wanted - 1] for i in range(1, wanted)] if wanted > 1 else []
+        rows.append(tuple(r[b] for b in by) + (sorted(set(cuts)),))
+    x = F.col(value).cast("double")
+    if by:
+        cut = df.join(_literal_rows(df, by, rows, "_cuts", "array<double>"), list(by))
+    else:
+        cut = df.withColumn("_cuts", F.array(*[F.lit(c) for c in rows[0][0]]).cast("array<double>"))
+    return cut.withColumn("_range", F.size(F.filter("_cuts", lambda e: e < x))).drop("_cuts")
+
+
 def running_totals(
     df: DataFrame,
     value: str,
     totals: Sequence[str],
     by: Sequence[str] = (),
-    descending: bool = False,
-    ranges: int = RANGES,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """Add ``before_<t>``: the sum of ``t`` over all rows that come earlier in the order of ``value``.
+    """Add ``before_<t>``, the sum of ``t`` over all smaller values, and ``all_<t>``, its sum per key.
 
     ``df`` has one row per (by, value), so group it first. ``by`` must have few distinct, non-null keys.
     """
     by = list(by)
-    cut = _with_range(df, value, by, ranges)
-    sign = (lambda c: F.desc(c)) if descending else (lambda c: F.asc(c))
-    per_range = cut.groupBy(*by, "_range").agg(*[F.sum(t).alias(t) for t in totals])
-    earlier = W.partitionBy(*by).orderBy(sign("_range")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_range.select(
-        *by, "_range", *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"_off_{t}") for t in totals]
-    )
-    inside = W.partitionBy(*by, "_range").orderBy(sign(value)).rowsBetween(W.unboundedPreceding, -1)
-    # at most ``ranges`` rows per key are broadcast
-    out = cut.join(F.broadcast(offsets), [*by, "_range"])
+    survey = _survey(df, value, totals, by)
+    split = any(r["_rows"] > range_rows for r in survey)
+    part = [*by, "_range"] if split else by
+    inside = W.partitionBy(*part).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    out = _with_range(df, value, by, survey, range_rows) if split else df
+    if split:
+        per_range = out.groupBy(*part).agg(*[F.sum(t).alias(t) for t in totals])
+        earlier = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+        offsets = per_range.select(
+            *part, *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"_off_{t}") for t in totals]
+        )
+        # at most MAX_RANGES rows per key are broadcast
+        out = out.join(F.broadcast(offsets), part)
+    for t in totals:
+        offset = F.col(f"_off_{t}") if split else F.lit(0)
+        out = out.withColumn(f"before_{t}", offset + F.coalesce(F.sum(t).over(inside), F.lit(0)))
     for t in totals:
-        out = out.withColumn(f"before_{t}", F.col(f"_off_{t}") + F.coalesce(F.sum(t).over(inside), F.lit(0)))
+        if by:
+            rows = [tuple(r[b] for b in by) + (int(r[f"_sum_{t}"]),) for r in survey]
+            out = out.join(_literal_rows(df, by, rows, f"all_{t}", "long"), by)
+        else:
+            out = out.withColumn(f"all_{t}", F.lit(survey[0][f"_sum_{t}"]))
     return out.drop("_range", *[f"_off_{t}" for t in totals])
 
 
@@ -70,7 +95,7 @@ def quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    ranges: int = RANGES,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: rows (by, column, q0, q1, ...), nulls left out.
 
@@ -85,40 +110,35 @@ def quantiles(
         .agg(F.count("*").alias("n"))
     )
     keys = [*by, "column"]
-    ranked = running_totals(counts, "value", ["n"], keys, ranges=ranges)
-    size = counts.groupBy(*keys).agg(F.sum("n").alias("_size"))
-    ranked = ranked.join(F.broadcast(size), keys)
+    ranked = running_totals(counts, "value", ["n"], keys, range_rows)
 
-    def pick(p: float, up: bool) -> Column:
-        place = (F.col("_size") - 1) * F.lit(float(p))
-        rank = F.ceil(place) if up else F.floor(place)
+    def place(p: float) -> Column:
+        return (F.col("all_n") - 1) * F.lit(float(p))
+
+    def pick(rank: Column) -> Column:
         hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
         return F.max(F.when(hit, F.col("value")))
 
-    picked = ranked.groupBy(*keys).agg(
-        F.max("_size").alias("_size"),
-        *[pick(p, False).alias(f"_lo{i}") for i, p in enumerate(probs)],
-        *[pick(p, True).alias(f"_hi{i}") for i, p in enumerate(probs)],
+    picked = ranked.groupBy(*keys, "all_n").agg(
+        *[pick(F.floor(place(p))).alias(f"_lo{i}") for i, p in enumerate(probs)],
+        *[pick(F.ceil(place(p))).alias(f"_hi{i}") for i, p in enumerate(probs)],
     )
     out = []
     for i, p in enumerate(probs):
-        place = (F.col("_size") - 1) * F.lit(float(p))
-        weight = place - F.floor(place)
+        weight = place(p) - F.floor(place(p))
         out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * weight).alias(f"q{i}"))
     return picked.select(*keys, *out)
 
 
-def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]], ranges: int = RANGES) -> DataFrame:
-    """One row with one named quantile per entry of ``wanted`` = {name: (column, probability)}."""
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], range_rows: int = RANGE_ROWS) -> dict:
+    """{name: value} for ``wanted`` = {name: (column, probability)}, like ``DataFrame.approxQuantile`` but exact.
+    The figures become literals in later plans. A column without values gives ``None``."""
     columns = sorted({c for c, _ in wanted.values()})
     probs = sorted({p for _, p in wanted.values()})
-    table = quantiles(df, columns, probs, ranges=ranges)
-    return table.agg(
-        *[
-            F.max(F.when(F.col("column") == c, F.col(f"q{probs.index(p)}"))).alias(name)
-            for name, (c, p) in wanted.items()
-        ]
-    )
+    found = {r["column"]: r for r in quantiles(df, columns, probs, range_rows=range_rows).collect()}
+    return {
+        name: found[c][f"q{probs.index(p)}"] if c in found else None for name, (c, p) in wanted.items()
+    }
 
 
 def dense_key(df: DataFrame, natural: str, name: str, digits: int = 3) -> DataFrame:

@@ -25,13 +25,13 @@ def scaling(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
 
 
 def standardise(df: DataFrame, columns: Sequence[str] = FEATURES, fit_on: DataFrame | None = None) -> DataFrame:
-    """Replace columns by z-scores with the statistics of ``fit_on`` (default: the data itself)."""
-    stats = scaling(df if fit_on is None else fit_on, columns)
-    row = stats.select(F.struct(*stats.columns).alias("s")).scalar()
+    """Replace columns by z-scores with the statistics of ``fit_on`` (default: the data itself).
+    Two figures per column are fetched and become literals; a constant column is only centred."""
+    row = scaling(df if fit_on is None else fit_on, columns).first()
 
     def z(c: str) -> Column:
-        x = F.col(c).cast("double") - row[f"{c}_mean"]
-        return F.when(row[f"{c}_std"] == 0, x).otherwise(x / row[f"{c}_std"])
+        x = F.col(c).cast("double") - F.lit(row[f"{c}_mean"])
+        return x / F.lit(row[f"{c}_std"]) if row[f"{c}_std"] else x
 
     return df.withColumns({c: z(c) for c in columns})
 

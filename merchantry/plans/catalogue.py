@@ -56,6 +56,7 @@ CENTRES = [(-0.5, 1.4, 1.5), (-0.45, 0.4, 0.3), (-0.4, -0.7, -0.7), (2.6, -1.2,
 SIZES = models.Sizes(
     forest_trees=20, forest_depth=6, boost_trees=10, boost_depth=4, gradient_trees=10, gradient_rate=0.1,
     hidden=(16, 8), network_iter=40, linear_iter=50, fourier=50, search_draws=3, search_folds=3,
+    stack_folds=2,
     forest_grid={"numTrees": [10, 20], "maxDepth": [4, 6], "minInstancesPerNode": [1, 3]},
     boost_grid={"maxIter": [5, 10], "maxDepth": [3, 4], "stepSize": [0.05, 0.1]},
 )
@@ -111,9 +112,15 @@ def _add_mining_layers(w: Warehouse) -> None:
     w.register("neighbours", lambda: recommend.neighbours(w["purchase_weights"]))
     w.register("segmented_customers", lambda: _segmented(w))
     w.register("churn_features", lambda: churn.churn_features(w["final_customer_dataset"], w["behaviour_features"]))
+    w.register("churn_training", lambda: _churn_training(w))
     w.register("curve_scores", lambda: _curve_scores(w))
 
 
+def _churn_training(w: Warehouse) -> DataFrame:
+    data, names = churn.model_table(w["churn_features"])
+    return models.prepare(data, names, SIZES)
+
+
 def _assigned(w: Warehouse) -> DataFrame:
     """Customers with the nearest of the given centres."""
     scaled = segment.standardise(w["rfm_table"].select("CustomerID", *segment.FEATURES))
@@ -469,7 +476,7 @@ def _segments() -> dict:
         raw = w["rfm_table"].select("CustomerID", *segment.FEATURES)
         assigned = raw.join(_assigned(w).select("CustomerID", "Cluster"), "CustomerID")
         labels = segment.segment_labels(segment.centres_of(assigned))
-        return labels.select("Cluster", "RFM_Segment", *[F.round(c, 4).alias(c) for c in segment.FEATURES])
+        return labels.select("Cluster", "RFM_Segment", *[F.round(c, 2).alias(c) for c in segment.FEATURES])
 
     return {
         "rfm_scaled": _w(
@@ -492,7 +499,12 @@ def _models() -> dict:
 
     def features(w: Warehouse) -> DataFrame:
         df = churn.encode_labels(w["churn_features"], "Region")
-        return df.select("CustomerID", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in churn.feature_columns(df)])
+        digits = {"SpendingStdDev": 4, "SpendingConsistency": 6, "LogLifespan": 6, "LogMonetary": 6, "LogFrequency": 6}
+        digits |= {c: 4 for c in churn.WINSORISED}
+        names = churn.feature_columns(df)
+        return df.select(
+            "CustomerID", *[C.rounded(F.col(c).cast("double"), digits.get(c)).alias(c) for c in names]
+        )
 
     def tuned(w: Warehouse) -> DataFrame:
         best = evaluate.tune_threshold(w["curve_scores"].filter("split = 'validation'"), by=("Model",))
@@ -517,18 +529,16 @@ def _models() -> dict:
         return c.select("Model", *[F.round(x, 6).alias(x) for x in c.columns if x != "Model"])
 
     def trained(w: Warehouse):
-        key = "_trained"
-        if not hasattr(w, key):
-            data, names = churn.model_table(w["churn_features"])
-            setattr(w, key, (models.churn_comparison(data, names, SIZES), names))
-        return getattr(w, key)
+        if not hasattr(w, "_trained"):
+            names = churn.model_table(w["churn_features"])[1]
+            w._trained = (models.churn_comparison(w["churn_training"], len(names), SIZES), names)
+        return w._trained
 
     def searched(w: Warehouse) -> DataFrame:
-        data, names = churn.model_table(w["churn_features"])
-        rows = models.prepare(data, names, SIZES).filter("split = 'train'").persist()
+        names = churn.model_table(w["churn_features"])[1]
+        rows = w["churn_training"].filter("split = 'train'")
         estimator = models.estimators(len(names), SIZES)["Random Forest"]
         _, accuracy = models.random_search(rows, estimator, SIZES.forest_grid, SIZES.search_draws, SIZES.search_folds)
-        rows.unpersist()
         return w.spark.createDataFrame([("Random Forest", accuracy)], "Model string, CvAccuracy double")
 
     def importance(w: Warehouse) -> DataFrame:

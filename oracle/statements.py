@@ -699,8 +699,8 @@ FROM rfm_z
 """
 
 SQL["segment_labels"] = """
-SELECT CAST(Cluster AS BIGINT) AS Cluster, RFM_Segment, round(Recency, 4) AS Recency, round(Frequency, 4) AS Frequency,
-       round(Monetary, 4) AS Monetary
+SELECT CAST(Cluster AS BIGINT) AS Cluster, RFM_Segment, round(Recency, 2) AS Recency, round(Frequency, 2) AS Frequency,
+       round(Monetary, 2) AS Monetary
 FROM segment_names
 """
 
@@ -738,18 +738,18 @@ FROM segmented GROUP BY RFM_Segment
 SQL["churn_features"] = """
 SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(f1, least(f99, fr)), 4) AS Frequency,
        round(greatest(m1, least(m99, mo)), 4) AS Monetary, round(greatest(u1, least(u99, un)), 4) AS UniqueProducts,
-       round(li, 4) AS CustomerLifespanDays, (dense_rank() OVER (ORDER BY coalesce(Region, 'Unknown')) - 1)::DOUBLE AS Region,
+       li AS CustomerLifespanDays, (dense_rank() OVER (ORDER BY coalesce(Region, 'Unknown')) - 1)::DOUBLE AS Region,
        round(greatest(p1, least(p99, AvgPricePerItem)), 4) AS AvgPricePerItem,
-       round(CategoryDiversity::DOUBLE, 4) AS CategoryDiversity, round(WeekendRatio, 4) AS WeekendRatio,
-       round(PremiumRatio, 4) AS PremiumRatio, round(LastPurchaseMonth::DOUBLE, 4) AS LastPurchaseMonth,
-       round(SpendingStdDev, 4) AS SpendingStdDev, round(mo / (un + 1), 4) AS MonetaryPerProduct,
+       CategoryDiversity::DOUBLE AS CategoryDiversity, WeekendRatio AS WeekendRatio,
+       PremiumRatio AS PremiumRatio, LastPurchaseMonth::DOUBLE AS LastPurchaseMonth,
+       round(SpendingStdDev, 4) AS SpendingStdDev, mo / (un + 1) AS MonetaryPerProduct,
        (mo > m50)::INT::DOUBLE AS HighValue, (fr = 1)::INT::DOUBLE AS IsOneTimeBuyer, (mo < m25)::INT::DOUBLE AS LowSpender,
-       round(fr / (li + 1), 4) AS OrdersPerLifespan, round((li + 1) / (fr + 1), 4) AS AvgDaysBetweenOrders,
-       round(mo / (li + 1), 4) AS MonetaryPerLifespan, round(ln(1 + li), 4) AS LogLifespan, round(ln(1 + mo), 4) AS LogMonetary,
-       round(ln(1 + fr), 4) AS LogFrequency, round(mo / (fr + 1), 4) AS MonetaryFrequencyRatio,
-       round(fr / (un + 1), 4) AS FrequencyPerProduct, round(fr * fr, 4) AS FrequencySquared,
+       fr / (li + 1) AS OrdersPerLifespan, (li + 1) / (fr + 1) AS AvgDaysBetweenOrders,
+       mo / (li + 1) AS MonetaryPerLifespan, round(ln(1 + li), 6) AS LogLifespan, round(ln(1 + mo), 6) AS LogMonetary,
+       round(ln(1 + fr), 6) AS LogFrequency, mo / (fr + 1) AS MonetaryFrequencyRatio,
+       fr / (un + 1) AS FrequencyPerProduct, fr * fr AS FrequencySquared,
        (fr > f50 AND mo > m50)::INT::DOUBLE AS HighFrequencyHighValue,
-       round(SpendingStdDev / (mo / (fr + 1) + 1), 4) AS SpendingConsistency
+       round(SpendingStdDev / (mo / (fr + 1) + 1), 6) AS SpendingConsistency
 FROM churn_wide, churn_limits
 """
 
