@@ -147,44 +147,43 @@ def _pair_counts(per_invoice: DataFrame) -> DataFrame:
     )
 
 
-def top_pairs(
-    lines: DataFrame, item: str, min_count: int = 5, top: int = 20, seeds: int = 40
-) -> DataFrame:
+def invoice_items(lines: DataFrame, item: str) -> DataFrame:
+    """(InvoiceNo, Item, n, m): line count of each item and the largest one in the invoice, for invoices with two
+    or more items. ``top_pairs`` passes over it several times, so store it as a table first."""
+    counts = (
+        lines.select("InvoiceNo", F.col(item).alias("Item")).groupBy("InvoiceNo", "Item").agg(F.count("*").alias("n"))
+    )
+    widest = counts.groupBy("InvoiceNo").agg(F.max("n").alias("m"), F.count("*").alias("_d")).filter("_d > 1")
+    return counts.join(widest.drop("_d"), "InvoiceNo")
+
+
+def top_pairs(invoices: DataFrame, min_count: int = 5, top: int = 20, seeds: int = 40) -> DataFrame:
     """The ``top`` item pairs by number of line pairs in the same invoice, above ``min_count``.
 
     Pairing whole invoices would explode on a huge one, so items are pruned first, without changing the result:
-    an item's pairs can count no more than ``bound = sum over invoices of n(item) * max n of the invoice``.
-    The pairs among the ``seeds`` items of largest bound are counted first. Their ``top``-th count is a floor
-    for the answer, and any item whose bound lies below that floor cannot be in it. A huge invoice keeps only
-    items that are frequent across many invoices.
+    an item's pairs can count no more than ``bound``, the sum of n x m over its invoices. The pairs among the
+    ``seeds`` items of largest bound are counted first. Their ``top``-th count is a floor for the answer, and an
+    item whose bound lies below it cannot be in the answer. A huge invoice keeps only items that are frequent
+    across many invoices.
     """
-    per_invoice = (
-        lines.select("InvoiceNo", F.col(item).alias("Item")).groupBy("InvoiceNo", "Item").agg(F.count("*").alias("n"))
-    )
-    widest = per_invoice.groupBy("InvoiceNo").agg(F.max("n").alias("m"), F.count("*").alias("d")).filter("d > 1")
-    multi = per_invoice.join(widest.select("InvoiceNo", "m"), "InvoiceNo")
-    bounds = multi.groupBy("Item").agg(F.sum(F.col("n") * F.col("m")).alias("bound"))
+    bounds = invoices.groupBy("Item").agg(F.sum(F.col("n") * F.col("m")).alias("bound"))
     seed = bounds.orderBy(F.desc("bound"), "Item").limit(seeds).select("Item")
-    # at most ``seeds`` rows are broadcast, and an invoice can hold no more than ``seeds`` items here
-    first = _pair_counts(multi.join(F.broadcast(seed), "Item", "left_semi").select("InvoiceNo", "Item", "n"))
-    floor = (
-        first.orderBy(F.desc("CoOccurrence")).limit(top)
-        .agg(F.when(F.count("*") >= top, F.min("CoOccurrence")).alias("f"))
-        .scalar()
-    )
-    least = F.greatest(F.coalesce(floor, F.lit(0)), F.lit(min_count + 1))
-    kept = bounds.filter(F.col("bound") >= least).select("Item")
-    pairs = _pair_counts(multi.join(kept, "Item", "left_semi").select("InvoiceNo", "Item", "n"))
+    # at most ``seeds`` rows are broadcast, and an invoice holds at most ``seeds`` items here
+    first = _pair_counts(invoices.join(F.broadcast(seed), "Item", "left_semi"))
+    counts = [r["CoOccurrence"] for r in first.orderBy(F.desc("CoOccurrence")).limit(top).collect()]
+    floor = max(counts[-1] if len(counts) == top else 0, min_count + 1)
+    kept = bounds.filter(F.col("bound") >= floor).select("Item")
     return (
-        pairs.filter(F.col("CoOccurrence") > min_count)
+        _pair_counts(invoices.join(kept, "Item", "left_semi"))
+        .filter(F.col("CoOccurrence") > min_count)
         .orderBy(F.desc("CoOccurrence"), "ItemA", "ItemB")
         .limit(top)
     )
 
 
-def product_pairs(orders: DataFrame, products: DataFrame, min_count: int = 5, top: int = 20) -> DataFrame:
+def product_pairs(invoices: DataFrame, products: DataFrame, min_count: int = 5, top: int = 20) -> DataFrame:
     """Pairs by product with both names; only the resulting rows meet the product table."""
-    pairs = top_pairs(orders, "ProductID", min_count, top)
+    pairs = top_pairs(invoices, min_count, top)
     names = products.select("ProductID", "ProductName")
     a = names.select(F.col("ProductID").alias("Product_A"), F.col("ProductName").alias("ProductName_A"))
     b = names.select(F.col("ProductID").alias("Product_B"), F.col("ProductName").alias("ProductName_B"))

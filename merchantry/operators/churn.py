@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from merchantry import constants as K
 from merchantry.functions import columns as C
-from merchantry.operators.clean import winsorise
+from merchantry.operators.clean import clip_limits, winsorise
 from merchantry.operators.ordered import exact_quantiles
 from merchantry.operators.segment import standardise
 
@@ -23,11 +23,12 @@ def enrich(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
     return customers.join(behaviour, "CustomerID", "left").fillna(0, subset=extra).dropna(subset=["ChurnLabel"])
 
 
-def derive(df: DataFrame) -> DataFrame:
+DERIVE_LIMITS = {"m50": ("Monetary", 0.5), "m25": ("Monetary", 0.25), "f50": ("Frequency", 0.5)}
+
+
+def derive(df: DataFrame, limits: dict | None = None) -> DataFrame:
     """Fifteen derived columns. The limits are quantiles of the values before any clipping."""
-    limit = exact_quantiles(
-        df, {"m50": ("Monetary", 0.5), "m25": ("Monetary", 0.25), "f50": ("Frequency", 0.5)}
-    )
+    limit = exact_quantiles(df, DERIVE_LIMITS) if limits is None else limits
     m, f = F.col("Monetary").cast("double"), F.col("Frequency").cast("double")
     u, days = F.col("UniqueProducts").cast("double"), F.col("CustomerLifespanDays").cast("double")
     flag = lambda c: c.cast("int")
@@ -53,8 +54,10 @@ def derive(df: DataFrame) -> DataFrame:
 
 
 def churn_features(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
-    """Enriched, derived, then clipped to the 1st and 99th percentile."""
-    return winsorise(derive(enrich(customers, behaviour)), WINSORISED)
+    """Enriched, derived, then clipped to the 1st and 99th percentile. All quantiles come from one call."""
+    rows = enrich(customers, behaviour)
+    limits = exact_quantiles(customers.dropna(subset=["ChurnLabel"]), DERIVE_LIMITS | clip_limits(WINSORISED))
+    return winsorise(derive(rows, limits), WINSORISED, limits=limits)
 
 
 def encode_labels(df: DataFrame, column: str) -> DataFrame:

@@ -104,10 +104,16 @@ def iqr_filter(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     return df.filter(F.col(column).cast("double").between(q["q1"] - spread, q["q3"] + spread))
 
 
-def winsorise(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Clip each column to its own quantiles."""
-    wanted = {f"{c}_lo": (c, low) for c in columns} | {f"{c}_hi": (c, high) for c in columns}
-    q = exact_quantiles(df, wanted)
+def clip_limits(columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> dict[str, tuple[str, float]]:
+    """The quantiles that ``winsorise`` needs, by name."""
+    return {f"{c}_lo": (c, low) for c in columns} | {f"{c}_hi": (c, high) for c in columns}
+
+
+def winsorise(
+    df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99, limits: dict | None = None
+) -> DataFrame:
+    """Clip each column to its own quantiles; ``limits`` may bring the figures of ``clip_limits``."""
+    q = exact_quantiles(df, clip_limits(columns, low, high)) if limits is None else limits
     return df.withColumns({c: C.clip(F.col(c).cast("double"), q[f"{c}_lo"], q[f"{c}_hi"]) for c in columns})
 
 

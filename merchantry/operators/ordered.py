@@ -1,18 +1,22 @@
 """Global order without a one-task sort: running totals, exact quantiles and dense keys.
 
-The values are cut into ranges at approximate quantiles. The totals of the ranges (a few hundred rows) give
-each range its starting offset, and inside a range an ordinary partitioned window finishes the job. Any cut
-points give exact results; good ones only balance the work.
+Running totals cut the values into ranges at approximate quantiles: the totals of the ranges (at most a thousand
+rows) give each range its starting offset, and a window inside the range does the rest. Quantiles narrow the
+interval around the wanted rank. Any cut points give exact results; good ones only balance the work.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from merchantry.functions.frames import literal_rows
+
 # A range should hold about this many values; there are never more than MAX_RANGES of them.
 RANGE_ROWS = 50_000
 MAX_RANGES = 1024
@@ -34,8 +38,8 @@ def _survey(df: DataFrame, value: str, totals: Sequence[str], by: Sequence[str])
 
 
 def _literal_rows(df: DataFrame, by: Sequence[str], rows: list, name: str, kind: str) -> DataFrame:
-    fields = "".join(f"`{b}` {df.schema[b].dataType.simpleString()}, " for b in by)
-    return F.broadcast(df.sparkSession.createDataFrame(rows, f"{fields}`{name}` {kind}"))
+    fields = [(b, df.schema[b].dataType.simpleString()) for b in by] + [(name, kind)]
+    return F.broadcast(literal_rows(df.sparkSession, fields, rows))
 
 
 def _with_range(df: DataFrame, value: str, by: Sequence[str], survey: list, range_rows: int) -> DataFrame:
@@ -82,63 +86,153 @@ def running_totals(
         offset = F.col(f"_off_{t}") if split else F.lit(0)
         out = out.withColumn(f"before_{t}", offset + F.coalesce(F.sum(t).over(inside), F.lit(0)))
     for t in totals:
-        if by:
+        if by and survey:
             rows = [tuple(r[b] for b in by) + (int(r[f"_sum_{t}"]),) for r in survey]
             out = out.join(_literal_rows(df, by, rows, f"all_{t}", "long"), by)
         else:
-            out = out.withColumn(f"all_{t}", F.lit(survey[0][f"_sum_{t}"]))
+            out = out.withColumn(f"all_{t}", F.lit(survey[0][f"_sum_{t}"] if survey else None).cast("long"))
     return out.drop("_range", *[f"_off_{t}" for t in totals])
 
 
+@dataclass
+class _Place:
+    """One wanted rank and the open value interval (lo, hi) that is known to hold it."""
+
+    key: tuple
+    column: str
+    rank: int
+    rows: int
+    lo: float | None = None
+    hi: float | None = None
+    below: int = 0
+    value: float | None = None
+
+    def inside(self, by: Sequence[str]) -> Column:
+        x = F.col(self.column).cast("double")
+        cond = x.isNotNull()
+        for name, v in zip(by, self.key, strict=True):
+            cond &= F.col(name) == F.lit(v)
+        if self.lo is not None:
+            cond &= x > self.lo
+        if self.hi is not None:
+            cond &= x < self.hi
+        return F.when(cond, x)
+
+    def narrow(self, cuts: tuple[float, float], before: Sequence[int]) -> None:
+        """``before``: rows of the interval < c1, <= c1, < c2, <= c2."""
+        want = self.rank - self.below
+        (c1, c2), (lt1, le1, lt2, le2) = cuts, before
+        if want < lt1:
+            self.hi, self.rows = c1, lt1
+        elif want < le1:
+            self.value = c1
+        elif want < lt2:
+            self.lo, self.hi, self.below, self.rows = c1, c2, self.below + le1, lt2 - le1
+        elif want < le2:
+            self.value = c2
+        else:
+            self.lo, self.below, self.rows = c2, self.below + le2, self.rows - le2
+
+
+SELECT_ROWS = 200_000
+MARGIN = 1 / 500
+
+
+def _select(df: DataFrame, by: Sequence[str], places: list[_Place], select_rows: int) -> None:
+    """Find the value at every wanted rank by narrowing.
+
+    Each round scans the data twice and shuffles only sketches and counts: approximate quantiles just below and
+    above the rank, then exact counts around them. The interval that holds the rank shrinks some 200-fold per
+    round, and a value that fills a large part of the data is recognised by its counts. When at most
+    ``select_rows`` rows are left, they are sorted.
+    """
+    while todo := [p for p in places if p.value is None and p.rows > select_rows]:
+        sketches = []
+        for p in todo:
+            at = (p.rank - p.below) / (p.rows - 1)
+            sketches.append(F.percentile_approx(p.inside(by), [max(at - MARGIN, 0.0), min(at + MARGIN, 1.0)], 5000))
+        found = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(sketches)]).first()
+        counts = []
+        for i, p in enumerate(todo):
+            x = p.inside(by)
+            for j, c in enumerate(found[f"c{i}"]):
+                counts.append(F.count(F.when(x < c, 1)).alias(f"lt{i}_{j}"))
+                counts.append(F.count(F.when(x <= c, 1)).alias(f"le{i}_{j}"))
+        row = df.agg(*counts).first()
+        for i, p in enumerate(todo):
+            before = [row[f"{op}{i}_{j}"] for j in (0, 1) for op in ("lt", "le")]
+            p.narrow(tuple(found[f"c{i}"]), before)
+    groups: dict[tuple, list[_Place]] = {}
+    for p in places:
+        if p.value is None:
+            groups.setdefault((p.key, p.column, p.lo, p.hi), []).append(p)
+    if groups:
+        picks = []
+        for i, members in enumerate(groups.values()):
+            ordered = F.sort_array(F.collect_list(members[0].inside(by)))
+            picks.append(F.transform(F.array(*[F.lit(p.rank - p.below) for p in members]), _at(ordered)).alias(f"v{i}"))
+        row = df.agg(*picks).first()
+        for i, members in enumerate(groups.values()):
+            for p, v in zip(members, row[f"v{i}"], strict=True):
+                p.value = v
+
+
+def _at(values: Column):
+    return lambda i: F.get(values, i)
+
+
+def _quantile_values(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str], select_rows: int
+) -> list[tuple]:
+    """(key..., column, [quantile per probability]) for every key and column that has values."""
+    sizes = df.groupBy(*by).agg(*[F.count(F.col(c).cast("double")).alias(f"_n{i}") for i, c in enumerate(columns)])
+    places: dict[tuple, _Place] = {}
+    wanted = []
+    for row in sizes.collect():
+        key = tuple(row[b] for b in by)
+        for i, c in enumerate(columns):
+            n = row[f"_n{i}"]
+            if n:
+                spots = [(n - 1) * p for p in probs]
+                wanted.append((key, c, spots))
+                for rank in {f(s) for s in spots for f in (math.floor, math.ceil)}:
+                    places[key, c, rank] = _Place(key, c, rank, n)
+    _select(df, by, list(places.values()), select_rows)
+    out = []
+    for key, c, spots in wanted:
+        values = []
+        for s in spots:
+            low, high = places[key, c, math.floor(s)].value, places[key, c, math.ceil(s)].value
+            values.append(low + (high - low) * (s - math.floor(s)))
+        out.append((*key, c, values))
+    return out
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    range_rows: int = RANGE_ROWS,
+    select_rows: int = SELECT_ROWS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles: rows (by, column, q0, q1, ...), nulls left out.
-
-    Values are first reduced to (value, count); only counts are then ordered.
-    """
-    by = list(by)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    counts = (
-        df.select(*by, F.inline(pairs))
-        .filter(F.col("value").isNotNull())
-        .groupBy(*by, "column", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    keys = [*by, "column"]
-    ranked = running_totals(counts, "value", ["n"], keys, range_rows)
-
-    def place(p: float) -> Column:
-        return (F.col("all_n") - 1) * F.lit(float(p))
-
-    def pick(rank: Column) -> Column:
-        hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-        return F.max(F.when(hit, F.col("value")))
-
-    picked = ranked.groupBy(*keys, "all_n").agg(
-        *[pick(F.floor(place(p))).alias(f"_lo{i}") for i, p in enumerate(probs)],
-        *[pick(F.ceil(place(p))).alias(f"_hi{i}") for i, p in enumerate(probs)],
-    )
-    out = []
-    for i, p in enumerate(probs):
-        weight = place(p) - F.floor(place(p))
-        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * weight).alias(f"q{i}"))
-    return picked.select(*keys, *out)
+    ``by`` must have few distinct, non-null keys."""
+    rows = _quantile_values(df, columns, probs, by, select_rows)
+    fields = [(b, df.schema[b].dataType.simpleString()) for b in by] + [("column", "string")]
+    fields += [(f"q{i}", "double") for i in range(len(probs))]
+    flat = [(*r[:-1], *r[-1]) for r in rows]
+    if not flat:
+        return df.sparkSession.createDataFrame([], ", ".join(f"`{n}` {k}" for n, k in fields))
+    return literal_rows(df.sparkSession, fields, flat)
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], range_rows: int = RANGE_ROWS) -> dict:
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], select_rows: int = SELECT_ROWS) -> dict:
     """{name: value} for ``wanted`` = {name: (column, probability)}, like ``DataFrame.approxQuantile`` but exact.
     The figures become literals in later plans. A column without values gives ``None``."""
     columns = sorted({c for c, _ in wanted.values()})
     probs = sorted({p for _, p in wanted.values()})
-    found = {r["column"]: r for r in quantiles(df, columns, probs, range_rows=range_rows).collect()}
-    return {
-        name: found[c][f"q{probs.index(p)}"] if c in found else None for name, (c, p) in wanted.items()
-    }
+    found = dict(_quantile_values(df, columns, probs, (), select_rows))
+    return {name: found[c][probs.index(p)] if c in found else None for name, (c, p) in wanted.items()}
 
 
 def dense_key(df: DataFrame, natural: str, name: str, digits: int = 3) -> DataFrame:

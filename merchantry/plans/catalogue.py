@@ -88,6 +88,11 @@ def _add_mining_layers(w: Warehouse) -> None:
     w.register(
         "basket_items", lambda: basket.transactions(w["fact_orders"], w["dim_product"], top=BASKET_TOP)
     )
+    w.register("invoice_products", lambda: basket.invoice_items(w["fact_orders"], "ProductID"))
+    w.register(
+        "invoice_descriptions",
+        lambda: basket.invoice_items(w["clean_retail"].withColumnRenamed("Invoice", "InvoiceNo"), "Description"),
+    )
     w.register("frequent_itemsets", lambda: basket.frequent_itemsets(w["basket_items"], MIN_SUPPORT))
     w.register("association_rules", lambda: basket.association_rules(w["frequent_itemsets"], MIN_CONFIDENCE))
     w.register("lexicon", lambda: w.spark.createDataFrame(LEXICON, "Word string, Valence double, Polarity double, Subjectivity double"))
@@ -234,7 +239,7 @@ def _customers() -> dict:
             {
                 "WeekendRatio": F.round("WeekendRatio", 6),
                 "PremiumRatio": F.round("PremiumRatio", 6),
-                "SpendingStdDev": F.round("SpendingStdDev", 4),
+                "SpendingStdDev": F.round("SpendingStdDev", 2),
             }
         )
 
@@ -294,9 +299,6 @@ def _baskets() -> dict:
     def rounded(w: Warehouse) -> DataFrame:
         return rules(w).withColumns({c: F.round(c, 6) for c in ("Support", "Confidence", "Lift")})
 
-    def pairs(w: Warehouse) -> DataFrame:
-        return basket.top_pairs(w["clean_retail"].withColumnRenamed("Invoice", "InvoiceNo"), "Description")
-
     return {
         "frequent_itemsets": _w(
             lambda w: w["frequent_itemsets"].select(
@@ -315,8 +317,8 @@ def _baskets() -> dict:
             )
         ),
         "rule_summary": _w(lambda w: basket.rule_summary(rules(w), 0.08, 1.2)),
-        "pair_cooccurrence": _w(pairs),
-        "product_pairs": _w(lambda w: basket.product_pairs(w["fact_orders"], w["dim_product"], min_count=0)),
+        "pair_cooccurrence": _w(lambda w: basket.top_pairs(w["invoice_descriptions"])),
+        "product_pairs": _w(lambda w: basket.product_pairs(w["invoice_products"], w["dim_product"], min_count=0)),
     }
 
 
@@ -439,7 +441,7 @@ def _profiling() -> dict:
         "winsorized": _w(
             lambda w: clean.winsorise(
                 w["final_customer_dataset"].select("CustomerID", *churn.WINSORISED), churn.WINSORISED
-            ).select("CustomerID", *[F.round(c, 4).alias(c) for c in churn.WINSORISED])
+            ).select("CustomerID", *[F.round(c, 6).alias(c) for c in churn.WINSORISED])
         ),
         "median_filled": _w(
             lambda w: clean.fill_with_median(
@@ -499,8 +501,8 @@ def _models() -> dict:
 
     def features(w: Warehouse) -> DataFrame:
         df = churn.encode_labels(w["churn_features"], "Region")
-        digits = {"SpendingStdDev": 4, "SpendingConsistency": 6, "LogLifespan": 6, "LogMonetary": 6, "LogFrequency": 6}
-        digits |= {c: 4 for c in churn.WINSORISED}
+        digits = {"SpendingStdDev": 2, "SpendingConsistency": 6, "LogLifespan": 6, "LogMonetary": 6, "LogFrequency": 6}
+        digits |= {c: 6 for c in churn.WINSORISED}
         names = churn.feature_columns(df)
         return df.select(
             "CustomerID", *[C.rounded(F.col(c).cast("double"), digits.get(c)).alias(c) for c in names]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from merchantry import constants as K
 from merchantry.functions import columns as C
+from merchantry.functions.frames import literal_rows
 from merchantry.operators import stats
 from merchantry.plans.warehouse import Warehouse
 
@@ -152,7 +153,7 @@ def sales_by_weekday(w: Warehouse, keep_missing: bool = True) -> DataFrame:
         )
     )
     if keep_missing:
-        days = w.spark.createDataFrame([(d,) for d in K.WEEKDAYS], "DayOfWeek string")
+        days = literal_rows(w.spark, [("DayOfWeek", "string")], [(d,) for d in K.WEEKDAYS])
         sums = days.join(sums, "DayOfWeek", "left")
     return sums.orderBy(C.rank_in("DayOfWeek", K.WEEKDAYS))
 
@@ -226,7 +227,7 @@ def purchase_frequency(w: Warehouse) -> DataFrame:
     bins = w["dim_customer"].select(C.interval_bin("Frequency", K.FREQUENCY_EDGES, K.FREQUENCY_LABELS).alias("FreqBin"))
     total = w["dim_customer"].agg(F.count("*").alias("n")).scalar()
     counts = bins.groupBy("FreqBin").agg(F.count("*").alias("Customers"))
-    frame = w.spark.createDataFrame([(b,) for b in K.FREQUENCY_LABELS], "FreqBin string")
+    frame = literal_rows(w.spark, [("FreqBin", "string")], [(b,) for b in K.FREQUENCY_LABELS])
     full = frame.join(counts, "FreqBin", "left").select("FreqBin", F.coalesce("Customers", F.lit(0)).alias("Customers"))
     return stats.with_share(full, "Customers", "Percent", total=total).orderBy(C.rank_in("FreqBin", K.FREQUENCY_LABELS))
 

@@ -15,9 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores (a single small file) one part per core, since the work behind it
+    would otherwise run in one task. A large input has more splits than cores and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def staging_retail(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line; no join hints, so the file sizes decide between broadcast and sort-merge."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    lines = spread(
+        table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
@@ -50,7 +59,7 @@ def region_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def staging_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    docs, labels = spread(table(spark, folder, "documents")), table(spark, folder, "labels")
     doc = F.col("doc_id")
     classes = F.array(*[F.lit(c) for c in CLASS_NAMES])
     return docs.join(labels.select("doc_id", "quality"), "doc_id", "left").select(

@@ -201,7 +201,7 @@ FROM star GROUP BY CustomerID
 SQL["behavior_features"] = """
 SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CategoryDiversity, round(WeekendRatio, 6) AS WeekendRatio,
        round(PremiumRatio, 6) AS PremiumRatio, CAST(LastPurchaseMonth AS BIGINT) AS LastPurchaseMonth,
-       round(SpendingStdDev, 4) AS SpendingStdDev
+       round(SpendingStdDev, 2) AS SpendingStdDev
 FROM behaviour_features
 """
 
@@ -601,9 +601,9 @@ FROM long JOIN q USING (c) GROUP BY c, lo, hi
 """
 
 SQL["winsorized"] = """
-SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(m1, least(m99, mo)), 4) AS Monetary,
-       round(greatest(f1, least(f99, fr)), 4) AS Frequency, round(greatest(u1, least(u99, un)), 4) AS UniqueProducts,
-       round(greatest(p1, least(p99, AvgPricePerItem)), 4) AS AvgPricePerItem
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(m1, least(m99, mo)), 6) AS Monetary,
+       round(greatest(f1, least(f99, fr)), 6) AS Frequency, round(greatest(u1, least(u99, un)), 6) AS UniqueProducts,
+       round(greatest(p1, least(p99, AvgPricePerItem)), 6) AS AvgPricePerItem
 FROM churn_wide, churn_limits
 """
 
@@ -736,13 +736,13 @@ FROM segmented GROUP BY RFM_Segment
 # --- churn models ------------------------------------------------------------------------------------------
 
 SQL["churn_features"] = """
-SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(f1, least(f99, fr)), 4) AS Frequency,
-       round(greatest(m1, least(m99, mo)), 4) AS Monetary, round(greatest(u1, least(u99, un)), 4) AS UniqueProducts,
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(f1, least(f99, fr)), 6) AS Frequency,
+       round(greatest(m1, least(m99, mo)), 6) AS Monetary, round(greatest(u1, least(u99, un)), 6) AS UniqueProducts,
        li AS CustomerLifespanDays, (dense_rank() OVER (ORDER BY coalesce(Region, 'Unknown')) - 1)::DOUBLE AS Region,
-       round(greatest(p1, least(p99, AvgPricePerItem)), 4) AS AvgPricePerItem,
+       round(greatest(p1, least(p99, AvgPricePerItem)), 6) AS AvgPricePerItem,
        CategoryDiversity::DOUBLE AS CategoryDiversity, WeekendRatio AS WeekendRatio,
        PremiumRatio AS PremiumRatio, LastPurchaseMonth::DOUBLE AS LastPurchaseMonth,
-       round(SpendingStdDev, 4) AS SpendingStdDev, mo / (un + 1) AS MonetaryPerProduct,
+       round(SpendingStdDev, 2) AS SpendingStdDev, mo / (un + 1) AS MonetaryPerProduct,
        (mo > m50)::INT::DOUBLE AS HighValue, (fr = 1)::INT::DOUBLE AS IsOneTimeBuyer, (mo < m25)::INT::DOUBLE AS LowSpender,
        fr / (li + 1) AS OrdersPerLifespan, (li + 1) / (fr + 1) AS AvgDaysBetweenOrders,
        mo / (li + 1) AS MonetaryPerLifespan, round(ln(1 + li), 6) AS LogLifespan, round(ln(1 + mo), 6) AS LogMonetary,
