@@ -11,13 +11,14 @@ from merchantry.functions import columns as C
 def fact_orders(clean: DataFrame, products: DataFrame, days: DataFrame, locations: DataFrame) -> DataFrame:
     """Star load by three inner lookups.
 
-    Calendar days and countries are few by nature and are broadcast. Products can outgrow memory, so that
-    join carries no hint: Spark broadcasts it only where its measured size allows.
+    No join carries a hint. The dimensions are stored tables, so Spark knows their size: the calendar and the
+    countries are broadcast, and products are too until they outgrow the threshold. Beyond it the join is
+    sort-merge and adaptive execution splits a hot product.
     """
     return (
         clean.join(products.select("ProductID", "StockCode"), "StockCode")
-        .join(F.broadcast(days.select("TimeID", F.col("FullDate").alias("InvoiceDay"))), "InvoiceDay")
-        .join(F.broadcast(locations.select("LocationID", "Country")), "Country")
+        .join(days.select("TimeID", F.col("FullDate").alias("InvoiceDay")), "InvoiceDay")
+        .join(locations.select("LocationID", "Country"), "Country")
         .select(
             C.row_key("Invoice", "StockCode", "CustomerID", "Quantity", "Price").alias("OrderID"),
             F.col("Invoice").alias("InvoiceNo"),
@@ -55,7 +56,7 @@ def fact_reviews(reviews: DataFrame) -> DataFrame:
 def customer_orders(orders: DataFrame, days: DataFrame, variant: str = "weighted", round_to: int | None = 2) -> DataFrame:
     """Order roll-up per customer. ``weighted``: items per order and quantity-weighted price.
     ``line``: plain averages over order lines."""
-    dated = orders.join(F.broadcast(days.select("TimeID", "FullDate")), "TimeID")
+    dated = orders.join(days.select("TimeID", "FullDate"), "TimeID")
     if variant == "weighted":
         quantity = C.ratio(F.sum("Quantity"), F.countDistinct("InvoiceNo"))
         price = C.ratio(F.sum(F.col("Quantity") * F.col("UnitPrice")), F.sum("Quantity"))
@@ -75,7 +76,7 @@ def customer_orders(orders: DataFrame, days: DataFrame, variant: str = "weighted
 
 def final_customer_dataset(customers: DataFrame, rollup: DataFrame, locations: DataFrame) -> DataFrame:
     """Every customer with the order roll-up and region; missing roll-ups take defaults."""
-    region = F.broadcast(locations.select("Country", "Region"))
+    region = locations.select("Country", "Region")
     span = F.datediff("LastOrderDate", "FirstOrderDate")
     zero = F.lit(0)
     return (
@@ -102,7 +103,7 @@ def behaviour_features(orders: DataFrame, products: DataFrame, days: DataFrame)
     Order keys are unique, so the distinct count of weekend orders is a plain sum.
     """
     lines = orders.join(products.select("ProductID", "Category", "PriceRange"), "ProductID").join(
-        F.broadcast(days.select("TimeID", "IsWeekend", "Month")), "TimeID"
+        days.select("TimeID", "IsWeekend", "Month"), "TimeID"
     )
     return lines.groupBy("CustomerID").agg(
         F.countDistinct("Category").alias("CategoryDiversity"),

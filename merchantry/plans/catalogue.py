@@ -300,6 +300,7 @@ def _baskets() -> dict:
         return rules(w).withColumns({c: F.round(c, 6) for c in ("Support", "Confidence", "Lift")})
 
     return {
+        "basket_items": _layer("basket_items"),
         "frequent_itemsets": _w(
             lambda w: w["frequent_itemsets"].select(
                 F.array_join("items", ", ").alias("Items"), "freq", F.round("Support", 6).alias("Support"), "Length"
@@ -426,6 +427,12 @@ def _profiling() -> dict:
         )
 
     return {
+        "schema_listing": _w(
+            lambda w: quality.schema_listing(w.spark, {n: w[n] for n in ("dim_product", "dim_customer", "fact_orders")})
+        ),
+        "table_profile": _w(
+            lambda w: quality.table_profile(w["dim_product"].select("StockCode", "ProductName", "Category"), "Dim_Product")
+        ),
         "missing_table": _w(lambda w: quality.missing_table(w["staging_reviews"])),
         "describe_numeric": _w(lambda w: stats.describe(w["rfm_table"], ["Recency", "Frequency", "Monetary"])),
         "describe_lines": _w(lambda w: stats.describe(w["clean_retail"], ["Quantity", "Price"])),
@@ -441,7 +448,7 @@ def _profiling() -> dict:
         "winsorized": _w(
             lambda w: clean.winsorise(
                 w["final_customer_dataset"].select("CustomerID", *churn.WINSORISED), churn.WINSORISED
-            ).select("CustomerID", *[F.round(c, 6).alias(c) for c in churn.WINSORISED])
+            ).select("CustomerID", *[F.round(c, 8).alias(c) for c in churn.WINSORISED])
         ),
         "median_filled": _w(
             lambda w: clean.fill_with_median(
@@ -502,7 +509,7 @@ def _models() -> dict:
     def features(w: Warehouse) -> DataFrame:
         df = churn.encode_labels(w["churn_features"], "Region")
         digits = {"SpendingStdDev": 2, "SpendingConsistency": 6, "LogLifespan": 6, "LogMonetary": 6, "LogFrequency": 6}
-        digits |= {c: 6 for c in churn.WINSORISED}
+        digits |= {c: 8 for c in churn.WINSORISED}
         names = churn.feature_columns(df)
         return df.select(
             "CustomerID", *[C.rounded(F.col(c).cast("double"), digits.get(c)).alias(c) for c in names]

@@ -15,12 +15,12 @@ DIGITS = 6
 
 
 def _dated(w: Warehouse, *columns: str) -> DataFrame:
-    """Order lines with calendar columns; the calendar has one row per day and is broadcast."""
-    return w["fact_orders"].join(F.broadcast(w["dim_time"].select("TimeID", *columns)), "TimeID")
+    """Order lines with calendar columns. The stored calendar's size lets Spark broadcast it without a hint."""
+    return w["fact_orders"].join(w["dim_time"].select("TimeID", *columns), "TimeID")
 
 
 def _located(w: Warehouse, *columns: str) -> DataFrame:
-    return w["fact_orders"].join(F.broadcast(w["dim_location"].select("LocationID", *columns)), "LocationID")
+    return w["fact_orders"].join(w["dim_location"].select("LocationID", *columns), "LocationID")
 
 
 def _per_product(w: Warehouse, *aggregates) -> DataFrame:
@@ -311,7 +311,7 @@ def kpi_summary(w: Warehouse) -> DataFrame:
 
 def warehouse_preview(w: Warehouse, n: int = 10) -> DataFrame:
     """First joined rows in a fixed order, for inspection."""
-    lines = _dated(w, "FullDate").join(F.broadcast(w["dim_location"].select("LocationID", "Country")), "LocationID")
+    lines = _dated(w, "FullDate").join(w["dim_location"].select("LocationID", "Country"), "LocationID")
     first = lines.orderBy("InvoiceNo", "OrderID").limit(n)
     return first.join(w["dim_product"].select("ProductID", "ProductName"), "ProductID").select(
         "InvoiceNo", "CustomerID", "ProductName", "FullDate", "Country", "Quantity", "TotalPrice"

@@ -359,6 +359,8 @@ LIMIT 2000
 
 # --- baskets -----------------------------------------------------------------------------------------------
 
+SQL["basket_items"] = "SELECT InvoiceNo, Item FROM basket_items"
+
 SQL["frequent_itemsets"] = """
 SELECT Items, freq, round(Support, 6) AS Support, CAST(Length AS BIGINT) AS Length FROM itemsets
 """
@@ -546,6 +548,14 @@ FROM ranked WHERE rn <= 5
 
 # --- profiling ---------------------------------------------------------------------------------------------
 
+SQL["table_profile"] = """
+SELECT 'Dim_Product' AS TableName, CAST(0 AS BIGINT) AS Position, 'StockCode' AS "Column", 'string' AS Type,
+       count(StockCode) AS NonNull, min(StockCode) AS MinText, max(StockCode) AS MaxText FROM dim_product
+UNION ALL SELECT 'Dim_Product', 1, 'ProductName', 'string', count(ProductName), min(ProductName), max(ProductName)
+FROM dim_product
+UNION ALL SELECT 'Dim_Product', 2, 'Category', 'string', count(Category), min(Category), max(Category) FROM dim_product
+"""
+
 SQL["missing_table"] = """
 SELECT c AS "Column", m AS Missing, round(m::DOUBLE * 100 / n, 6) AS Percent
 FROM (SELECT unnest(['Title', 'ReviewText', 'DepartmentName']) AS c,
@@ -601,9 +611,9 @@ FROM long JOIN q USING (c) GROUP BY c, lo, hi
 """
 
 SQL["winsorized"] = """
-SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(m1, least(m99, mo)), 6) AS Monetary,
-       round(greatest(f1, least(f99, fr)), 6) AS Frequency, round(greatest(u1, least(u99, un)), 6) AS UniqueProducts,
-       round(greatest(p1, least(p99, AvgPricePerItem)), 6) AS AvgPricePerItem
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(m1, least(m99, mo)), 8) AS Monetary,
+       round(greatest(f1, least(f99, fr)), 8) AS Frequency, round(greatest(u1, least(u99, un)), 8) AS UniqueProducts,
+       round(greatest(p1, least(p99, AvgPricePerItem)), 8) AS AvgPricePerItem
 FROM churn_wide, churn_limits
 """
 
@@ -736,10 +746,10 @@ FROM segmented GROUP BY RFM_Segment
 # --- churn models ------------------------------------------------------------------------------------------
 
 SQL["churn_features"] = """
-SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(f1, least(f99, fr)), 6) AS Frequency,
-       round(greatest(m1, least(m99, mo)), 6) AS Monetary, round(greatest(u1, least(u99, un)), 6) AS UniqueProducts,
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(f1, least(f99, fr)), 8) AS Frequency,
+       round(greatest(m1, least(m99, mo)), 8) AS Monetary, round(greatest(u1, least(u99, un)), 8) AS UniqueProducts,
        li AS CustomerLifespanDays, (dense_rank() OVER (ORDER BY coalesce(Region, 'Unknown')) - 1)::DOUBLE AS Region,
-       round(greatest(p1, least(p99, AvgPricePerItem)), 6) AS AvgPricePerItem,
+       round(greatest(p1, least(p99, AvgPricePerItem)), 8) AS AvgPricePerItem,
        CategoryDiversity::DOUBLE AS CategoryDiversity, WeekendRatio AS WeekendRatio,
        PremiumRatio AS PremiumRatio, LastPurchaseMonth::DOUBLE AS LastPurchaseMonth,
        round(SpendingStdDev, 2) AS SpendingStdDev, mo / (un + 1) AS MonetaryPerProduct,
