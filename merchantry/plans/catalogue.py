@@ -52,6 +52,9 @@ NEGATORS = ("a", "un", "not", "no")
 # Centres in standardised (recency, frequency, monetary) for the labelled segments.
 CENTRES = [(-0.5, 1.4, 1.5), (-0.45, 0.4, 0.3), (-0.4, -0.7, -0.7), (2.6, -1.2, -1.1), (0.6, -0.3, -0.2)]
 
+# Decimal places at which clipped columns are compared: an average price has more exact places than an amount.
+CLIPPED_DIGITS = {"Monetary": 6, "Frequency": 6, "UniqueProducts": 6, "AvgPricePerItem": 8}
+
 # Small models: the queries show the whole flow, the library defaults hold the full sizes.
 SIZES = models.Sizes(
     forest_trees=20, forest_depth=6, boost_trees=10, boost_depth=4, gradient_trees=10, gradient_rate=0.1,
@@ -448,7 +451,7 @@ def _profiling() -> dict:
         "winsorized": _w(
             lambda w: clean.winsorise(
                 w["final_customer_dataset"].select("CustomerID", *churn.WINSORISED), churn.WINSORISED
-            ).select("CustomerID", *[F.round(c, 8).alias(c) for c in churn.WINSORISED])
+            ).select("CustomerID", *[F.round(c, CLIPPED_DIGITS[c]).alias(c) for c in churn.WINSORISED])
         ),
         "median_filled": _w(
             lambda w: clean.fill_with_median(
@@ -509,7 +512,7 @@ def _models() -> dict:
     def features(w: Warehouse) -> DataFrame:
         df = churn.encode_labels(w["churn_features"], "Region")
         digits = {"SpendingStdDev": 2, "SpendingConsistency": 6, "LogLifespan": 6, "LogMonetary": 6, "LogFrequency": 6}
-        digits |= {c: 8 for c in churn.WINSORISED}
+        digits |= CLIPPED_DIGITS
         names = churn.feature_columns(df)
         return df.select(
             "CustomerID", *[C.rounded(F.col(c).cast("double"), digits.get(c)).alias(c) for c in names]
