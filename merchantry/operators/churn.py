@@ -53,10 +53,12 @@ def derive(df: DataFrame, limits: dict | None = None) -> DataFrame:
     )
 
 
-def churn_features(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
-    """Enriched, derived, then clipped to the 1st and 99th percentile. All quantiles come from one call."""
+def churn_features(customers: DataFrame, behaviour: DataFrame, limit_digits: int | None = None) -> DataFrame:
+    """Enriched, derived, then clipped to the 1st and 99th percentile. All quantiles come from one call;
+    ``limit_digits`` rounds them."""
     rows = enrich(customers, behaviour)
-    limits = exact_quantiles(customers.dropna(subset=["ChurnLabel"]), DERIVE_LIMITS | clip_limits(WINSORISED))
+    wanted = DERIVE_LIMITS | clip_limits(WINSORISED)
+    limits = exact_quantiles(customers.dropna(subset=["ChurnLabel"]), wanted, digits=limit_digits)
     return winsorise(derive(rows, limits), WINSORISED, limits=limits)
 
 

@@ -203,7 +203,8 @@ def _quantile_values(
         values = []
         for s in spots:
             low, high = places[key, c, math.floor(s)].value, places[key, c, math.ceil(s)].value
-            values.append(low + (high - low) * (s - math.floor(s)))
+            # the same weighting as Spark's own percentile
+            values.append(low if low == high else (math.ceil(s) - s) * low + (s - math.floor(s)) * high)
         out.append((*key, c, values))
     return out
 
@@ -226,13 +227,16 @@ def quantiles(
     return literal_rows(df.sparkSession, fields, flat)
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], select_rows: int = SELECT_ROWS) -> dict:
+def exact_quantiles(
+    df: DataFrame, wanted: dict[str, tuple[str, float]], select_rows: int = SELECT_ROWS, digits: int | None = None
+) -> dict:
     """{name: value} for ``wanted`` = {name: (column, probability)}, like ``DataFrame.approxQuantile`` but exact.
     The figures become literals in later plans. A column without values gives ``None``."""
     columns = sorted({c for c, _ in wanted.values()})
     probs = sorted({p for _, p in wanted.values()})
     found = dict(_quantile_values(df, columns, probs, (), select_rows))
-    return {name: found[c][probs.index(p)] if c in found else None for name, (c, p) in wanted.items()}
+    out = {name: found[c][probs.index(p)] if c in found else None for name, (c, p) in wanted.items()}
+    return out if digits is None else {k: None if v is None else round(v, digits) for k, v in out.items()}
 
 
 def dense_key(df: DataFrame, natural: str, name: str, digits: int = 3) -> DataFrame:

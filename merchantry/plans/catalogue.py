@@ -24,6 +24,7 @@ from merchantry.operators import (
     sentiment,
     stats,
 )
+from merchantry.operators.ordered import exact_quantiles
 from merchantry.plans import reports
 from merchantry.plans.warehouse import Settings, Warehouse
 from merchantry.sources import files, tables
@@ -52,9 +53,6 @@ NEGATORS = ("a", "un", "not", "no")
 # Centres in standardised (recency, frequency, monetary) for the labelled segments.
 CENTRES = [(-0.5, 1.4, 1.5), (-0.45, 0.4, 0.3), (-0.4, -0.7, -0.7), (2.6, -1.2, -1.1), (0.6, -0.3, -0.2)]
 
-# Decimal places at which clipped columns are compared: an average price has more exact places than an amount.
-CLIPPED_DIGITS = {"Monetary": 6, "Frequency": 6, "UniqueProducts": 6, "AvgPricePerItem": 8}
-
 # Small models: the queries show the whole flow, the library defaults hold the full sizes.
 SIZES = models.Sizes(
     forest_trees=20, forest_depth=6, boost_trees=10, boost_depth=4, gradient_trees=10, gradient_rate=0.1,
@@ -119,7 +117,7 @@ def _add_mining_layers(w: Warehouse) -> None:
     w.register("purchase_weights", lambda: recommend.weights(w["purchases"], w["top_items"]))
     w.register("neighbours", lambda: recommend.neighbours(w["purchase_weights"]))
     w.register("segmented_customers", lambda: _segmented(w))
-    w.register("churn_features", lambda: churn.churn_features(w["final_customer_dataset"], w["behaviour_features"]))
+    w.register("churn_features", lambda: churn.churn_features(w["final_customer_dataset"], w["behaviour_features"], 6))
     w.register("churn_training", lambda: _churn_training(w))
     w.register("curve_scores", lambda: _curve_scores(w))
 
@@ -421,6 +419,11 @@ def _profiling() -> dict:
         lines = w["clean_retail"].select("Invoice", "StockCode", "CustomerID", "Quantity", "Price")
         return clean.iqr_filter(clean.iqr_filter(lines, "Quantity"), "Price")
 
+    def clipped(w: Warehouse) -> DataFrame:
+        df = w["final_customer_dataset"].select("CustomerID", *churn.WINSORISED)
+        limits = exact_quantiles(df, clean.clip_limits(churn.WINSORISED), digits=6)
+        return clean.winsorise(df, churn.WINSORISED, limits=limits)
+
     def summary(w: Warehouse) -> DataFrame:
         return quality.dataset_summary(
             {
@@ -448,11 +451,7 @@ def _profiling() -> dict:
                 F.col("column").alias("Column"), F.round("Lower", 6).alias("Lower"), F.round("Upper", 6).alias("Upper"), "Outside"
             )
         ),
-        "winsorized": _w(
-            lambda w: clean.winsorise(
-                w["final_customer_dataset"].select("CustomerID", *churn.WINSORISED), churn.WINSORISED
-            ).select("CustomerID", *[F.round(c, CLIPPED_DIGITS[c]).alias(c) for c in churn.WINSORISED])
-        ),
+        "winsorized": _w(clipped),
         "median_filled": _w(
             lambda w: clean.fill_with_median(
                 w["staging_reviews"].select("ReviewID", F.expr("nullif(PositiveFeedback, 0)").alias("Feedback")),
@@ -512,7 +511,6 @@ def _models() -> dict:
     def features(w: Warehouse) -> DataFrame:
         df = churn.encode_labels(w["churn_features"], "Region")
         digits = {"SpendingStdDev": 2, "SpendingConsistency": 6, "LogLifespan": 6, "LogMonetary": 6, "LogFrequency": 6}
-        digits |= CLIPPED_DIGITS
         names = churn.feature_columns(df)
         return df.select(
             "CustomerID", *[C.rounded(F.col(c).cast("double"), digits.get(c)).alias(c) for c in names]

@@ -611,9 +611,9 @@ FROM long JOIN q USING (c) GROUP BY c, lo, hi
 """
 
 SQL["winsorized"] = """
-SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(m1, least(m99, mo)), 6) AS Monetary,
-       round(greatest(f1, least(f99, fr)), 6) AS Frequency, round(greatest(u1, least(u99, un)), 6) AS UniqueProducts,
-       round(greatest(p1, least(p99, AvgPricePerItem)), 8) AS AvgPricePerItem
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, greatest(m1, least(m99, mo)) AS Monetary,
+       greatest(f1, least(f99, fr)) AS Frequency, greatest(u1, least(u99, un)) AS UniqueProducts,
+       greatest(p1, least(p99, AvgPricePerItem)) AS AvgPricePerItem
 FROM churn_wide, churn_limits
 """
 
@@ -746,10 +746,10 @@ FROM segmented GROUP BY RFM_Segment
 # --- churn models ------------------------------------------------------------------------------------------
 
 SQL["churn_features"] = """
-SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round(greatest(f1, least(f99, fr)), 6) AS Frequency,
-       round(greatest(m1, least(m99, mo)), 6) AS Monetary, round(greatest(u1, least(u99, un)), 6) AS UniqueProducts,
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, greatest(f1, least(f99, fr)) AS Frequency,
+       greatest(m1, least(m99, mo)) AS Monetary, greatest(u1, least(u99, un)) AS UniqueProducts,
        li AS CustomerLifespanDays, (dense_rank() OVER (ORDER BY coalesce(Region, 'Unknown')) - 1)::DOUBLE AS Region,
-       round(greatest(p1, least(p99, AvgPricePerItem)), 8) AS AvgPricePerItem,
+       greatest(p1, least(p99, AvgPricePerItem)) AS AvgPricePerItem,
        CategoryDiversity::DOUBLE AS CategoryDiversity, WeekendRatio AS WeekendRatio,
        PremiumRatio AS PremiumRatio, LastPurchaseMonth::DOUBLE AS LastPurchaseMonth,
        round(SpendingStdDev, 2) AS SpendingStdDev, mo / (un + 1) AS MonetaryPerProduct,

@@ -348,10 +348,12 @@ FROM final_customer_dataset c JOIN behaviour_features b ON c.CustomerID = b.Cust
 """
 
 VIEWS["churn_limits"] = """
-SELECT median(mo) AS m50, quantile_cont(mo, 0.25) AS m25, median(fr) AS f50, quantile_cont(mo, 0.01) AS m1,
-       quantile_cont(mo, 0.99) AS m99, quantile_cont(fr, 0.01) AS f1, quantile_cont(fr, 0.99) AS f99,
-       quantile_cont(un, 0.01) AS u1, quantile_cont(un, 0.99) AS u99, quantile_cont(AvgPricePerItem, 0.01) AS p1,
-       quantile_cont(AvgPricePerItem, 0.99) AS p99 FROM churn_wide
+SELECT round(median(mo), 6) AS m50, round(quantile_cont(mo, 0.25), 6) AS m25, round(median(fr), 6) AS f50,
+       round(quantile_cont(mo, 0.01), 6) AS m1, round(quantile_cont(mo, 0.99), 6) AS m99,
+       round(quantile_cont(fr, 0.01), 6) AS f1, round(quantile_cont(fr, 0.99), 6) AS f99,
+       round(quantile_cont(un, 0.01), 6) AS u1, round(quantile_cont(un, 0.99), 6) AS u99,
+       round(quantile_cont(AvgPricePerItem, 0.01), 6) AS p1, round(quantile_cont(AvgPricePerItem, 0.99), 6) AS p99
+FROM churn_wide
 """
 
 VIEWS["splits"] = """
