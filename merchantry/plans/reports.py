@@ -40,7 +40,8 @@ def top_products(w: Warehouse, n: int = 10) -> DataFrame:
         F.count("*").alias("TimesOrdered"),
     )
     named = sums.join(w["dim_product"].select("ProductID", "ProductName", "Category"), "ProductID")
-    return named.orderBy(F.desc("TotalUnitsSold"), "ProductID").limit(n)
+    columns = ["ProductID", "ProductName", "Category", "TotalUnitsSold", "TotalRevenue", "TimesOrdered"]
+    return named.select(*columns).orderBy(F.desc("TotalUnitsSold"), "ProductID").limit(n)
 
 
 def monthly_revenue(w: Warehouse) -> DataFrame:

@@ -405,13 +405,13 @@ GROUP BY 1, 2, 3, 4 ORDER BY CoOccurrence DESC, Product_A, Product_B LIMIT 20
 
 # --- sentiment ---------------------------------------------------------------------------------------------
 
-SQL["clean_text"] = """
+SQL["clean_text"] = r"""
 SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'),
          'http\S+|www\S+', '', 'g'), '[^\p{L}\p{N}_\s.,!?''-]', '', 'g'), '\s+', ' ', 'g'))) AS CleanDigest
 FROM pages
 """
 
-SQL["review_word_counts"] = """
+SQL["review_word_counts"] = r"""
 SELECT ReviewID, CAST(length(ReviewText) - length(replace(ReviewText, ' ', '')) + 1 AS BIGINT) AS Spaces,
        CAST(len(list_filter(regexp_split_to_array(ReviewText, '\s+'), lambda t: t <> '')) AS BIGINT) AS Tokens
 FROM clean_reviews

@@ -91,6 +91,31 @@ def test_neighbours_equal_brute_force(spark, head):
         assert [s for s, _ in mine] == pytest.approx([s for s, _ in near], abs=2e-9)
 
 
+@pytest.mark.parametrize("head", [2, 64])
+def test_neighbours_with_one_profile_holding_most_customers(spark, head):
+    rows, _ = _purchases(spark, users=40, seed=9)
+    rows += [(1000 - u, 3, "s03", u % 5 + 1) for u in range(80)]  # one item, any quantity: the same direction
+    df = spark.createDataFrame(rows, "CustomerID long, Item int, StockCode string, TotalQty long")
+    df = df.withColumn("Weight", F.log1p(F.col("TotalQty").cast("double")))
+    want = _nearest(rows, 4)
+    got = {}
+    for r in recommend.neighbours(df, n_items=12, k=4, head=head).collect():
+        got.setdefault(r["CustomerID"], []).append((r["Rank"], r["NeighbourID"]))
+    assert {u: [v for _, v in sorted(n)] for u, n in got.items()} == {u: [v for _, v in n] for u, n in want.items() if n}
+
+
+def test_clusters_are_saved_and_loaded(spark, tmp_path):
+    from pyspark.ml.clustering import KMeansModel
+
+    df = spark.createDataFrame([(i, float(i % 2), float(i % 2), 0.0) for i in range(20)], "CustomerID long, Recency double, Frequency double, Monetary double")
+    scaled = segment.as_vectors(segment.standardise(df), segment.FEATURES)
+    model = segment.best_kmeans(scaled, 2, seeds=(1, 2))
+    files.save_model(model, str(tmp_path / "m"))
+    again = KMeansModel.load(str(tmp_path / "m"))
+    assert len(again.clusterCenters()) == 2
+    assert segment.assign(df, again).groupBy("Cluster").count().count() == 2
+
+
 def test_mean_similarity_without_pairs(spark):
     rows, df = _purchases(spark, users=40)
     near = _nearest(rows, 10**6)
