@@ -50,7 +50,7 @@ def keyed(rows: DataFrame) -> DataFrame:
     low, span, top = low or 0, max(1, (high or 0) - (low or 0)), max(2, top or 2)
     most = (1 << SCALE) - 1
     places = [
-        F.floor(F.log2(F.col("size").cast("double")) * (most / max(1.0, float(top).bit_length()))).cast("long"),
+        F.floor(F.log2(F.col("size").cast("double")) * (most / top.bit_length())).cast("long"),
         _name_place(F.col("first.source")),
         _name_place(F.col("first.lang")),
         F.floor((F.col("first.id") - low).cast("double") * (most / span)).cast("long"),
