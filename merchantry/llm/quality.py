@@ -56,17 +56,16 @@ def measured(rows: DataFrame, text: Column) -> DataFrame:
 
 def host_verdicts(judged: DataFrame, *, max_host_rate: float) -> DataFrame:
     """(host, n, failed, rate, host_rejected) from rows with ``_host`` and ``_failed``."""
-    hosts = judged.groupBy("_host").agg(F.count("*").alias("n"), F.sum(F.col("_failed").cast("long")).alias("failed"))
+    hosts = stored(judged.groupBy("_host").agg(F.count("*").alias("n"), F.sum(F.col("_failed").cast("long")).alias("failed")), "host-counts")
     share = F.col("failed") / F.col("n")
     prior = hosts.agg(F.avg(share).alias("m"), F.coalesce(F.var_pop(share), F.lit(0.0)).alias("v"), F.avg(1 / F.col("n")).alias("inv"))
-    noise = F.col("m") * (1 - F.col("m")) * F.col("inv")
-    spread = F.greatest(F.col("v") - noise, F.lit(1e-6))
-    # alpha + beta, at least one document's weight
-    strength = F.greatest(F.col("m") * (1 - F.col("m")) / spread - 1, F.lit(1.0))
-    prior = prior.select("m", strength.alias("s"))
-    rate = (F.col("failed") + F.col("m") * F.col("s")) / (F.col("n") + F.col("s"))
-    one = hosts.withColumn("_one", F.lit(1)).join(F.broadcast(prior.withColumn("_one", F.lit(1))), "_one")
-    return one.select("_host", "n", "failed", rate.alias("rate"), (rate > max_host_rate).alias("_host_rejected"))
+    m, v, inv = prior.first()
+    m = m or 0.0
+    # What binomial sampling adds to the rates' variance isn't the prior's; the prior weighs as much as one document at least.
+    spread = max((v or 0.0) - m * (1 - m) * (inv or 0.0), 1e-6)
+    strength = max(m * (1 - m) / spread - 1, 1.0)
+    rate = (F.col("failed") + m * strength) / (F.col("n") + strength)
+    return hosts.select("_host", "n", "failed", rate.alias("rate"), (rate > max_host_rate).alias("_host_rejected"))
 
 
 def judge(

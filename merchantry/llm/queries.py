@@ -4,13 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantry.llm import mixing, quality, sharding
+from merchantry.llm import bpe, mixing, quality, sharding, tokens
 from merchantry.llm.common import table
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = tokens.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return out.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    codec = bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
+    out = out.withColumn("decoded", codec.decode(F.col("ids")))
+    return out.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("row.doc_id", *quality.MEASURES, "base_failed", "kept")
@@ -29,7 +48,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op7_host_quality, op9_fair_mix, op10_kd_shards)
+QUERIES = (op5_token_counts, op6_byte_bpe, op7_host_quality, op9_fair_mix, op10_kd_shards)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
