@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantry.llm import bpe, mixing, quality, sharding, tokens
+from merchantry.llm import bpe, mixing, ngram_join, quality, sharding, tokens
 from merchantry.llm.common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.groups(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = tokens.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -48,7 +53,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op5_token_counts, op6_byte_bpe, op7_host_quality, op9_fair_mix, op10_kd_shards)
+QUERIES = (op1_ngram_join, op5_token_counts, op6_byte_bpe, op7_host_quality, op9_fair_mix, op10_kd_shards)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -48,4 +48,17 @@ SELECT doc_id, size, source_size, target, (size * (coalesce(h <= h0, false)::INT
 FROM r LEFT JOIN y ON r.source IS NOT DISTINCT FROM y.source
 """
 
-STATEMENTS = {"op7_host_quality": HOST_QUALITY, "op9_fair_mix": FAIR_MIX}
+NGRAM_JOIN = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '{WORD}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT a, b FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * o >= 75 * (x.n + y.n - o)),
+r AS (SELECT doc_id, doc_id AS far FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.far = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.low AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT doc_id, min(far) AS low FROM r GROUP BY doc_id) c ON d.doc_id = c.doc_id
+"""
+
+STATEMENTS = {"op1_ngram_join": NGRAM_JOIN, "op7_host_quality": HOST_QUALITY, "op9_fair_mix": FAIR_MIX}
