@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantry.llm import bpe, mixing, ngram_join, quality, sharding, tokens
+from merchantry.llm import bpe, mixing, ngram_join, quality, sharding, substring, tokens
 from merchantry.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.deduplicated(table(spark, sf_dir, "documents"), with_text=False)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = tokens.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -53,7 +58,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_ngram_join, op5_token_counts, op6_byte_bpe, op7_host_quality, op9_fair_mix, op10_kd_shards)
+QUERIES = (op1_ngram_join, op2_substring_dedup, op5_token_counts, op6_byte_bpe, op7_host_quality, op9_fair_mix, op10_kd_shards)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

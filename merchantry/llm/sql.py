@@ -61,4 +61,17 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.low AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT doc_id, min(far) AS low FROM r GROUP BY doc_id) c ON d.doc_id = c.doc_id
 """
 
-STATEMENTS = {"op1_ngram_join": NGRAM_JOIN, "op7_host_quality": HOST_QUALITY, "op9_fair_mix": FAIR_MIX}
+SUBSTRING_DEDUP = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+w AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM w),
+c AS (SELECT DISTINCT doc_id, i + j AS i FROM r, (SELECT unnest(range(0, 20)) AS j) WHERE k > 1),
+u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+k AS (SELECT u.doc_id, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY u.i) FILTER (c.i IS NULL) AS kept
+      FROM u LEFT JOIN c ON u.doc_id = c.doc_id AND u.i = c.i GROUP BY u.doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+"""
+
+STATEMENTS = {"op2_substring_dedup": SUBSTRING_DEDUP, "op1_ngram_join": NGRAM_JOIN, "op7_host_quality": HOST_QUALITY, "op9_fair_mix": FAIR_MIX}
