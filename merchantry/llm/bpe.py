@@ -6,7 +6,7 @@ are a linked list, and a heap gives the pair of lowest rank, leftmost first; ent
 The hash places every vocabulary entry in a slot of its own: entries are dealt to small buckets, and buckets, largest first, get the first displacement that puts all their entries into
 free slots; a bucket of one entry names its slot instead. A slot's entry is compared with the key, so a key outside the vocabulary is recognised. The tables are built on the driver and broadcast; their size is the vocabulary's.
 
-Encoded matches are remembered in each Python worker, up to a fixed number; then the memory starts anew. This changes no result.
+Encoded matches are remembered in each Python worker, up to a fixed number of those used last. This changes no result.
 
 Defined cases: null and empty text have no ids; decoding null gives null; repeated rows are encoded each; an empty table gives an empty result; other columns pass through.
 """
@@ -78,6 +78,7 @@ class Ranks:
         self.hash = PerfectHash([k for k, _ in pairs])
         self.entries = [pairs[i] if i >= 0 else (b"", -1) for i in self.hash.slots.tolist()]
         self.hash.slots = None  # entries stand in slot order
+        self.merges = dict(pairs)  # for the parts inside a word, which are looked up many times
         self.bytes_of = [b""] * (1 + max((r for _, r in pairs), default=-1))
         for k, r in pairs:
             self.bytes_of[r] = k
@@ -88,24 +89,29 @@ class Ranks:
         return rank if entry == key else -1
 
     def merge(self, word: bytes) -> list[int]:
-        n = len(word)
-        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at a byte
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := self.rank(word[i : i + 2])) >= 0]
+        """Merges pairs of lowest rank, leftmost first, until no pair of parts is in the vocabulary."""
+        n, rank = len(word), self.merges.get
+        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at a byte; an end of 0 marks a merged one
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(word[i : i + 2])) is not None]
         heapq.heapify(heap)
-        alive = bytearray(b"\1") * n
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, end = heapq.heappop(heap)
-            j = ends[i] if alive[i] else n
-            if j >= n or ends[j] != end:
+            _, i, end = pop(heap)
+            j = ends[i]
+            if not j or j >= n or ends[j] != end:
                 continue  # one of the two has changed since
-            alive[j], ends[i] = 0, end
+            ends[j], ends[i] = 0, end
             if end < n:
                 before[end] = i
-                if (r := self.rank(word[i : ends[end]])) >= 0:
-                    heapq.heappush(heap, (r, i, ends[end]))
-            if (p := before[i]) >= 0 and (r := self.rank(word[p:end])) >= 0:
-                heapq.heappush(heap, (r, p, end))
-        return [self.rank(word[i : ends[i]]) for i in range(n) if alive[i]]
+                if (r := rank(word[i : ends[end]])) is not None:
+                    push(heap, (r, i, ends[end]))
+            if (p := before[i]) >= 0 and (r := rank(word[p:end])) is not None:
+                push(heap, (r, p, end))
+        out, i = [], 0
+        while i < n:
+            out.append(self.merges[word[i : ends[i]]])
+            i = ends[i]
+        return out
 
     def encode(self, word: str) -> bytes:
         raw = word.encode()
@@ -115,16 +121,17 @@ class Ranks:
 
 
 class Remembered(dict):
-    """Encoded matches, at most ``limit``."""
+    """Encoded matches: those asked for since the memory last turned over, and behind them the generation before, each of ``limit`` at most."""
 
     def __init__(self, ranks: Ranks, limit: int) -> None:
         super().__init__()
-        self.ranks, self.limit = ranks, limit
+        self.ranks, self.limit, self.older = ranks, limit, {}
 
     def __missing__(self, word: str) -> bytes:
-        out = self.ranks.encode(word)
+        out = self.older.get(word) or self.ranks.encode(word)
         if len(word) <= 64:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[word] = out
         return out
@@ -136,7 +143,7 @@ _STATE: dict[tuple, Remembered] = {}
 class Codec:
     """Encoder and decoder columns over one vocabulary file."""
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 200_000) -> None:
+    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 400_000) -> None:
         self.ranks = spark.sparkContext.broadcast(Ranks(path))
         self.key, self.pattern, self.remember = (path, pattern, remember), pattern, remember
 

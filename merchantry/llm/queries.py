@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantry.llm import bpe, mixing, ngram_join, quality, sharding, substring, tokens
+from merchantry.llm import bpe, mixing, neighbours, ngram_join, pii, quality, sharding, substring, tokens
 from merchantry.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = tokens.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -45,6 +49,19 @@ def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
+
+    base = F.filter("spans", lambda x: x["base"])
+    counts = (F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS)
+    return docs.withColumn("base", base).select(
+        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
+
+
 def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mixed(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -58,7 +75,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_ngram_join, op2_substring_dedup, op5_token_counts, op6_byte_bpe, op7_host_quality, op9_fair_mix, op10_kd_shards)
+QUERIES = (op1_ngram_join, op2_substring_dedup, op4_cross_polytope, op5_token_counts, op6_byte_bpe, op7_host_quality, op8_personal_data, op9_fair_mix, op10_kd_shards)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
