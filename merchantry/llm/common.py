@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Mapping
 
@@ -29,6 +30,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver drop what is no longer referenced, so that executors delete the shuffle files of finished steps.
+
+    Spark deletes them when the driver's JVM collects its garbage, which a short plan after a large step may not bring about for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def words(text: Column) -> Column:
     """The words of a text, as an array; null gives none. Java splits by a single blank without a regular expression."""
     flat = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))

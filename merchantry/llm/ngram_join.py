@@ -35,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchantry.llm.common import stored
+from merchantry.llm.common import release, stored
 from merchantry.llm.components import components
 from merchantry.llm.windows import mix, shingles
 
 #: Sets of up to this size carry all their shingles along, so that they can be small sets.
 MOST_SMALL = 12
+#: Classes that a task remembers.
+REMEMBER = 200_000
 
 
 def common(n: int, m: int, percent: int) -> int:
@@ -87,18 +89,26 @@ def frequent_shingles(docs: DataFrame, size: int, heavy: int) -> np.ndarray:
 
 
 def classed(docs: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """(id, c, n, tokens): the class of each document, its set's size, and the first shingles of the set in the global order."""
+    """(id, c, n, tokens): the class of each document, its set's size, and the first shingles of the set in the global order.
+
+    A class that a task has met before comes without tokens, so a large group of copies is listed once a task instead of once a copy.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value.view(np.uint64)
         often = np.sort(often)
+        met: set[int] = set()
         for batch in batches:
             cs, ns, tokens, ends = [], [], [], [0]
             for t in batch.column("text").to_pylist():
                 s = shingles(t, size)
-                n = len(s)
-                if n and len(often):
+                n, c = len(s), class_print(s)
+                if c in met:
+                    s = s[:0]
+                elif len(met) < REMEMBER:
+                    met.add(c)
+                if len(s) and len(often):
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     last = often[at] == s
                     ordered = np.concatenate((s[~last], s[last]))
@@ -107,7 +117,7 @@ def classed(docs: DataFrame, size: int, percent: int, heavy: np.ndarray) -> Data
                 keep = ordered if n <= MOST_SMALL else ordered[: prefix_size(n, percent)]
                 tokens.append(keep)
                 ends.append(ends[-1] + len(keep))
-                cs.append(class_print(s))
+                cs.append(c)
                 ns.append(n)
             flat = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
             lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), _signed(flat))
@@ -172,12 +182,12 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(c, text) -> (c, tokens)."""
+    """(c, text) -> (c, tokens) where the text's set is of the class."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [shingles(t, size).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("c"), pa.array(tokens, pa.binary())], ["c", "tokens"])
+            sets = [(c, s) for c, t in zip(batch.column("c").to_pylist(), batch.column("text").to_pylist(), strict=True) if class_print(s := shingles(t, size)) == c]
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in sets], pa.int64()), pa.array([s.tobytes() for _, s in sets], pa.binary())], ["c", "tokens"])
 
     return docs.select("c", "text").mapInArrow(local, "c long, tokens binary")
 
@@ -195,21 +205,27 @@ def groups(
 ) -> DataFrame:
     """(id, n, component): one row per document with the size of its set and its component's smallest identity."""
     docs = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text"))
+    spark = docs.sparkSession
     documents = stored(classed(docs, size, percent, frequent_shingles(docs, size, heavy)), "ngram-classes")
-    classes = documents.filter("n > 0").groupBy("c").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.min("id").alias("id"))
-    histogram = {r["n"]: r["k"] for r in documents.filter(F.col("n").between(1, MOST_SMALL)).groupBy("n").agg(F.countDistinct("c").alias("k")).collect()}
-    lengths = documents.select(F.explode("tokens").alias("t")).agg(F.count("*"), F.approx_count_distinct("t")).first()
+    listed = documents.filter(F.size("tokens") > 0)
+    histogram = {r["n"]: r["k"] for r in listed.filter(F.col("n") <= MOST_SMALL).groupBy("n").agg(F.countDistinct("c").alias("k")).collect()}
+    lengths = listed.select(F.explode("tokens").alias("t")).agg(F.count("*"), F.approx_count_distinct("t")).first()
     boundary = boundary_size(histogram, lengths[0] / max(1, lengths[1]), percent)
 
-    # Both the counting and the join back read one shuffle by list.
-    by_list = postings(classes, boundary, percent).repartition("t")
-    shared = by_list.groupBy("t").agg(F.count("*").alias("k")).filter("k > 1")
-    lists = stored(by_list.join(shared, "t"), "ngram-lists")
-
-    members = lists.select("c").distinct()
-    one = documents.join(members, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    found = docs.join(one.select("c", "id"), "id").dropDuplicates(["c", "id"])
+    # Both the search for lists of several classes and the join back read one shuffle by list.
+    by_list = postings(listed, boundary, percent).repartition("t")
+    shared = by_list.groupBy("t").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("t")
+    lists = stored(by_list.join(shared, "t").distinct(), "ngram-shared")
+    del by_list, shared
+    release(spark)
+    lists = stored(lists.join(lists.groupBy("t").agg(F.count("*").alias("k")), "t"), "ngram-lists")
+
+    members = stored(lists.select("c").distinct(), "ngram-members")
+    one = documents.join(members, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id"))
+    found = docs.join(one, "id").withColumn("x", F.xxhash64("text")).dropDuplicates(["id", "c", "x"])
     sets = stored(whole_sets(found, size), "ngram-sets")
+    del found
+    release(spark)
 
     def candidates(x: DataFrame) -> DataFrame:
         return x.filter((F.col("c") != F.col("d")) & fits(percent)).select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
@@ -230,6 +246,8 @@ def groups(
         now = now.union(tried).distinct() if turn == 0 else now
         new = linked(stored(now, "ngram-pairs"), sets, percent)
         links = stored(new if links is None else links.union(new), "ngram-links")
+        del new
+        release(spark)
         comp = components(links)
         labelled = many.drop("comp").join(comp.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("label", "c")).drop("label")
         mixed = labelled.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("t")
