@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantry.llm import bpe, mixing, neighbours, ngram_join, pii, quality, sharding, substring, tokens
+from merchantry.llm import bpe, html, mixing, neighbours, ngram_join, pii, quality, sharding, substring, tokens
 from merchantry.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.with_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -75,7 +80,7 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_ngram_join, op2_substring_dedup, op4_cross_polytope, op5_token_counts, op6_byte_bpe, op7_host_quality, op8_personal_data, op9_fair_mix, op10_kd_shards)
+QUERIES = (op1_ngram_join, op2_substring_dedup, op3_main_text, op4_cross_polytope, op5_token_counts, op6_byte_bpe, op7_host_quality, op8_personal_data, op9_fair_mix, op10_kd_shards)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
