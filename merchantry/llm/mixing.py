@@ -43,8 +43,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...], budget: float, max_epo
         .withColumn("total", F.sum("source_size").over(whole))
     )
     fill = (F.col("total") * budget - F.col("capped")) / F.col("left_w")
-    # The common level is the first one that no remaining source is capped below; without one, every source is capped.
-    ranked = ranked.withColumn("fill", F.when(fill <= F.col("level"), fill)).withColumn("fill", F.min("fill").over(whole))
+    # The common level is the first one, in order of caps, that the source itself isn't capped below; those after it only fall. Without one, every source is capped.
+    ranked = ranked.withColumn("fill", F.when(fill <= F.col("level"), fill)).withColumn("fill", F.max("fill").over(whole))
     return ranked.select("source", "source_size", F.least("cap", F.coalesce(F.col("fill") * F.col("w"), F.col("cap"))).alias("target"))
 
 

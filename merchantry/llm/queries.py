@@ -60,10 +60,12 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
 
+    def count(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda x: x["base"])
-    counts = (F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS)
     return docs.withColumn("base", base).select(
-        "doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+        "doc_id", *(count(k) for k in pii.KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )
 
 

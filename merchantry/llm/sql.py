@@ -34,7 +34,7 @@ s AS (SELECT source, sum(size)::BIGINT AS source_size,
 c AS (SELECT *, source_size * 2.0::DOUBLE AS cap, source_size * 2.0::DOUBLE / w AS level FROM s),
 k AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS left_w, sum(source_size) OVER () AS total
       FROM c WINDOW b AS (ORDER BY level, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-f AS (SELECT min((total * 1.5::DOUBLE - capped) / left_w) FILTER ((total * 1.5::DOUBLE - capped) / left_w <= level) AS fill FROM k),
+f AS (SELECT max((total * 1.5::DOUBLE - capped) / left_w) FILTER ((total * 1.5::DOUBLE - capped) / left_w <= level) AS fill FROM k),
 t AS (SELECT source, source_size, least(cap, coalesce(fill * w, cap)) AS target FROM k, f),
 r AS (SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY h) AS cum
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
