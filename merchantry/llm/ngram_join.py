@@ -267,7 +267,11 @@ def groups(
 
 
 def one_of_each(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` without the near copies: of each component the rows of its smallest identity stay, one where that row is repeated."""
-    stay = groups(docs, identity=identity, text=text, **how).filter("id = component or component is null").select("id").distinct()
-    kept = docs.join(stay.withColumnRenamed("id", "_stay"), docs[identity].cast("long").eqNullSafe(F.col("_stay")), "left_semi")
-    return kept.dropDuplicates([identity])
+    """``docs`` without the near copies: of each component the row of its smallest identity stays, one where that row is repeated.
+
+    Rows without identity can't be named as the one to stay or to go; they stay.
+    """
+    stay = groups(docs, identity=identity, text=text, **how).filter("id = component").select(F.col("id").alias("_stay_id")).distinct()
+    named = docs.filter(F.col(identity).isNotNull())
+    kept = named.join(stored(stay, "ngram-stay"), named[identity] == F.col("_stay_id"))
+    return kept.dropDuplicates([identity]).select(docs.columns).unionByName(docs.filter(F.col(identity).isNull()))
