@@ -19,7 +19,6 @@ document, both rows get its result; an empty table gives an empty result; other
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchantry.llm.common import stored
-from merchantry.llm.windows import window_prints, word_prints
+from merchantry.llm.common import release, stored
+from merchantry.llm.windows import sequence_print, window_prints, word_prints
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LAST = (1 << 63) - 1
 REMEMBER = 200_000
 
@@ -43,52 +41,44 @@ def _smallest(short: np.ndarray, width: int) -> np.ndarray:
 
 
 def _sequence(words: np.ndarray) -> int:
-    return int(window_prints(words, len(words)).view(np.int64)[0]) if len(words) else 0
+    return int(sequence_print(words).view(np.int64)[0])
 
 
 def _longs(parts: list[np.ndarray]) -> pa.Array:
     return pa.array(np.concatenate(parts).astype(np.int64, copy=False) if parts else np.empty(0, np.int64))
 
 
-def sequences(docs: DataFrame) -> DataFrame:
-    """(id, seq, n, sha): the fingerprint and number of a document's words, and the digest of all of them joined by blanks."""
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seqs, ns, shas = [], [], []
-            for t in batch.column("text").to_pylist():
-                words = word_prints(t)
-                seqs.append(_sequence(words))
-                ns.append(len(words))
-                shas.append(hashlib.sha256(" ".join(WORD.findall(t or "")).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(seqs, pa.int64()), pa.array(ns, pa.int64()), pa.array(shas, pa.string())], ["id", "seq", "n", "sha"])
-
-    return docs.mapInArrow(local, "id long, seq long, n long, sha string")
-
-
-def first_anchors(docs: DataFrame, base: int, window: int) -> DataFrame:
-    """(h, seq, pos): the short windows that stand for the windows of each sequence of words. Copies within a task are skipped."""
+def sequences(docs: DataFrame, base: int, window: int) -> DataFrame:
+    """(id, seq, n, sha, hs, places) in one reading of the texts: the fingerprint and number of a document's words, the digest of all of them joined by blanks, and the fingerprints and places of
+    the short windows that stand for its windows. Of copies within a task only the first comes with windows."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            hs, seqs, places = [], [], []
+            seqs, ns, shas, hs, places, ends = [], [], [], [], [], [0]
             for t in batch.column("text").to_pylist():
                 words = word_prints(t)
                 seq = _sequence(words)
-                if len(words) < window or seq in seen:
-                    continue
-                if len(seen) >= REMEMBER:
-                    seen.clear()
-                seen.add(seq)
-                short = window_prints(words, base)
-                at = np.unique(_smallest(short, window - base + 1))
-                hs.append(short[at].view(np.int64))
-                seqs.append(np.full(len(at), seq, np.int64))
-                places.append(at)
-            yield pa.RecordBatch.from_arrays([_longs(hs), _longs(seqs), _longs(places)], ["h", "seq", "pos"])
-
-    return docs.select("text").mapInArrow(local, "h long, seq long, pos long")
+                seqs.append(seq)
+                ns.append(len(words))
+                shas.append(hashlib.sha256(b" ".join(t.encode().split())).hexdigest())
+                if len(words) >= window and seq not in seen:
+                    if len(seen) >= REMEMBER:
+                        seen.clear()
+                    seen.add(seq)
+                    short = window_prints(words, base)
+                    at = np.unique(_smallest(short, window - base + 1))
+                    hs.append(short[at].view(np.int64))
+                    places.append(at)
+                    ends.append(ends[-1] + len(at))
+                else:
+                    ends.append(ends[-1])
+            offsets = pa.array(np.array(ends, np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, _longs(x)) for x in (hs, places)]
+            cols = [batch.column("id"), pa.array(seqs, pa.int64()), pa.array(ns, pa.int64()), pa.array(shas, pa.string()), *lists]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "seq", "n", "sha", "hs", "places"])
+
+    return docs.mapInArrow(local, "id long, seq long, n long, sha string, hs array<long>, places array<long>")
 
 
 def next_anchors(open_: DataFrame, length: int, shorter: int, window: int) -> DataFrame:
@@ -120,14 +110,14 @@ def cut_out(open_: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             for i, seq, t, was in zip(*(batch.column(x).to_pylist() for x in ("id", "seq", "text", "places")), strict=True):
-                words = WORD.findall(t)
+                words = t.encode().split()
                 edge = np.zeros(len(words) + 1, np.int64)
                 at = np.array(was, np.int64)
                 edge[at] += 1  # starts differ from each other
                 edge[at + window] -= 1
                 stay = np.cumsum(edge[:-1]) == 0
-                kept = " ".join(w for w, s in zip(words, stay, strict=True) if s)
-                out.append((i, seq, int((~stay).sum()), hashlib.sha256(kept.encode()).hexdigest(), kept))
+                kept = b" ".join(w for w, s in zip(words, stay.tolist(), strict=True) if s)
+                out.append((i, seq, int((~stay).sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             names = ["id", "seq", "n_removed", "sha", "kept"]
@@ -142,18 +132,23 @@ def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", w
     if window < base or window % base or (window // base) & (window // base - 1):
         raise ValueError("window must be base times a power of two")
     docs = docs.select(F.coalesce(F.col(identity).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    every = stored(sequences(docs), "sub-documents")
+    spark = docs.sparkSession
+    read = stored(sequences(docs, base, window), "sub-documents")
+    every = read.select("id", "seq", "n", "sha")
     firsts = every.groupBy("seq").agg(F.min("id").alias("first"))
     every = stored(every.join(firsts, "seq"), "sub-first")
 
     # The counting and the join back read one shuffle by fingerprint.
-    anchors = first_anchors(docs, base, window).repartition("h")
+    anchors = read.select("seq", F.explode(F.arrays_zip("hs", "places")).alias("a")).select("seq", F.col("a.hs").alias("h"), F.col("a.places").alias("pos"))
+    anchors = anchors.repartition("h")
     place = F.struct("seq", "pos")
     again = anchors.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x <> y").select("h")
-    alive = anchors.join(again, "h").groupBy("seq").agg(F.collect_set("pos").alias("places"))
+    alive = stored(anchors.join(again, "h").groupBy("seq").agg(F.collect_set("pos").alias("places")), "sub-alive")
+    del anchors, again
+    release(spark)
     open_ids = every.filter("id = first").select("id", "seq").distinct().join(alive, "seq")
-    open_ = docs.join(open_ids, "id").dropDuplicates(["id", "seq"]) if base < window else docs.join(open_ids, "id")
-    open_ = stored(open_, "sub-open")
+    open_ = stored(docs.join(open_ids, "id").dropDuplicates(["id", "seq"]), "sub-open")
+    release(spark)
 
     length = base
     while True:
@@ -169,6 +164,7 @@ def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", w
         if length == window:
             return every, cut_out(left, window)
         open_ = stored(left, "sub-open")
+        release(spark)
 
 
 def deduplicated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 10, with_text: bool = True) -> DataFrame:

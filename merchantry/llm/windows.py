@@ -66,6 +66,12 @@ def window_prints(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out + np.uint64(size))
 
 
+def sequence_print(words: np.ndarray) -> np.ndarray:
+    """A fingerprint of all words in their order, as an array of one."""
+    total = (words * _powers(WORD_STEP, len(words))).sum(keepdims=True)
+    return mix(total + np.uint64(len(words)))
+
+
 def shingles(text: str | None, size: int) -> np.ndarray:
     """The distinct windows of the lower-cased text in order of fingerprint; a shorter text is one window, an empty one has none."""
     words = word_prints(text, lower=True)
