@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -137,15 +138,20 @@ class Remembered(dict):
         return out
 
 
-_STATE: dict[tuple, Remembered] = {}
+#: The memory of a Python worker, by the vocabulary it is for; one at a time.
+_STATE: dict[int, Remembered] = {}
+
+
+_KEYS = itertools.count()
 
 
 class Codec:
     """Encoder and decoder columns over one vocabulary file."""
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 400_000) -> None:
+    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 150_000) -> None:
         self.ranks = spark.sparkContext.broadcast(Ranks(path))
-        self.key, self.pattern, self.remember = (path, pattern, remember), pattern, remember
+        self.pattern, self.remember = pattern, remember
+        self.key = next(_KEYS)
 
     def encode(self, text: Column) -> Column:
         """The ids of a text, as little-endian unsigned 32-bit integers."""
@@ -154,7 +160,10 @@ class Codec:
         @F.pandas_udf("binary")
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             find = regex.compile(pattern)
-            known = _STATE.setdefault(key, Remembered(shared.value, limit))
+            if key not in _STATE:
+                _STATE.clear()
+                _STATE[key] = Remembered(shared.value, limit)
+            known = _STATE[key]
             for batch in batches:
                 yield pd.Series([b"" if not t else b"".join(map(known.__getitem__, find.findall(t))) for t in batch], dtype=object)
 
