@@ -37,12 +37,13 @@ from pyspark.sql import functions as F
 
 from merchantry.llm.common import release, stored
 from merchantry.llm.components import components
-from merchantry.llm.windows import mix, shingles
+from merchantry.llm.windows import all_windows, mix, shingles
 
 #: Sets of up to this size carry all their shingles along, so that they can be small sets.
 MOST_SMALL = 12
 #: Classes that a task remembers.
 REMEMBER = 200_000
+SLOT_BITS = 22
 
 
 def common(n: int, m: int, percent: int) -> int:
@@ -74,13 +75,17 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 
 def frequent_shingles(docs: DataFrame, size: int, heavy: int) -> np.ndarray:
-    """Up to ``heavy`` shingles that are common within batches of documents, by their counts there."""
+    """Up to ``heavy`` shingles that are common within batches of documents, by their counts there. All documents are counted."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, size) for t in batch.column("text").to_pylist()]
-            values, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.empty(0, np.uint64),) * 2
-            often = counts >= 3
+            found = [all_windows(t, size) for t in batch.column("text").to_pylist()]
+            every = np.concatenate(found) if found else np.empty(0, np.uint64)
+            # What shares a slot with few others can't be frequent; only the rest is sorted.
+            slot = (every >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+            every = every[np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= 4]
+            values, counts = np.unique(every, return_counts=True)
+            often = counts >= 4
             yield pa.RecordBatch.from_arrays([_signed(values[often]), pa.array(counts[often].astype(np.int64))], ["t", "n"])
 
     counted = docs.select("text").mapInArrow(local, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
@@ -133,12 +138,15 @@ def class_print(s: np.ndarray) -> int:
 
 
 def postings(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """(t, c, n): inverted lists of first shingles for large sets and their possible partners, and lists of subsets for small sets."""
+    """(t, c, n, i): inverted lists of first shingles for large sets and their possible partners, and lists of subsets for small sets.
+
+    ``i`` is the shingle's place in the set's order; the lists of subsets have no order, there it is 0.
+    """
     n = F.col("n")
     first = n - F.ceil(n * percent / 100).cast("int") + 1
-    lists = classes.filter(100 * n >= percent * (boundary + 1)).select("c", "n", F.explode(F.slice("tokens", F.lit(1), first)).alias("t"))
+    lists = classes.filter(100 * n >= percent * (boundary + 1)).select("c", "n", F.posexplode(F.slice("tokens", F.lit(1), first)).alias("i", "t"))
     if boundary == 0:
-        return lists.select("t", "c", "n")
+        return lists.select("t", "c", "n", "i")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +161,18 @@ def postings(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(cs, pa.int64()), pa.array(ns, pa.int32())], ["t", "c", "n"])
 
     small = classes.filter((n > 0) & (n <= boundary)).select("c", "n", "tokens")
-    return lists.select("t", "c", "n").union(small.mapInArrow(local, "t long, c long, n int"))
+    return lists.select("t", "c", "n", "i").union(small.mapInArrow(local, "t long, c long, n int").withColumn("i", F.lit(0)))
 
 
-def fits(percent: int):
-    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+def candidates(met: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) of classes c and d, sizes n and m, that meet in a list at places i and j and may link.
+
+    Two sets that link do so in the list of their first common shingle too, where what is common can't be more than it and all that follows.
+    """
+    need = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+    may = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= need)
+    pairs = met.filter((F.col("c") != F.col("d")) & may)
+    return pairs.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -220,29 +235,25 @@ def groups(
     release(spark)
     lists = stored(lists.join(lists.groupBy("t").agg(F.count("*").alias("k")), "t"), "ngram-lists")
 
-    members = stored(lists.select("c").distinct(), "ngram-members")
+    other = F.col("c").alias("d"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("t")
+    few, many = lists.filter(F.col("k") <= light), lists.filter(F.col("k") > light)
+    tried = stored(candidates(few.join(few.select(*other), "t").filter("c < d"), percent), "ngram-few")
+    members = stored(tried.select(F.col("a").alias("c")).union(tried.select("b")).union(many.select("c")).distinct(), "ngram-members")
     one = documents.join(members, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id"))
     found = docs.join(one, "id").withColumn("x", F.xxhash64("text")).dropDuplicates(["id", "c", "x"])
     sets = stored(whole_sets(found, size), "ngram-sets")
     del found
     release(spark)
 
-    def candidates(x: DataFrame) -> DataFrame:
-        return x.filter((F.col("c") != F.col("d")) & fits(percent)).select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
-
-    other = F.col("c").alias("d"), F.col("n").alias("m"), F.col("t")
-    few = lists.filter(F.col("k") <= light)
-    tried = candidates(few.join(few.select(*other), "t").filter("c < d"))
-    many = lists.filter(F.col("k") > light)
     links = None
     for turn in range(rounds):
         order = F.xxhash64("c", F.pmod("t", F.lit(4)), F.lit(turn))
-        pivots = many.groupBy("t").agg(F.min(F.struct(order.alias("o"), "c", "n")).alias("p"))
-        with_pivot = many.join(pivots, "t").withColumn("d", F.col("p.c")).withColumn("m", F.col("p.n"))
+        pivots = many.groupBy("t").agg(F.min(F.struct(order.alias("o"), "c", "n", "i")).alias("p"))
+        with_pivot = many.join(pivots, "t").withColumn("d", F.col("p.c")).withColumn("m", F.col("p.n")).withColumn("j", F.col("p.i"))
         if "comp" in many.columns:
             with_pivot = with_pivot.join(comp.select(F.col("node").alias("d"), F.col("label").alias("far")), "d", "left")
             with_pivot = with_pivot.filter(F.col("comp") != F.coalesce("far", "d"))
-        now = candidates(with_pivot)
+        now = candidates(with_pivot, percent)
         now = now.union(tried).distinct() if turn == 0 else now
         new = linked(stored(now, "ngram-pairs"), sets, percent)
         links = stored(new if links is None else links.union(new), "ngram-links")
@@ -256,7 +267,7 @@ def groups(
             break
     else:
         rest = many.join(many.select(*other, F.col("comp").alias("far")), "t").filter("c < d and comp <> far")
-        new = linked(stored(candidates(rest), "ngram-pairs"), sets, percent)
+        new = linked(stored(candidates(rest, percent), "ngram-pairs"), sets, percent)
         links = stored(links.union(new), "ngram-links")
         comp = components(links)
 

@@ -72,9 +72,12 @@ def sequence_print(words: np.ndarray) -> np.ndarray:
     return mix(total + np.uint64(len(words)))
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """The distinct windows of the lower-cased text in order of fingerprint; a shorter text is one window, an empty one has none."""
+def all_windows(text: str | None, size: int) -> np.ndarray:
+    """The windows of the lower-cased text in their order; a shorter text is one window, an empty one has none."""
     words = word_prints(text, lower=True)
-    if not len(words):
-        return words
-    return np.unique(window_prints(words, min(size, len(words))))
+    return window_prints(words, min(size, len(words))) if len(words) else words
+
+
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """The distinct windows of the lower-cased text in order of fingerprint."""
+    return np.unique(all_windows(text, size))
