@@ -124,8 +124,9 @@ def clean_text(c: str | Column) -> Column:
     """Drop tags, web addresses and symbols, then collapse white space."""
     c = F.regexp_replace(col(c), r"<[^>]+>", "")
     c = F.regexp_replace(c, r"http\S+|www\S+", "")
-    c = F.regexp_replace(c, r"[^\p{L}\p{N}_\s.,!?'-]", "")
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    # No-break and other Unicode blanks count as white space.
+    c = F.regexp_replace(c, r"[^\p{L}\p{N}_\s\p{Z}.,!?'-]", "")
+    return F.trim(F.regexp_replace(c, r"[\s\p{Z}]+", " "))
 
 
 def row_key(*cols: str | Column) -> Column:

@@ -56,6 +56,10 @@ def _with_mask(inside: bool) -> Column:
     return F.expr(f"filter(items, (x, i) -> (shiftright(_mask, i) & 1) = {wanted})")
 
 
+#: Itemsets of more items are refused: a set of n items has 2**n - 2 splits.
+MAX_SPLIT = 24
+
+
 def association_rules(itemsets: DataFrame, min_confidence: float = 0.3) -> DataFrame:
     """Every split of every frequent itemset into antecedent and consequent.
 
@@ -64,7 +68,8 @@ def association_rules(itemsets: DataFrame, min_confidence: float = 0.3) -> DataF
     """
     spread = (
         itemsets.filter(F.col("Length") >= 2)
-        .withColumn("_mask", F.explode(F.expr("sequence(1, cast(shiftleft(1, Length) - 2 as int))")))
+        .withColumn("Length", F.when(F.col("Length") <= MAX_SPLIT, F.col("Length")).otherwise(F.raise_error(F.lit("itemset too long to split"))))
+        .withColumn("_mask", F.explode(F.expr("sequence(1L, shiftleft(1L, Length) - 2L)")))
         .select(
             _with_mask(True).alias("antecedent"),
             _with_mask(False).alias("consequent"),
@@ -135,12 +140,20 @@ def rule_summary(exported: DataFrame, confident: float = 0.5, lifted: float = 3.
     )
 
 
+#: Items of an invoice that share a block.
+PAIR_BLOCK = 256
+
+
 def _pair_counts(per_invoice: DataFrame) -> DataFrame:
     """Line pairs per item pair from (InvoiceNo, Item, n) rows."""
-    left = per_invoice.select("InvoiceNo", F.col("Item").alias("ItemA"), F.col("n").alias("nA"))
-    right = per_invoice.select("InvoiceNo", F.col("Item").alias("ItemB"), F.col("n").alias("nB"))
+    # An invoice's items are dealt to blocks, and pairs of blocks are what is joined: a huge invoice is many keys of bounded size.
+    blocks = F.ceil(F.col("d") / PAIR_BLOCK).cast("int")
+    at = F.pmod(F.xxhash64("Item"), blocks)
+    rows = per_invoice.withColumns({"at": at, "other": F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)})
+    left = rows.select("InvoiceNo", "at", F.explode("other").alias("to"), F.col("Item").alias("ItemA"), F.col("n").alias("nA"))
+    right = rows.select("InvoiceNo", F.explode("other").alias("at"), F.col("at").alias("to"), F.col("Item").alias("ItemB"), F.col("n").alias("nB"))
     return (
-        left.join(right, "InvoiceNo")
+        left.join(right, ["InvoiceNo", "at", "to"])
         .filter(F.col("ItemA") < F.col("ItemB"))
         .groupBy("ItemA", "ItemB")
         .agg(F.sum(F.col("nA") * F.col("nB")).alias("CoOccurrence"))
@@ -148,13 +161,13 @@ def _pair_counts(per_invoice: DataFrame) -> DataFrame:
 
 
 def invoice_items(lines: DataFrame, item: str) -> DataFrame:
-    """(InvoiceNo, Item, n, m): line count of each item and the largest one in the invoice, for invoices with two
+    """(InvoiceNo, Item, n, m, d): line count of each item, the largest one and the number of items in the invoice, for invoices with two
     or more items. ``top_pairs`` passes over it several times, so store it as a table first."""
     counts = (
         lines.select("InvoiceNo", F.col(item).alias("Item")).groupBy("InvoiceNo", "Item").agg(F.count("*").alias("n"))
     )
-    widest = counts.groupBy("InvoiceNo").agg(F.max("n").alias("m"), F.count("*").alias("_d")).filter("_d > 1")
-    return counts.join(widest.drop("_d"), "InvoiceNo")
+    widest = counts.groupBy("InvoiceNo").agg(F.max("n").alias("m"), F.count("*").alias("d")).filter("d > 1")
+    return counts.join(widest, "InvoiceNo")
 
 
 def top_pairs(invoices: DataFrame, min_count: int = 5, top: int = 20, seeds: int = 40) -> DataFrame:

@@ -66,6 +66,8 @@ def clean_retail(
         F.col("Customer ID").cast("long").alias("CustomerID"),
         "Country",
     )
+    if dedupe not in ("business_key", "full_row"):
+        raise ValueError(f"unknown way to drop duplicates: {dedupe}")
     lines = dedupe_business_key(lines) if dedupe == "business_key" else lines.dropDuplicates()
     lines = lines.withColumns(
         {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchantry.functions import columns as C
@@ -124,25 +124,43 @@ def dataset_summary(datasets: dict[str, DataFrame], digits: int = 6) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def schema_listing(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """Table, column and type rows from metadata; no data is read."""
-    rows = [(t, i, f.name, f.dataType.simpleString()) for t, df in tables.items() for i, f in enumerate(df.schema)]
-    return spark.createDataFrame(rows, "TableName string, Position int, Column string, Type string")
+def column_profile(df: DataFrame, name: str) -> DataFrame:
+    """Position, type, filled and empty cells, distinct values and text range of every column.
 
-
-def table_profile(df: DataFrame, name: str) -> DataFrame:
-    """Type, null count and distinct estimate per column, joined to the schema listing."""
-    listing = schema_listing(df.sparkSession, {name: df})
+    One pass makes (column, value) groups that combine before the shuffle, so any number of columns needs no distinct aggregate.
+    """
     entries = F.array(
         *[
             F.struct(
-                F.lit(c).alias("Column"),
-                F.count(F.col(c)).alias("NonNull"),
-                F.min(F.col(c).cast("string")).alias("MinText"),
-                F.max(F.col(c).cast("string")).alias("MaxText"),
+                F.lit(i).alias("Position"), F.lit(f.name).alias("Column"), F.lit(f.dataType.simpleString()).alias("Type"),
+                F.col(f"`{f.name}`").cast("string").alias("value"),
             )
-            for c in df.columns
+            for i, f in enumerate(df.schema)
         ]
     )
-    stats = df.agg(entries.alias("e")).select(F.inline("e"))
-    return listing.join(stats, "Column").select("TableName", "Position", "Column", "Type", "NonNull", "MinText", "MaxText")
+    keys = [F.lit(name).alias("TableName"), "Position", "Column", "Type"]
+    values = df.select(F.inline(entries)).groupBy("Position", "Column", "Type", "value").agg(F.count("*").alias("n"))
+    filled = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
+    return (
+        values.groupBy("Position", "Column", "Type")
+        .agg(
+            filled.alias("NonNull"),
+            (F.sum("n") - filled).alias("Nulls"),
+            F.count("value").alias("DistinctValues"),
+            F.min("value").alias("MinText"),
+            F.max("value").alias("MaxText"),
+        )
+        .select(*keys, "NonNull", "Nulls", "DistinctValues", "MinText", "MaxText")
+    )
+
+
+def schema_listing(tables: dict[str, DataFrame]) -> DataFrame:
+    """Table, column and number of filled cells, in one pass per table."""
+    parts = []
+    for name, df in tables.items():
+        entries = [
+            F.struct(F.lit(name).alias("TableName"), F.lit(i).alias("Position"), F.lit(c).alias("Column"), F.count(F.col(c)).alias("NonNull"))
+            for i, c in enumerate(df.columns)
+        ]
+        parts.append(df.agg(F.array(*entries).alias("e")).select(F.inline("e")))
+    return reduce(DataFrame.unionByName, parts)

@@ -91,7 +91,9 @@ def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct count, minimum and maximum as text per column, combined per column before the final merge."""
     entries = F.array(*[F.struct(F.lit(c).alias("Column"), F.col(c).cast("string").alias("value")) for c in columns])
     values = df.select(F.inline(entries)).groupBy("Column", "value").agg(F.lit(1).alias("one"))
-    return values.groupBy("Column").agg(F.count("value").alias("DistinctValues"))
+    return values.groupBy("Column").agg(
+        F.count("value").alias("DistinctValues"), F.min("value").alias("MinText"), F.max("value").alias("MaxText")
+    )
 
 
 def percent_change(df: DataFrame, order: str, column: str, name: str, digits: int = 6) -> DataFrame:

@@ -38,7 +38,7 @@ SETTINGS = Settings(
     round_to=None,
 )
 
-BASKET_TOP, MIN_SUPPORT, MIN_CONFIDENCE = 40, 0.004, 0.05
+BASKET_TOP, MIN_SUPPORT, MIN_CONFIDENCE = 100, 0.004, 0.05
 
 # (word, valence, polarity, subjectivity): the texts are invented, so their frequent words stand in for a lexicon.
 LEXICON = [
@@ -95,6 +95,10 @@ def _add_mining_layers(w: Warehouse) -> None:
         lambda: basket.invoice_items(w["clean_retail"].withColumnRenamed("Invoice", "InvoiceNo"), "Description"),
     )
     w.register("frequent_itemsets", lambda: basket.frequent_itemsets(w["basket_items"], MIN_SUPPORT))
+    w.register(
+        "category_itemsets",
+        lambda: basket.frequent_itemsets(basket.transactions(w["fact_orders"], w["dim_product"], "Category", BASKET_TOP), 0.05),
+    )
     w.register("association_rules", lambda: basket.association_rules(w["frequent_itemsets"], MIN_CONFIDENCE))
     w.register("lexicon", lambda: w.spark.createDataFrame(LEXICON, "Word string, Valence double, Polarity double, Subjectivity double"))
     w.register(
@@ -229,6 +233,16 @@ def _cleaning() -> dict:
         "null_checks": _w(
             lambda w: quality.null_checks(w["final_customer_dataset"], ["TotalItems", "Region", "Country", "ChurnLabel"])
         ),
+        "null_checks_reviews": _w(lambda w: quality.null_checks(w["staging_reviews"], ["Title", "ReviewText", "DepartmentName"])),
+        "fk_orphans_partial": _w(
+            lambda w: quality.orphans(
+                w["fact_orders"],
+                {
+                    "CustomerID": w["dim_customer"].filter("CustomerID % 10 <> 0"),
+                    "ProductID": w["dim_product"].filter("Category <> 'Jewellery'"),
+                },
+            )
+        ),
         "row_integrity": _w(lambda w: quality.row_integrity(w["dim_customer"], w["final_customer_dataset"])),
     }
 
@@ -287,7 +301,7 @@ def _reports() -> dict:
         "warehouse_preview": _w(reports.warehouse_preview),
         "recency_monetary_sample": _w(
             lambda w: clean.sample_rows(
-                w["dim_customer"].select("CustomerID", "Recency", "Monetary", "ChurnLabel"), "CustomerID", 2000
+                w["dim_customer"].select("CustomerID", "Recency", "Monetary", "ChurnLabel"), "CustomerID", 500
             )
         ),
     }
@@ -308,6 +322,16 @@ def _baskets() -> dict:
             )
         ),
         "association_rules": _w(rounded),
+        "category_itemsets": _w(
+            lambda w: w["category_itemsets"].select(
+                F.array_join("items", ", ").alias("Items"), "freq", F.round("Support", 6).alias("Support"), "Length"
+            )
+        ),
+        "category_rules": _w(
+            lambda w: basket.export_rules(basket.association_rules(w["category_itemsets"], 0.3)).withColumns(
+                {c: F.round(c, 6) for c in ("Support", "Confidence", "Lift")}
+            )
+        ),
         "strong_rules": _w(
             lambda w: basket.strong_rules(rules(w), 0.08, 1.2).select(
                 "Antecedent", "Consequent", F.round("Lift", 6).alias("Lift")
@@ -434,10 +458,20 @@ def _profiling() -> dict:
 
     return {
         "schema_listing": _w(
-            lambda w: quality.schema_listing(w.spark, {n: w[n] for n in ("dim_product", "dim_customer", "fact_orders")})
+            lambda w: quality.schema_listing(
+                {
+                    "dim_product": w["dim_product"].select("StockCode", "ProductName", "ImageCategory"),
+                    "fact_orders": w["fact_orders"].select("OrderID", "Quantity"),
+                }
+            )
         ),
         "table_profile": _w(
-            lambda w: quality.table_profile(w["dim_product"].select("StockCode", "ProductName", "Category"), "Dim_Product")
+            lambda w: quality.column_profile(
+                w["dim_product"].select("StockCode", "ProductName", "Category", "ImageCategory"), "Dim_Product"
+            )
+        ),
+        "review_profile": _w(
+            lambda w: quality.column_profile(w["staging_reviews"].select("Title", "DepartmentName", "Rating"), "staging_reviews")
         ),
         "missing_table": _w(lambda w: quality.missing_table(w["staging_reviews"])),
         "describe_numeric": _w(lambda w: stats.describe(w["rfm_table"], ["Recency", "Frequency", "Monetary"])),
@@ -479,7 +513,7 @@ def _segments() -> dict:
     def kmeans(w: Warehouse) -> DataFrame:
         rows = segment.as_vectors(segment.standardise(w["rfm_table"].select("CustomerID", *segment.FEATURES)), segment.FEATURES)
         rows = rows.repartition("CustomerID").sortWithinPartitions("CustomerID")
-        model = segment.best_kmeans(rows, 5, seeds=(42, 43))
+        model = segment.best_kmeans(rows, 5, seeds=range(42, 52))
         assigned = segment.assign(w["rfm_table"], model)
         return segment.label_customers(assigned).select("CustomerID", "Cluster", "RFM_Segment")
 
@@ -500,7 +534,7 @@ def _segments() -> dict:
         "churn_by_segment": _w(lambda w: reports.churn_by_segment(w["segmented_customers"])),
         "segment_profile": _w(lambda w: reports.segment_profile(w["segmented_customers"])),
         "segment_shares": _w(lambda w: segment.segment_shares(w["segmented_customers"])),
-        "kmeans_sweep": _w(lambda w: segment.k_sweep(w["rfm_table"], range(2, 6), seeds=(42,))),
+        "kmeans_sweep": _w(lambda w: segment.k_sweep(w["rfm_table"], range(2, 11), seeds=range(42, 52))),
         "rfm_segments": _w(kmeans),
     }
 

@@ -76,7 +76,7 @@ class Warehouse:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
             df = self._builders[name]()
-            if self.store is not None and not name.startswith("staging_"):
+            if self.store is not None:
                 df = self.store.save(name, df)
             self._tables[name] = df
         return self._tables[name]

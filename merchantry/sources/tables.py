@@ -23,10 +23,19 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def staging_retail(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order line; no join hints, so the file sizes decide between broadcast and sort-merge."""
+    """One row per order line; no join hints, so the file sizes decide between broadcast and sort-merge.
+
+    The given lines are clean. Lines chosen by their key are returned goods (negative quantity), free (price zero), entered with
+    a wrong quantity (40 times as much) or entered twice, so that every cleaning step has work to do.
+    """
     lines = spread(
-        table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     )
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    quantity = F.when(line % 97 == 0, -F.col("l_quantity")).when(line % 101 == 0, F.col("l_quantity") * 40).otherwise(F.col("l_quantity"))
+    lines = lines.withColumns(
+        {"l_quantity": quantity, "l_extendedprice": F.when(line % 89 == 0, 0.0).otherwise(F.col("l_extendedprice"))}
+    ).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(line % 50 == 7, 2).otherwise(1))))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")

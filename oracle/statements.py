@@ -354,7 +354,7 @@ SQL["recency_monetary_sample"] = """
 SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CAST(Recency AS BIGINT) AS Recency, CAST(Monetary AS DOUBLE) AS Monetary,
        CAST(ChurnLabel AS BIGINT) AS ChurnLabel
 FROM dim_customer ORDER BY md5(concat_ws('|', '42', CAST(dim_customer.CustomerID AS VARCHAR))), dim_customer.CustomerID
-LIMIT 2000
+LIMIT 500
 """
 
 # --- baskets -----------------------------------------------------------------------------------------------
@@ -407,7 +407,7 @@ GROUP BY 1, 2, 3, 4 ORDER BY CoOccurrence DESC, Product_A, Product_B LIMIT 20
 
 SQL["clean_text"] = r"""
 SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'),
-         'http\S+|www\S+', '', 'g'), '[^\p{L}\p{N}_\s.,!?''-]', '', 'g'), '\s+', ' ', 'g'))) AS CleanDigest
+         'http\S+|www\S+', '', 'g'), '[^\p{L}\p{N}_\s\p{Z}.,!?''-]', '', 'g'), '[\s\p{Z}]+', ' ', 'g'))) AS CleanDigest
 FROM pages
 """
 
@@ -550,10 +550,62 @@ FROM ranked WHERE rn <= 5
 
 SQL["table_profile"] = """
 SELECT 'Dim_Product' AS TableName, CAST(0 AS BIGINT) AS Position, 'StockCode' AS "Column", 'string' AS Type,
-       count(StockCode) AS NonNull, min(StockCode) AS MinText, max(StockCode) AS MaxText FROM dim_product
-UNION ALL SELECT 'Dim_Product', 1, 'ProductName', 'string', count(ProductName), min(ProductName), max(ProductName)
-FROM dim_product
-UNION ALL SELECT 'Dim_Product', 2, 'Category', 'string', count(Category), min(Category), max(Category) FROM dim_product
+       count(StockCode) AS NonNull, count(*) - count(StockCode) AS Nulls, count(DISTINCT StockCode) AS DistinctValues,
+       min(StockCode) AS MinText, max(StockCode) AS MaxText FROM dim_product
+UNION ALL SELECT 'Dim_Product', 1, 'ProductName', 'string', count(ProductName), count(*) - count(ProductName), count(DISTINCT ProductName),
+       min(ProductName), max(ProductName) FROM dim_product
+UNION ALL SELECT 'Dim_Product', 2, 'Category', 'string', count(Category), count(*) - count(Category), count(DISTINCT Category),
+       min(Category), max(Category) FROM dim_product
+UNION ALL SELECT 'Dim_Product', 3, 'ImageCategory', 'string', count(ImageCategory), count(*) - count(ImageCategory),
+       count(DISTINCT ImageCategory), min(ImageCategory), max(ImageCategory) FROM dim_product
+"""
+
+SQL["review_profile"] = """
+SELECT 'staging_reviews' AS TableName, CAST(0 AS BIGINT) AS Position, 'Title' AS "Column", 'string' AS Type, count(Title) AS NonNull,
+       count(*) - count(Title) AS Nulls, count(DISTINCT Title) AS DistinctValues, min(Title) AS MinText, max(Title) AS MaxText
+FROM staging_reviews
+UNION ALL SELECT 'staging_reviews', 1, 'DepartmentName', 'string', count(DepartmentName), count(*) - count(DepartmentName),
+       count(DISTINCT DepartmentName), min(DepartmentName), max(DepartmentName) FROM staging_reviews
+UNION ALL SELECT 'staging_reviews', 2, 'Rating', 'int', count(Rating), count(*) - count(Rating), count(DISTINCT Rating),
+       min(CAST(Rating AS VARCHAR)), max(CAST(Rating AS VARCHAR)) FROM staging_reviews
+"""
+
+SQL["schema_listing"] = """
+SELECT 'dim_product' AS TableName, CAST(c.i AS BIGINT) AS Position, c.n AS "Column",
+       CASE c.i WHEN 0 THEN count(StockCode) WHEN 1 THEN count(ProductName) ELSE count(ImageCategory) END AS NonNull
+FROM dim_product, (VALUES (0, 'StockCode'), (1, 'ProductName'), (2, 'ImageCategory')) AS c(i, n) GROUP BY c.i, c.n
+UNION ALL SELECT 'fact_orders', CAST(c.i AS BIGINT), c.n, CASE c.i WHEN 0 THEN count(OrderID) ELSE count(Quantity) END
+FROM fact_orders, (VALUES (0, 'OrderID'), (1, 'Quantity')) AS c(i, n) GROUP BY c.i, c.n
+"""
+
+SQL["null_checks_reviews"] = """
+SELECT 'Title' AS "Column", count(*) - count(Title) AS Nulls FROM staging_reviews
+UNION ALL SELECT 'ReviewText', count(*) - count(ReviewText) FROM staging_reviews
+UNION ALL SELECT 'DepartmentName', count(*) - count(DepartmentName) FROM staging_reviews
+"""
+
+SQL["fk_orphans_partial"] = """
+SELECT 'CustomerID' AS ForeignKey, count(*) AS Orphans FROM fact_orders WHERE CAST(CustomerID AS BIGINT) % 10 = 0
+UNION ALL SELECT 'ProductID', count(*) FROM fact_orders JOIN dim_product USING (ProductID) WHERE Category = 'Jewellery'
+"""
+
+SQL["category_itemsets"] = """
+SELECT array_to_string(items, ', ') AS Items, freq, round(Support, 6) AS Support, Length FROM category_sets
+"""
+
+SQL["category_rules"] = """
+SELECT array_to_string(a.items, ', ') AS Antecedent, array_to_string(c.items, ', ') AS Consequent, round(s.Support, 6) AS Support,
+       round(s.freq::DOUBLE / a.freq, 6) AS Confidence, round((s.freq::DOUBLE / a.freq) / (c.freq::DOUBLE / s.n), 6) AS Lift
+FROM category_sets s JOIN category_sets a ON list_has_all(s.items, a.items) AND a.Length < s.Length
+     JOIN category_sets c ON list_has_all(s.items, c.items) AND c.Length = s.Length - a.Length AND NOT list_has_any(a.items, c.items)
+WHERE s.freq::DOUBLE / a.freq >= 0.3
+"""
+
+SQL["display_customers"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, substr(Country, 1, 12) AS CountryLabel,
+       concat('$', format('{:,}', CAST(CAST(Monetary AS DECIMAL(20,0)) AS BIGINT))) AS MonetaryText,
+       concat(Country, ' (', printf('%.1f', Monetary::DOUBLE * 100 / sum(Monetary::DOUBLE) OVER ()), '%)') AS ShareLabel
+FROM (SELECT CustomerID, Country, Monetary FROM dim_customer ORDER BY Monetary DESC, CustomerID LIMIT 10)
 """
 
 SQL["missing_table"] = """
@@ -583,10 +635,11 @@ FROM long GROUP BY c
 """
 
 SQL["distinct_counts"] = """
-SELECT 'CustomerID' AS "Column", count(DISTINCT CustomerID) AS DistinctValues FROM clean_retail
-UNION ALL SELECT 'StockCode', count(DISTINCT StockCode) FROM clean_retail
-UNION ALL SELECT 'Country', count(DISTINCT Country) FROM clean_retail
-UNION ALL SELECT 'Invoice', count(DISTINCT Invoice) FROM clean_retail
+SELECT 'CustomerID' AS "Column", count(DISTINCT CustomerID) AS DistinctValues, min(CAST(CAST(CustomerID AS BIGINT) AS VARCHAR)) AS MinText,
+       max(CAST(CAST(CustomerID AS BIGINT) AS VARCHAR)) AS MaxText FROM clean_retail
+UNION ALL SELECT 'StockCode', count(DISTINCT StockCode), min(StockCode), max(StockCode) FROM clean_retail
+UNION ALL SELECT 'Country', count(DISTINCT Country), min(Country), max(Country) FROM clean_retail
+UNION ALL SELECT 'Invoice', count(DISTINCT Invoice), min(Invoice), max(Invoice) FROM clean_retail
 """
 
 SQL["iqr_filtered"] = """

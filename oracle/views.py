@@ -10,11 +10,13 @@ VIEWS["staging_retail"] = """
 SELECT CASE WHEN o_orderstatus = 'P' THEN concat('C', CAST(o_orderkey AS VARCHAR))
             ELSE CAST(o_orderkey AS VARCHAR) END AS Invoice,
        CAST(l_partkey AS VARCHAR) AS StockCode, concat(' ', p_name, ' ') AS Description,
-       CAST(l_quantity AS INTEGER) AS Quantity, o_orderdate AS InvoiceDate,
-       CAST(l_extendedprice AS DECIMAL(10,2)) AS Price,
+       CAST(CASE WHEN line % 97 = 0 THEN -l_quantity WHEN line % 101 = 0 THEN l_quantity * 40 ELSE l_quantity END AS INTEGER) AS Quantity,
+       o_orderdate AS InvoiceDate,
+       CAST(CASE WHEN line % 89 = 0 THEN 0 ELSE l_extendedprice END AS DECIMAL(10,2)) AS Price,
        CASE WHEN o_custkey % 50 <> 0 THEN o_custkey END AS CustomerID, n_name AS Country
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+FROM (SELECT *, l_orderkey * 10 + l_linenumber AS line FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
+     JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+     JOIN (VALUES (1), (2)) AS copies(copy) ON copy = 1 OR line % 50 = 7
 """
 
 VIEWS["deduped"] = """
@@ -176,7 +178,7 @@ FROM (SELECT InvoiceNo, ProductName, Quantity FROM star
 WHERE ProductName IN (
   SELECT ProductName FROM star
   WHERE InvoiceNo IN (SELECT InvoiceNo FROM fact_orders GROUP BY InvoiceNo HAVING count(DISTINCT ProductID) >= 2)
-  GROUP BY ProductName ORDER BY count(*) DESC, ProductName LIMIT 40)
+  GROUP BY ProductName ORDER BY count(*) DESC, ProductName LIMIT 100)
 """
 
 VIEWS["itemsets"] = """
@@ -196,6 +198,21 @@ FROM (SELECT x.Item AS a, y.Item AS b, z.Item AS c, count(*) AS freq
      (SELECT count(DISTINCT InvoiceNo) AS n FROM basket_items) WHERE freq::DOUBLE / n >= 0.004
 """
 
+VIEWS["category_baskets"] = """
+SELECT InvoiceNo, list_sort(list(DISTINCT Category)) AS items FROM star
+WHERE InvoiceNo IN (SELECT InvoiceNo FROM fact_orders GROUP BY InvoiceNo HAVING count(DISTINCT ProductID) >= 2) AND Quantity > 0
+GROUP BY InvoiceNo
+"""
+
+VIEWS["category_sets"] = """
+SELECT s AS items, count(*) AS freq, n, count(*)::DOUBLE / n AS Support, CAST(len(s) AS BIGINT) AS Length
+FROM (SELECT list_filter(list_transform(range(1, len(a) + 1), lambda i: CASE WHEN (mask >> (i - 1)) & 1 = 1 THEN a[i] END),
+                         lambda x: x IS NOT NULL) AS s
+      FROM (SELECT list_sort(list(DISTINCT Category)) AS a FROM dim_product), range(1, 64) AS masks(mask) WHERE mask < (1 << len(a)))
+     JOIN category_baskets ON list_has_all(category_baskets.items, s), (SELECT count(*) AS n FROM category_baskets)
+GROUP BY s, n HAVING count(*)::DOUBLE / n >= 0.05
+"""
+
 VIEWS["basket_rules"] = """
 SELECT x AS Antecedent, y AS Consequent, p.Support, p.freq::DOUBLE / sx.freq AS Confidence,
        (p.freq::DOUBLE / sx.freq) / (sy.freq::DOUBLE / n) AS Lift
@@ -220,8 +237,8 @@ SELECT ReviewID, w AS Word, lag(w) OVER (PARTITION BY ReviewID ORDER BY pos) AS
 FROM (SELECT ReviewID, unnest(words) AS w, unnest(generate_series(1, len(words))) AS pos
       FROM (SELECT ReviewID, list_filter(list_transform(
               string_split(lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-                ReviewText, '<[^>]+>', '', 'g'), 'http\\S+|www\\S+', '', 'g'), '[^\\p{L}\\p{N}_\\s.,!?''-]', '', 'g'),
-                '\\s+', ' ', 'g'))), ' '),
+                ReviewText, '<[^>]+>', '', 'g'), 'http\\S+|www\\S+', '', 'g'), '[^\\p{L}\\p{N}_\\s\\p{Z}.,!?''-]', '', 'g'),
+                '[\\s\\p{Z}]+', ' ', 'g'))), ' '),
               lambda t: trim(t, '.,!?''-')), lambda t: t <> '') AS words
             FROM clean_reviews))
 """

@@ -2,13 +2,14 @@ import __spark_entry__ as entry
 from merchantry.plans import catalogue
 
 ROWS_ONLY = {
-    "display_customers", "feature_importance", "kmeans_sweep", "model_comparison", "random_search", "rfm_segments",
-    "schema_listing", "vector_classifier_report",
+    "feature_importance", "kmeans_sweep", "model_comparison", "random_search", "rfm_segments", "vector_classifier_report",
 }
+TEXT_PREFIXES = ("op", "pipeline")
 
 
 def test_every_deterministic_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    open_ = {n for n in set(entry.queries()) - set(entry.oracle_sql()) if not n.startswith(TEXT_PREFIXES)}
+    assert open_ == ROWS_ONLY
 
 
 def test_entry_runs(spark):
