@@ -30,6 +30,7 @@ from merchantry.llm.common import release, stored
 from merchantry.llm.windows import sequence_print, window_prints, word_prints
 
 LAST = (1 << 63) - 1
+LOW = (1 << 32) - 1
 REMEMBER = 200_000
 
 
@@ -82,11 +83,14 @@ def sequences(docs: DataFrame, base: int, window: int) -> DataFrame:
 
 
 def next_anchors(open_: DataFrame, length: int, shorter: int, window: int) -> DataFrame:
-    """(h, id, seq, pos) at the next level: the windows of ``length`` that stand for the candidates, whose ``shorter`` windows are at ``places``."""
+    """(h, id, place) at the next level: the windows of ``length`` that stand for the candidates, whose ``shorter`` windows are at ``places``.
+
+    ``place`` has the upper half of the sequence's fingerprint, which tells apart texts of one identity, and the window's start in the lower half.
+    """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hs, ids, seqs, places = [], [], [], []
+            hs, ids, places = [], [], []
             for i, seq, t, was in zip(*(batch.column(x).to_pylist() for x in ("id", "seq", "text", "places")), strict=True):
                 words = word_prints(t)
                 if _sequence(words) != seq:
@@ -96,11 +100,10 @@ def next_anchors(open_: DataFrame, length: int, shorter: int, window: int) -> Da
                 at = np.unique(_smallest(long, window - length + 1)[alive])
                 hs.append(long[at].view(np.int64))
                 ids.append(np.full(len(at), i, np.int64))
-                seqs.append(np.full(len(at), seq, np.int64))
-                places.append(at)
-            yield pa.RecordBatch.from_arrays([_longs(hs), _longs(ids), _longs(seqs), _longs(places)], ["h", "id", "seq", "pos"])
+                places.append((seq >> 32 << 32) + at)
+            yield pa.RecordBatch.from_arrays([_longs(hs), _longs(ids), _longs(places)], ["h", "id", "place"])
 
-    return open_.select("id", "seq", "text", "places").mapInArrow(local, "h long, id long, seq long, pos long")
+    return open_.select("id", "seq", "text", "places").mapInArrow(local, "h long, id long, place long")
 
 
 def cut_out(open_: DataFrame, window: int) -> DataFrame:
@@ -126,7 +129,7 @@ def cut_out(open_: DataFrame, window: int) -> DataFrame:
     return open_.select("id", "seq", "text", "places").mapInArrow(local, "id long, seq long, n_removed long, sha string, kept string")
 
 
-def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 10) -> tuple[DataFrame, DataFrame]:
+def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 5) -> tuple[DataFrame, DataFrame]:
     """Two tables: (id, seq, n, sha, first) of all documents, ``first`` the identity of the first copy of the words; and (id, seq, n_removed, sha, kept) of the
     first copies that lose words."""
     if window < base or window % base or (window // base) & (window // base - 1):
@@ -154,20 +157,20 @@ def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", w
     while True:
         shorter, length = length, min(2 * length, window)
         found = stored(next_anchors(open_, length, shorter, window), "sub-windows")
-        place = F.struct("id", "seq", "pos")
-        spans = found.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x <> y")
-        both = found.join(spans.select(F.col("h").alias("g"), "x"), F.col("h") == F.col("g"))
+        place = F.struct("id", "place")
+        spans = found.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("k")).filter("k > 1")
+        both = found.join(spans.select(F.col("h").alias("g"), "first"), F.col("h") == F.col("g"))
         if length == window:
-            both = both.filter(place > F.col("x"))
-        alive = both.groupBy("id", "seq").agg(F.collect_set("pos").alias("places"))
-        left = open_.drop("places").join(alive, ["id", "seq"])
+            both = both.filter(place > F.col("first"))
+        alive = both.groupBy("id", F.shiftright("place", 32).alias("half")).agg(F.collect_set(F.col("place").bitwiseAND(LOW)).alias("places"))
+        left = open_.drop("places").withColumn("half", F.shiftright("seq", 32)).join(alive, ["id", "half"]).drop("half")
         if length == window:
             return every, cut_out(left, window)
         open_ = stored(left, "sub-open")
         release(spark)
 
 
-def deduplicated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 10, with_text: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 5, with_text: bool = True) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) and, with ``with_text``, what is left of the text, one row per document.
 
     Untouched texts come with ``kept`` null: their words are the input's.

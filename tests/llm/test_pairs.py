@@ -101,7 +101,7 @@ def brute_removed(rows, window):
     return out
 
 
-@pytest.mark.parametrize("how", [{}, {"base": 5}, {"window": 8, "base": 8}])
+@pytest.mark.parametrize("how", [{}, {"base": 10}, {"window": 8, "base": 8}])
 def test_removed_words_are_those_of_brute_force(spark, how):
     rows = [(i * 7 % 1000, t) for i, t in corpus(2)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
