@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -67,10 +67,15 @@ class Sizes:
     )
 
 
-def estimators(width: int, sizes: Sizes, seed: int = 42) -> dict[str, Estimator]:
-    """The six base models. The SVM works on random Fourier features of the same rows."""
+#: The inverse strengths C of the linear models' penalties; the penalty per row is 1 / (C rows).
+LOGISTIC_C, SVM_C = 1.0, 2.0
+
+
+def estimators(width: int, sizes: Sizes, seed: int = 42, rows: int | None = None) -> dict[str, Estimator]:
+    """The six base models. The SVM works on random Fourier features of the same rows. ``rows``: the number of training rows."""
+    per_row = 1.0 / rows if rows else 0.001
     return {
-        "Logistic Regression": LogisticRegression(maxIter=sizes.linear_iter, regParam=0.0, weightCol="weight"),
+        "Logistic Regression": LogisticRegression(maxIter=sizes.linear_iter, regParam=per_row / LOGISTIC_C, weightCol="weight"),
         "Random Forest": RandomForestClassifier(
             numTrees=sizes.forest_trees, maxDepth=sizes.forest_depth, weightCol="weight", seed=seed
         ),
@@ -82,7 +87,7 @@ def estimators(width: int, sizes: Sizes, seed: int = 42) -> dict[str, Estimator]
             maxIter=sizes.gradient_trees, maxDepth=sizes.gradient_depth, stepSize=sizes.gradient_rate,
             subsamplingRate=0.8, minInstancesPerNode=5, seed=seed,
         ),
-        "SVM": LinearSVC(featuresCol="fourier", maxIter=sizes.linear_iter, regParam=0.001, weightCol="weight"),
+        "SVM": LinearSVC(featuresCol="fourier", maxIter=sizes.linear_iter, regParam=per_row / SVM_C, weightCol="weight"),
         "MLP Neural Network": MultilayerPerceptronClassifier(
             layers=[width, *sizes.hidden, 2], maxIter=sizes.network_iter, seed=seed
         ),
@@ -179,7 +184,7 @@ def base_scores(data: DataFrame, width: int, sizes: Sizes, seed: int = 42, searc
     train = data.filter("split = 'train'")
     rest = data.filter("split <> 'train'")
     parts, fitted = [], {}
-    for name, estimator in estimators(width, sizes, seed).items():
+    for name, estimator in estimators(width, sizes, seed, train.count()).items():
         start = time.time()
         grid = {"Random Forest": sizes.forest_grid, "XGBoost": sizes.boost_grid}.get(name)
         if search and grid:
@@ -246,19 +251,27 @@ def compare(scores: DataFrame, times: dict[str, float] | None = None) -> DataFra
 
 
 def churn_comparison(
-    data: DataFrame, width: int, sizes: Sizes, seed: int = 42, search: bool = False, stacking: bool = True
+    data: DataFrame,
+    width: int,
+    sizes: Sizes,
+    seed: int = 42,
+    search: bool = True,
+    stacking: bool = True,
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
 ) -> tuple[DataFrame, DataFrame, dict]:
-    """(comparison, scores, fitted) of the base models and both ensembles.
+    """(comparison, scores, fitted) of the base models, two of them tuned by random search, and both ensembles.
 
-    ``data`` is the output of ``prepare``. Every model passes over it many times, so store it as a table first."""
+    ``data`` is the output of ``prepare``. Every model passes over it many times, so store it as a table first. ``store`` writes the scores, which
+    thresholds, metrics and AUC then read instead of running all models again."""
     scores, fitted = base_scores(data, width, sizes, seed, search)
+    scores = store("base_scores", scores)
     vote = evaluate.soft_vote(scores, K.VOTING_WEIGHTS, ("CustomerID", "split")).select(
         "CustomerID", "label", "split", F.lit("Voting Ensemble").alias("Model"), "score"
     )
     parts = [scores, vote]
     if stacking:
         parts.append(stack(data, fitted, sizes.stack_folds))
-    every = reduce(DataFrame.unionByName, parts)
+    every = store("trained_scores", reduce(DataFrame.unionByName, parts))
     return compare(every, {n: f[1] for n, f in fitted.items()}), every, fitted
 
 

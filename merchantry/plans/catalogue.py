@@ -575,15 +575,18 @@ def _models() -> dict:
     def trained(w: Warehouse):
         if not hasattr(w, "_trained"):
             names = churn.model_table(w["churn_features"])[1]
-            w._trained = (models.churn_comparison(w["churn_training"], len(names), SIZES), names)
+            w._trained = (models.churn_comparison(w["churn_training"], len(names), SIZES, store=w.store.save), names)
         return w._trained
 
     def searched(w: Warehouse) -> DataFrame:
         names = churn.model_table(w["churn_features"])[1]
         rows = w["churn_training"].filter("split = 'train'")
-        estimator = models.estimators(len(names), SIZES)["Random Forest"]
-        _, accuracy = models.random_search(rows, estimator, SIZES.forest_grid, SIZES.search_draws, SIZES.search_folds)
-        return w.spark.createDataFrame([("Random Forest", accuracy)], "Model string, CvAccuracy double")
+        known = models.estimators(len(names), SIZES)
+        found = [
+            (name, models.random_search(rows, known[name], grid, SIZES.search_draws, SIZES.search_folds)[1])
+            for name, grid in (("Random Forest", SIZES.forest_grid), ("XGBoost", SIZES.boost_grid))
+        ]
+        return w.spark.createDataFrame(found, "Model string, CvAccuracy double")
 
     def importance(w: Warehouse) -> DataFrame:
         (_, _, fitted), names = trained(w)
@@ -591,7 +594,7 @@ def _models() -> dict:
 
     def vector_report(spark: SparkSession, folder: str) -> DataFrame:
         data = tables.labelled_vectors(spark, folder)
-        return present(evaluate.class_report(models.vector_classifier(data, 64, 10, (32,), 60)))
+        return present(evaluate.class_report(models.vector_classifier(data, 64, 10)))
 
     return {
         "churn_features": _w(features),
