@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Mapping
 
@@ -19,26 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet below the cluster's shared folder and return a reader of it.
 
-    Later plans start from these files, so a lost executor costs its own tasks only, and their size is known to the planner.
+    Later plans start from these files, so a lost executor costs its own tasks only, and their size is known to the planner. The writing job's
+    shuffle files are deleted when it ends, as nothing reads them again; otherwise they would stay until the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Have the driver drop what is no longer referenced, so that executors delete the shuffle files of finished steps.
-
-    Spark deletes them when the driver's JVM collects its garbage, which a short plan after a large step may not bring about for long.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def words(text: Column) -> Column:
     """The words of a text, as an array; null gives none. Java splits by a single blank without a regular expression."""
     flat = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))
