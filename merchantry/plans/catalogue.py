@@ -25,7 +25,7 @@ from merchantry.operators import (
     stats,
 )
 from merchantry.operators.ordered import exact_quantiles
-from merchantry.plans import reports
+from merchantry.plans import reports, roundtrips
 from merchantry.plans.warehouse import Settings, Warehouse
 from merchantry.sources import files, tables
 from merchantry.sources.store import TableStore
@@ -622,5 +622,15 @@ def _models() -> dict:
     }
 
 
+def _sources() -> dict:
+    return {
+        "csv_staging": _w(roundtrips.csv_staging),
+        "rejected_lines": _w(roundtrips.rejected_lines),
+        "replaced_table": _w(roundtrips.replaced_table),
+        "first_csv": _w(roundtrips.first_csv),
+        "review_names": _w(roundtrips.review_names),
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**_cleaning(), **_customers(), **_reports(), **_baskets(), **_sentiments(), **_recommendations(), **_profiling(), **_segments(), **_models()}
+    return {**_cleaning(), **_customers(), **_reports(), **_baskets(), **_sentiments(), **_recommendations(), **_profiling(), **_segments(), **_models(), **_sources()}

@@ -75,7 +75,8 @@ def insert_into(df: DataFrame, path: str, schema: T.StructType) -> None:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """One folder of CSV parts with headers, written by the executors."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    exact = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # else the writer trims text
+    df.write.mode("overwrite").option("header", True).option("escape", '"').options(**exact).csv(path)
 
 
 def split_rejects(df: DataFrame, condition) -> tuple[DataFrame, DataFrame]:

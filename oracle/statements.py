@@ -883,5 +883,31 @@ SELECT Model, round(2 * tp::DOUBLE / (pred + pos), 6) AS F1_Score FROM test_metr
 """
 
 
+SQL["csv_staging"] = """
+SELECT Country, count(*) AS Lines, CAST(sum(Quantity) AS BIGINT) AS Quantity, CAST(sum(Quantity * Price) AS DOUBLE) AS Amount,
+       count(*) - count(CustomerID) AS Unknown, CAST(sum(length(Description)) AS BIGINT) AS TextChars,
+       strftime(max(InvoiceDate), '%Y-%m-%d %H:%M:%S') AS LastDate
+FROM staging_retail GROUP BY Country
+"""
+
+SQL["rejected_lines"] = """
+SELECT CASE WHEN Quantity <= 0 OR Price <= 0 THEN 'rejected' ELSE 'kept' END AS Output, count(*) AS Lines,
+       CAST(sum(Quantity) AS BIGINT) AS Quantity
+FROM staging_retail GROUP BY 1
+"""
+
+SQL["replaced_table"] = """
+SELECT DayOfWeek, count(*) AS Days, CAST(sum(IsWeekend) AS BIGINT) AS Weekend FROM dim_time
+WHERE DayOfWeek IN ('Friday', 'Saturday', 'Sunday') GROUP BY DayOfWeek
+"""
+
+SQL["first_csv"] = "SELECT Country, Region FROM dim_location"
+
+SQL["review_names"] = """
+SELECT ReviewID, CAST(Age AS DOUBLE) AS Age, Rating + 0.5::DOUBLE AS Stars, TRY_CAST(DepartmentName AS DOUBLE) AS Department
+FROM staging_reviews
+"""
+
+
 def statements() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in SQL.items()}
