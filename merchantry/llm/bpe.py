@@ -148,7 +148,7 @@ _KEYS = itertools.count()
 class Codec:
     """Encoder and decoder columns over one vocabulary file."""
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 150_000) -> None:
+    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 100_000) -> None:
         self.ranks = spark.sparkContext.broadcast(Ranks(path))
         self.pattern, self.remember = pattern, remember
         self.key = next(_KEYS)

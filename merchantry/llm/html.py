@@ -313,6 +313,8 @@ def labelled_pages(n: int, seed: int) -> list[tuple[str, list[int]]]:
         if style < 0.35 and element:
             return f"<{element}>{body}</{element}>"
         attr = f'class="{name}"' if r.random() < 0.6 else f'id="{name}"' if r.random() < 0.6 else f'class="{words(1, 1)} {name}"'
+        if r.random() < 0.08:
+            return f"<table><tr><td {attr}>{body}</td></tr></table>"
         tag = element if element and r.random() < 0.4 else str(r.choice(["div", "div", "div", "section"]))
         return f"<{tag} {attr}>{body}</{tag}>"
 
@@ -325,7 +327,7 @@ def labelled_pages(n: int, seed: int) -> list[tuple[str, list[int]]]:
             body = items(2, 8, lambda: link(words(1, 2))) if r.random() < 0.75 else " | ".join(link(words(1, 2)) for _ in range(4))
             return named(kind, names, body, "nav")
         if kind == "header":
-            return named(kind, names, f"<{'h1' if r.random() < 0.2 else 'div'}>{words(1, 4)}</{'div'}><p>{words(2, 8)}</p>" + (items(2, 5, lambda: link(words(1, 2))) if r.random() < 0.4 else ""), "header")
+            return named(kind, names, f"<{'h1' if r.random() < 0.4 else 'div'}>{words(1, 4)}</{'div'}><p>{words(2, 8)}</p>" + (items(2, 5, lambda: link(words(1, 2))) if r.random() < 0.4 else ""), "header")
         if kind == "footer":
             mark = str(r.choice(["&copy; ", "© ", "(c) ", ""]))
             body = f"{mark}{words(1, 2)}.example.com &middot; {sentence()}" if r.random() < 0.5 else f"<p>{mark}20{r.integers(10, 26)} {words(1, 4)}</p>" + items(1, 5, lambda: link(words(1, 3)))
@@ -342,7 +344,7 @@ def labelled_pages(n: int, seed: int) -> list[tuple[str, list[int]]]:
             return named(kind, names, (f"<p>{sentence()}</p>" if r.random() < 0.5 else "") + body, "")
         if kind == "comments":
             name = str(r.choice(names))
-            one = lambda: f'<div class="{r.choice(["comment", "comment-body", "reply"])}"><b>{words(1, 2)}</b><p>{prose(1, 4)}</p></div>'
+            one = lambda: f'<div class="{r.choice(["comment", "comment-body", "reply"])}"><b>{words(1, 2)}</b><p>{prose(1, 4) if r.random() < 0.7 else sentence(1, 3)}</p></div>'
             listed = "".join(one() for _ in range(r.integers(1, 5)))
             if r.random() < 0.3:
                 listed = "<ol>" + "".join(f"<li><p>{prose(1, 3)}</p></li>" for _ in range(r.integers(1, 4))) + "</ol>"
@@ -389,6 +391,8 @@ def labelled_pages(n: int, seed: int) -> list[tuple[str, list[int]]]:
             inner = f"<main>{inner}</main>"
         elif u < 0.6:
             inner = f'<main><article class="{r.choice(MAIN_NAMES)}">{inner}</article></main>'
+        elif u < 0.64:
+            inner = f'<table><tr><td class="{r.choice(MAIN_NAMES)}">{inner}</td></tr></table>'
         elif u < 0.95:
             inner = f'<div {r.choice(["id", "class"])}="{r.choice(MAIN_NAMES)}">{inner}</div>'
         if r.random() < 0.3:
@@ -405,7 +409,7 @@ def labelled_pages(n: int, seed: int) -> list[tuple[str, list[int]]]:
 
 
 @lru_cache(maxsize=2)
-def default_field(pages: int = 400, seed: int = 5) -> Field:
+def default_field(pages: int = 450, seed: int = 5) -> Field:
     made = []
     for page, labels in labelled_pages(pages, seed):
         rows = features(blocks(page))
