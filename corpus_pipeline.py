@@ -16,7 +16,7 @@ from merchantry.llm.common import stored, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules go, and those of rejected hosts."""
-    return quality.judge(docs).filter("kept").select("row.*")
+    return quality.kept_documents(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

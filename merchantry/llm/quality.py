@@ -68,6 +68,16 @@ def host_verdicts(judged: DataFrame, *, max_host_rate: float) -> DataFrame:
     return hosts.select("_host", "n", "failed", rate.alias("rate"), (rate > max_host_rate).alias("_host_rejected"))
 
 
+def _with_row(docs: DataFrame, text: str, host: str, carry: list[str] | None) -> DataFrame:
+    kept = [F.col(c) for c in (docs.columns if carry is None else carry)]
+    return docs.select(F.struct(*kept).alias("row"), F.col(text).alias("_text"), F.col(host).alias("_host"))
+
+
+def _failed(min_words: int, max_repeat: int) -> Column:
+    m = F.col("_m")
+    return (m["n_words"] < min_words) | (100 * m["n_repeat_words"] > max_repeat * m["n_words"])
+
+
 def judge(
     docs: DataFrame,
     *,
@@ -83,11 +93,8 @@ def judge(
     The measures are written once; the hosts' counts and the verdicts both read that table. The hosts' table is written too, so the planner knows its size:
     a small one is broadcast, a large one is joined by host with hot hosts split by adaptive execution.
     """
-    kept = [F.col(c) for c in (docs.columns if carry is None else carry)]
-    rows = docs.select(F.struct(*kept).alias("row"), F.col(text).alias("_text"), F.col(host).alias("_host"))
-    m = F.col("_m")
-    failed = (m["n_words"] < min_words) | (100 * m["n_repeat_words"] > max_repeat * m["n_words"])
-    judged = measured(rows, F.col("_text")).withColumn("_failed", failed).select("row", "_host", "_m", "_failed")
+    rows = _with_row(docs, text, host, carry)
+    judged = measured(rows, F.col("_text")).withColumn("_failed", _failed(min_words, max_repeat)).select("row", "_host", "_m", "_failed")
     judged = stored(judged, "quality")
     hosts = stored(host_verdicts(judged, max_host_rate=max_host_rate).select(F.col("_host").alias("_h"), "_host_rejected"), "hosts")
     out = judged.join(hosts, judged["_host"].eqNullSafe(hosts["_h"]), "left")
@@ -97,3 +104,18 @@ def judge(
         F.col("_failed").alias("base_failed"),
         (~F.col("_failed") & ~F.coalesce(F.col("_host_rejected"), F.lit(False))).alias("kept"),
     )
+
+
+def kept_documents(
+    docs: DataFrame, *, text: str = "text", host: str = "source", min_words: int = 50, max_repeat: int = 50, max_host_rate: float = 0.9
+) -> DataFrame:
+    """The documents that :func:`judge` keeps, with their own columns.
+
+    Texts are measured twice, once for the hosts' counts and once to filter, so that no copy of them is written in between.
+    """
+    failed = _failed(min_words, max_repeat)
+    counted = measured(docs.select(F.col(text).alias("_text"), F.col(host).alias("_host")), F.col("_text")).select("_host", failed.alias("_failed"))
+    hosts = stored(host_verdicts(counted, max_host_rate=max_host_rate).select(F.col("_host").alias("_h"), "_host_rejected"), "hosts")
+    rows = measured(_with_row(docs, text, host, None), F.col("_text")).filter(~failed)
+    out = rows.join(hosts, rows["_host"].eqNullSafe(hosts["_h"]), "left")
+    return out.filter(~F.coalesce(F.col("_host_rejected"), F.lit(False))).select("row.*")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from merchantry.llm import mixing, quality, sharding
 from merchantry.llm.common import weighted_cuts
@@ -49,6 +50,9 @@ def test_measures_and_verdicts(spark):
         want.append((i, *m, m[0] < 50 or 100 * m[4] > 50 * m[0]))
     assert sorted(tuple(r)[:-1] for r in got) == sorted(want)
     assert all(not (r["kept"] and r["base_failed"]) for r in got)
+    kept = quality.kept_documents(df.withColumn("kept", F.lit(1)))
+    assert kept.columns == [*df.columns, "kept"]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in got if r["kept"])
 
 
 def test_a_bad_host_goes_with_its_good_pages(spark):
