@@ -116,6 +116,8 @@ def kept_documents(
     failed = _failed(min_words, max_repeat)
     counted = measured(docs.select(F.col(text).alias("_text"), F.col(host).alias("_host")), F.col("_text")).select("_host", failed.alias("_failed"))
     hosts = stored(host_verdicts(counted, max_host_rate=max_host_rate).select(F.col("_host").alias("_h"), "_host_rejected"), "hosts")
-    rows = measured(_with_row(docs, text, host, None), F.col("_text")).filter(~failed)
+    # As a generator and not as a filter: the planner would push a filter down and repeat the measures inside it.
+    passed = F.explode(F.when(~failed, F.array(F.struct("row", "_host")))).alias("p")
+    rows = measured(_with_row(docs, text, host, None), F.col("_text")).select(passed).select("p.row", "p._host")
     out = rows.join(hosts, rows["_host"].eqNullSafe(hosts["_h"]), "left")
     return out.filter(~F.coalesce(F.col("_host_rejected"), F.lit(False))).select("row.*")
