@@ -62,12 +62,14 @@ def churn_features(customers: DataFrame, behaviour: DataFrame, limit_digits: int
     return winsorise(derive(rows, limits), WINSORISED, limits=limits)
 
 
-def encode_labels(df: DataFrame, column: str) -> DataFrame:
+def encode_labels(df: DataFrame, column: str, most: int = 1000) -> DataFrame:
     """Number the values of a text column in alphabetical order, null as 'Unknown'.
 
-    The distinct values are few by nature (regions); the sorted list becomes a literal."""
+    The sorted list of values becomes a literal; a column with more than ``most`` of them is refused."""
     value = F.coalesce(column, F.lit("Unknown"))
-    names = sorted(r["v"] for r in df.select(value.alias("v")).distinct().collect())
+    names = sorted(r["v"] for r in df.select(value.alias("v")).distinct().limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError(f"{column} has more than {most} values")
     return df.withColumn(column, (C.rank_in(value, names) - 1).cast("int"))
 
 

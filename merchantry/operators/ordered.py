@@ -22,18 +22,28 @@ RANGE_ROWS = 50_000
 MAX_RANGES = 1024
 
 
+#: Keys that grouped operators here may have: one row of figures per key goes through the driver.
+MAX_KEYS = 1000
+
+
+def few_rows(df: DataFrame) -> list:
+    """The rows of a small table; more than MAX_KEYS are refused."""
+    rows = df.limit(MAX_KEYS + 1).collect()
+    if len(rows) > MAX_KEYS:
+        raise ValueError(f"more than {MAX_KEYS} keys")
+    return rows
+
+
 def _survey(df: DataFrame, value: str, totals: Sequence[str], by: Sequence[str]) -> list:
     """Per key: number of rows, totals and approximate cut points. A few rows of numbers reach the driver, and
     because they become literals a recomputed task sees the very same ranges."""
     probs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    return (
-        df.groupBy(*by)
-        .agg(
+    return few_rows(
+        df.groupBy(*by).agg(
             F.count("*").alias("_rows"),
             *[F.sum(t).alias(f"_sum_{t}") for t in totals],
             F.percentile_approx(F.col(value).cast("double"), probs, MAX_RANGES * 4).alias("_cuts"),
         )
-        .collect()
     )
 
 
@@ -188,7 +198,7 @@ def _quantile_values(
     sizes = df.groupBy(*by).agg(*[F.count(F.col(c).cast("double")).alias(f"_n{i}") for i, c in enumerate(columns)])
     places: dict[tuple, _Place] = {}
     wanted = []
-    for row in sizes.collect():
+    for row in few_rows(sizes):
         key = tuple(row[b] for b in by)
         for i, c in enumerate(columns):
             n = row[f"_n{i}"]

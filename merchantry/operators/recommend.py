@@ -162,6 +162,10 @@ def _level(c: Column) -> Column:
     return F.floor(c * LEVELS).cast("int")
 
 
+#: The largest table of head customers that is sent to every task.
+HEAD_BYTES = 256 << 20
+
+
 def neighbours(triples: DataFrame, n_items: int = 200, k: int = 10, head: int = 64) -> DataFrame:
     """Exact ``k`` most similar customers (CustomerID, NeighbourID, Similarity, Rank); ties to the smaller number.
 
@@ -179,6 +183,8 @@ def neighbours(triples: DataFrame, n_items: int = 200, k: int = 10, head: int =
         .orderBy("pid")
         .toPandas()
     )
+    if len(chosen) * n_items * 8 > HEAD_BYTES:
+        raise ValueError("the table of head customers is too large to broadcast: lower head or n_items")
     edge_rows = head_rows.groupBy("i").agg(F.count("*").alias("c"), F.min("u").alias("edge")).collect()
     if chosen.empty:
         empty = "CustomerID long, NeighbourID long, Similarity double, Rank int"

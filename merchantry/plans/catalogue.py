@@ -398,6 +398,7 @@ def _recommendations() -> dict:
         "user_item_summary": _w(lambda w: recommend.matrix_summary(w["purchase_weights"])),
         "similarity_summary": _w(lambda w: recommend.similarity_summary(w["purchase_weights"])),
         "user_similarity_topk": _w(lambda w: rounded(w["neighbours"], "Similarity")),
+        "user_similarity_tail": _w(lambda w: rounded(recommend.neighbours(w["purchase_weights"], head=2), "Similarity")),
         "collab_recs": _w(
             lambda w: rounded(
                 recommend.collaborative(w["purchase_weights"], w["top_items"], w["neighbours"]), "Collaborative_Score"
