@@ -38,6 +38,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table_: DataFrame) -> None:
+    """Delete a table that :func:`stored` wrote and that no later step reads."""
+    spark = table_.sparkSession
+    folder = f"/llm/{spark.sparkContext.applicationId}/"
+    for name in table_.inputFiles()[:1]:
+        top, _, rest = name.partition(folder)
+        if rest:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top + folder + rest.split("/")[0])
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words(text: Column) -> Column:
     """The words of a text, as an array; null gives none. Java splits by a single blank without a regular expression."""
     flat = F.translate(F.coalesce(text, F.lit("")), SPACES[1:], " " * (len(SPACES) - 1))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchantry.llm.common import stored
+from merchantry.llm.common import discard, stored
 from merchantry.llm.components import components
 from merchantry.llm.windows import all_windows, mix, shingles
 
@@ -230,7 +230,12 @@ def groups(
     by_list = postings(listed, boundary, percent).repartition("t")
     shared = by_list.groupBy("t").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("t")
     lists = stored(by_list.join(shared, "t").distinct(), "ngram-shared")
+    shared_lists = lists
     lists = stored(lists.join(lists.groupBy("t").agg(F.count("*").alias("k")), "t"), "ngram-lists")
+    discard(shared_lists)
+    slim = stored(documents.select("id", "c", "n"), "ngram-slim")
+    discard(documents)
+    documents = slim
 
     other = F.col("c").alias("d"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("t")
     few, many = lists.filter(F.col("k") <= light), lists.filter(F.col("k") > light)

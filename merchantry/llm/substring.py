@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchantry.llm.common import stored
+from merchantry.llm.common import discard, stored
 from merchantry.llm.windows import sequence_print, window_prints, word_prints
 
 LAST = (1 << 63) - 1
@@ -129,7 +129,7 @@ def cut_out(open_: DataFrame, window: int) -> DataFrame:
     return open_.select("id", "seq", "text", "places").mapInArrow(local, "id long, seq long, n_removed long, sha string, kept string")
 
 
-def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 5) -> tuple[DataFrame, DataFrame]:
+def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 10) -> tuple[DataFrame, DataFrame]:
     """Two tables: (id, seq, n, sha, first) of all documents, ``first`` the identity of the first copy of the words; and (id, seq, n_removed, sha, kept) of the
     first copies that lose words."""
     if window < base or window % base or (window // base) & (window // base - 1):
@@ -147,6 +147,7 @@ def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", w
     again = anchors.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x <> y").select("h")
     alive = stored(anchors.join(again, "h").groupBy("seq").agg(F.collect_set("pos").alias("places")), "sub-alive")
     open_ids = every.filter("id = first").select("id", "seq").distinct().join(alive, "seq")
+    discard(read)
     open_ = stored(docs.join(open_ids, "id").dropDuplicates(["id", "seq"]), "sub-open")
 
     length = base
@@ -160,12 +161,15 @@ def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", w
             both = both.filter(place > F.col("first"))
         alive = both.groupBy("id", F.shiftright("place", 32).alias("half")).agg(F.collect_set(F.col("place").bitwiseAND(LOW)).alias("places"))
         left = open_.drop("places").withColumn("half", F.shiftright("seq", 32)).join(alive, ["id", "half"]).drop("half")
+        left = stored(left, "sub-open")
+        discard(found)
+        discard(open_)
+        open_ = left
         if length == window:
-            return every, cut_out(left, window)
-        open_ = stored(left, "sub-open")
+            return every, cut_out(open_, window)
 
 
-def deduplicated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 5, with_text: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", window: int = 20, base: int = 10, with_text: bool = True) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) and, with ``with_text``, what is left of the text, one row per document.
 
     Untouched texts come with ``kept`` null: their words are the input's.
