@@ -175,6 +175,43 @@ def candidates(met: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
+def may_link(pairs: DataFrame, firsts: DataFrame, percent: int, heavy: np.ndarray) -> DataFrame:
+    """The pairs (a, b) that their first shingles leave possible. ``firsts`` has (c, n, tokens), one row per class.
+
+    Up to the last of the first shingles of one set, all that is common stands among the first shingles of both; beyond, it is at most what either set has left. Sets
+    that share a rare shingle by chance have little else in common there, and so never have to be fetched as a whole.
+    """
+    shared = firsts.sparkSession.sparkContext.broadcast(np.sort(heavy.view(np.uint64)))
+    both = pairs.join(firsts.withColumnsRenamed({"c": "a", "tokens": "left"}), "a").join(firsts.withColumnsRenamed({"c": "b", "n": "m", "tokens": "right"}), "b")
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = shared.value
+
+        def last(x: np.ndarray) -> np.ndarray:
+            if not len(often):
+                return np.zeros(len(x), bool)
+            return often[np.minimum(np.searchsorted(often, x), len(often) - 1)] == x
+
+        def upto(x: np.ndarray, x_last: np.ndarray, end: np.uint64, end_last: bool) -> int:
+            """How many of ``x`` stand at or before ``end`` in the global order."""
+            return int(((x_last < end_last) | ((x_last == end_last) & (x <= end))).sum())
+
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
+                p, q = (v.values.to_numpy().view(np.uint64) for v in (x, y))
+                p_last, q_last = last(p), last(q)
+                met = len(np.intersect1d(p, q, assume_unique=True))
+                in_q, in_p = upto(q, q_last, p[-1], p_last[-1]), upto(p, p_last, q[-1], q_last[-1])
+                # The one whose listed part ends first bounds what can follow.
+                rest = min(n - len(p), m - in_q) if in_q < len(q) or in_p == len(p) else min(m - len(q), n - in_p)
+                keep.append(met + rest >= common(n, m, percent))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+
+    return both.select("a", "b", "n", "m", "left", "right").mapInArrow(local, "a long, b long")
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link. ``sets`` has (c, tokens), tokens sorted fingerprints as bytes."""
     left = sets.withColumnsRenamed({"c": "a", "tokens": "left"})
@@ -220,7 +257,8 @@ def groups(
 ) -> DataFrame:
     """(id, n, component): one row per document with the size of its set and its component's smallest identity."""
     docs = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text"))
-    documents = stored(classed(docs, size, percent, frequent_shingles(docs, size, heavy)), "ngram-classes")
+    often = frequent_shingles(docs, size, heavy)
+    documents = stored(classed(docs, size, percent, often), "ngram-classes")
     listed = documents.filter(F.size("tokens") > 0)
     histogram = {r["n"]: r["k"] for r in listed.filter(F.col("n") <= MOST_SMALL).groupBy("n").agg(F.countDistinct("c").alias("k")).collect()}
     lengths = listed.select(F.explode("tokens").alias("t")).agg(F.count("*"), F.approx_count_distinct("t")).first()
@@ -233,14 +271,20 @@ def groups(
     shared_lists = lists
     lists = stored(lists.join(lists.groupBy("t").agg(F.count("*").alias("k")), "t"), "ngram-lists")
     discard(shared_lists)
-    slim = stored(documents.select("id", "c", "n"), "ngram-slim")
-    discard(documents)
-    documents = slim
-
     other = F.col("c").alias("d"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("t")
     few, many = lists.filter(F.col("k") <= light), lists.filter(F.col("k") > light)
     tried = stored(candidates(few.join(few.select(*other), "t").filter("c < d"), percent), "ngram-few")
-    members = stored(tried.select(F.col("a").alias("c")).union(tried.select("b")).union(many.select("c")).distinct(), "ngram-members")
+
+    def in_pairs(pairs: DataFrame) -> DataFrame:
+        return stored(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).union(many.select("c")).distinct(), "ngram-members")
+
+    firsts = listed.join(in_pairs(tried), "c", "left_semi").dropDuplicates(["c"]).select("c", "n", "tokens")
+    firsts = stored(firsts, "ngram-firsts")
+    slim = stored(documents.select("id", "c", "n"), "ngram-slim")
+    discard(documents)
+    documents = slim
+    tried = stored(may_link(tried, firsts, percent, often), "ngram-few")
+    members = in_pairs(tried)
     one = documents.join(members, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id"))
     found = docs.join(one, "id").withColumn("x", F.xxhash64("text")).dropDuplicates(["id", "c", "x"])
     sets = stored(whole_sets(found, size), "ngram-sets")
@@ -253,7 +297,7 @@ def groups(
         if "comp" in many.columns:
             with_pivot = with_pivot.join(comp.select(F.col("node").alias("d"), F.col("label").alias("far")), "d", "left")
             with_pivot = with_pivot.filter(F.col("comp") != F.coalesce("far", "d"))
-        now = candidates(with_pivot, percent)
+        now = may_link(stored(candidates(with_pivot, percent), "ngram-met"), firsts, percent, often)
         now = now.union(tried).distinct() if turn == 0 else now
         new = linked(stored(now, "ngram-pairs"), sets, percent)
         links = stored(new if links is None else links.union(new), "ngram-links")
@@ -265,7 +309,8 @@ def groups(
             break
     else:
         rest = many.join(many.select(*other, F.col("comp").alias("far")), "t").filter("c < d and comp <> far")
-        new = linked(stored(candidates(rest, percent), "ngram-pairs"), sets, percent)
+        rest = may_link(stored(candidates(rest, percent), "ngram-met"), firsts, percent, often)
+        new = linked(stored(rest, "ngram-pairs"), sets, percent)
         links = stored(links.union(new), "ngram-links")
         comp = components(links)
 
