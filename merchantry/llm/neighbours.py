@@ -6,6 +6,9 @@ rotation. A query looks into the ``probes`` axes nearest to it in each of ``tabl
 Every row is indexed. A bucket is dealt out in chunks of at most about ``chunk`` rows, and the queries that probe it in blocks of that size, so one bucket that holds a third of all rows is many
 groups. A group gives each of its queries the nearest ``k`` at most, which is all that the last ranking can need of it.
 
+A query that has met fewer rows than are due, ``k`` or all others of its length if they are fewer, probes as many axes again in further rounds, the next nearest ones, until it has them or has probed
+all axes, where every row is met.
+
 Of equal vectors only the k + 1 smallest identities are listed: equal vectors are equally near to any query, ties go to the smaller identity, so no other can be among the k nearest, the query's
 own left out.
 
@@ -63,8 +66,8 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0)
 
 
-def coded(rows: DataFrame, tables: int, probes: int, seed: int) -> DataFrame:
-    """(id, v) -> (id, v, dim, tab, code), a row per table and probe."""
+def coded(rows: DataFrame, tables: int, probes: int, seed: int, skip: int = 0) -> DataFrame:
+    """(id, v) -> (id, v, dim, tab, code), a row per table and probe; the ``skip`` nearest axes are left out."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,7 +77,7 @@ def coded(rows: DataFrame, tables: int, probes: int, seed: int) -> DataFrame:
                 mine = batch.filter(pa.array(sizes == dim))
                 vectors = mine.column("v").flatten().to_numpy().reshape(-1, dim)
                 for t in range(tables):
-                    near = axes(vectors, t, seed, probes)
+                    near = axes(vectors, t, seed, probes)[:, skip:]
                     at = pa.array(np.repeat(np.arange(len(vectors)), near.shape[1]))
                     n = len(at)
                     yield pa.RecordBatch.from_arrays(
@@ -91,8 +94,8 @@ def coded(rows: DataFrame, tables: int, probes: int, seed: int) -> DataFrame:
 def _nearest(k: int):
     def meet(key, queries: pa.Table, index: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
+        dim = key[0].as_py()
         if queries.num_rows and index.num_rows:
-            dim = key[0].as_py()
             q = queries.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dim)
             v = index.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dim)
             qid, vid = queries.column("id").to_numpy(), index.column("id").to_numpy()
@@ -106,7 +109,7 @@ def _nearest(k: int):
                 best = best[d[best] < np.inf]
                 out.append((np.full(len(best), qid[i]), vid[best], d[best]))
         cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
+        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "dim": pa.array(np.full(len(cols[0]), dim, np.int32)), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
     return meet
 
@@ -135,20 +138,38 @@ def nearest(
 
     bucket = ["dim", "tab", "code"]
     index = stored(coded(listed, tables, 1, seed), "ann-index")
-    asking = stored(coded(asked, tables, probes, seed), "ann-queries")
-    chunks = index.groupBy(bucket).agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
-    blocks = asking.groupBy(bucket).agg(F.ceil(F.count("*") / chunk).cast("int").alias("blocks"))
-    shape = stored(chunks.join(blocks, bucket), "ann-buckets")
+    chunks = stored(index.groupBy(bucket).agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks")), "ann-chunks")
+    others = stored(index.filter("tab = 0").groupBy("dim").agg((F.countDistinct("id") - 1).alias("others")), "ann-lengths")
+    longest = others.agg(F.max("dim")).first()[0] or 0
+    every_axis = 2 << max(1, (longest - 1).bit_length())
 
     def each(n: str, at: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(at)
 
-    left = asking.join(shape, bucket).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    left = left.select("id", "v", *bucket, "block", each("chunks", "part"))
-    right = index.join(shape, bucket).withColumn("part", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    right = right.select("id", "v", *bucket, each("blocks", "block"), "part").withColumn("block", F.col("block").cast("long"))
-    key = [*bucket, "part", "block"]
-    met = left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(_nearest(k), "query_id long, vec_id long, score double")
+    def meetings(asking: DataFrame) -> DataFrame:
+        """(query_id, dim, vec_id, score) of what the probes meet, each pair once."""
+        asking = stored(asking, "ann-queries")
+        blocks = asking.groupBy(bucket).agg(F.ceil(F.count("*") / chunk).cast("int").alias("blocks"))
+        shape = stored(chunks.join(blocks, bucket), "ann-buckets")
+        left = asking.join(shape, bucket).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        left = left.select("id", "v", *bucket, "block", each("chunks", "part"))
+        right = index.join(shape, bucket).withColumn("part", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+        right = right.select("id", "v", *bucket, each("blocks", "block"), "part").withColumn("block", F.col("block").cast("long"))
+        key = [*bucket, "part", "block"]
+        return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(_nearest(k), "query_id long, dim int, vec_id long, score double")
+
+    def merged(met: DataFrame) -> DataFrame:
+        return stored(met.groupBy("query_id", "dim", "vec_id").agg(F.min("score").alias("score")), "ann-met")
+
+    met = merged(meetings(coded(asked, tables, probes, seed)))
+    while probes < every_axis:
+        full = met.groupBy("query_id", "dim").agg(F.count("*").alias("found")).join(others, "dim").filter(F.col("found") >= F.least(F.lit(k), "others"))
+        short = asked.withColumn("dim", F.size("v")).join(others.filter("others > 0"), "dim")
+        short = stored(short.join(full.select(F.col("query_id").alias("id"), "dim"), ["id", "dim"], "left_anti").select("id", "v"), "ann-short")
+        if short.isEmpty():
+            break
+        met = merged(met.unionByName(meetings(coded(short, tables, 2 * probes, seed, probes))))
+        probes *= 2
     met = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     by_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)

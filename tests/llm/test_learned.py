@@ -2,8 +2,10 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from merchantry.llm import html, neighbours, pii, tagger
@@ -117,6 +119,32 @@ def test_added_spans_and_redaction(spark):
     assert pii.without_personal_data(df.limit(0)).count() == 0
 
 
+def due(vectors, queries, k):
+    return {q: min(k, len({i for i, v in vectors if i != q and len(v) == len(dict(vectors)[q])})) for q in queries}
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_small_tables_give_all_their_rows(spark, n):
+    r = np.random.default_rng(n)
+    vectors = [(0, [1.0] * 64), (1, [-1.0] * 64)] if n == 2 else [(i, r.normal(size=64).tolist()) for i in range(n)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = Counter(x["query_id"] for x in neighbours.nearest(df, F.lit(True)).collect())
+    assert dict(got) == due(vectors, range(n), 10)
+
+
+def test_queries_outside_one_tight_cluster_get_their_rows(spark):
+    r = np.random.default_rng(4)
+    centre = r.normal(size=64)
+    vectors = [(i, (centre + 1e-6 * r.normal(size=64)).tolist()) for i in range(20, 320)] + [(i, r.normal(size=64).tolist()) for i in range(8)]
+    vectors.append((8, (-centre).tolist()))
+    vectors += [(10, [1.0, 2.0]), (11, [2.0, -1.0]), (12, [1.0])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    asked = [*range(9), 10, 11, 12, 20]
+    rows = neighbours.nearest(df, F.col("vec_id").isin(asked)).collect()
+    assert {q: sum(x["query_id"] == q for x in rows) for q in asked} == due(vectors, asked, 10)
+    assert len({(x["query_id"], x["vec_id"]) for x in rows}) == len(rows)
+
+
 def test_nearest_neighbours(spark):
     r = np.random.Generator(np.random.PCG64(3))
     v = r.normal(size=(1500, 20))
