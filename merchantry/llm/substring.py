@@ -30,7 +30,6 @@ from merchantry.llm.common import discard, stored
 from merchantry.llm.windows import sequence_print, window_prints, word_prints
 
 LAST = (1 << 63) - 1
-LOW = (1 << 32) - 1
 REMEMBER = 200_000
 
 
@@ -50,7 +49,7 @@ def _longs(parts: list[np.ndarray]) -> pa.Array:
 
 
 def sequences(docs: DataFrame, base: int, window: int) -> DataFrame:
-    """(id, seq, n, sha, hs, places) in one reading of the texts: the fingerprint and number of a document's words, the digest of all of them joined by blanks, and the fingerprints and places of
+    """(id, x, seq, n, sha, hs, places) in one reading of the texts: their given key ``x``, the fingerprint and number of a document's words, the digest of all of them joined by blanks, and the fingerprints and places of
     the short windows that stand for its windows. Of copies within a task only the first comes with windows."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,21 +75,18 @@ def sequences(docs: DataFrame, base: int, window: int) -> DataFrame:
                     ends.append(ends[-1])
             offsets = pa.array(np.array(ends, np.int32))
             lists = [pa.ListArray.from_arrays(offsets, _longs(x)) for x in (hs, places)]
-            cols = [batch.column("id"), pa.array(seqs, pa.int64()), pa.array(ns, pa.int64()), pa.array(shas, pa.string()), *lists]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "seq", "n", "sha", "hs", "places"])
+            cols = [batch.column("id"), batch.column("x"), pa.array(seqs, pa.int64()), pa.array(ns, pa.int64()), pa.array(shas, pa.string()), *lists]
+            yield pa.RecordBatch.from_arrays(cols, ["id", "x", "seq", "n", "sha", "hs", "places"])
 
-    return docs.mapInArrow(local, "id long, seq long, n long, sha string, hs array<long>, places array<long>")
+    return docs.mapInArrow(local, "id long, x long, seq long, n long, sha string, hs array<long>, places array<long>")
 
 
 def next_anchors(open_: DataFrame, length: int, shorter: int, window: int) -> DataFrame:
-    """(h, id, place) at the next level: the windows of ``length`` that stand for the candidates, whose ``shorter`` windows are at ``places``.
-
-    ``place`` has the upper half of the sequence's fingerprint, which tells apart texts of one identity, and the window's start in the lower half.
-    """
+    """(h, id, seq, pos) at the next level: the windows of ``length`` that stand for the candidates, whose ``shorter`` windows are at ``places``; ``seq`` tells apart texts of one identity."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hs, ids, places = [], [], []
+            hs, ids, seqs, places = [], [], [], []
             for i, seq, t, was in zip(*(batch.column(x).to_pylist() for x in ("id", "seq", "text", "places")), strict=True):
                 words = word_prints(t)
                 if _sequence(words) != seq:
@@ -100,10 +96,11 @@ def next_anchors(open_: DataFrame, length: int, shorter: int, window: int) -> Da
                 at = np.unique(_smallest(long, window - length + 1)[alive])
                 hs.append(long[at].view(np.int64))
                 ids.append(np.full(len(at), i, np.int64))
-                places.append((seq >> 32 << 32) + at)
-            yield pa.RecordBatch.from_arrays([_longs(hs), _longs(ids), _longs(places)], ["h", "id", "place"])
+                seqs.append(np.full(len(at), seq, np.int64))
+                places.append(at)
+            yield pa.RecordBatch.from_arrays([_longs(hs), _longs(ids), _longs(seqs), _longs(places)], ["h", "id", "seq", "pos"])
 
-    return open_.select("id", "seq", "text", "places").mapInArrow(local, "h long, id long, place long")
+    return open_.select("id", "seq", "text", "places").mapInArrow(local, "h long, id long, seq long, pos long")
 
 
 def cut_out(open_: DataFrame, window: int) -> DataFrame:
@@ -135,8 +132,9 @@ def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", w
     if window < base or window % base or (window // base) & (window // base - 1):
         raise ValueError("window must be base times a power of two")
     docs = docs.select(F.coalesce(F.col(identity).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = docs.withColumn("x", F.xxhash64("text"))
     read = stored(sequences(docs, base, window), "sub-documents")
-    every = read.select("id", "seq", "n", "sha")
+    every = read.select("id", "x", "seq", "n", "sha")
     firsts = every.groupBy("seq").agg(F.min("id").alias("first"))
     every = stored(every.join(firsts, "seq"), "sub-first")
 
@@ -146,22 +144,23 @@ def repeated(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", w
     place = F.struct("seq", "pos")
     again = anchors.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x <> y").select("h")
     alive = stored(anchors.join(again, "h").groupBy("seq").agg(F.collect_set("pos").alias("places")), "sub-alive")
-    open_ids = every.filter("id = first").select("id", "seq").distinct().join(alive, "seq")
+    # One text a sequence, found by its own fingerprint too: many texts may have one identity, or none.
+    open_ids = every.filter("id = first").groupBy("id", "seq").agg(F.min("x").alias("x")).join(alive, "seq")
     discard(read)
-    open_ = stored(docs.join(open_ids, "id").dropDuplicates(["id", "seq"]), "sub-open")
+    open_ = stored(docs.join(open_ids, ["id", "x"]).dropDuplicates(["id", "x", "seq"]).drop("x"), "sub-open")
+    every = every.drop("x")
 
     length = base
     while True:
         shorter, length = length, min(2 * length, window)
         found = stored(next_anchors(open_, length, shorter, window), "sub-windows")
-        place = F.struct("id", "place")
+        place = F.struct("id", "seq", "pos")
         spans = found.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("k")).filter("k > 1")
         both = found.join(spans.select(F.col("h").alias("g"), "first"), F.col("h") == F.col("g"))
         if length == window:
             both = both.filter(place > F.col("first"))
-        alive = both.groupBy("id", F.shiftright("place", 32).alias("half")).agg(F.collect_set(F.col("place").bitwiseAND(LOW)).alias("places"))
-        left = open_.drop("places").withColumn("half", F.shiftright("seq", 32)).join(alive, ["id", "half"]).drop("half")
-        left = stored(left, "sub-open")
+        alive = both.groupBy("id", "seq").agg(F.collect_set("pos").alias("places"))
+        left = stored(open_.drop("places").join(alive, ["id", "seq"]), "sub-open")
         discard(found)
         discard(open_)
         open_ = left

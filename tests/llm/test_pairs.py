@@ -118,3 +118,25 @@ def test_kept_text_and_repeated_rows(spark):
     assert substring.deduplicated(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         substring.repeated(df, window=20, base=6)
+
+
+def brute_removed_of_texts(rows, window=20):
+    """(id, n, removed) of different texts, null last; the order within one identity is free here, as no passage is shared there."""
+    first, out = {}, []
+    for i, t in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)):
+        w, gone = t.split(), set()
+        for p in range(len(w) - window + 1):
+            if first.setdefault(tuple(w[p : p + window]), (i, t, p)) != (i, t, p):
+                gone.update(range(p, p + window))
+        out.append((i, len(w), len(gone)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_texts_of_one_identity_lose_their_own_words(spark, shared):
+    passages = [[f"p{k}w{i}" for i in range(25)] for k in range(6)]
+    rows = [(k, " ".join([f"a{k}", *p])) for k, p in enumerate(passages)]
+    rows += [(shared, " ".join([*(f"b{k}x{i}" for i in range(k)), *p, f"c{k}"])) for k, p in enumerate(passages)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = substring.deduplicated(df).select("id", "n_words", "n_removed").collect()
+    assert sorted(map(tuple, got), key=str) == brute_removed_of_texts(rows)
