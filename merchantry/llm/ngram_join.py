@@ -94,7 +94,7 @@ def frequent_shingles(docs: DataFrame, size: int, heavy: int) -> np.ndarray:
 
 
 def classed(docs: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """(id, c, n, tokens): the class of each document, its set's size, and the first shingles of the set in the global order.
+    """(id, x, c, n, tokens): the class of each document, its row's key ``x``, its set's size, and the first shingles of the set in the global order.
 
     A class that a task has met before comes without tokens, so a large group of copies is listed once a task instead of once a copy.
     """
@@ -126,9 +126,9 @@ def classed(docs: DataFrame, size: int, percent: int, heavy: np.ndarray) -> Data
                 ns.append(n)
             flat = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
             lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), _signed(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(cs, pa.int64()), pa.array(ns, pa.int32()), lists], ["id", "c", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), pa.array(cs, pa.int64()), pa.array(ns, pa.int32()), lists], ["id", "x", "c", "n", "tokens"])
 
-    return docs.mapInArrow(local, "id long, c long, n int, tokens array<long>")
+    return docs.mapInArrow(local, "id long, x long, c long, n int, tokens array<long>")
 
 
 def class_print(s: np.ndarray) -> int:
@@ -244,19 +244,17 @@ def whole_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("c", "text").mapInArrow(local, "c long, tokens binary")
 
 
-def groups(
-    docs: DataFrame,
-    *,
-    identity: str = "doc_id",
-    text: str = "text",
-    size: int = 5,
-    percent: int = 75,
-    heavy: int = 100_000,
-    light: int = 8,
-    rounds: int = 3,
-) -> DataFrame:
+def groups(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """(id, n, component): one row per document with the size of its set and its component's smallest identity."""
     docs = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text"))
+    named = labelled(docs.withColumn("x", F.xxhash64("text")), **how)
+    least = named.filter("n > 0").groupBy("comp").agg(F.min("id").alias("least"))
+    named = named.join(least, "comp", "left")
+    return named.select("id", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component"))
+
+
+def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int = 100_000, light: int = 8, rounds: int = 3) -> DataFrame:
+    """(id, text, x) -> (id, x, n, comp): the size of each document's set and its component's smallest class; rows of one ``id`` and ``x`` must have one text."""
     often = frequent_shingles(docs, size, heavy)
     documents = stored(classed(docs, size, percent, often), "ngram-classes")
     listed = documents.filter(F.size("tokens") > 0)
@@ -280,13 +278,17 @@ def groups(
 
     firsts = listed.join(in_pairs(tried), "c", "left_semi").dropDuplicates(["c"]).select("c", "n", "tokens")
     firsts = stored(firsts, "ngram-firsts")
-    slim = stored(documents.select("id", "c", "n"), "ngram-slim")
+    slim = stored(documents.select("id", "x", "c", "n"), "ngram-slim")
     discard(documents)
     documents = slim
     tried = stored(may_link(tried, firsts, percent, often), "ngram-few")
     members = in_pairs(tried)
-    one = documents.join(members, "c", "left_semi").groupBy("c").agg(F.min("id").alias("id"))
-    found = docs.join(one, "id").withColumn("x", F.xxhash64("text")).dropDuplicates(["id", "c", "x"])
+    # One row stands for a class. It is found by its key too, as many texts may have one identity; where only rows without identity have the class, by its key alone.
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "x")
+    one = documents.join(members, "c", "left_semi").groupBy("c").agg(F.min(row).alias("one")).select("c", "one.id", "one.x")
+    found = docs.join(one, ["id", "x"]).dropDuplicates(["id", "x", "c"]).select("c", "text")
+    nameless = docs.filter("id is null").groupBy("x").agg(F.min("text").alias("text"))
+    found = found.union(nameless.join(one.filter("id is null").select("c", "x"), "x").select("c", "text"))
     sets = stored(whole_sets(found, size), "ngram-sets")
 
     links = None
@@ -314,10 +316,8 @@ def groups(
         links = stored(links.union(new), "ngram-links")
         comp = components(links)
 
-    named = documents.select("id", "c", "n").join(comp.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("label", "c"))
-    least = named.filter("n > 0").groupBy("comp").agg(F.min("id").alias("least"))
-    named = named.join(least, "comp", "left")
-    return named.select("id", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component"))
+    named = documents.join(comp.withColumnRenamed("node", "c"), "c", "left")
+    return named.select("id", "x", "n", F.coalesce("label", "c").alias("comp"))
 
 
 def one_of_each(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", **how) -> DataFrame:

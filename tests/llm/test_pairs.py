@@ -140,3 +140,14 @@ def test_texts_of_one_identity_lose_their_own_words(spark, shared):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = substring.deduplicated(df).select("id", "n_words", "n_removed").collect()
     assert sorted(map(tuple, got), key=str) == brute_removed_of_texts(rows)
+
+
+@pytest.mark.parametrize("how", [{}, {"light": 1, "rounds": 1}])
+def test_a_document_without_identity_bridges_two_others(spark, how):
+    words = [f"w{i}" for i in range(60)]
+    left, right = ["x1", "x2", "x3", "x4", "x5", *words[5:]], [*words[:55], "y1", "y2", "y3", "y4", "y5"]
+    assert 100 * len(shingle_set(" ".join(left)) & shingle_set(" ".join(right))) < 75 * len(shingle_set(" ".join(left)) | shingle_set(" ".join(right)))
+    rows = [(1, " ".join(left)), (2, " ".join(right)), (None, " ".join(words)), (None, " ".join(words)), (None, "quite another text that stands alone here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["id"], r["component"]) for r in ngram_join.groups(df, **how).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 1), (None, 1), (None, 1), (None, None)], key=str)
