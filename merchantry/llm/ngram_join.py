@@ -32,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchantry.llm.common import discard, stored
+from merchantry.llm.common import SPACES, discard, stored
 from merchantry.llm.components import components
 from merchantry.llm.windows import all_windows, mix, shingles
 
@@ -244,6 +244,12 @@ def whole_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("c", "text").mapInArrow(local, "c long, tokens binary")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A fingerprint of a whole row; null has its own. Maps can't be hashed and are left out."""
+    columns = [docs[f"`{c}`"] for c, kind in docs.dtypes if "map<" not in kind]
+    return F.xxhash64(*columns, *(c.isNull() for c in columns))
+
+
 def groups(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """(id, n, component): one row per document with the size of its set and its component's smallest identity."""
     docs = docs.select(F.col(identity).cast("long").alias("id"), F.col(text).alias("text"))
@@ -321,11 +327,18 @@ def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int =
 
 
 def one_of_each(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` without the near copies: of each component the row of its smallest identity stays, one where that row is repeated.
+    """``docs`` without the near copies: of each component one row stays, that of the smallest identity, null last, and of the smallest key of the whole row among those.
 
-    Rows without identity can't be named as the one to stay or to go; they stay.
+    Documents without words are components of their own: one row an identity stays, and every row without one.
     """
-    stay = groups(docs, identity=identity, text=text, **how).filter("id = component").select(F.col("id").alias("_stay_id")).distinct()
-    named = docs.filter(F.col(identity).isNotNull())
-    kept = named.join(stored(stay, "ngram-stay"), named[identity] == F.col("_stay_id"))
-    return kept.dropDuplicates([identity]).select(docs.columns).unionByName(docs.filter(F.col(identity).isNull()))
+    rows = docs.withColumn("_stay_row", row_key(docs))
+    key = F.col(identity).cast("long")
+    named = labelled(rows.select(key.alias("id"), F.col(text).alias("text"), F.col("_stay_row").alias("x")), **how)
+    named = stored(named, "ngram-named")
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "x")
+    stay = named.filter("n > 0").groupBy("comp").agg(F.min(row).alias("one"))
+    stay = stay.unionByName(named.filter("n = 0 and id is not null").groupBy(F.col("id").alias("comp")).agg(F.min(row).alias("one")))
+    stay = stored(stay.select(F.col("one.id").alias("_stay_id"), F.col("one.x").alias("_stay_x")), "ngram-stay")
+    kept = rows.join(stay, key.eqNullSafe(F.col("_stay_id")) & (F.col("_stay_row") == F.col("_stay_x"))).dropDuplicates(["_stay_id", "_stay_x"])
+    wordless = F.translate(F.coalesce(F.col(text), F.lit("")), SPACES, "") == ""
+    return kept.select(docs.columns).unionByName(docs.filter(F.col(identity).isNull() & wordless))

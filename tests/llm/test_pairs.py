@@ -151,3 +151,16 @@ def test_a_document_without_identity_bridges_two_others(spark, how):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted(((r["id"], r["component"]) for r in ngram_join.groups(df, **how).collect()), key=str)
     assert got == sorted([(1, 1), (2, 1), (None, 1), (None, 1), (None, None)], key=str)
+
+
+def test_one_of_each_keeps_one_row_of_each_component(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    near = c.replace("c39", "e")
+    rows = [(5, a, "s"), (5, b, "s"), (3, b, "t"), (None, c, "u"), (None, c, "u"), (None, c, "v"), (None, near, "u"), (9, d, "s"), (9, d, "t"), (None, None, "n"), (None, " ", "n"), (4, "", "n"), (4, "", "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = [tuple(r) for r in ngram_join.one_of_each(df.repartition(3)).collect()]
+    again = [tuple(r) for r in ngram_join.one_of_each(df.repartition(2, "source")).collect()]
+    assert sorted(map(str, out)) == sorted(map(str, again))
+    assert (5, a, "s") in out and (3, b, "t") in out and (5, b, "s") not in out
+    assert sum(r[0] is None and r[1] in (c, near) for r in out) == 1 and sum(r[0] == 9 for r in out) == 1
+    assert sum(r[2] == "n" for r in out) == 3 and len(out) == 7
