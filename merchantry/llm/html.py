@@ -7,7 +7,8 @@ decoded by Viterbi. White space inside a block becomes one space, blocks are joi
 Training pages are written by :func:`labelled_pages`: layouts that sites use (semantic elements, plain divisions with telling class names, tables for layout), with menus, banners, notices, adverts, forms, sidebars,
 comments and footers around and inside the article. Their number is the bound of the training. Own labelled pages can be given instead.
 
-What a browser doesn't show (scripts, styles, templates, comments in the source, the head) is no block. Character references are decoded, also broken ones, as browsers do.
+What a browser doesn't show (scripts, styles, templates, comments in the source, the head) is no block. An open head ends where the body starts: at its tag, at any other that can't stand in a head,
+or at text; drawings and formulas may end at the slash of their tag. Character references are decoded, also broken ones, as browsers do.
 
 Defined cases: null, empty and text-free pages have the empty text; a page cut off in the middle gives what is there; text without any element is a block like others; repeated rows are handled each; an empty table gives an
 empty result; other columns pass through.
@@ -31,6 +32,9 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head script style template noscript iframe object svg math canvas".split())
+#: Start tags that leave an open head open.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+FOREIGN = frozenset(("svg", "math"))
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -82,7 +86,17 @@ class Leaves(HTMLParser):
             self.flush()
         del self.open[i:]
 
+    def _end_head(self) -> None:
+        for i, x in enumerate(self.open):
+            if x.tag == "head":
+                self._drop_to(i)
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" and not any(x.tag == "template" for x in self.open):
+            self._end_head()
+        elif self.open and self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self._end_head()
         if tag in CLOSES_P:
             for i in range(len(self.open) - 1, -1, -1):
                 if self.open[i].tag == "p":
@@ -112,7 +126,10 @@ class Leaves(HTMLParser):
         self.open.append(_Open(tag, frozenset(words), hidden or bool(self.open and self.open[-1].hidden)))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # browsers ignore the slash
+        self.handle_starttag(tag, attrs)
+        # Browsers ignore the slash, except on drawings and formulas and inside them.
+        if tag not in VOID and any(x.tag in FOREIGN for x in self.open):
+            self._drop_to(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -128,6 +145,8 @@ class Leaves(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1].tag == "head" and data.strip():
+            self._end_head()
         if self.open and self.open[-1].hidden:
             return
         self.pieces.append(data)

@@ -119,6 +119,18 @@ def test_added_spans_and_redaction(spark):
     assert pii.without_personal_data(df.limit(0)).count() == 0
 
 
+def test_an_open_head_ends_at_the_body():
+    for page in ("<head><title>t</title><body><p>x<p>y", "<html><head><meta charset=a><title>t</title><p>x</p><div>y</div>", "<head><title>t</title>x<p>y"):
+        assert [b.text for b in html.blocks(page)] == ["x", "y"]
+    assert html.blocks("<head><title>t</title><noscript><p>x</p></noscript><template><body>y</template></head>") == []
+
+
+def test_drawings_and_formulas_end_at_the_slash():
+    page = "<div><svg class=i /><p>a</p><math/>b<svg><g><path d='m'/></g>no</svg><p>c</p></div>"
+    assert [b.text for b in html.blocks(page)] == ["a", "b", "c"]
+    assert [b.tags for b in html.blocks("<p/>x")] == [("p",)]
+
+
 def due(vectors, queries, k):
     return {q: min(k, len({i for i, v in vectors if i != q and len(v) == len(dict(vectors)[q])})) for q in queries}
 
