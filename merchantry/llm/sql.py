@@ -74,4 +74,24 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
 
-STATEMENTS = {"op2_substring_dedup": SUBSTRING_DEDUP, "op1_ngram_join": NGRAM_JOIN, "op7_host_quality": HOST_QUALITY, "op9_fair_mix": FAIR_MIX}
+COLLOCATIONS = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS g FROM i, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, k, g, count(*)::HUGEINT AS f FROM g GROUP BY lang, k, g),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f, string_split(g, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+u AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS g, max(f) AS most
+      FROM c, (SELECT unnest([1, 2, 3]) AS s), (SELECT unnest([2, 3]) AS m) WHERE m < k AND s + m - 1 <= k GROUP BY ALL),
+o AS (SELECT c.* FROM c LEFT JOIN u ON c.lang = u.lang AND c.g = u.g WHERE u.most IS NULL OR 100 * u.most < 80 * c.f),
+x AS (SELECT lang, g, f, w, k, unnest(range(1, k)) AS j FROM o),
+y AS (SELECT x.lang, x.g, x.f, x.j, l.f AS l, r.f AS r, (2000000 * x.f) // (l.f + r.f) AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.g = array_to_string(x.w[1:x.j], ' ') JOIN f r ON r.lang = x.lang AND r.g = array_to_string(x.w[x.j + 1:x.k], ' ')),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, j) AS low FROM y),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, g) AS rank FROM z WHERE low = 1)
+SELECT q.lang, rank::INT AS rank, g AS phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM q JOIN n ON q.lang = n.lang WHERE rank <= 2000
+"""
+
+STATEMENTS = {"op2_substring_dedup": SUBSTRING_DEDUP, "op1_ngram_join": NGRAM_JOIN, "op7_host_quality": HOST_QUALITY, "op9_fair_mix": FAIR_MIX, "op13_collocations": COLLOCATIONS}
