@@ -1,7 +1,7 @@
 """Eigenpairs of a symmetric matrix inside intervals, by contour integration, with inertia counts as proof that none is missed.
 
 The projector onto the eigenvectors of an interval is an integral of shifted inverses around it. A Gauss-Legendre rule on the upper half of a circle approximates it by a few complex solves (FEAST); the filtered block is made
-orthonormal, the matrix is projected onto it (Rayleigh-Ritz), and the step is repeated until the residuals are at rounding level. How many eigenvalues lie above a shift is the number of positive pivots of a symmetric
+orthonormal, the matrix is projected onto it (Rayleigh-Ritz), and the step is repeated until the residuals are at rounding level, with a wider block if it takes long. How many eigenvalues lie above a shift is the number of positive pivots of a symmetric
 factorisation of the shifted matrix (Sylvester's law); intervals are cut by bisection on these counts, so every interval's number is known before its pairs are sought.
 """
 
@@ -88,8 +88,8 @@ def intervals(matrix: np.ndarray, k: int, most: int) -> list[tuple[float, float,
 def inside(matrix: np.ndarray, low: float, high: float, number: int, *, points: int = 8, rounds: int = 40, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """The ``number`` eigenvalues in the interval and their unit vectors as columns."""
     n = len(matrix)
-    width = min(n, number + max(4, number // 2))
-    block = np.random.Generator(np.random.PCG64([seed, n])).normal(size=(n, width))
+    r = np.random.Generator(np.random.PCG64([seed, n]))
+    block = r.normal(size=(n, min(n, number + max(4, number // 2))))
     nodes, weights = np.polynomial.legendre.leggauss(points)
     middle, radius, scale = (low + high) / 2, (high - low) / 2, np.abs(matrix).sum(axis=1).max()
     angles = -np.pi / 2 * (nodes - 1)
@@ -114,6 +114,8 @@ def inside(matrix: np.ndarray, low: float, high: float, number: int, *, points:
         if best is not None and best[0] <= 1e-15 * scale:
             break
         block = vectors
+        if turn % 4 == 3:  # too many eigenvalues near the edges for a block of this width
+            block = np.concatenate([block, r.normal(size=(n, min(n, 2 * block.shape[1]) - block.shape[1]))], axis=1)
     if best is None or best[0] > 1e-9 * scale:
         raise ArithmeticError(f"{number} eigenvalues lie between {low} and {high}, but the subspace doesn't settle on them")
     return best[1], best[2]

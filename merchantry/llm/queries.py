@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchantry.llm import bpe, collocations, html, mixing, neighbours, ngram_join, pii, quality, sharding, substring, tokens, whitening
+from merchantry.llm import bpe, collocations, html, language, mixing, neighbours, ngram_join, pii, quality, sharding, substring, tokens, whitening
 from merchantry.llm.common import table
 
 
@@ -82,6 +82,11 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.with_language(docs).select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -90,7 +95,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.phrases(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_ngram_join, op2_substring_dedup, op3_main_text, op4_cross_polytope, op5_token_counts, op6_byte_bpe, op7_host_quality, op8_personal_data, op9_fair_mix, op10_kd_shards, op12_feast_whitening, op13_collocations)
+QUERIES = (op1_ngram_join, op2_substring_dedup, op3_main_text, op4_cross_polytope, op5_token_counts, op6_byte_bpe, op7_host_quality, op8_personal_data, op9_fair_mix, op10_kd_shards, op11_language_net, op12_feast_whitening, op13_collocations)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
