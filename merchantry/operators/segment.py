@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from merchantry.functions import columns as C
+from merchantry.operators import kmeans, silhouette
 
 FEATURES = ("Recency", "Frequency", "Monetary")
 
@@ -41,46 +42,53 @@ def as_vectors(df: DataFrame, columns: Sequence[str], name: str = "features") ->
 
 
 def best_kmeans(data: DataFrame, k: int, seeds: Sequence[int] = tuple(range(42, 52)), max_iter: int = 300) -> KMeansModel:
-    """Lowest-cost model over several starts."""
+    """Lowest-cost model over several starts, as a Spark ML model that can be saved."""
     models = [KMeans(k=k, seed=s, maxIter=max_iter, initSteps=2).fit(data) for s in seeds]
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
+def assign(rfm: DataFrame, model: KMeansModel, key: str = "CustomerID") -> DataFrame:
+    scaled = as_vectors(standardise(rfm.select(key, *FEATURES)), FEATURES)
+    found = model.transform(scaled).select(key, F.col("prediction").alias("Cluster"))
+    return rfm.join(found, key)
+
+
 def k_sweep(
-    rfm: DataFrame, ks: Sequence[int] = tuple(range(2, 11)), seeds: Sequence[int] = tuple(range(42, 52)), key: str = "CustomerID"
+    rfm: DataFrame, ks: Sequence[int] = tuple(range(2, 11)), starts: Sequence[int] = tuple(range(42, 52)), key: str = "CustomerID", *, store: silhouette.Store, error: float = 1e-6
 ) -> DataFrame:
-    """Cost, silhouette and Davies-Bouldin index per number of clusters. Only these figures reach the driver."""
-    scaled = as_vectors(standardise(rfm.select(key, *FEATURES)), FEATURES).select(key, *FEATURES, "features").persist()
-    try:
-        rows = []
-        for k in ks:
-            model = best_kmeans(scaled, k, seeds)
-            found = model.transform(scaled).withColumnRenamed("prediction", "Cluster")
-            silhouette = ClusteringEvaluator(predictionCol="Cluster").evaluate(found)
-            index = davies_bouldin(found, FEATURES).first()["DaviesBouldin"]
-            rows.append((k, float(model.summary.trainingCost), float(silhouette), float(index)))
-    finally:
-        scaled.unpersist()
-    return rfm.sparkSession.createDataFrame(rows, "K int, WCSS double, Silhouette double, DaviesBouldin double")
+    """Cost, Euclidean silhouette (right to ``error``) and Davies-Bouldin index of the best of all starts, per number of clusters. All runs advance together; only centres and these figures reach the driver."""
+    scaled = store("scaled_rfm", standardise(rfm.select(key, *FEATURES)))
+    best = kmeans.best(kmeans.fit(scaled, FEATURES, ks, key=key, starts=starts))
+    found = store("sweep_clusters", scaled.select(*FEATURES, F.array(*[nearest_centre(best[k].centres) for k in best]).alias("c")))
+    quality = silhouette.silhouettes(found, FEATURES, F.col("c"), list(best), error=error, store=store)
+    rows = [(k, best[k].cost, quality[i], i) for i, k in enumerate(best)]
+    sweep = rfm.sparkSession.createDataFrame(rows, "K int, WCSS double, Silhouette double, place int")
+    index = [davies_bouldin(found.select(*FEATURES, F.col("c")[i].alias("Cluster"))).select(F.lit(i).alias("place"), "DaviesBouldin") for i in range(len(rows))]
+    return sweep.join(reduce(DataFrame.unionByName, index), "place").drop("place") if rows else sweep.drop("place").withColumn("DaviesBouldin", F.lit(None).cast("double"))
 
 
 def best_k(sweep: DataFrame) -> int:
     return sweep.agg(F.max_by("K", F.struct("Silhouette", -F.col("K")))).first()[0]
 
 
-def assign(rfm: DataFrame, model: KMeansModel, key: str = "CustomerID") -> DataFrame:
-    scaled = as_vectors(standardise(rfm.select(key, *FEATURES)), FEATURES)
-    found = model.transform(scaled).select(key, F.col("prediction").alias("Cluster"))
-    return rfm.join(found, key)
+def fitted_centres(rfm: DataFrame, k: int, starts: Sequence[int] = tuple(range(42, 52)), key: str = "CustomerID") -> Sequence[Sequence[float]]:
+    """Centres of the best start, in standardised units; clusters are numbered by their centres in ascending order, so their numbers don't depend on the start."""
+    runs = kmeans.fit(standardise(rfm.select(key, *FEATURES)), FEATURES, [k], key=key, starts=starts)
+    return sorted(tuple(c) for c in kmeans.best(runs)[k].centres.tolist()) if runs else []
 
 
-def assign_to_centres(scaled: DataFrame, centres: Sequence[Sequence[float]], columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Nearest given centre per row, ties to the smaller number; the centres are a short literal list."""
+def nearest_centre(centres: Sequence[Sequence[float]], columns: Sequence[str] = FEATURES) -> Column:
+    """Number of the nearest of some given centres, ties to the smaller one; the centres are a short literal list."""
     def distance(centre: Sequence[float]) -> Column:
         return sum(((F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(columns, centre, strict=True)), F.lit(0.0))
 
     options = [F.struct(F.round(distance(c), 9).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]
-    return scaled.withColumn("Cluster", F.least(*options)["i"])
+    return (F.least(*options) if len(options) > 1 else options[0])["i"]
+
+
+def assign_to_centres(scaled: DataFrame, centres: Sequence[Sequence[float]], columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Nearest given centre per row."""
+    return scaled.withColumn("Cluster", nearest_centre(centres, columns))
 
 
 def davies_bouldin(assigned: DataFrame, columns: Sequence[str] = FEATURES, digits: int | None = None) -> DataFrame:

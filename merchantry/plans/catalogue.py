@@ -301,7 +301,7 @@ def _reports() -> dict:
         "warehouse_preview": _w(reports.warehouse_preview),
         "recency_monetary_sample": _w(
             lambda w: clean.sample_rows(
-                w["dim_customer"].select("CustomerID", "Recency", "Monetary", "ChurnLabel"), "CustomerID", 500
+                w["dim_customer"].select("CustomerID", "Recency", "Monetary", "ChurnLabel"), "CustomerID", 2000
             )
         ),
     }
@@ -511,12 +511,15 @@ def _profiling() -> dict:
 
 
 def _segments() -> dict:
-    def kmeans(w: Warehouse) -> DataFrame:
-        rows = segment.as_vectors(segment.standardise(w["rfm_table"].select("CustomerID", *segment.FEATURES)), segment.FEATURES)
-        rows = rows.repartition("CustomerID").sortWithinPartitions("CustomerID")
-        model = segment.best_kmeans(rows, 5, seeds=range(42, 52))
-        assigned = segment.assign(w["rfm_table"], model)
-        return segment.label_customers(assigned).select("CustomerID", "Cluster", "RFM_Segment")
+    def sweep(w: Warehouse) -> DataFrame:
+        found = segment.k_sweep(w["rfm_table"], range(2, 11), starts=range(42, 52), store=w.store.save)
+        return found.select("K", F.round("WCSS", 4).alias("WCSS"), F.round("Silhouette", 5).alias("Silhouette"), F.round("DaviesBouldin", 5).alias("DaviesBouldin"))
+
+    def fitted(w: Warehouse) -> DataFrame:
+        centres = segment.fitted_centres(w["rfm_table"], 5, starts=range(42, 52))
+        scaled = segment.standardise(w["rfm_table"].select("CustomerID", *segment.FEATURES))
+        clusters = segment.assign_to_centres(scaled, centres).select("CustomerID", "Cluster")
+        return segment.label_customers(w["rfm_table"].join(clusters, "CustomerID")).select("CustomerID", "Cluster", "RFM_Segment")
 
     def centres(w: Warehouse) -> DataFrame:
         raw = w["rfm_table"].select("CustomerID", *segment.FEATURES)
@@ -535,8 +538,8 @@ def _segments() -> dict:
         "churn_by_segment": _w(lambda w: reports.churn_by_segment(w["segmented_customers"])),
         "segment_profile": _w(lambda w: reports.segment_profile(w["segmented_customers"])),
         "segment_shares": _w(lambda w: segment.segment_shares(w["segmented_customers"])),
-        "kmeans_sweep": _w(lambda w: segment.k_sweep(w["rfm_table"], range(2, 11), seeds=range(42, 52))),
-        "rfm_segments": _w(kmeans),
+        "kmeans_sweep": _w(sweep),
+        "rfm_segments": _w(fitted),
     }
 
 

@@ -354,7 +354,7 @@ SQL["recency_monetary_sample"] = """
 SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CAST(Recency AS BIGINT) AS Recency, CAST(Monetary AS DOUBLE) AS Monetary,
        CAST(ChurnLabel AS BIGINT) AS ChurnLabel
 FROM dim_customer ORDER BY md5(concat_ws('|', '42', CAST(dim_customer.CustomerID AS VARCHAR))), dim_customer.CustomerID
-LIMIT 500
+LIMIT 2000
 """
 
 # --- baskets -----------------------------------------------------------------------------------------------
@@ -776,6 +776,37 @@ FROM (SELECT x.Cluster, max((x.s + y.s) / sqrt((x.r - y.r) ** 2 + (x.f - y.f) **
       FROM s x JOIN s y ON x.Cluster <> y.Cluster GROUP BY x.Cluster)
 """
 
+SQL["kmeans_sweep"] = """
+WITH b AS MATERIALIZED (SELECT k, c, cost FROM kmeans_best), z AS MATERIALIZED (SELECT CustomerID, r, f, m FROM rfm_z),
+a AS MATERIALIZED (
+    SELECT k, CustomerID, r, f, m, list_position(d, list_min(d)) AS cl
+    FROM (SELECT b.k, z.*, list_transform(c, lambda y: round((y.r - z.r) * (y.r - z.r) + (y.f - z.f) * (y.f - z.f) + (y.m - z.m) * (y.m - z.m), 9)) AS d FROM b, z)),
+s AS (SELECT k, cl, count(*) AS n FROM a GROUP BY k, cl),
+t AS (SELECT y.k, x.CustomerID, y.cl, sum(sqrt((x.r - y.r) ** 2 + (x.f - y.f) ** 2 + (x.m - y.m) ** 2)) AS t FROM z x, a y GROUP BY y.k, x.CustomerID, y.cl),
+v AS (SELECT a.k, a.CustomerID, max(t / (n - 1)) FILTER (t.cl = a.cl AND n > 1) AS own, min(t / n) FILTER (t.cl <> a.cl) AS other
+      FROM a JOIN t ON a.k = t.k AND a.CustomerID = t.CustomerID JOIN s ON s.k = t.k AND s.cl = t.cl GROUP BY a.k, a.CustomerID),
+q AS (SELECT k, avg(CASE WHEN own IS NULL OR other IS NULL OR greatest(own, other) = 0 THEN 0 ELSE (other - own) / greatest(own, other) END) AS q FROM v GROUP BY k),
+m AS (SELECT k, cl, avg(r) AS r, avg(f) AS f, avg(m) AS m FROM a GROUP BY k, cl),
+w AS (SELECT a.k, a.cl, m.r, m.f, m.m, avg(sqrt((a.r - m.r) ** 2 + (a.f - m.f) ** 2 + (a.m - m.m) ** 2)) AS s FROM a JOIN m ON a.k = m.k AND a.cl = m.cl GROUP BY 1, 2, 3, 4, 5),
+i AS (SELECT k, avg(w) AS i FROM (SELECT x.k, x.cl, max((x.s + y.s) / sqrt((x.r - y.r) ** 2 + (x.f - y.f) ** 2 + (x.m - y.m) ** 2)) AS w
+                                  FROM w x JOIN w y ON x.k = y.k AND x.cl <> y.cl GROUP BY x.k, x.cl) GROUP BY k)
+SELECT CAST(b.k AS BIGINT) AS K, round(cost, 4) AS WCSS, round(q, 5) AS Silhouette, round(i, 5) AS DaviesBouldin
+FROM b JOIN q ON b.k = q.k JOIN i ON b.k = i.k
+"""
+
+SQL["rfm_segments"] = """
+WITH c AS (SELECT list_sort(c) AS c FROM kmeans_best WHERE k = 5),
+a AS (SELECT CustomerID, Recency, Frequency, Monetary, list_position(d, list_min(d)) - 1 AS cl
+      FROM (SELECT z.*, list_transform(c, lambda y: round((y.r - z.r) * (y.r - z.r) + (y.f - z.f) * (y.f - z.f) + (y.m - z.m) * (y.m - z.m), 9)) AS d FROM rfm_z z, c)),
+m AS (SELECT cl, avg(Recency) AS Recency, avg(Frequency) AS Frequency, avg(CAST(Monetary AS DOUBLE)) AS Monetary FROM a GROUP BY cl),
+l AS (SELECT m.*, CASE WHEN Recency < r AND Frequency > f AND Monetary > mm THEN 'Champions' WHEN Recency < r AND Frequency > f THEN 'Loyal'
+                       WHEN Recency < r THEN 'New Customers' WHEN Recency > r75 THEN 'Lost' ELSE 'At Risk' END AS label
+      FROM m, (SELECT median(Recency) AS r, median(Frequency) AS f, median(Monetary) AS mm, quantile_cont(Recency, 0.75) AS r75 FROM m)),
+n AS (SELECT cl, label, row_number() OVER (PARTITION BY label ORDER BY cl) AS n FROM l)
+SELECT CAST(a.CustomerID AS BIGINT) AS CustomerID, CAST(a.cl AS BIGINT) AS Cluster, concat(label, CASE WHEN n = 1 THEN '' ELSE concat(' ', CAST(n AS VARCHAR)) END) AS RFM_Segment
+FROM a JOIN n ON a.cl = n.cl
+"""
+
 SQL["churn_by_segment"] = """
 SELECT RFM_Segment, count(*) AS TotalCustomers, CAST(sum(ChurnLabel) AS BIGINT) AS ChurnedCustomers,
        round(CAST(sum(ChurnLabel) AS DOUBLE) * 100 / count(*), 6) AS ChurnRatePercent

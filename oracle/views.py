@@ -337,6 +337,32 @@ FROM (SELECT z.*, i, round((r - cr) * (r - cr) + (f - cf) * (f - cf) + (m - cm)
 GROUP BY CustomerID
 """
 
+# One row per run of k-means: its centres as a list; a round assigns every customer and takes means.
+VIEWS["kmeans_runs"] = """
+WITH RECURSIVE starts AS (
+    SELECT start, row_number() OVER (PARTITION BY start ORDER BY md5(concat(start, ':', CustomerID)), CAST(CustomerID AS VARCHAR)) AS i, {'r': r, 'f': f, 'm': m} AS x
+    FROM rfm_z, (SELECT unnest(range(42, 52)) AS start)),
+  rounds AS (
+    SELECT 0 AS turn, k, start, list(x ORDER BY i) AS c, true AS moving FROM starts JOIN (SELECT unnest(range(2, 11)) AS k) ON i <= k GROUP BY k, start
+    UNION ALL
+    SELECT turn + 1, k, start, n, turn < 299 AND list_max(list_transform(range(1, len(c) + 1), lambda i: greatest(abs(n[i].r - c[i].r), abs(n[i].f - c[i].f), abs(n[i].m - c[i].m)))) > 1e-6
+    FROM (SELECT turn, k, start, c, list_transform(range(1, len(c) + 1), lambda i: coalesce(list_filter(g, lambda y: y.i = i)[1].x, c[i])) AS n
+          FROM (SELECT turn, k, start, c, list({'i': near, 'x': {'r': r, 'f': f, 'm': m}}) AS g
+                FROM (SELECT turn, k, start, c, near, avg(r) AS r, avg(f) AS f, avg(m) AS m
+                      FROM (SELECT turn, k, start, c, z.r, z.f, z.m, list_position(d, list_min(d)) AS near
+                            FROM (SELECT rounds.*, rfm_z.r, rfm_z.f, rfm_z.m,
+                                         list_transform(c, lambda y: round((y.r - rfm_z.r) * (y.r - rfm_z.r) + (y.f - rfm_z.f) * (y.f - rfm_z.f) + (y.m - rfm_z.m) * (y.m - rfm_z.m), 9)) AS d
+                                  FROM rounds, rfm_z WHERE moving) z)
+                      GROUP BY turn, k, start, c, near)
+                GROUP BY turn, k, start, c)))
+SELECT k, start, c, sum(list_min(list_transform(c, lambda y: (y.r - z.r) * (y.r - z.r) + (y.f - z.f) * (y.f - z.f) + (y.m - z.m) * (y.m - z.m)))) AS cost
+FROM rounds, rfm_z z WHERE NOT moving GROUP BY k, start, c
+"""
+
+VIEWS["kmeans_best"] = """
+SELECT k, c, cost FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(cost, 6), start) AS n FROM kmeans_runs) WHERE n = 1
+"""
+
 VIEWS["segment_centres"] = """
 SELECT Cluster, avg(Recency) AS Recency, avg(Frequency) AS Frequency, avg(Monetary) AS Monetary
 FROM assigned GROUP BY Cluster
