@@ -91,14 +91,18 @@ def pass_over(points: DataFrame, runs: Sequence[np.ndarray]) -> tuple[list[np.nd
 
 
 def fit(
-    rows: DataFrame, columns: Sequence[str], ks: Sequence[int], *, key: str = "CustomerID", starts: Sequence[int] = tuple(range(42, 52)), max_iter: int = 300, settled: float = 1e-6
+    rows: DataFrame, columns: Sequence[str], ks: Sequence[int], *, key: str = "CustomerID", starts: Sequence[int] = tuple(range(42, 52)), max_iter: int = 300, settled: float = 1e-4
 ) -> list[Run]:
-    """Every run of ``ks`` x ``starts``. A run is settled when no coordinate of a centre moves by more than ``settled``; its cost is that of its last centres.
+    """Every run of ``ks`` x ``starts``. A run is settled when its centres' moves, squared and summed, are ``settled`` at most (columns have unit variance); its cost is that of its last centres.
 
     A start with fewer rows than K takes the rows there are; without rows there are no runs.
     """
     first = starting_rows(rows, columns, key, max(ks), starts)
-    points = vectors(rows, columns).persist()
+    points = vectors(rows, columns)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if points.rdd.getNumPartitions() < cores:  # few rows, which every pass compares with every centre
+        points = points.repartition(cores)
+    points = points.persist()
     try:
         open_ = {(k, s): c[:k] for s, c in first.items() if len(c) for k in ks}
         done: dict[tuple[int, int], Run] = {}
@@ -112,7 +116,7 @@ def fit(
             for name, new, cost in zip(names, moved, costs, strict=True):
                 if name in ended:
                     done[name] = Run(*name, cost, ended[name])
-                elif np.abs(new - open_[name]).max() <= settled or turn >= max_iter:
+                elif ((new - open_[name]) ** 2).sum() <= settled or turn >= max_iter:
                     stopped[name] = new
                 else:
                     after[name] = new

@@ -188,8 +188,14 @@ def silhouettes(rows: DataFrame, columns: Sequence[str], clusters: Column, group
         return pa.table({"g": pa.array(np.arange(len(groups))), "s": pa.array(w @ scores), "w": pa.array(np.full(len(groups), w.sum()))})
 
     kind = ", ".join(["query long", *[f"{x} double" for x in xs], "c array<int>", "w double", "sums array<double>"])
-    direct = mine.groupBy("query").cogroup(met.groupBy("query")).applyInArrow(one_by_one, kind)
-    parts = direct.groupBy("query").cogroup(seen.groupBy("query")).applyInArrow(expanded, "g long, s double, w double")
+    # A stated number of partitions: these are few bytes and much work, so they aren't merged.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(df: DataFrame):
+        return df.repartition(tasks, "query").groupBy("query")
+
+    direct = dealt(mine).cogroup(dealt(met)).applyInArrow(one_by_one, kind)
+    parts = dealt(direct).cogroup(dealt(seen)).applyInArrow(expanded, "g long, s double, w double")
     means = {r["g"]: r["s"] for r in parts.groupBy("g").agg((F.sum("s") / F.sum("w")).alias("s")).collect()}
     return [float(means[g]) for g in range(len(groups))]
 

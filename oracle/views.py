@@ -345,7 +345,7 @@ WITH RECURSIVE starts AS (
   rounds AS (
     SELECT 0 AS turn, k, start, list(x ORDER BY i) AS c, true AS moving FROM starts JOIN (SELECT unnest(range(2, 11)) AS k) ON i <= k GROUP BY k, start
     UNION ALL
-    SELECT turn + 1, k, start, n, turn < 299 AND list_max(list_transform(range(1, len(c) + 1), lambda i: greatest(abs(n[i].r - c[i].r), abs(n[i].f - c[i].f), abs(n[i].m - c[i].m)))) > 1e-6
+    SELECT turn + 1, k, start, n, turn < 299 AND list_sum(list_transform(range(1, len(c) + 1), lambda i: (n[i].r - c[i].r) ** 2 + (n[i].f - c[i].f) ** 2 + (n[i].m - c[i].m) ** 2)) > 1e-4
     FROM (SELECT turn, k, start, c, list_transform(range(1, len(c) + 1), lambda i: coalesce(list_filter(g, lambda y: y.i = i)[1].x, c[i])) AS n
           FROM (SELECT turn, k, start, c, list({'i': near, 'x': {'r': r, 'f': f, 'm': m}}) AS g
                 FROM (SELECT turn, k, start, c, near, avg(r) AS r, avg(f) AS f, avg(m) AS m

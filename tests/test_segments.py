@@ -31,9 +31,9 @@ def _lloyd(x, centres, max_iter=300):
         d = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
         at = np.round(d, 9).argmin(axis=1)
         new = np.array([x[at == i].mean(axis=0) if (at == i).any() else c for i, c in enumerate(centres)])
-        moved = np.abs(new - centres).max()
+        moved = ((new - centres) ** 2).sum()
         centres = new
-        if moved <= 1e-6:
+        if moved <= 1e-4:
             break
     d = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
     return centres, d.min(axis=1).sum()
