@@ -8,11 +8,13 @@ farthest from an edge stays. A span is added when it passes the check of its kin
 
 Texts without a digit or ``@`` can't hold a span; they are told apart in the JVM and never reach Python. A text is handled as a whole, windows of all texts of a batch go through the network in groups of fixed size.
 
-Defined cases: null and empty text have no spans; redaction leaves null as null; repeated rows are handled each; an empty table gives an empty result; other columns pass through. Offsets are code points, the end is exclusive.
+Defined cases: a text of any length is searched whole, in time that grows with its length, also where it is one number of any length; null and empty text have no spans; redaction leaves null as null; repeated rows are handled each; an empty table gives an empty result; other columns pass through. Offsets are code points, the end is exclusive.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -30,6 +32,8 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+#: The same matches, looked for at the first digit of a run only: a match takes whole runs, and a search from every digit would cost the square of a run's length.
+SEARCH = PATTERNS | {"ip": re.compile("(?<![0-9])" + PATTERNS["ip"].pattern)}
 TRIGGER = "[0-9@]"
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 
@@ -47,7 +51,8 @@ def passes(kind: str, s: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split("."))
+        parts = [p.lstrip("0") for p in s.split(".")]  # a part may be any number of digits
+        return all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
     d = _digits(s)
     return 14 <= len(d) <= 19 and luhn(d) if kind == "card" else 10 <= len(d) <= 15
 
@@ -70,7 +75,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     found = [(s, 0, e) for s, e in _emails(text)]
     for k, kind in enumerate(KINDS[1:], 1):
         if kind != "phone" or "+" in text:
-            found += [(m.start(), k, m.end()) for m in PATTERNS[kind].finditer(text) if passes(kind, m[0])]
+            found += [(m.start(), k, m.end()) for m in SEARCH[kind].finditer(text) if passes(kind, m[0])]
     return sorted(found)
 
 
@@ -121,11 +126,12 @@ def added_spans(texts: list[str], model: Tagger, length: int, group: int = 1024)
                     seen[i][span] = max(far, seen[i].get(span, 0))
     out = []
     for found in seen:
-        spans: list[tuple[int, int, int]] = []
+        spans: list[tuple[int, int, int]] = []  # apart from each other and in order
         for span, _ in sorted(found.items(), key=lambda x: (-x[1], x[0])):
-            if not any(span[0] < e and s < span[2] for s, _, e in spans):
-                spans.append(span)
-        out.append(sorted(spans))
+            at = bisect.bisect(spans, span)
+            if not (at and spans[at - 1][2] > span[0]) and not (at < len(spans) and spans[at][0] < span[2]):
+                spans.insert(at, span)
+        out.append(spans)
     return out
 
 
@@ -150,8 +156,9 @@ def find(texts: list[str], model: Tagger, length: int) -> list[list[tuple[int, i
     out = []
     for t, more in zip(texts, added_spans(texts, model, length), strict=True):
         base = base_spans(t)
-        taken = sorted((s, e) for s, _, e in base)
-        extra = [x for x in more if not any(s < x[2] and x[0] < e for s, e in taken)] if more else []
+        starts = [s for s, _, _ in base]
+        reach = list(itertools.accumulate((e for _, _, e in base), max))  # how far the spans up to each one go
+        extra = [x for x in more if not ((at := bisect.bisect_left(starts, x[2])) and reach[at - 1] > x[0])]
         out.append(sorted([(*x, True) for x in base] + [(*x, False) for x in extra]))
     return out
 
