@@ -16,7 +16,7 @@ Measured recall of the ten nearest on random-like unit vectors of 64 dimensions
 rows; data with closer neighbours needs far fewer probes.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component take no part, as query or candidate; vectors only meet vectors of their own length; rows equal in identity and vector are one; a row never meets
-its own identity; fewer candidates give fewer rows; a null identity takes no part; an empty table gives an empty result; other columns are left behind.
+its own identity; fewer candidates give fewer rows; a null identity takes no part; components may be as large as doubles go; an empty table gives an empty result; other columns are left behind.
 """
 
 from __future__ import annotations
@@ -91,6 +91,19 @@ def coded(rows: DataFrame, tables: int, probes: int, seed: int, skip: int = 0) -
     return rows.select("id", "v").mapInArrow(local, "id long, v array<double>, dim int, tab int, code int")
 
 
+def distances(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows to one vector. Where squares overflow they are taken of differences over the largest one; a distance beyond a double is infinite."""
+    with np.errstate(over="ignore"):
+        off = v - q
+        d = np.sqrt((off * off).sum(axis=1))
+        large = np.flatnonzero(~np.isfinite(d))
+        if len(large):
+            most = np.abs(off[large]).max(axis=1, keepdims=True)
+            scaled = np.where(np.isfinite(most), off[large] / np.where(np.isfinite(most), most, 1), 1.0)
+            d[large] = most[:, 0] * np.sqrt((scaled * scaled).sum(axis=1))
+    return d
+
+
 def _nearest(k: int):
     def meet(key, queries: pa.Table, index: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
@@ -102,12 +115,11 @@ def _nearest(k: int):
             order = np.argsort(vid, kind="stable")
             v, vid = v[order], vid[order]
             for i in range(len(q)):
-                d = np.sqrt(((v - q[i]) ** 2).sum(axis=1))
-                d[vid == qid[i]] = np.inf
+                others = np.flatnonzero(vid != qid[i])
+                d = distances(v[others], q[i])
                 # Stable on rows in order of identity: ties go to the smaller one.
                 best = np.argsort(d, kind="stable")[:k]
-                best = best[d[best] < np.inf]
-                out.append((np.full(len(best), qid[i]), vid[best], d[best]))
+                out.append((np.full(len(best), qid[i]), vid[others[best]], d[best]))
         cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "dim": pa.array(np.full(len(cols[0]), dim, np.int32)), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 

@@ -186,3 +186,30 @@ def test_hadamard_is_orthogonal():
     x = np.eye(16)
     h = neighbours.hadamard(x)
     assert np.allclose(h @ h.T, x) and np.allclose(neighbours.hadamard(h), x)
+
+
+def test_numbers_of_any_length():
+    zeros = "1.2.3." + "0" * 5000 + "1"
+    assert [(s, k, e) for s, k, e in pii.base_spans(zeros) if k == 1] == [(0, 1, len(zeros))]
+    assert pii.base_spans("9" * 100_000) == [] and pii.base_spans("1." + "7" * 100_000 + ".") == []
+    assert [x for x in pii.base_spans("1.2.3.4.5.6.7.8 x1.2.3.4 300.1.1.1") if x[1] == 1] == [(0, 1, 7), (8, 1, 15), (17, 1, 24)]
+    many = "a@b.cc " * 30_000
+    assert len(pii.find([many], tagger.trained(), 48)[0]) == 30_000
+
+
+def test_added_spans_keep_clear_of_base_spans():
+    text = "call 212-555-0147 or mail x.y@z.org or +1 (212) 555-0147 from 10.1.2.3 on"
+    found = pii.find([text], tagger.trained(), 48)[0]
+    base = [x for x in found if x[3]]
+    assert [(s, k, e) for s, k, e, _ in base] == pii.base_spans(text)
+    for i, x in enumerate(found):
+        assert x[3] or not any(x[0] < y[2] and y[0] < x[2] for j, y in enumerate(found) if i != j)
+
+
+def test_neighbours_of_large_components(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 1e199]), (2, [-1e200, 3.0]), (100, [1e308, -1e308]), (200, [-1e308, 1e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()]
+    assert Counter(r[0] for r in got) == {0: 4, 100: 4, 200: 4}
+    assert got[0][:3] == (0, 1, 1) and got[0][3] == pytest.approx(1e199) and got[1][:3] == (0, 2, 2) and got[1][3] == pytest.approx(2e200)
+    assert got[-1][:3] == (200, 4, 100) and got[-1][3] == math.inf
