@@ -450,30 +450,12 @@ def _profiling() -> dict:
         return clean.winsorise(df, churn.WINSORISED, limits=limits)
 
     def summary(w: Warehouse) -> DataFrame:
-        return quality.dataset_summary(
-            {
-                "reviews": w["staging_reviews"].select("Age", "Title", "ReviewText", "Rating", "DepartmentName"),
-                "retail": w["staging_retail"].select("Invoice", "StockCode", "Description", "Quantity", "Country"),
-            }
-        )
+        return quality.dataset_summary({"reviews": w["staging_reviews"], "retail": w["staging_retail"]})
 
     return {
-        "schema_listing": _w(
-            lambda w: quality.schema_listing(
-                {
-                    "dim_product": w["dim_product"].select("StockCode", "ProductName", "ImageCategory"),
-                    "fact_orders": w["fact_orders"].select("OrderID", "Quantity"),
-                }
-            )
-        ),
-        "table_profile": _w(
-            lambda w: quality.column_profile(
-                w["dim_product"].select("StockCode", "ProductName", "Category", "ImageCategory"), "Dim_Product"
-            )
-        ),
-        "review_profile": _w(
-            lambda w: quality.column_profile(w["staging_reviews"].select("Title", "DepartmentName", "Rating"), "staging_reviews")
-        ),
+        "schema_listing": _w(lambda w: quality.schema_listing({name: w[name] for name in ("dim_product", "dim_customer", "fact_orders")})),
+        "table_profile": _w(lambda w: quality.column_profile(w["dim_product"], "Dim_Product")),
+        "review_profile": _w(lambda w: quality.column_profile(w["staging_reviews"], "staging_reviews")),
         "missing_table": _w(lambda w: quality.missing_table(w["staging_reviews"])),
         "describe_numeric": _w(lambda w: stats.describe(w["rfm_table"], ["Recency", "Frequency", "Monetary"])),
         "describe_lines": _w(lambda w: stats.describe(w["clean_retail"], ["Quantity", "Price"])),

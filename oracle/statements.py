@@ -548,35 +548,35 @@ FROM ranked WHERE rn <= 5
 
 # --- profiling ---------------------------------------------------------------------------------------------
 
-SQL["table_profile"] = """
-SELECT 'Dim_Product' AS TableName, CAST(0 AS BIGINT) AS Position, 'StockCode' AS "Column", 'string' AS Type,
-       count(StockCode) AS NonNull, count(*) - count(StockCode) AS Nulls, count(DISTINCT StockCode) AS DistinctValues,
-       min(StockCode) AS MinText, max(StockCode) AS MaxText FROM dim_product
-UNION ALL SELECT 'Dim_Product', 1, 'ProductName', 'string', count(ProductName), count(*) - count(ProductName), count(DISTINCT ProductName),
-       min(ProductName), max(ProductName) FROM dim_product
-UNION ALL SELECT 'Dim_Product', 2, 'Category', 'string', count(Category), count(*) - count(Category), count(DISTINCT Category),
-       min(Category), max(Category) FROM dim_product
-UNION ALL SELECT 'Dim_Product', 3, 'ImageCategory', 'string', count(ImageCategory), count(*) - count(ImageCategory),
-       count(DISTINCT ImageCategory), min(ImageCategory), max(ImageCategory) FROM dim_product
-"""
-
-SQL["review_profile"] = """
-SELECT 'staging_reviews' AS TableName, CAST(0 AS BIGINT) AS Position, 'Title' AS "Column", 'string' AS Type, count(Title) AS NonNull,
-       count(*) - count(Title) AS Nulls, count(DISTINCT Title) AS DistinctValues, min(Title) AS MinText, max(Title) AS MaxText
-FROM staging_reviews
-UNION ALL SELECT 'staging_reviews', 1, 'DepartmentName', 'string', count(DepartmentName), count(*) - count(DepartmentName),
-       count(DISTINCT DepartmentName), min(DepartmentName), max(DepartmentName) FROM staging_reviews
-UNION ALL SELECT 'staging_reviews', 2, 'Rating', 'int', count(Rating), count(*) - count(Rating), count(DISTINCT Rating),
-       min(CAST(Rating AS VARCHAR)), max(CAST(Rating AS VARCHAR)) FROM staging_reviews
-"""
+COLUMNS = {
+    "dim_product": "ProductID:bigint StockCode:string ProductName:string Category:string SubCategory:string AvgPrice:double AvgRating:double ImageCategory:string PriceRange:string",
+    "dim_customer": "CustomerID:bigint Country:string AgeGroup:string JoinDate:date Recency:int Frequency:bigint Monetary:decimal AvgOrderValue:double RFM_Segment:string ChurnLabel:int",
+    "fact_orders": "OrderID:string InvoiceNo:string CustomerID:bigint ProductID:bigint TimeID:bigint LocationID:bigint Quantity:int UnitPrice:decimal TotalPrice:decimal Discount:decimal",
+    "staging_reviews": "ReviewID:bigint ClothingID:bigint Age:int Title:string ReviewText:string Rating:int Recommended:int PositiveFeedback:int DivisionName:string DepartmentName:string ClassName:string",
+}
 
-SQL["schema_listing"] = """
-SELECT 'dim_product' AS TableName, CAST(c.i AS BIGINT) AS Position, c.n AS "Column",
-       CASE c.i WHEN 0 THEN count(StockCode) WHEN 1 THEN count(ProductName) ELSE count(ImageCategory) END AS NonNull
-FROM dim_product, (VALUES (0, 'StockCode'), (1, 'ProductName'), (2, 'ImageCategory')) AS c(i, n) GROUP BY c.i, c.n
-UNION ALL SELECT 'fact_orders', CAST(c.i AS BIGINT), c.n, CASE c.i WHEN 0 THEN count(OrderID) ELSE count(Quantity) END
-FROM fact_orders, (VALUES (0, 'OrderID'), (1, 'Quantity')) AS c(i, n) GROUP BY c.i, c.n
-"""
+
+def _columns(view: str) -> list[tuple[int, str, str]]:
+    return [(i, *c.split(":")) for i, c in enumerate(COLUMNS[view].split())]
+
+
+def _profile(view: str, title: str) -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{title}' AS TableName, CAST({i} AS BIGINT) AS Position, '{c}' AS "Column", '{kind}' AS Type, count({c}) AS NonNull, count(*) - count({c}) AS Nulls,
+       count(DISTINCT {c}) AS DistinctValues, min(CAST({c} AS VARCHAR)) AS MinText, max(CAST({c} AS VARCHAR)) AS MaxText FROM {view}"""
+        for i, c, kind in _columns(view)
+    )
+
+
+SQL["table_profile"] = _profile("dim_product", "Dim_Product")
+
+SQL["review_profile"] = _profile("staging_reviews", "staging_reviews")
+
+SQL["schema_listing"] = "\nUNION ALL ".join(
+    f"""SELECT '{view}' AS TableName, CAST({i} AS BIGINT) AS Position, '{c}' AS "Column", count({c}) AS NonNull FROM {view}"""
+    for view in ("dim_product", "dim_customer", "fact_orders")
+    for i, c, _ in _columns(view)
+)
 
 SQL["null_checks_reviews"] = """
 SELECT 'Title' AS "Column", count(*) - count(Title) AS Nulls FROM staging_reviews
@@ -724,17 +724,17 @@ SELECT CAST(label AS BIGINT) AS label, count(DISTINCT vec_id) AS Vectors, round(
 FROM (SELECT vec_id, label, unnest(embedding) AS v FROM embeddings) GROUP BY label
 """
 
-SQL["dataset_summary"] = """
-SELECT 'reviews' AS Dataset, count(*) AS Rows, CAST(5 AS BIGINT) AS Columns,
-       round((5 * count(*) - count(Age) - count(Title) - count(ReviewText) - count(Rating) - count(DepartmentName))::DOUBLE
-             * 100 / (count(*) * 5), 6) AS MissingPercent,
-       CAST(sum(length(CAST(Age AS VARCHAR)) + coalesce(length(Title), 0) + coalesce(length(ReviewText), 0)
-                + length(CAST(Rating AS VARCHAR)) + coalesce(length(DepartmentName), 0)) AS BIGINT) AS TextChars
+_REVIEW_CELLS = [c for _, c, _ in _columns("staging_reviews")]
+
+SQL["dataset_summary"] = f"""
+SELECT 'reviews' AS Dataset, count(*) AS Rows, CAST({len(_REVIEW_CELLS)} AS BIGINT) AS Columns,
+       round(({len(_REVIEW_CELLS)} * count(*) - {" - ".join(f"count({c})" for c in _REVIEW_CELLS)})::DOUBLE * 100 / (count(*) * {len(_REVIEW_CELLS)}), 6) AS MissingPercent,
+       CAST(sum({" + ".join(f"coalesce(length(CAST({c} AS VARCHAR)), 0)" for c in _REVIEW_CELLS)}) AS BIGINT) AS TextChars
 FROM staging_reviews
 UNION ALL
-SELECT 'retail', count(*), 5, 0.0::DOUBLE,
-       CAST(sum(length(Invoice) + length(StockCode) + length(Description) + length(CAST(Quantity AS VARCHAR))
-                + length(Country)) AS BIGINT)
+SELECT 'retail', count(*), 8, round((count(*) - count(CustomerID))::DOUBLE * 100 / (count(*) * 8), 6),
+       CAST(sum(length(Invoice) + length(StockCode) + length(Description) + length(CAST(Quantity AS VARCHAR)) + length(CAST(CAST(InvoiceDate AS TIMESTAMP) AS VARCHAR))
+                + length(CAST(Price AS VARCHAR)) + coalesce(length(CAST(CAST(CustomerID AS DOUBLE) AS VARCHAR)), 0) + length(Country)) AS BIGINT)
 FROM staging_retail
 """
 
