@@ -615,6 +615,9 @@ def _sources() -> dict:
         "replaced_table": _w(roundtrips.replaced_table),
         "first_csv": _w(roundtrips.first_csv),
         "review_names": _w(roundtrips.review_names),
+        "versioned_write_back": _w(roundtrips.versioned_write_back),
+        "image_folder_counts": lambda spark, folder: present(roundtrips.image_folder_counts(warehouse(spark, folder), folder)),
+        "saved_scaler": _w(roundtrips.saved_scaler),
     }
 
 

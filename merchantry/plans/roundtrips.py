@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.feature import StandardScaler, StandardScalerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchantry.operators import clean
+from merchantry.operators import clean, segment
 from merchantry.plans.warehouse import Warehouse
 from merchantry.schemas import STAGING_RETAIL
-from merchantry.sources import files
+from merchantry.sources import files, tables
+from merchantry.sources.versioned import VersionedTable
 
 #: Staged lines as they stand in a text file.
 RAW_RETAIL = T.StructType([T.StructField(f.name, T.StringType()) for f in STAGING_RETAIL])
@@ -79,3 +84,35 @@ def review_names(w: Warehouse) -> DataFrame:
     age, stars = clean.find_column(named, "age of", "customer age"), clean.find_column(named, "rating")
     numbers = clean.numeric(named, age, stars, "Department_Name")
     return numbers.select(F.col("Review_No").alias("ReviewID"), F.col(age).alias("Age"), F.col(stars).alias("Stars"), F.col("Department_Name").alias("Department"))
+
+
+def versioned_write_back(w: Warehouse) -> DataFrame:
+    """Reviews are published as a table in versions; the scores of the newest tenth of identities are merged into the ranges that hold them, and the newest version is read."""
+    reviews = w["fact_reviews"].select("ReviewID", "Rating", "SentimentScore")
+    table = VersionedTable(w.spark, _place(w, f"reviews-{uuid.uuid4().hex[:8]}"), "ReviewID")
+    table.replace(reviews)
+    newest = reviews.agg((F.max("ReviewID") * 9 / 10).alias("m")).scalar()
+    scores = w["sentiment_scores"].filter(F.col("ReviewID") >= newest).select("ReviewID", F.col("Ensemble_Score").alias("SentimentScore"))
+    table.merge(scores)
+    return table.read().select("ReviewID", "Rating", F.round("SentimentScore", 6).alias("SentimentScore"))
+
+
+def image_folder_counts(w: Warehouse, folder: str) -> DataFrame:
+    """Pages are written as files in a folder for each class, one file a page, and read back as labelled binary files; files and bytes by class."""
+    pages = tables.table(w.spark, folder, "pages")
+    label = F.concat(F.lit("class-"), F.pmod("page_id", F.lit(7)).cast("string"))
+    path = _place(w, "images")
+    rows = pages.select(F.coalesce("html", F.lit("")).alias("value"), label.alias("label"))
+    rows.write.mode("overwrite").partitionBy("label").option("maxRecordsPerFile", 1).text(path)
+    images = files.read_labelled_images(w.spark, path).withColumn("label", F.split("label", "=")[1])
+    sizes = images.groupBy("label").agg(F.sum(F.length("content")).alias("Bytes"))
+    return files.class_counts(images).join(sizes, "label").select(F.col("label").alias("Label"), F.col("files").alias("Files"), "Bytes")
+
+
+def saved_scaler(w: Warehouse) -> DataFrame:
+    """A scaler is fitted on recency, frequency and monetary value, saved, read again and applied."""
+    rows = segment.as_vectors(w["rfm_table"].select("CustomerID", *[F.col(c).cast("double").alias(c) for c in segment.FEATURES]), segment.FEATURES)
+    path = _place(w, "scaler")
+    files.save_model(StandardScaler(inputCol="features", outputCol="z", withMean=True, withStd=True).fit(rows), path)
+    scaled = StandardScalerModel.load(path).transform(rows).select("CustomerID", vector_to_array("z").alias("z"))
+    return scaled.select("CustomerID", *[F.round(F.col("z")[i], 6).alias(c) for i, c in enumerate(segment.FEATURES)])

@@ -944,5 +944,22 @@ FROM staging_reviews
 SQL["user_similarity_tail"] = SQL["user_similarity_topk"]
 
 
+SQL["versioned_write_back"] = """
+SELECT ReviewID, CAST(Rating AS BIGINT) AS Rating,
+       CASE WHEN ReviewID >= (SELECT max(ReviewID) FROM scored_reviews) * 9 / 10 THEN round(Ensemble_Score, 6) END AS SentimentScore FROM scored_reviews
+"""
+
+SQL["image_folder_counts"] = """
+SELECT concat('class-', page_id % 7) AS Label, count(*) AS Files, CAST(sum(strlen(coalesce(html, '')) + 1) AS BIGINT) AS Bytes FROM pages GROUP BY 1
+"""
+
+SQL["saved_scaler"] = """
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, round((Recency - avg(Recency) OVER ()) / stddev_samp(Recency) OVER (), 6) AS Recency,
+       round((Frequency - avg(Frequency) OVER ()) / stddev_samp(Frequency) OVER (), 6) AS Frequency,
+       round((Monetary::DOUBLE - avg(Monetary::DOUBLE) OVER ()) / stddev_samp(Monetary::DOUBLE) OVER (), 6) AS Monetary
+FROM rfm_table
+"""
+
+
 def statements() -> dict[str, str]:
     return {name: with_views(sql) for name, sql in SQL.items()}
