@@ -6,12 +6,13 @@ shard, whose bytes are then the target. Medians are exact: they come from rounds
 bounded number of sums per node, so no task sorts a node and hot values of a dimension don't matter.
 
 Dimensions are ties broken by a digest of the text, so equal texts stand together. A group of equal texts at a cut goes whole to the nearer side where that
-misses the node's target by no more than ``slack`` of a shard, otherwise it is cut too, by a digest of the row's identity.
+misses the node's target by no more than ``slack`` of a shard, otherwise it is cut too, by a digest of the row's identity. Rows equal in identity and text are told apart by the place they were written at, so any number of
+them can be cut; which of them goes where makes no difference.
 
 Dimensions of a row are taken from the first copy of its text (smallest identity), so all copies share them.
 
-Defined cases: null text has no bytes (size 1) and counts as the empty text; null source or language is a value of its own; rows equal in identity and text stay in one
-shard; an empty table gives an empty result; other columns pass through.
+Defined cases: null text has no bytes (size 1) and counts as the empty text; null source or language is a value of its own; rows equal in identity and text are cut like others, so a table
+of one row many times over has even shards too; texts of any length are read for their size and digest only; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from merchantry.llm.common import digest_bits, lookup, stored, weighted_cuts
 
 SCALE = 20
 SLOT_ROWS = 5000
+#: Low bits of a tie, which order rows equal in identity and text.
+COPY_BITS = 20
 
 
 def _name_place(value: Column) -> Column:
@@ -39,6 +42,7 @@ def items(docs: DataFrame, *, identity: str, text: str, carry: list[str]) -> Dat
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body).alias("crc"),
         F.md5(body).alias("digest"),
+        F.monotonically_increasing_id().alias("nr"),  # tells rows equal in identity and text apart; fixed once these rows are written
     )
 
 
@@ -57,8 +61,9 @@ def keyed(rows: DataFrame) -> DataFrame:
     ]
     group = digest_bits(F.col("digest"), 40)
     keys = F.array(*(F.shiftleft(F.least(p, F.lit(most).cast("long")), 40).bitwiseOR(group) for p in places))
-    tie = digest_bits(F.concat_ws("|", F.col("id").cast("string"), F.col("digest")))
-    return rows.withColumn("keys", keys).withColumn("tie", tie).drop("first")
+    of_row = digest_bits(F.concat_ws("|", F.col("id").cast("string"), F.col("digest")), 60 - COPY_BITS)
+    tie = F.shiftleft(of_row, COPY_BITS).bitwiseOR(F.pmod(F.xxhash64("nr"), F.lit(1 << COPY_BITS)))
+    return rows.withColumn("keys", keys).withColumn("tie", tie).drop("first", "nr")
 
 
 def assign(rows: DataFrame, shards: int, slack: float) -> Column:
@@ -124,8 +129,8 @@ def assign(rows: DataFrame, shards: int, slack: float) -> Column:
 
 
 def slots(rows: DataFrame, bits: int) -> DataFrame:
-    """A gapless number from 0 in each shard: digest ranges are counted, and a row's number is its range's offset plus its place in the range."""
-    rows = rows.withColumn("part", F.shiftright("tie", 60 - bits))
+    """A gapless number from 0 in each shard: shares of its rows, dealt by a hash of the tie, are counted, and a row's number is its share's offset plus its place in the share."""
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("tie"), F.lit(1 << bits)))
     counts = rows.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("shard").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))

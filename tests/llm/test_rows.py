@@ -150,3 +150,16 @@ def test_weighted_cuts(spark):
                     break
                 below += here
             assert got.get(g) == want
+
+
+def test_shards_of_one_row_many_times(spark):
+    kind = "doc_id long, text string, source string, lang string"
+    df = spark.createDataFrame([(7, "same words", "s", "en")] * 800 + [(None, "x", None, None)] * 80 + [(1, None, "t", "en")], kind)
+    rows = sharding.kd_shards(df).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+    assert len(rows) == 881 and set(sizes) == set(range(8))
+    assert max(sizes.values()) - min(sizes.values()) <= 3 * 11
+    for s in sizes:
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
