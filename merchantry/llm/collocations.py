@@ -276,7 +276,7 @@ def scored(found: DataFrame, counts: dict[int, DataFrame]) -> DataFrame:
 
 
 def phrases(
-    docs: DataFrame, *, text: str = "text", lang: str = "lang", min_count: int = 30, cover: int = 80, top: int = 2000, bits: int = 26, block: int = 1_000_000, salts: int = 64
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", min_count: int = 30, cover: int = 80, top: int = 2000, bits: int = 26, block: int = 400_000, salts: int = 64
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
