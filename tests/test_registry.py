@@ -2,7 +2,7 @@ import __spark_entry__ as entry
 from merchantry.plans import catalogue
 
 ROWS_ONLY = {
-    "feature_importance", "kmeans_sweep", "model_comparison", "random_search", "rfm_segments", "vector_classifier_report",
+    "feature_importance", "model_comparison", "random_search", "vector_classifier_report",
 }
 TEXT_PREFIXES = ("op", "pipeline")
 
