@@ -14,8 +14,8 @@ Order of shingles
     are kept (a bound on the broadcast, not on the result: any order is right, this one keeps lists short).
 
 Long lists without all pairs
-    Lists of up to ``light`` classes give all their pairs. In a longer one, every class is first compared with one pivot of the list, in several
-    rounds with other pivots; classes that links already join need no comparison. Pairs from different components that are left at the end are all compared.
+    Lists of up to ``light`` classes give all their pairs. In a longer one, every class is first compared with a few pivots of the list, those most central in it (see :func:`central`), in
+    several rounds with pivots of other components; classes that links already join need no comparison. Pairs from different components that are left at the end are all compared.
     A group of g near copies so costs about g comparisons a round, and no link between components is lost.
 
 Every pair is checked with the whole sets. 64-bit fingerprints stand for shingles.
@@ -44,6 +44,8 @@ MOST_SMALL = 12
 #: Classes that a task remembers.
 REMEMBER = 200_000
 SLOT_BITS = 22
+#: Pivots of a long list in a round.
+PIVOTS = 4
 
 
 def common(n: int, m: int, percent: int) -> int:
@@ -244,6 +246,15 @@ def whole_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("c", "text").mapInArrow(local, "c long, tokens binary")
 
 
+def central(dealt: str, turn: int, part: int) -> Column:
+    """An order of a list's classes whose first one is the pivot (c, n, i) of a part of them: those of most weight, the total length of the long lists that a class stands in.
+
+    What was edited least has the most common shingles, so it stands in the most and longest lists and links with the most others. Classes are dealt to parts by the column ``dealt``, anew each turn.
+    """
+    mine = F.pmod(F.xxhash64(dealt, F.lit(turn)), F.lit(PIVOTS)) == part
+    return F.struct((~mine).alias("other"), (-F.col("weight")).alias("w"), F.xxhash64("c").alias("o"), F.struct("c", "n", "i").alias("p"))
+
+
 def row_key(docs: DataFrame) -> Column:
     """A fingerprint of a whole row; null has its own. Maps can't be hashed and are left out."""
     columns = [docs[f"`{c}`"] for c, kind in docs.dtypes if "map<" not in kind]
@@ -259,7 +270,7 @@ def groups(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", **h
     return named.select("id", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component"))
 
 
-def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int = 100_000, light: int = 8, rounds: int = 3) -> DataFrame:
+def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int = 100_000, light: int = 8, rounds: int = 2) -> DataFrame:
     """(id, text, x) -> (id, x, n, comp): the size of each document's set and its component's smallest class; rows of one ``id`` and ``x`` must have one text."""
     often = frequent_shingles(docs, size, heavy)
     documents = stored(classed(docs, size, percent, often), "ngram-classes")
@@ -277,6 +288,7 @@ def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int =
     discard(shared_lists)
     other = F.col("c").alias("d"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("t")
     few, many = lists.filter(F.col("k") <= light), lists.filter(F.col("k") > light)
+    many = stored(many.join(many.groupBy("c").agg(F.sum("k").alias("weight")), "c"), "ngram-many")
     tried = stored(candidates(few.join(few.select(*other), "t").filter("c < d"), percent), "ngram-few")
 
     def in_pairs(pairs: DataFrame) -> DataFrame:
@@ -299,8 +311,8 @@ def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int =
 
     links = None
     for turn in range(rounds):
-        order = F.xxhash64("c", F.pmod("t", F.lit(4)), F.lit(turn))
-        pivots = many.groupBy("t").agg(F.min(F.struct(order.alias("o"), "c", "n", "i")).alias("p"))
+        pivots = many.groupBy("t").agg(*(F.min(central("comp" if turn else "c", turn, k)).alias(f"p{k}") for k in range(PIVOTS)))
+        pivots = pivots.select("t", F.explode(F.array_distinct(F.array(*(f"p{k}.p" for k in range(PIVOTS))))).alias("p"))
         with_pivot = many.join(pivots, "t").withColumn("d", F.col("p.c")).withColumn("m", F.col("p.n")).withColumn("j", F.col("p.i"))
         if "comp" in many.columns:
             with_pivot = with_pivot.join(comp.select(F.col("node").alias("d"), F.col("label").alias("far")), "d", "left")
