@@ -7,21 +7,21 @@ Size-aware heavy-light join
     A pair of sizes n and m needs a common part of o(n, m) shingles. A *small* set lists all its subsets of each size o(n, m) that a small partner can ask for;
     two small sets that link share one of them. A *large* set has no such list, it would be too long: it is found by scanning inverted lists. In a global order
     of shingles, sets that link share one of their first n - ceil(percent n / 100) + 1, so only these are listed. Small sets near the boundary stand in the lists too, for their large
-    partners. The boundary is the size at which the estimated rows of both ways together are fewest, from the histogram of sizes and the mean list length.
+    partners. The boundary is the size at which the rows of both ways together are fewest, from the numbers of small sets by size and the lengths of the lists they stand in.
 
 Order of shingles
-    Shingles that many documents share come last. They are found by counting in each batch of documents and adding the counts up; at most ``heavy`` of them
-    are kept (a bound on the broadcast, not on the result: any order is right, this one keeps lists short).
+    Rarest first, by a count over all documents. Sets are dealt to chunks; a chunk sends each distinct shingle once to the bucket that counts it, as 32 bits, and gets a byte back. Shingles of one set
+    alone come first and are in no list, so texts that share a passage of less than ``percent`` hundredths don't meet at all. Any order is right that all sets have in common, so counts may be rounded and keys may coincide.
 
 Long lists without all pairs
     Lists of up to ``light`` classes give all their pairs. In a longer one, every class is first compared with a few pivots of the list, those most central in it (see :func:`central`), in
     several rounds with pivots of other components; classes that links already join need no comparison. Pairs from different components that are left at the end are all compared.
     A group of g near copies so costs about g comparisons a round, and no link between components is lost.
 
-Every pair is checked with the whole sets. 64-bit fingerprints stand for shingles.
+Every pair that its signatures leave possible is checked with the whole sets. 64-bit fingerprints stand for shingles.
 
 Defined cases: a null or empty text, or one of blanks, has an empty set, links with nothing and is its own component; shorter texts are one shingle; repeated rows are one class;
-a null identity takes part and can't be a component's name unless the whole component has none; an empty table gives an empty result; other columns pass through.
+a null identity takes part and can't be a component's name unless the whole component has none; an empty table gives an empty result; other columns pass through. A very long text is a chunk of its own, cut by bucket; its set is held in one task.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,10 @@ from merchantry.llm.windows import all_windows, mix, shingles
 MOST_SMALL = 12
 #: Classes that a task remembers.
 REMEMBER = 200_000
-SLOT_BITS = 22
+#: Shingles of a chunk, about, and of a bucket at most in usual texts.
+CHUNK = 1_000_000
+#: Bits of a set's signature.
+SIGNATURE = 2048
 #: Pivots of a long list in a round.
 PIVOTS = 4
 
@@ -58,79 +62,154 @@ def subset_sizes(n: int, boundary: int, percent: int) -> list[int]:
     return sorted({o for m in partners if (o := common(n, m, percent)) <= min(n, m)})
 
 
-def prefix_size(n: int, percent: int) -> int:
+def prefix_size(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
-def boundary_size(histogram: dict[int, int], list_length: float, percent: int) -> int:
-    """The boundary of fewest rows; sizes above MOST_SMALL cost the same for all of them."""
-    def rows(x: int) -> float:
-        small = sum(c * sum(math.comb(n, o) for o in subset_sizes(n, x, percent)) for n, c in histogram.items() if n <= x)
-        listed = sum(c * prefix_size(n, percent) for n, c in histogram.items() if n <= MOST_SMALL and 100 * n >= percent * (x + 1))
-        return small + listed * list_length
+def boundary_size(histogram: dict[int, tuple[int, int]], percent: int) -> int:
+    """The boundary of fewest rows. ``histogram`` has, for each size up to MOST_SMALL, the classes and the rows that their lists meet (list lengths, summed over the places of a class);
+    larger sizes cost the same for all boundaries."""
+    def rows(x: int) -> int:
+        small = sum(c * sum(math.comb(n, o) for o in subset_sizes(n, x, percent)) for n, (c, _) in histogram.items() if n <= x)
+        return small + sum(met for n, (_, met) in histogram.items() if 100 * n >= percent * (x + 1))
 
     return min(range(MOST_SMALL + 1), key=rows)
 
 
-def _signed(h: np.ndarray) -> pa.Array:
-    return pa.array(h.view(np.int64))
+def _packed(values: list[np.ndarray]) -> pa.Array:
+    return pa.array([None if v is None else v.tobytes() for v in values], pa.binary())
 
 
-def frequent_shingles(docs: DataFrame, size: int, heavy: int) -> np.ndarray:
-    """Up to ``heavy`` shingles that are common within batches of documents, by their counts there. All documents are counted."""
+def signature(s: np.ndarray) -> np.ndarray:
+    """A bit map of a set: each shingle sets one of SIGNATURE bits."""
+    bits = np.zeros(SIGNATURE, np.uint8)
+    bits[(s % np.uint64(SIGNATURE)).astype(np.int64)] = 1
+    return np.packbits(bits)
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [all_windows(t, size) for t in batch.column("text").to_pylist()]
-            every = np.concatenate(found) if found else np.empty(0, np.uint64)
-            # What shares a slot with few others can't be frequent; only the rest is sorted.
-            slot = (every >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-            every = every[np.bincount(slot, minlength=1 << SLOT_BITS)[slot] >= 4]
-            values, counts = np.unique(every, return_counts=True)
-            often = counts >= 4
-            yield pa.RecordBatch.from_arrays([_signed(values[often]), pa.array(counts[often].astype(np.int64))], ["t", "n"])
 
-    counted = docs.select("text").mapInArrow(local, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "t").limit(heavy).select("t").collect()
-    return np.sort(np.array([r["t"] for r in top], dtype=np.int64))
+PARTS = "id long, x long, c long, n int, few array<long>, bits binary, chunk long, bucket int, keys binary, owners binary"
 
 
-def classed(docs: DataFrame, size: int, percent: int, heavy: np.ndarray) -> DataFrame:
-    """(id, x, c, n, tokens): the class of each document, its row's key ``x``, its set's size, and the first shingles of the set in the global order.
+def parts(docs: DataFrame, size: int, buckets: int, chunk_size: int) -> DataFrame:
+    """Rows of three kinds, from one pass over the texts.
 
-    A class that a task has met before comes without tokens, so a large group of copies is listed once a task instead of once a copy.
+    A document's row has id, x, its class ``c`` and its set's size ``n``; where a task meets a class first, also the set's ``bits`` and, if it is small, the set itself (``few``).
+    The sets of classes met first are dealt to chunks of about ``chunk_size`` shingles. A chunk's row of bucket -1 has its classes (``keys``) and their sizes (``owners``); its other rows have, for a bucket
+    of shingles, the keys of the chunk's shingles there in order, once for each class, and the places of these classes in the chunk. A key is 32 bits of the shingle: what shares bucket and key shares a list.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+    names = [f.split()[0] for f in PARTS.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
+    def rows(count: int, /, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(x, pa.nulls(count, kind)) for x, kind in zip(names, kinds, strict=True)], names)
+
+    def dealt(chunk: int, members: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        lengths = [len(s) for _, s in members]
+        flat = np.concatenate([s for _, s in members])
+        owner = np.repeat(np.arange(len(members), dtype=np.uint32), lengths)
+        bucket = (flat >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        place = bucket << np.uint64(32) | flat & np.uint64(0xFFFFFFFF)
+        order = np.argsort(place, kind="stable")
+        place, owner = place[order], owner[order]
+        used = np.unique(bucket)
+        ends = np.searchsorted(place, (used + np.uint64(1)) << np.uint64(32))
+        keys = [np.array([c for c, _ in members], np.int64), *np.split(place.astype(np.uint32), ends[:-1])]
+        owners = [np.array(lengths, np.int32), *np.split(owner, ends[:-1])]
+        return rows(
+            len(keys), chunk=pa.array([chunk] * len(keys), pa.int64()), bucket=pa.array([-1, *used.tolist()], pa.int32()), keys=_packed(keys), owners=_packed(owners)
+        )
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value.view(np.uint64)
-        often = np.sort(often)
+        chunk, waiting, held = TaskContext.get().partitionId() << 32, [], 0
         met: set[int] = set()
         for batch in batches:
-            cs, ns, tokens, ends = [], [], [], [0]
+            cs, ns, few, bits = [], [], [], []
             for t in batch.column("text").to_pylist():
                 s = shingles(t, size)
-                n, c = len(s), class_print(s)
-                if c in met:
-                    s = s[:0]
-                elif len(met) < REMEMBER:
-                    met.add(c)
-                if len(s) and len(often):
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    last = often[at] == s
-                    ordered = np.concatenate((s[~last], s[last]))
-                else:
-                    ordered = s
-                keep = ordered if n <= MOST_SMALL else ordered[: prefix_size(n, percent)]
-                tokens.append(keep)
-                ends.append(ends[-1] + len(keep))
+                c = class_print(s)
+                first = len(s) > 0 and c not in met
                 cs.append(c)
-                ns.append(n)
-            flat = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
-            lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), _signed(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), pa.array(cs, pa.int64()), pa.array(ns, pa.int32()), lists], ["id", "x", "c", "n", "tokens"])
+                ns.append(len(s))
+                few.append(s.view(np.int64).tolist() if first and len(s) <= MOST_SMALL else None)
+                bits.append(signature(s) if first else None)
+                if not first:
+                    continue
+                if len(met) < REMEMBER:
+                    met.add(c)
+                waiting.append((c, s))
+                held += len(s)
+                if held >= chunk_size:
+                    yield dealt(chunk, waiting)
+                    chunk, waiting, held = chunk + 1, [], 0
+            yield rows(
+                len(cs), id=batch.column("id"), x=batch.column("x"), c=pa.array(cs, pa.int64()), n=pa.array(ns, pa.int32()),
+                few=pa.array(few, pa.list_(pa.int64())), bits=_packed(bits),
+            )
+        if waiting:
+            yield dealt(chunk, waiting)
+
+    return docs.mapInArrow(local, PARTS)
 
-    return docs.mapInArrow(local, "id long, x long, c long, n int, tokens array<long>")
+
+def counted(keys: DataFrame) -> DataFrame:
+    """(chunk, bucket, keys) -> (chunk, bucket, ranks): how common each distinct key is in all chunks, as a byte: 0 for one class, and never falling with the count.
+
+    A chunk sends a key once, with its count, so what very many classes share is no hot spot.
+    """
+
+    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [np.unique(np.frombuffer(k, np.uint32), return_counts=True) for k in batch.column("keys").to_pylist()]
+            columns = [batch.column("chunk"), batch.column("bucket"), _packed([k for k, _ in both]), _packed([n.astype(np.uint32) for _, n in both])]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "bucket", "keys", "counts"])
+
+    def ranked(rows: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(k, np.uint32) for k in rows.column("keys").to_pylist()]
+        counts = np.concatenate([np.frombuffer(n, np.uint32) for n in rows.column("counts").to_pylist()])
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(at, weights=counts)
+        # Exact up to 128, then eight steps a doubling.
+        rank = np.where(total <= 128, total - 1, np.minimum(127 + np.floor(8 * np.log2(np.maximum(total, 128) / 128)), 255)).astype(np.uint8)
+        split = np.split(rank[at], np.cumsum([len(k) for k in keys])[:-1])
+        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "ranks": _packed(split)})
+
+    sent = keys.select("chunk", "bucket", "keys").mapInArrow(combined, "chunk long, bucket int, keys binary, counts binary")
+    return sent.groupBy("bucket").applyInArrow(ranked, "chunk long, bucket int, ranks binary")
+
+
+def inverted_lists(dealt: DataFrame, percent: int) -> DataFrame:
+    """(t, c, n, i): the inverted lists of first shingles. ``t`` is bucket and key of a shingle, ``i`` its place in the set's order, rarest first. What stands in one set alone is in no list."""
+    ranks = stored(counted(dealt.filter("bucket >= 0")), "ngram-ranks")
+    both = dealt.select("chunk", "bucket", "keys", "owners").withColumn("ranks", F.lit(None).cast("binary"))
+    both = both.unionByName(ranks.select("chunk", "bucket", F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("owners"), "ranks"))
+
+    def listed(rows: pa.Table) -> pa.Table:
+        ranks, own, classes, sizes = {}, [], None, None
+        for bucket, keys, owners, rank in zip(*(rows.column(x).to_pylist() for x in ("bucket", "keys", "owners", "ranks")), strict=True):
+            if rank is not None:
+                ranks[bucket] = np.frombuffer(rank, np.uint8)
+            elif bucket < 0:
+                classes, sizes = np.frombuffer(keys, np.int64), np.frombuffer(owners, np.int32).astype(np.int64)
+            else:
+                own.append((bucket, np.frombuffer(keys, np.uint32), np.frombuffer(owners, np.uint32)))
+        ts, owners, by = [], [], []
+        for bucket, keys, owner in own:
+            rank = ranks[bucket][np.cumsum(np.concatenate(([0], keys[1:] != keys[:-1])))]
+            shared = rank > 0
+            ts.append(keys[shared].astype(np.int64) | bucket << 32)
+            owners.append(owner[shared].astype(np.int64))
+            by.append(rank[shared])
+        t, owner, rank = np.concatenate(ts), np.concatenate(owners), np.concatenate(by)
+        order = np.lexsort((t, rank, owner))
+        t, owner = t[order], owner[order]
+        many = np.bincount(owner, minlength=len(classes))
+        alone = sizes - many
+        i = np.arange(len(t)) - (np.cumsum(many) - many)[owner] + alone[owner]
+        n = sizes[owner]
+        first = i < prefix_size(n, percent)
+        return pa.table({"t": t[first], "c": classes[owner[first]], "n": n[first].astype(np.int32), "i": i[first].astype(np.int32)})
+
+    return both.groupBy("chunk").applyInArrow(listed, "t long, c long, n int, i int")
 
 
 def class_print(s: np.ndarray) -> int:
@@ -139,21 +218,13 @@ def class_print(s: np.ndarray) -> int:
     return int(mix(total + np.uint64(len(s))).view(np.int64)[0])
 
 
-def postings(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """(t, c, n, i): inverted lists of first shingles for large sets and their possible partners, and lists of subsets for small sets.
-
-    ``i`` is the shingle's place in the set's order; the lists of subsets have no order, there it is 0.
-    """
-    n = F.col("n")
-    first = n - F.ceil(n * percent / 100).cast("int") + 1
-    lists = classes.filter(100 * n >= percent * (boundary + 1)).select("c", "n", F.posexplode(F.slice("tokens", F.lit(1), first)).alias("i", "t"))
-    if boundary == 0:
-        return lists.select("t", "c", "n", "i")
+def subset_lists(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """(t, c, n, i): lists of the subsets of small sets, from (c, n, few). Subsets have no order, their ``i`` is 0."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ts, cs, ns = [], [], []
-            for c, n, tokens in zip(*(batch.column(x).to_pylist() for x in ("c", "n", "tokens")), strict=True):
+            for c, n, tokens in zip(*(batch.column(x).to_pylist() for x in ("c", "n", "few")), strict=True):
                 tokens = sorted(tokens)
                 for o in subset_sizes(n, boundary, percent):
                     for sub in itertools.combinations(tokens, o):
@@ -162,8 +233,8 @@ def postings(classes: DataFrame, boundary: int, percent: int) -> DataFrame:
                         ns.append(n)
             yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(cs, pa.int64()), pa.array(ns, pa.int32())], ["t", "c", "n"])
 
-    small = classes.filter((n > 0) & (n <= boundary)).select("c", "n", "tokens")
-    return lists.select("t", "c", "n", "i").union(small.mapInArrow(local, "t long, c long, n int").withColumn("i", F.lit(0)))
+    small = classes.filter((F.col("n") > 0) & (F.col("n") <= boundary)).select("c", "n", "few")
+    return small.mapInArrow(local, "t long, c long, n int").withColumn("i", F.lit(0))
 
 
 def candidates(met: DataFrame, percent: int) -> DataFrame:
@@ -177,38 +248,19 @@ def candidates(met: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
-def may_link(pairs: DataFrame, firsts: DataFrame, percent: int, heavy: np.ndarray) -> DataFrame:
-    """The pairs (a, b) that their first shingles leave possible. ``firsts`` has (c, n, tokens), one row per class.
+def may_link(pairs: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their signatures leave possible. ``firsts`` has (c, n, bits), one row per class.
 
-    Up to the last of the first shingles of one set, all that is common stands among the first shingles of both; beyond, it is at most what either set has left. Sets
-    that share a rare shingle by chance have little else in common there, and so never have to be fetched as a whole.
+    A bit that only one set has stands for at least one shingle that the other lacks, which bounds what is common. No pair that links is lost, and few others are fetched as whole sets.
     """
-    shared = firsts.sparkSession.sparkContext.broadcast(np.sort(heavy.view(np.uint64)))
-    both = pairs.join(firsts.withColumnsRenamed({"c": "a", "tokens": "left"}), "a").join(firsts.withColumnsRenamed({"c": "b", "n": "m", "tokens": "right"}), "b")
+    both = pairs.join(firsts.withColumnsRenamed({"c": "a", "bits": "left"}), "a").join(firsts.withColumnsRenamed({"c": "b", "n": "m", "bits": "right"}), "b")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
-
-        def last(x: np.ndarray) -> np.ndarray:
-            if not len(often):
-                return np.zeros(len(x), bool)
-            return often[np.minimum(np.searchsorted(often, x), len(often) - 1)] == x
-
-        def upto(x: np.ndarray, x_last: np.ndarray, end: np.uint64, end_last: bool) -> int:
-            """How many of ``x`` stand at or before ``end`` in the global order."""
-            return int(((x_last < end_last) | ((x_last == end_last) & (x <= end))).sum())
-
         for batch in batches:
-            keep = []
-            for n, m, x, y in zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
-                p, q = (v.values.to_numpy().view(np.uint64) for v in (x, y))
-                p_last, q_last = last(p), last(q)
-                met = len(np.intersect1d(p, q, assume_unique=True))
-                in_q, in_p = upto(q, q_last, p[-1], p_last[-1]), upto(p, p_last, q[-1], q_last[-1])
-                # The one whose listed part ends first bounds what can follow.
-                rest = min(n - len(p), m - in_q) if in_q < len(q) or in_p == len(p) else min(m - len(q), n - in_p)
-                keep.append(met + rest >= common(n, m, percent))
-            mask = pa.array(keep, pa.bool_())
+            left, right = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for x in ("left", "right"))
+            n, m = (batch.column(x).to_numpy().astype(np.int64) for x in ("n", "m"))
+            most = np.minimum(n - np.bitwise_count(left & ~right).sum(axis=1), m - np.bitwise_count(right & ~left).sum(axis=1))
+            mask = pa.array((100 + percent) * most >= percent * (n + m))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
     return both.select("a", "b", "n", "m", "left", "right").mapInArrow(local, "a long, b long")
@@ -270,22 +322,29 @@ def groups(docs: DataFrame, *, identity: str = "doc_id", text: str = "text", **h
     return named.select("id", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component"))
 
 
-def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int = 100_000, light: int = 8, rounds: int = 2) -> DataFrame:
+def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, light: int = 8, rounds: int = 2, chunk: int = CHUNK) -> DataFrame:
     """(id, text, x) -> (id, x, n, comp): the size of each document's set and its component's smallest class; rows of one ``id`` and ``x`` must have one text."""
-    often = frequent_shingles(docs, size, heavy)
-    documents = stored(classed(docs, size, percent, often), "ngram-classes")
-    listed = documents.filter(F.size("tokens") > 0)
-    histogram = {r["n"]: r["k"] for r in listed.filter(F.col("n") <= MOST_SMALL).groupBy("n").agg(F.countDistinct("c").alias("k")).collect()}
-    lengths = listed.select(F.explode("tokens").alias("t")).agg(F.count("*"), F.approx_count_distinct("t")).first()
-    boundary = boundary_size(histogram, lengths[0] / max(1, lengths[1]), percent)
-
-    # Both the search for lists of several classes and the join back read one shuffle by list.
-    by_list = postings(listed, boundary, percent).repartition("t")
-    shared = by_list.groupBy("t").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("t")
-    lists = stored(by_list.join(shared, "t").distinct(), "ngram-shared")
-    shared_lists = lists
-    lists = stored(lists.join(lists.groupBy("t").agg(F.count("*").alias("k")), "t"), "ngram-lists")
-    discard(shared_lists)
+    # Texts rarely have more than a word in four bytes; where they do, buckets are larger.
+    length = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    pieces = stored(parts(docs, size, max(1, length // (4 * chunk)), chunk), "ngram-parts")
+    documents = stored(pieces.filter("chunk is null").select("id", "x", "c", "n", "few", "bits"), "ngram-classes")
+    listed = documents.filter("bits is not null")
+    lists = inverted_lists(pieces.filter("chunk is not null"), percent).distinct()
+    whole_lists = stored(lists, "ngram-places")
+    discard(pieces)
+
+    counts = whole_lists.groupBy("t").agg(F.count("*").alias("k"))
+    sizes = listed.filter(F.col("n") <= MOST_SMALL).groupBy("n").agg(F.countDistinct("c").alias("c")).collect()
+    met = whole_lists.filter(F.col("n") <= MOST_SMALL).join(counts, "t").groupBy("n").agg(F.sum("k").alias("k")).collect()
+    meets = {r["n"]: r["k"] for r in met}
+    boundary = boundary_size({r["n"]: (r["c"], meets.get(r["n"], 0)) for r in sizes}, percent)
+
+    lists = whole_lists.filter(100 * F.col("n") >= percent * (boundary + 1))
+    if boundary:
+        lists = lists.union(subset_lists(listed, boundary, percent).distinct())
+    lists = lists.join(lists.groupBy("t").agg(F.count("*").alias("k")).filter("k > 1"), "t")
+    lists = stored(lists, "ngram-lists")
+    discard(whole_lists)
     other = F.col("c").alias("d"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("t")
     few, many = lists.filter(F.col("k") <= light), lists.filter(F.col("k") > light)
     many = stored(many.join(many.groupBy("c").agg(F.sum("k").alias("weight")), "c"), "ngram-many")
@@ -294,12 +353,12 @@ def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int =
     def in_pairs(pairs: DataFrame) -> DataFrame:
         return stored(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).union(many.select("c")).distinct(), "ngram-members")
 
-    firsts = listed.join(in_pairs(tried), "c", "left_semi").dropDuplicates(["c"]).select("c", "n", "tokens")
+    firsts = listed.join(in_pairs(tried), "c", "left_semi").dropDuplicates(["c"]).select("c", "n", "bits")
     firsts = stored(firsts, "ngram-firsts")
     slim = stored(documents.select("id", "x", "c", "n"), "ngram-slim")
     discard(documents)
     documents = slim
-    tried = stored(may_link(tried, firsts, percent, often), "ngram-few")
+    tried = stored(may_link(tried, firsts, percent), "ngram-few")
     members = in_pairs(tried)
     # One row stands for a class. It is found by its key too, as many texts may have one identity; where only rows without identity have the class, by its key alone.
     row = F.struct(F.col("id").isNull().alias("none"), "id", "x")
@@ -317,7 +376,7 @@ def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int =
         if "comp" in many.columns:
             with_pivot = with_pivot.join(comp.select(F.col("node").alias("d"), F.col("label").alias("far")), "d", "left")
             with_pivot = with_pivot.filter(F.col("comp") != F.coalesce("far", "d"))
-        now = may_link(stored(candidates(with_pivot, percent), "ngram-met"), firsts, percent, often)
+        now = may_link(stored(candidates(with_pivot, percent), "ngram-met"), firsts, percent)
         now = now.union(tried).distinct() if turn == 0 else now
         new = linked(stored(now, "ngram-pairs"), sets, percent)
         links = stored(new if links is None else links.union(new), "ngram-links")
@@ -329,7 +388,7 @@ def labelled(docs: DataFrame, *, size: int = 5, percent: int = 75, heavy: int =
             break
     else:
         rest = many.join(many.select(*other, F.col("comp").alias("far")), "t").filter("c < d and comp <> far")
-        rest = may_link(stored(candidates(rest, percent), "ngram-met"), firsts, percent, often)
+        rest = may_link(stored(candidates(rest, percent), "ngram-met"), firsts, percent)
         new = linked(stored(rest, "ngram-pairs"), sets, percent)
         links = stored(links.union(new), "ngram-links")
         comp = components(links)

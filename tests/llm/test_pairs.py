@@ -57,7 +57,7 @@ def brute_groups(rows):
     return [(i, len(sets[i]), find(i)) for i in range(len(rows))]
 
 
-@pytest.mark.parametrize("how", [{}, {"heavy": 1, "light": 1, "rounds": 1}])
+@pytest.mark.parametrize("how", [{}, {"chunk": 200, "light": 1, "rounds": 1}])
 def test_groups_are_those_of_brute_force(spark, how):
     rows = corpus(1)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
@@ -75,7 +75,7 @@ def test_small_sets_list_every_subset_a_partner_needs():
 
 
 def test_boundary_follows_cost():
-    assert boundary_size({4: 100, 5: 100}, 1.0, 75) < boundary_size({4: 100, 5: 100}, 100.0, 75)
+    assert boundary_size({4: (100, 200), 5: (100, 200)}, 75) < boundary_size({4: (100, 20_000), 5: (100, 20_000)}, 75)
 
 
 def test_one_of_each_keeps_columns_and_rows_without_identity(spark):
