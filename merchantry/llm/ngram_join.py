@@ -46,6 +46,8 @@ MOST_SMALL = 12
 REMEMBER = 200_000
 #: Shingles of a chunk, about, and of a bucket at most in usual texts.
 CHUNK = 1_000_000
+#: Sets of a chunk at most; their places take 16 bits.
+MOST_IN_CHUNK = 1 << 16
 #: Bits of a set's signature.
 SIGNATURE = 2048
 #: Pivots of a long list in a round.
@@ -106,7 +108,7 @@ def parts(docs: DataFrame, size: int, buckets: int, chunk_size: int) -> DataFram
     def dealt(chunk: int, members: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
         lengths = [len(s) for _, s in members]
         flat = np.concatenate([s for _, s in members])
-        owner = np.repeat(np.arange(len(members), dtype=np.uint32), lengths)
+        owner = np.repeat(np.arange(len(members), dtype=np.uint16), lengths)
         bucket = (flat >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         place = bucket << np.uint64(32) | flat & np.uint64(0xFFFFFFFF)
         order = np.argsort(place, kind="stable")
@@ -138,7 +140,7 @@ def parts(docs: DataFrame, size: int, buckets: int, chunk_size: int) -> DataFram
                     met.add(c)
                 waiting.append((c, s))
                 held += len(s)
-                if held >= chunk_size:
+                if held >= chunk_size or len(waiting) == MOST_IN_CHUNK:
                     yield dealt(chunk, waiting)
                     chunk, waiting, held = chunk + 1, [], 0
             yield rows(
@@ -191,7 +193,7 @@ def inverted_lists(dealt: DataFrame, percent: int) -> DataFrame:
             elif bucket < 0:
                 classes, sizes = np.frombuffer(keys, np.int64), np.frombuffer(owners, np.int32).astype(np.int64)
             else:
-                own.append((bucket, np.frombuffer(keys, np.uint32), np.frombuffer(owners, np.uint32)))
+                own.append((bucket, np.frombuffer(keys, np.uint32), np.frombuffer(owners, np.uint16)))
         ts, owners, by = [], [], []
         for bucket, keys, owner in own:
             rank = ranks[bucket][np.cumsum(np.concatenate(([0], keys[1:] != keys[:-1])))]
