@@ -2,8 +2,11 @@
 
 The silhouette of a row compares its mean distance to its own cluster with that to the nearest other one, so it needs the sum of its distances to all rows of every cluster. Rows are dealt to the leaves of a k-d tree. For
 a leaf of rows and a tree node away from it, a node's share of all these sums is an expansion in its moments (count, first to third moments about its middle, for every cluster of every clustering). The remainder of this third-order Taylor series of |x|
-is at most r**4 / (8 d**3) for a node that reaches r from its middle and keeps a distance d. A node stands for its rows when that is at most ``error`` / 2 of d; otherwise its halves are looked at, and the rows of a leaf that is too
-near are met one by one. So each mean is right to a share of ``error`` / 2 and each silhouette to about ``error``.
+is at most r**4 / (8 d**3) for a node that reaches r from its middle and keeps a distance d. A node stands for its rows when that is at most ``error`` / 2 of d; otherwise its halves are looked at, and a leaf that is too
+near is met by ``distances.Sums``, which halves both leaves further inside the task. So each mean is right to a share of ``error`` / 2 and each silhouette to about ``error``.
+
+Leaves are large, about ``BLOCKS`` of them, because the rows of a leaf are sent to each leaf near to it: that is each row ``BLOCKS`` to 2 ``BLOCKS`` times at most, however many rows there are. A task reads them leaf by leaf in a stream and
+holds two leaves at a time.
 
 Equal rows are one row with a weight from the start, so no leaf grows beyond ``leaf`` rows. Pairs of leaves and nodes are found level by level with joins; nothing but means reaches the driver.
 """
@@ -17,6 +20,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchantry.operators.distances import Sums
+
+#: Leaves of rows, give or take a factor of two.
+BLOCKS = 32
+#: Rows of a leaf at least.
+LEAST_LEAF = 2048
+
 Store = Callable[[str, DataFrame], DataFrame]
 
 
@@ -138,7 +148,7 @@ def meetings(nodes: DataFrame, dim: int, error: float, store: Store) -> tuple[Da
     return far, near
 
 
-def silhouettes(rows: DataFrame, columns: Sequence[str], clusters: Column, groups: Sequence[int], *, error: float = 1e-6, leaf: int = 256, store: Store) -> list[float]:
+def silhouettes(rows: DataFrame, columns: Sequence[str], clusters: Column, groups: Sequence[int], *, error: float = 1e-6, leaf: int | None = None, store: Store) -> list[float]:
     """The mean silhouette of each clustering.
 
     ``clusters``: an array with the row's cluster in each clustering, numbered from 0 and below that clustering's entry of ``groups``. A row alone in its cluster counts 0, as do all rows of a clustering of one
@@ -155,25 +165,34 @@ def silhouettes(rows: DataFrame, columns: Sequence[str], clusters: Column, group
         sizes[offsets[r["g"]] + r["cluster"]] = r["w"]
     if not sizes.any():
         return [float("nan")] * len(groups)
+    leaf = leaf or max(LEAST_LEAF, -(-points.count() // BLOCKS))
     placed, nodes = tree(points, dim, leaf, store)
     nodes = store("tree-nodes", nodes)
     far, near = meetings(nodes, dim, error, store)
     far = store("silhouette-far", far)
     known = store("silhouette-moments", moments(placed, nodes, far.select("node").distinct(), dim, groups, leaf))
-    mine = placed.select(F.col("node").alias("query"), *[F.col(c).alias(c) for c in (*xs, "c", "w")])
-    met = near.join(placed.select("node", *xs, "c", "w"), "node").drop("node")
+    # A leaf's own rows come first, then those of the leaves near to it.
+    mine = placed.select(F.col("node").alias("query"), F.lit(-1).cast("long").alias("node"), *xs, "c", "w")
+    met = near.join(placed.select("node", *xs, "c", "w"), "node").select("query", "node", *xs, "c", "w")
     seen = known.join(far, "node").select("query", "middle", "v")
     n_powers = len(_powers(dim))
 
-    def one_by_one(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        q, x, w = _matrix(left, xs), _matrix(right, xs), right.column("w").to_numpy()
-        member = np.zeros((len(x), total))
-        member[np.arange(len(x))[:, None], _labels(right, offsets)] = w[:, None]
-        out = np.zeros((len(q), total))
-        for i in range(0, len(x), 4096):
-            gap = q[:, None, :] - x[None, i : i + 4096]
-            out += np.sqrt((gap * gap).sum(axis=2)) @ member[i : i + 4096]
-        return left.append_column("sums", pa.array(out.tolist(), pa.list_(pa.float64())))
+    def near_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The leaves' rows with their sums over the leaves near to them."""
+        rows: pa.Table | None = None
+        sums: Sums | None = None
+        for node, table in _runs(batches):
+            x, w = _matrix(table, xs), table.column("w").to_numpy()
+            if node < 0:
+                if rows is not None:
+                    yield from _with_sums(rows, sums)
+                rows, sums = table, Sums(x, total, error / 2)
+                continue
+            member = np.zeros((len(x), total))
+            member[np.arange(len(x))[:, None], _labels(table, offsets)] = w[:, None]
+            sums.add(x, member)
+        if rows is not None:
+            yield from _with_sums(rows, sums)
 
     def expanded(key, left: pa.Table, right: pa.Table) -> pa.Table:
         sums = np.stack(left.column("sums").to_numpy())
@@ -194,12 +213,38 @@ def silhouettes(rows: DataFrame, columns: Sequence[str], clusters: Column, group
     def dealt(df: DataFrame):
         return df.repartition(tasks, "query").groupBy("query")
 
-    direct = dealt(mine).cogroup(dealt(met)).applyInArrow(one_by_one, kind)
+    stream = mine.unionByName(met).repartition(tasks, "query").sortWithinPartitions("query", "node")
+    direct = stream.mapInArrow(near_sums, kind)
     parts = dealt(direct).cogroup(dealt(seen)).applyInArrow(expanded, "g long, s double, w double")
     means = {r["g"]: r["s"] for r in parts.groupBy("g").agg((F.sum("s") / F.sum("w")).alias("s")).collect()}
     return [float(means[g]) for g in range(len(groups))]
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """(node, its rows) for each run of rows equal in query and node."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([batch.column(n).to_numpy() for n in ("query", "node")], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(keys)], strict=True):
+            if start == end:
+                continue
+            if last is not None and tuple(keys[start]) != last:
+                yield last[1], pa.Table.from_batches(held)
+                held = []
+            last = tuple(keys[start])
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield last[1], pa.Table.from_batches(held)
+
+
+def _with_sums(rows: pa.Table, sums: Sums) -> Iterator[pa.RecordBatch]:
+    found = sums.totals()
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]), pa.array(found.reshape(-1)))
+    yield from rows.drop_columns(["node"]).append_column("sums", flat).to_batches(max_chunksize=2048)
+
+
 def _basis(off: np.ndarray) -> np.ndarray:
     """The factors of a node's moments in the sum of distances from a row ``off`` away from its middle: (rows, nodes, moments)."""
     dim = off.shape[2]
