@@ -55,3 +55,18 @@ def test_rows_are_sent_to_few_leaves(spark, tmp_path):
     n = np.bincount(labels)
     a, b = own[np.arange(5000), labels] / (n[labels] - 1), own[np.arange(5000), 1 - labels] / n[1 - labels]
     assert got[0] == pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-6)
+
+
+@pytest.mark.parametrize("variant", ["weighted", "line"])
+def test_customer_orders_without_expanded_lines(spark, variant):
+    lines = [(1, "a", 1, 1, 2, 3.0), (1, "a", 1, 1, 2, 3.0), (1, "b", 2, 2, 5, 1.0), (1, None, None, 2, 1, 4.0), (None, "c", 3, 1, None, 2.0), (None, "c", 3, 2, 7, None)]
+    orders = spark.createDataFrame(lines, "CustomerID long, InvoiceNo string, ProductID long, TimeID long, Quantity int, UnitPrice double")
+    days = spark.createDataFrame([(1, "2020-01-01"), (2, "2020-01-05")], "TimeID long, FullDate string")
+    df = facts.customer_orders(orders, days, variant)
+    got = {r["CustomerID"]: tuple(r)[1:] for r in df.collect()}
+    assert "Expand" not in _plan(df)
+    span = ("2020-01-01", "2020-01-05")
+    if variant == "weighted":
+        assert got == {1: (10, 2, 2, *span, 5.0, 2.1), None: (7, 1, 1, *span, 7.0, None)}
+    else:
+        assert got == {1: (10, 2, 2, *span, 2.5, 2.75), None: (7, 1, 1, *span, 7.0, 2.0)}
