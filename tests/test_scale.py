@@ -70,3 +70,27 @@ def test_customer_orders_without_expanded_lines(spark, variant):
         assert got == {1: (10, 2, 2, *span, 5.0, 2.1), None: (7, 1, 1, *span, 7.0, None)}
     else:
         assert got == {1: (10, 2, 2, *span, 2.5, 2.75), None: (7, 1, 1, *span, 7.0, 2.0)}
+
+
+def test_itemsets_equal_brute_force(spark):
+    r = np.random.Generator(np.random.PCG64(5))
+    names = [f"i{k:03d}" for k in range(80)]  # more than one word of bits
+    held = {n: {names[k] for k in np.minimum(r.geometric(0.12, 6), 80) - 1} | ({names[70], names[79]} if n % 3 == 0 else set()) for n in range(300)}
+    held[300], held[None] = set(names[:6]), {names[0], names[70]}
+    rows = [(n, x) for n, items in held.items() for x in items] + [(5, None), (400, None), (0, names[70]), (0, names[70])]
+    df = spark.createDataFrame(rows, "InvoiceNo long, Item string")
+    got = {tuple(x["items"]): (x["freq"], x["n"], x["Support"], x["Length"]) for x in basket.frequent_itemsets(df, 0.02).collect()}
+    want = {}
+    for items in held.values():
+        for size in range(1, len(items) + 1):
+            for c in itertools.combinations(sorted(items), size):
+                want[c] = want.get(c, 0) + 1
+    want = {c: (n, 303, n / 303, len(c)) for c, n in want.items() if n >= 0.02 * 303}
+    assert got == want and max(len(c) for c in want) >= 3
+    assert basket.frequent_itemsets(df.limit(0), 0.02).count() == 0
+
+
+def test_equal_baskets_are_counted_once(spark):
+    rows = [(n, x) for n in range(500) for x in ("a", "b")] + [(900, "a")]
+    weighted = basket._weighted_baskets(spark.createDataFrame(rows, "InvoiceNo long, Item string"), ["a", "b"])
+    assert sorted(tuple(r) for r in weighted.collect()) == [(1, 1), (3, 500)]
