@@ -72,6 +72,15 @@ def test_customer_orders_without_expanded_lines(spark, variant):
         assert got == {1: (10, 2, 2, *span, 2.5, 2.75), None: (7, 1, 1, *span, 7.0, 2.0)}
 
 
+def test_products_are_summed_before_texts_are_sorted(spark):
+    lines = [("p", "new", "Toys", 1.0), ("p", "new", "Toys", 3.0), ("p", "old", "Games", 5.0), ("q", None, "Toys", None), (None, "x", "Toys", 2.0)]
+    df = spark.createDataFrame(lines, "StockCode string, Description string, ProductCategory string, Price double")
+    out = dims.dim_product(df, edges=(2.0, 4.0, 6.0))
+    got = {r["StockCode"]: (r["ProductName"], r["Category"], r["AvgPrice"]) for r in out.collect()}
+    assert got["p"] == ("old", "Toys", 3.0) and got["q"] == (None, "Toys", None)
+    assert re.findall(r"(\w+Aggregate)\(", _plan(dims.dim_product(df)))[-1] == "HashAggregate"
+
+
 def test_itemsets_equal_brute_force(spark):
     r = np.random.Generator(np.random.PCG64(5))
     names = [f"i{k:03d}" for k in range(80)]  # more than one word of bits
