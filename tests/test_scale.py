@@ -81,6 +81,30 @@ def test_products_are_summed_before_texts_are_sorted(spark):
     assert re.findall(r"(\w+Aggregate)\(", _plan(dims.dim_product(df)))[-1] == "HashAggregate"
 
 
+def test_lines_are_sorted_after_they_are_sent(spark):
+    key = ("i", "s", 1, 2, 3.0)
+    df = spark.createDataFrame([(*key, "ab", "d1", "X"), (*key, "Zz", "d2", None), ("j", "s", 1, 2, 3.0, None, "d1", "Y")], "Invoice string, StockCode string, CustomerID long, Quantity int, Price double, Description string, InvoiceDate string, Country string")
+    out = clean.dedupe_business_key(df)
+    assert [tuple(r)[5:] for r in out.orderBy("Invoice").collect()] == [("ZZ", "d2", "X"), (None, "d1", "Y")]
+    plan = _plan(out)
+    assert plan.rindex("Exchange hashpartitioning") > plan.rindex("Sort [") > plan.rindex("SortAggregate(")
+
+
+def test_lines_are_sent_for_two_joins(spark, tmp_path):
+    """Orders meet customers and countries before the lines do."""
+    kinds = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in kinds}
+    for k, v in kinds.items():
+        spark.conf.set(k, v)
+    try:
+        plan = _plan(tables.staging_retail(spark, "/root/testdata/sf0.001"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    joins = re.findall(r"SortMergeJoin \[(\w+)#", plan)
+    assert joins[:2] == ["l_partkey", "l_orderkey"] and len(joins) == 4
+
+
 def test_itemsets_equal_brute_force(spark):
     r = np.random.Generator(np.random.PCG64(5))
     names = [f"i{k:03d}" for k in range(80)]  # more than one word of bits
