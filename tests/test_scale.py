@@ -127,3 +127,9 @@ def test_equal_baskets_are_counted_once(spark):
     rows = [(n, x) for n in range(500) for x in ("a", "b")] + [(900, "a")]
     weighted = basket._weighted_baskets(spark.createDataFrame(rows, "InvoiceNo long, Item string"), ["a", "b"])
     assert sorted(tuple(r) for r in weighted.collect()) == [(1, 1), (3, 500)]
+
+
+def test_texts_are_scored_once(spark):
+    w = catalogue.warehouse(spark, "/root/testdata/sf0.001")
+    assert w["sentiment_scores"].count() == w["text_scores"].count()
+    assert "ReviewText" not in _plan(catalogue.sentiment.ensemble(w["text_scores"]))
