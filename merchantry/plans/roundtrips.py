@@ -104,8 +104,9 @@ def image_folder_counts(w: Warehouse, folder: str) -> DataFrame:
     path = _place(w, "images")
     rows = pages.select(F.coalesce("html", F.lit("")).alias("value"), label.alias("label"))
     rows.write.mode("overwrite").partitionBy("label").option("maxRecordsPerFile", 1).text(path)
-    images = files.read_labelled_images(w.spark, path).withColumn("label", F.split("label", "=")[1])
-    sizes = images.groupBy("label").agg(F.sum(F.length("content")).alias("Bytes"))
+    read = files.read_labelled_images(w.spark, path).select(F.split("label", "=")[1].alias("label"), F.length("content").alias("size"))
+    images = w.store.save("image-sizes", read)  # so that each file is opened once
+    sizes = images.groupBy("label").agg(F.sum("size").alias("Bytes"))
     return files.class_counts(images).join(sizes, "label").select(F.col("label").alias("Label"), F.col("files").alias("Files"), "Bytes")
 
 
