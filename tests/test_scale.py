@@ -72,6 +72,15 @@ def test_customer_orders_without_expanded_lines(spark, variant):
         assert got == {1: (10, 2, 2, *span, 2.5, 2.75), None: (7, 1, 1, *span, 7.0, 2.0)}
 
 
+def test_tenure_without_expanded_lines(spark):
+    lines = [(1, "x", "A", 2), (1, "x", "B", 3), (1, "y", None, 1), (None, "x", "A", 1), (None, None, "A", 1)]
+    df = spark.createDataFrame(lines, "CustomerID long, StockCode string, Country string, Quantity int").withColumn("InvoiceDay", F.lit("2020-02-01").cast("date"))
+    out = rfm.tenure_features(df)
+    got = {r["CustomerID"]: (r["TotalItems"], r["UniqueProducts"], r["UniqueCountries"], r["DaysSinceFirstPurchase"]) for r in out.collect()}
+    assert got == {1: (6, 2, 2, 1), None: (2, 1, 1, 1)}
+    assert "Expand" not in _plan(out)
+
+
 def test_products_are_summed_before_texts_are_sorted(spark):
     lines = [("p", "new", "Toys", 1.0), ("p", "new", "Toys", 3.0), ("p", "old", "Games", 5.0), ("q", None, "Toys", None), (None, "x", "Toys", 2.0)]
     df = spark.createDataFrame(lines, "StockCode string, Description string, ProductCategory string, Price double")
