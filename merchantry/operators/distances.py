@@ -23,7 +23,7 @@ _FROM_COSINES[0] /= 2
 
 
 class Block:
-    """Rows in the order of a tree of boxes, with a value for each row and column."""
+    """Rows in the order of a tree of boxes, each box halved at the median of its widest side."""
 
     def __init__(self, x: np.ndarray) -> None:
         self.order = np.arange(len(x))

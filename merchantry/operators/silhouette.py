@@ -5,7 +5,7 @@ a leaf of rows and a tree node away from it, a node's share of all these sums is
 is at most r**4 / (8 d**3) for a node that reaches r from its middle and keeps a distance d. A node stands for its rows when that is at most ``error`` / 2 of d; otherwise its halves are looked at, and a leaf that is too
 near is met by ``distances.Sums``, which halves both leaves further inside the task. So each mean is right to a share of ``error`` / 2 and each silhouette to about ``error``.
 
-Leaves are large, about ``BLOCKS`` of them, because the rows of a leaf are sent to each leaf near to it: that is each row ``BLOCKS`` to 2 ``BLOCKS`` times at most, however many rows there are. A task reads them leaf by leaf in a stream and
+Leaves are large, about ``BLOCKS`` of them, because the rows of a leaf are sent to each leaf near to it: that is each row about 2 ``BLOCKS`` times at most, however many rows there are. A task reads them leaf by leaf in a stream and
 holds two leaves at a time.
 
 Equal rows are one row with a weight from the start, so no leaf grows beyond ``leaf`` rows. Pairs of leaves and nodes are found level by level with joins; nothing but means reaches the driver.
