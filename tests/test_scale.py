@@ -142,3 +142,19 @@ def test_texts_are_scored_once(spark):
     w = catalogue.warehouse(spark, "/root/testdata/sf0.001")
     assert w["sentiment_scores"].count() == w["text_scores"].count()
     assert "ReviewText" not in _plan(catalogue.sentiment.ensemble(w["text_scores"]))
+
+
+def test_baskets_are_sent_once_in_parts_that_follow_the_lines(spark, monkeypatch):
+    r = np.random.Generator(np.random.PCG64(5))
+    rows = [(f"i{a}" if a else None, int(b) if b else None, int(q) if q else None) for a, b, q in zip(r.integers(0, 60, 400), r.integers(0, 12, 400), r.integers(-2, 5, 400), strict=True)]
+    orders = spark.createDataFrame(rows, "InvoiceNo string, ProductID long, Quantity int")
+    products = spark.createDataFrame([(i, f"p{i % 7}") for i in range(1, 11)], "ProductID long, ProductName string")
+    monkeypatch.setattr(basket, "PART_LINES", 20)
+    df = basket.transactions(orders, products, top=5)
+    several = {a for a, _, _ in rows if a and len({b for x, b, _ in rows if x == a and b}) > 1}
+    lines = [(a, f"p{b % 7}") for a, b, q in rows if a in several and b and b < 11 and q and q > 0]
+    best = sorted({i for _, i in lines}, key=lambda i: (-sum(x == i for _, x in lines), i))[:5]
+    assert sorted(map(tuple, df.collect())) == sorted({x for x in lines if x[1] in best})
+    known = sum(1 for a, b, _ in rows if a and b)
+    sent = re.findall(r"Exchange hashpartitioning\(InvoiceNo#\d+, (\d+)\), REPARTITION_BY_NUM", _plan(df).split("Initial Plan")[0])
+    assert sent and {int(x) for x in sent} == {-(-known // 20)}
