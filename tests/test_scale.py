@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from merchantry.operators import basket, clean, dims, distances, facts, rfm, silhouette
+from merchantry.operators import basket, clean, dims, distances, facts, recommend, rfm, silhouette
 from merchantry.plans import catalogue
 from merchantry.sources import tables
 
@@ -158,3 +158,32 @@ def test_baskets_are_sent_once_in_parts_that_follow_the_lines(spark, monkeypatch
     known = sum(1 for a, b, _ in rows if a and b)
     sent = re.findall(r"Exchange hashpartitioning\(InvoiceNo#\d+, (\d+)\), REPARTITION_BY_NUM", _plan(df).split("Initial Plan")[0])
     assert sent and {int(x) for x in sent} == {-(-known // 20)}
+
+
+def test_only_purchases_of_top_items_meet_their_products(spark, tmp_path):
+    r = np.random.Generator(np.random.PCG64(8))
+    rows = [(int(c), int(p) if p else None, int(q)) for c, p, q in zip(r.integers(1, 30, 500), r.integers(0, 40, 500), r.integers(-3, 9, 500), strict=True)]
+    orders = spark.createDataFrame(rows, "CustomerID long, ProductID long, Quantity int")
+    spark.createDataFrame([(i, f"s{i}", f"p{i % 9}", "c") for i in range(1, 39)], "ProductID long, StockCode string, ProductName string, Category string").write.parquet(f"{tmp_path}/p")
+    orders.write.parquet(f"{tmp_path}/o")
+    orders, products = spark.read.parquet(f"{tmp_path}/o"), spark.read.parquet(f"{tmp_path}/p")
+    items = recommend.top_items(recommend.interactions(recommend.per_product(orders), products), 6)
+    total = {}
+    for c, p, q in rows:
+        if p and p < 39 and q > 0:
+            total[c, p] = total.get((c, p), 0) + q
+    of = {p: sum(q for (_, x), q in total.items() if x == p) for _, p in total}
+    best = sorted(of, key=lambda p: (-of[p], f"s{p}"))[:6]
+    assert {x["StockCode"] for x in items.collect()} == {f"s{p}" for p in best}
+    purchases = recommend.purchases_of(items, orders, products)
+    assert sorted(map(tuple, purchases.collect())) == sorted((c, q, f"s{p}", f"p{p % 9}", "c") for (c, p), q in total.items() if p in best)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = _plan(recommend.purchases_of(items, orders, products))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # what is sent by customer is summed from lines that have met the broadcast products
+    sent = plan[plan.index("Exchange hashpartitioning(CustomerID") :]
+    assert "partial_sum(Quantity" in sent and sent.index("BroadcastHashJoin") < sent.index("FileScan")
+    assert plan.count("SortMergeJoin") == plan[plan.index("TakeOrdered") :].count("SortMergeJoin")
