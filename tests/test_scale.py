@@ -2,13 +2,14 @@
 
 import itertools
 import re
+import threading
 import uuid
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from merchantry.operators import basket, clean, dims, distances, facts, recommend, rfm, silhouette
+from merchantry.operators import basket, clean, dims, distances, facts, models, recommend, rfm, silhouette
 from merchantry.plans import catalogue
 from merchantry.sources import tables
 
@@ -187,3 +188,19 @@ def test_only_purchases_of_top_items_meet_their_products(spark, tmp_path):
     sent = plan[plan.index("Exchange hashpartitioning(CustomerID") :]
     assert "partial_sum(Quantity" in sent and sent.index("BroadcastHashJoin") < sent.index("FileScan")
     assert plan.count("SortMergeJoin") == plan[plan.index("TakeOrdered") :].count("SortMergeJoin")
+
+
+def test_models_are_fitted_side_by_side(spark, monkeypatch):
+    data = spark.createDataFrame([(1, 0.0, "train"), (2, 1.0, "train"), (3, 1.0, "test")], "CustomerID long, label double, split string")
+    together = threading.Barrier(models.FITS, timeout=60)
+    waits = iter(range(models.FITS))
+
+    def fitted(train, name, estimator):
+        if next(waits, None) is not None:
+            together.wait()
+        return lambda df: df.withColumn("score", F.lit(0.5))
+
+    monkeypatch.setattr(models, "fit", fitted)
+    scores, found = models.base_scores(data, 2, catalogue.SIZES)
+    assert list(found) == list(models.estimators(2, catalogue.SIZES))
+    assert sorted(map(tuple, scores.collect())) == sorted((3, 1.0, "test", name, 0.5) for name in found)
