@@ -39,8 +39,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per document of the mix: its token ids (32-bit little-endian, in base 64), and the digests of ids and decoded bytes."""
     codec = bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    rows = docs.select("doc_id", "source", codec.encode(F.col("text")).alias("ids"))
-    rows = rows.withColumn("decoded", codec.decode(F.col("ids")))
+    rows = docs.select("doc_id", "source", codec.round_trip(F.col("text")).alias("both")).select("doc_id", "source", "both.ids", "both.decoded")
     return rows.select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.base64("ids").alias("ids_base64"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),

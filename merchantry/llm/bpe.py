@@ -8,6 +8,8 @@ free slots; a bucket of one entry names its slot instead. A slot's entry is comp
 
 Encoded matches are remembered in each Python worker, up to a fixed number of those used last. This changes no result.
 
+A worker encodes and decodes a few texts at a time and hands on what it made of them, so it never holds the ids and bytes of a whole batch of Spark's.
+
 Defined cases: null and empty text have no ids; decoding null gives null; repeated rows are encoded each; an empty table gives an empty result; other columns pass through.
 """
 
@@ -17,10 +19,10 @@ import base64
 import heapq
 import itertools
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,45 +146,86 @@ _STATE: dict[int, Remembered] = {}
 
 _KEYS = itertools.count()
 
+#: Rows that are worked on before their results are handed on.
+AT_ONCE = 128
+
+
+def in_parts(batches: Iterator[pa.Array], size: int = AT_ONCE) -> Iterator[list]:
+    """The values of all batches, ``size`` at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), size):
+            yield batch.slice(at, size).to_pylist()
+
 
 class Codec:
     """Encoder and decoder columns over one vocabulary file."""
 
-    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 100_000) -> None:
+    def __init__(self, spark: SparkSession, path: str, pattern: str, *, remember: int = 200_000) -> None:
         self.ranks = spark.sparkContext.broadcast(Ranks(path))
         self.pattern, self.remember = pattern, remember
         self.key = next(_KEYS)
 
-    def encode(self, text: Column) -> Column:
-        """The ids of a text, as little-endian unsigned 32-bit integers."""
+    def _encoder(self) -> Callable[[], Callable[[str | None], bytes]]:
+        """What makes, in a worker, the function from a text to its ids."""
         shared, key, pattern, limit = self.ranks, self.key, self.pattern, self.remember
 
-        @F.pandas_udf("binary")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            find = regex.compile(pattern)
+        def made() -> Callable[[str | None], bytes]:
+            find = regex.compile(pattern).findall
             if key not in _STATE:
                 _STATE.clear()
                 _STATE[key] = Remembered(shared.value, limit)
-            known = _STATE[key]
-            for batch in batches:
-                yield pd.Series([b"" if not t else b"".join(map(known.__getitem__, find.findall(t))) for t in batch], dtype=object)
+            known = _STATE[key].__getitem__
+            return lambda text: b"".join(map(known, find(text))) if text else b""
+
+        return made
+
+    def _decoder(self) -> Callable[[], Callable[[bytes | None], bytes | None]]:
+        shared = self.ranks
+
+        def made() -> Callable[[bytes | None], bytes | None]:
+            part = shared.value.bytes_of.__getitem__
+            return lambda ids: None if ids is None else b"".join(map(part, np.frombuffer(ids, "<u4").tolist()))
+
+        return made
+
+    def encode(self, text: Column) -> Column:
+        """The ids of a text, as little-endian unsigned 32-bit integers."""
+        encoder = self._encoder()
+
+        @F.arrow_udf("binary")
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            one = encoder()
+            for texts in in_parts(batches):
+                yield pa.array([one(t) for t in texts], pa.binary())
 
         return encode(text)
 
     def decode(self, ids: Column) -> Column:
         """The bytes that ids stand for. An id outside the vocabulary is an error."""
-        shared = self.ranks
+        decoder = self._decoder()
 
-        @F.pandas_udf("binary")
-        def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            parts = shared.value.bytes_of
-            for batch in batches:
-                yield pd.Series(
-                    [None if x is None else b"".join(map(parts.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in batch], dtype=object
-                )
+        @F.arrow_udf("binary")
+        def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            one = decoder()
+            for rows in in_parts(batches):
+                yield pa.array([one(x) for x in rows], pa.binary())
 
         return decode(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """A struct of what :meth:`encode` gives, and of what :meth:`decode` gives for those ids. Both steps run in one worker: two columns would take two for each task, and send the ids between them."""
+        encoder, decoder = self._encoder(), self._decoder()
+
+        @F.arrow_udf("ids binary, decoded binary")
+        def round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            encode, decode = encoder(), decoder()
+            for texts in in_parts(batches):
+                ids = [encode(t) for t in texts]
+                columns = [pa.array(ids, pa.binary()), pa.array([decode(x) for x in ids], pa.binary())]
+                yield pa.StructArray.from_arrays(columns, names=["ids", "decoded"])
+
+        return round_trip(text)
+
 
 def encoded(docs: DataFrame, path: str, pattern: str, *, text: str = "text", into: str = "ids") -> DataFrame:
     """``docs`` with the ids of ``text`` in the column ``into``."""

@@ -163,6 +163,15 @@ def find(texts: list[str], model: Tagger, length: int) -> list[list[tuple[int, i
     return out
 
 
+def found_in(batch: pd.Series, model: Tagger, length: int) -> Iterator[tuple[int, str, list[tuple[int, int, int, bool]]]]:
+    """(place, text, spans) of the texts of a batch that aren't empty."""
+    some = [i for i, t in enumerate(batch) if t]
+    for j in range(0, len(some), 64):
+        part = some[j : j + 64]
+        texts = [batch.iloc[i] for i in part]
+        yield from zip(part, texts, find(texts, model, length), strict=True)
+
+
 class Detector:
     """Span and redaction columns. The model is trained on the driver on a bounded, fixed number of labelled windows and broadcast."""
 
@@ -178,11 +187,8 @@ class Detector:
         def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
                 out: list = [[] for _ in range(len(batch))]
-                some = [i for i, t in enumerate(batch) if t]
-                for j in range(0, len(some), 64):
-                    part = some[j : j + 64]
-                    for i, found in zip(part, find([batch.iloc[i] for i in part], shared.value, length), strict=True):
-                        out[i] = [{"kind": KINDS[k], "start": s, "end": e, "base": b} for s, k, e, b in found]
+                for i, _, found in found_in(batch, shared.value, length):
+                    out[i] = [{"kind": KINDS[k], "start": s, "end": e, "base": b} for s, k, e, b in found]
                 yield pd.Series(out, dtype=object)
 
         return spans(F.when(text.rlike(TRIGGER), text))
@@ -198,6 +204,22 @@ class Detector:
         return F.when(some, redact(F.when(some, text), F.when(some, spans))).otherwise(text)
 
 
+    def replaced(self, text: Column) -> Column:
+        """What :meth:`redact` gives for the text and its :meth:`spans`. Both steps run in one worker: two columns would take two for each task, and send texts twice."""
+        shared, length = self.model, self.length
+
+        @F.pandas_udf("string")
+        def replaced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                out: list = [None] * len(batch)
+                for i, t, found in found_in(batch, shared.value, length):
+                    if found:
+                        out[i] = redacted(t, [(s, e, KINDS[k]) for s, k, e, _ in found])
+                yield pd.Series(out, dtype=object)
+
+        return F.coalesce(replaced(F.when(text.rlike(TRIGGER), text)), text)
+
+
 def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
     parts, at = [], 0
     for s, e, kind in sorted(spans):
@@ -216,6 +238,5 @@ def without_personal_data(docs: DataFrame, *, text: str = "text", **how) -> Data
     """``docs`` with personal data in ``text`` replaced; the same columns."""
     use = Detector(docs.sparkSession, **how)
     rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
-    rows = rows.withColumn("_spans", use.spans(F.col("_text")))
-    rows = rows.withColumn("_new", use.redact(F.col("_text"), F.col("_spans")))
+    rows = rows.withColumn("_new", use.replaced(F.col("_text")))
     return rows.select(*(F.col("_new").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))

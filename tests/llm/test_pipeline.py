@@ -107,3 +107,14 @@ def test_registered_queries_have_their_columns(spark, number):
     table, key = ("pages", "page_id") if number == 3 else ("embeddings", "vec_id") if number == 4 else ("documents", "doc_id")
     rows = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
     assert out.count() == (rows.filter(F.col(key) % 100 == 0).count() * 10 if number == 4 else rows.count())
+
+
+def test_stages_take_one_python_worker_a_task(spark):
+    """Idle workers are kept by Spark, so what a stage takes at once is in the executor's memory in the next ones too."""
+    docs = spark.createDataFrame([(1, "jo.1@mail2.example.com, or +1 (811) 555-3281", "en", "s", 0), (2, None, None, None, None), (2, "", "en", "s", 0)], SCHEMA)
+    for stage in (corpus_pipeline.personal_data, corpus_pipeline.token_ids):
+        plan = stage(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+    use = pii.Detector(spark)
+    new = docs.withColumn("spans", use.spans(F.col("text"))).select(use.redact(F.col("text"), F.col("spans")).alias("a"), use.replaced(F.col("text")).alias("b"))
+    assert sorted(map(str, {(r["a"], r["b"]) for r in new.collect()})) == ["('', '')", "('[EMAIL], or [PHONE]', '[EMAIL], or [PHONE]')", "(None, None)"]
