@@ -41,8 +41,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     codec = bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    out = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
-    out = out.withColumn("decoded", codec.decode(F.col("ids")))
+    out = docs.select("doc_id", codec.round_trip(F.col("text")).alias("both")).select("doc_id", "both.ids", "both.decoded")
     return out.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -5,11 +5,13 @@ import random
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from merchantry.llm import bpe, tokens
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -59,3 +61,30 @@ def test_ids_are_those_of_the_library(spark):
         assert list(struct.unpack(f"<{len(r['ids']) // 4}I", bytes(r["ids"]))) == library.encode_ordinary(text)
         assert bytes(r["decoded"]).decode() == text
     assert bpe.encoded(df.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_round_trip_is_one_python_step(spark, tmp_path):
+    rows = list(enumerate([*texts(), None, "twice", "twice", *(f"w{i} x{i % 7}" for i in range(2 * bpe.AT_ONCE))]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    codec = bpe.Codec(spark, RANKS, public_tokenizers.PATTERN, remember=20)
+    both = df.select("doc_id", codec.round_trip(F.col("text")).alias("both")).select("doc_id", "both.ids", "both.decoded")
+    out = df.select("doc_id", codec.encode(F.col("text")).alias("ids"))
+    out = out.withColumn("decoded", codec.decode(F.col("ids")))
+    assert sorted(both.collect()) == sorted(out.collect())
+    assert {r["doc_id"]: bytes(r["decoded"]).decode() for r in both.collect()} == {i: t or "" for i, t in rows}
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    plan = entry.queries()["op6_byte_bpe"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_results_are_handed_on_in_parts():
+    taken = []
+
+    def batches():
+        for n in (300, 0, 5):
+            taken.append(n)
+            yield pa.array([str(i) for i in range(n)])
+
+    parts = bpe.in_parts(batches(), 128)
+    assert len(next(parts)) == 128 and taken == [300]
+    assert [len(x) for x in parts] == [128, 44, 5]
