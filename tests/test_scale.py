@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from merchantry.operators import basket, clean, dims, distances, facts, models, recommend, rfm, silhouette
 from merchantry.plans import catalogue
+from merchantry.plans.warehouse import Warehouse
 from merchantry.sources import tables
+from merchantry.sources.store import TableStore
 
 
 def _plan(df):
@@ -204,3 +206,25 @@ def test_models_are_fitted_side_by_side(spark, monkeypatch):
     scores, found = models.base_scores(data, 2, catalogue.SIZES)
     assert list(found) == list(models.estimators(2, catalogue.SIZES))
     assert sorted(map(tuple, scores.collect())) == sorted((3, 1.0, "test", name, 0.5) for name in found)
+
+
+def test_model_comparison_trains_the_full_sizes(spark, monkeypatch):
+    """The comparison gets the study's sizes, search and stacking with them, and rows with as many Fourier features."""
+    rows = [(i, i % 2, "Europe" if i % 3 else None, i % 7, float(i)) for i in range(40)]
+    w = Warehouse(spark, None, None, store=TableStore(spark, "full-sizes"))
+    w._tables["churn_features"] = spark.createDataFrame(rows, "CustomerID long, ChurnLabel int, Region string, Frequency long, Monetary double")
+    catalogue._add_mining_layers(w)
+    monkeypatch.setitem(catalogue._warehouses, (spark.sparkContext.applicationId, "full-sizes"), w)
+    given = []
+
+    def comparison(data, width, sizes, *args, **named):
+        given.append((data, width, sizes, args, set(named)))
+        return spark.range(1), None, {}
+
+    monkeypatch.setattr(models, "churn_comparison", comparison)
+    assert catalogue.queries()["model_comparison"](spark, "full-sizes").count() == 1
+    [(data, width, sizes, args, named)] = given
+    assert sizes == models.Sizes() and width == 3 and not args and named == {"store"}
+    assert (sizes.forest_trees, sizes.boost_trees, sizes.gradient_trees, sizes.network_iter, sizes.search_draws, sizes.search_folds, sizes.stack_folds) == (300, 300, 500, 800, 30, 5, 5)
+    assert data.count() == 40 and {len(r["fourier"]) for r in data.collect()} == {200}
+    assert spark.sparkContext.getCheckpointDir()
