@@ -9,15 +9,18 @@ Starting centres are the rows of the smallest hashes of (start, key), the same i
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from hashlib import md5
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Distances are compared after rounding to so many digits, so that ties are ties in every engine.
 DIGITS = 9
+#: Rows whose distances to a run's centres are held at once.
+TOGETHER = 4096
 
 
 class Run(NamedTuple):
@@ -39,12 +42,25 @@ def starting_rows(rows: DataFrame, columns: Sequence[str], key: str, k: int, sta
     """Start -> its first ``k`` rows by hash; each task sends ``k`` rows a start at most."""
     x = F.array(*[F.col(c).cast("double") for c in columns])
     named = rows.select(F.col(key).cast("string").alias("id"), x.alias("x")).filter(F.forall("x", lambda v: v.isNotNull()))
-    each = named.select("id", "x", F.explode(F.array(*[F.lit(s) for s in starts])).alias("start"))
-    order = Window.partitionBy("start").orderBy(F.md5(F.concat_ws(":", F.col("start").cast("string"), "id")), "id")
-    first = each.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k)
+    starts = tuple(starts)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, list] = {s: [] for s in starts}
+        for batch in batches:
+            ids = batch.column("id").to_pylist()
+            for s in starts:
+                digests = [md5((str(s) if i is None else f"{s}:{i}").encode()).digest() for i in ids]
+                begin = np.frombuffer(b"".join(digests), ">u8")[::2]
+                some = np.flatnonzero(begin <= np.partition(begin, k - 1)[k - 1]) if len(ids) > k else range(len(ids))
+                kept[s] = sorted(kept[s] + [(digests[i].hex(), ids[i] or "", batch.column("x")[i].as_py()) for i in some])[:k]
+        found = [(s, *r) for s in starts for r in kept[s]]
+        yield pa.RecordBatch.from_pylist([dict(zip(("start", "hash", "id", "x"), r, strict=True)) for r in found], kind)
+
+    kind = pa.schema([("start", pa.int32()), ("hash", pa.string()), ("id", pa.string()), ("x", pa.list_(pa.float64()))])
     out: dict[int, list] = {s: [] for s in starts}
-    for r in first.orderBy("start", "at").collect():
-        out[r["start"]].append(r["x"])
+    for r in sorted(named.mapInArrow(local, "start int, hash string, id string, x array<double>").collect()):
+        if len(out[r["start"]]) < k:
+            out[r["start"]].append(r["x"])
     return {s: np.array(v) for s, v in out.items()}
 
 
@@ -58,23 +74,65 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, d[np.arange(len(x)), at]
 
 
-def pass_over(points: DataFrame, runs: Sequence[np.ndarray]) -> tuple[list[np.ndarray], list[float]]:
-    """For each run, the means of the rows nearest to its centres, and the sum of squared distances to these centres."""
+class Places:
+    """Rows side by side, to be met with the centres of many runs."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.x = x
+        self.columns = np.concatenate([x.T, np.ones((1, len(x)))])
+        self.rows = np.ascontiguousarray(self.columns.T)
+        self.squares = (x * x).sum(axis=1)
+
+    def nearest(self, centres: np.ndarray) -> np.ndarray:
+        """(centres, rows): whether a centre is the row's nearest, as ``nearest`` has it. One product of matrices; only rows with two centres about as near, which rounding may turn into a tie, are looked at by differences."""
+        own = (centres * centres).sum(axis=1)
+        d = np.column_stack([-2 * centres, own]) @ self.columns
+        near = d <= d.min(axis=0) + (2 * 10.0**-DIGITS + 1e-14 * (self.squares + own.max()))
+        if np.count_nonzero(near) > len(self.x):
+            some = np.flatnonzero(near.sum(axis=0) > 1)
+            near[:, some] = False
+            near[nearest(self.x[some], centres)[0], some] = True
+        return near
+
+
+def numbered(rows: DataFrame, columns: Sequence[str], runs: Sequence[np.ndarray]) -> DataFrame:
+    """The columns, and in ``c`` the number of the nearest centre of each run; 0 for a row with a null."""
+    given = [r.copy() for r in runs]
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns], axis=1)
+            there = np.flatnonzero(~np.isnan(x).any(axis=1))
+            at = np.zeros((len(x), len(given)), np.int32)
+            places = Places(x[there])
+            for i, centres in enumerate(given if len(there) else ()):
+                at[there, i] = places.nearest(centres).argmax(axis=0)
+            c = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(given)), pa.array(at.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in columns), c], [*columns, "c"])
+
+    return rows.select(*[F.col(n).cast("double").alias(n) for n in columns]).mapInArrow(local, ", ".join([*(f"`{n}` double" for n in columns), "c array<int>"]))
+
+
+def pass_over(points: DataFrame, runs: Sequence[np.ndarray], priced: int = 0) -> tuple[list[np.ndarray], list[float]]:
+    """For each run, the means of the rows nearest to its centres, and for the last ``priced`` runs the sum of squared distances to these centres (0 for the others)."""
     given = [r.copy() for r in runs]
     dim = given[0].shape[1]
     offsets = np.cumsum([0, *(len(r) for r in given)])
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, cost, sums = np.zeros(offsets[-1], np.int64), np.zeros(offsets[-1]), np.zeros((offsets[-1], dim))
+        cost, totals = np.zeros(offsets[-1]), np.zeros((offsets[-1], dim + 1))
         for batch in batches:
-            x = batch.column("x").flatten().to_numpy().reshape(-1, dim)
-            for i, centres in enumerate(given):
-                at, d = nearest(x, centres)
-                part = slice(offsets[i], offsets[i + 1])
-                n[part] += np.bincount(at, minlength=len(centres))
-                cost[part] += np.bincount(at, d, len(centres))
-                for j in range(dim):
-                    sums[part, j] += np.bincount(at, x[:, j], len(centres))
+            every = batch.column("x").flatten().to_numpy().reshape(-1, dim)
+            for x in (every[i : i + TOGETHER] for i in range(0, len(every), TOGETHER)):
+                places = Places(x)
+                for i, centres in enumerate(given):
+                    near = places.nearest(centres)
+                    part = slice(offsets[i], offsets[i + 1])
+                    totals[part] += near.astype(float) @ places.rows
+                    if i >= len(given) - priced:
+                        at = near.argmax(axis=0)
+                        cost[part] += np.bincount(at, ((x - centres[at]) ** 2).sum(axis=1), len(centres))
+        n, sums = np.rint(totals[:, dim]).astype(np.int64), totals[:, :dim]
         some = np.flatnonzero(n)
         columns = [pa.array(some), pa.array(n[some]), pa.array(cost[some]), *(pa.array(sums[some, j]) for j in range(dim))]
         yield pa.RecordBatch.from_arrays(columns, ["slot", "n", "cost", *(f"s{j}" for j in range(dim))])
@@ -110,7 +168,7 @@ def fit(
         turn = 0
         while open_ or ended:
             names = [*open_, *ended]
-            moved, costs = pass_over(points, [*open_.values(), *ended.values()])
+            moved, costs = pass_over(points, [*open_.values(), *ended.values()], len(ended))
             turn += 1
             after, stopped = {}, {}
             for name, new, cost in zip(names, moved, costs, strict=True):

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchantry.operators.distances import Sums
@@ -71,7 +71,20 @@ def _matrix(table: pa.Table, names: Sequence[str]) -> np.ndarray:
 
 def _labels(table: pa.Table, offsets: np.ndarray) -> np.ndarray:
     """The clusters of each row in one numbering over all clusterings."""
-    return np.stack(table.column("c").to_numpy()) + offsets
+    return table.column("c").combine_chunks().flatten().to_numpy().reshape(table.num_rows, len(offsets)) + offsets
+
+
+def _kinds(labels: np.ndarray, offsets: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a row of 0 and 1 over all clusters for each kind of row, the kind of each row); rows of a kind are in the same clusters."""
+    widths = np.diff([*offsets, total])
+    if np.prod(widths.astype(float)) < 2.0**62:
+        code = (labels - offsets) @ np.cumprod([1, *widths[:-1]])
+        _, first, kind = np.unique(code, return_index=True, return_inverse=True)
+    else:
+        _, first, kind = np.unique(labels, axis=0, return_index=True, return_inverse=True)
+    values = np.zeros((len(first), total))
+    values[np.arange(len(first))[:, None], labels[first]] = 1
+    return values, kind.reshape(-1)
 
 
 def moments(rows: DataFrame, nodes: DataFrame, wanted: DataFrame, dim: int, groups: Sequence[int], leaf: int) -> DataFrame:
@@ -188,9 +201,7 @@ def silhouettes(rows: DataFrame, columns: Sequence[str], clusters: Column, group
                     yield from _with_sums(rows, sums)
                 rows, sums = table, Sums(x, total, error / 2)
                 continue
-            member = np.zeros((len(x), total))
-            member[np.arange(len(x))[:, None], _labels(table, offsets)] = w[:, None]
-            sums.add(x, member)
+            sums.add(x, *_kinds(_labels(table, offsets), offsets, total), w)
         if rows is not None:
             yield from _with_sums(rows, sums)
 
@@ -213,7 +224,11 @@ def silhouettes(rows: DataFrame, columns: Sequence[str], clusters: Column, group
     def dealt(df: DataFrame):
         return df.repartition(tasks, "query").groupBy("query")
 
-    stream = mine.unionByName(met).repartition(tasks, "query").sortWithinPartitions("query", "node")
+    # Leaves are about equal work, so they are dealt out in turn; by hash some tasks get several.
+    turn = F.dense_rank().over(Window.orderBy("query")) - 1
+    turns = F.broadcast(nodes.filter("leaf").select(F.col("node").alias("query")).withColumn("turn", turn.cast("int")))
+    each = mine.unionByName(met).join(turns, "query")
+    stream = each.repartitionById(tasks, F.col("turn") % tasks).drop("turn").sortWithinPartitions("query", "node")
     direct = stream.mapInArrow(near_sums, kind)
     parts = dealt(direct).cogroup(dealt(seen)).applyInArrow(expanded, "g long, s double, w double")
     means = {r["g"]: r["s"] for r in parts.groupBy("g").agg((F.sum("s") / F.sum("w")).alias("s")).collect()}

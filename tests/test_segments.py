@@ -1,12 +1,13 @@
 """Batched k-means and Euclidean silhouettes against brute force."""
 
+import hashlib
 import uuid
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from merchantry.operators import kmeans, silhouette
+from merchantry.operators import distances, kmeans, segment, silhouette
 
 
 @pytest.fixture
@@ -102,3 +103,67 @@ def test_far_nodes_stand_for_their_rows(spark, store):
     top = lambda c: F.floor(F.col(c) / F.pow(F.lit(2), F.floor(F.log2(c)) - 1))
     assert near.filter(top("query") != top("node")).isEmpty() and not far.isEmpty()
     assert silhouette.silhouettes(df.limit(0), ["x0"], F.col("c"), (2,), store=store)[0] != 0
+
+
+def test_sums_by_kind_and_weight():
+    """Kinds with weights give what their rows give, and a box without length in a side meets others by few points."""
+    r = np.random.Generator(np.random.PCG64(5))
+    x = np.stack([r.random(4000) * 3, r.integers(0, 4, 4000) * 2.0, r.random(4000)], axis=1)
+    other = np.concatenate([x[::2] + [2.0, 0, 0], np.repeat(x[:1], 500, axis=0)])
+    kind, weight = r.integers(0, 5, len(other)), r.integers(1, 9, len(other)).astype(float)
+    values = (r.random((5, 7)) < 0.4) * 1.0
+    sums = distances.Sums(x, 7, 5e-7)
+    sums.add(other, values, kind, weight)
+    assert distances.GRID**2 in {len(v) for v in sums.at_points.values()}
+    want = np.sqrt(((x[:60, None] - other[None]) ** 2).sum(axis=2)) @ (values[kind] * weight[:, None])
+    assert sums.totals()[:60] == pytest.approx(want, rel=5e-7)
+
+
+def test_few_distances_row_by_row(monkeypatch):
+    """Flat boxes apart meet by points, so most pairs of rows don't meet one by one."""
+    r = np.random.Generator(np.random.PCG64(6))
+    x = np.stack([r.random(30000), np.zeros(30000), r.random(30000)], axis=1)
+    met = []
+    plain = distances._distances
+    monkeypatch.setattr(distances, "_distances", lambda a, b, *rest: met.append(len(a) * len(b)) or plain(a, b, *rest))
+    sums = distances.Sums(x, 2, 5e-7)
+    sums.add(x, np.eye(2), (x[:, 0] > 0.5).astype(int))
+    assert sum(met) < 0.5 * len(x) ** 2
+
+
+def test_nearest_places_and_ties():
+    r = np.random.Generator(np.random.PCG64(7))
+    x = np.concatenate([r.integers(-3, 4, (3000, 3)).astype(float), r.normal(size=(500, 3)) * 100])
+    for centres in (np.array([[0.0, 0, 0], [1, 1, 0], [1, 1, 0], [-1, 0, 2]]), x[3000:3010], x[:1], np.zeros((2, 3))):
+        near = kmeans.Places(x).nearest(centres)
+        assert (near.sum(axis=0) == 1).all() and (near.argmax(axis=0) == kmeans.nearest(x, centres)[0]).all()
+
+
+def test_starting_rows_are_those_of_the_smallest_hashes(spark):
+    rows = [(str(i) if i % 50 else None, float(i), 1.0) for i in range(1, 300)] + [("7", None, 1.0)]
+    df = spark.createDataFrame(rows, "id string, a double, b double").repartition(5)
+    found = kmeans.starting_rows(df, ["a", "b"], "id", 4, (1, 20))
+    for s in (1, 20):
+        text = lambda i: str(s) if i is None else f"{s}:{i}"
+        keyed = sorted((hashlib.md5(text(i).encode()).hexdigest(), a) for i, a, _ in rows if a is not None)
+        want = [h for h, _ in keyed[:4]]
+        number = {a: hashlib.md5(text(i).encode()).hexdigest() for i, a, _ in rows}
+        assert [number[a] for a, _ in found[s].tolist()] == want
+
+
+def test_index_of_several_clusterings_in_one_pass(spark):
+    x = _blobs(90, 8)
+    rows = [(*map(float, v), [i % 2, i % 5, 0]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "Recency double, Frequency double, Monetary double, c array<int>")
+    every = segment.davies_bouldin(df.select(*segment.FEATURES, F.posexplode("c").alias("place", "Cluster")), by=("place",))
+    got = {r["place"]: r["DaviesBouldin"] for r in every.collect()}
+    for i in range(3):
+        [one] = segment.davies_bouldin(df.select(*segment.FEATURES, F.col("c")[i].alias("Cluster"))).collect()
+        assert got[i] == (one[0] if one[0] is None else pytest.approx(one[0]))
+
+
+def test_numbers_of_centres_with_nulls(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (5.0, 5.0), (None, 5.0), (4.0, 6.0)], "a double, b double")
+    runs = [np.array([[0.0, 0.0], [5.0, 5.0]]), np.array([[9.0, 9.0], [1.0, 1.0], [5.0, 5.0]])]
+    got = [tuple(r) for r in kmeans.numbered(df, ["a", "b"], runs).collect()]
+    assert got == [(0.0, 0.0, [0, 1]), (5.0, 5.0, [1, 2]), (None, 5.0, [0, 0]), (4.0, 6.0, [1, 2])]
