@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from merchantry.operators import basket, clean, dims, distances, facts, models, recommend, rfm, silhouette
+from merchantry.operators import basket, churn, clean, dims, distances, facts, models, recommend, rfm, silhouette
 from merchantry.plans import catalogue
 from merchantry.plans.warehouse import Warehouse
 from merchantry.sources import tables
@@ -228,3 +228,27 @@ def test_model_comparison_trains_the_full_sizes(spark, monkeypatch):
     assert (sizes.forest_trees, sizes.boost_trees, sizes.gradient_trees, sizes.network_iter, sizes.search_draws, sizes.search_folds, sizes.stack_folds) == (300, 300, 500, 800, 30, 5, 5)
     assert data.count() == 40 and {len(r["fourier"]) for r in data.collect()} == {200}
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_search_folds_are_even(spark, monkeypatch):
+    """The folds of the full search don't follow the hash that chose the training rows, which would leave the last of them empty."""
+    data = churn.with_split(spark.range(3000).select(F.col("id").alias("CustomerID"), F.lit(0.0).alias("label")))
+    found = []
+
+    class Search:
+        bestModel, avgMetrics = type("Best", (), {"extractParamMap": lambda self: {}})(), [0.5]
+
+        def __init__(self, **named):
+            self.folds, self.draws = named["numFolds"], len(named["estimatorParamMaps"])
+
+        def fit(self, folded):
+            found.append((self.folds, self.draws, {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}))
+            return self
+
+    monkeypatch.setattr(models, "CrossValidator", Search)
+    monkeypatch.setattr(models, "fit", lambda train, name, estimator: lambda df: df.withColumn("score", F.lit(0.5)))
+    models.base_scores(data, 2, models.Sizes(), search=True)
+    assert [(folds, draws) for folds, draws, _ in found] == [(5, 30)] * 2
+    train = data.filter("split = 'train'").count()
+    for _, _, rows in found:
+        assert sorted(rows) == [0, 1, 2, 3, 4] and all(0.15 * train < n < 0.25 * train for n in rows.values())
